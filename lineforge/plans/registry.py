@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import catalog  # noqa: F401  (registers on import)
+from . import catalog, catalog_reports  # noqa: F401  (register on import)
 
 
 def queries():
