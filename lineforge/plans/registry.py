@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import catalog, catalog_reports  # noqa: F401  (register on import)
+from . import catalog, catalog_models, catalog_reports  # noqa: F401  (register on import)
 
 
 def queries():
