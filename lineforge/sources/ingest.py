@@ -29,19 +29,25 @@ SOURCE_TABLES = ("account_dim", "statement_fact", "transaction_fact", "wrld_stor
                  "rams_batch_cur", "fraud_claim_case", "fraud_claim_tran")
 
 
-def read_csv_table(spark: SparkSession, path: str, schema: T.StructType) -> tuple[DataFrame, DataFrame]:
+def read_csv_table(spark: SparkSession, path: str, schema: T.StructType,
+                   materialise: bool = True) -> tuple[DataFrame, DataFrame]:
     """Headered CSV with a fixed schema: ``(good_rows, bad_rows)``.
 
-    PERMISSIVE mode keeps malformed lines in a corrupt-record column; splitting on that
-    column (after caching the parse result in the plan, not in memory) gives a stable
-    row set whatever columns a later query prunes."""
+    PERMISSIVE mode keeps malformed lines (wrong type, too few or too many fields) in a
+    corrupt-record column.  The CSV parser only checks the columns a query needs, so the
+    full parse is written once as Parquet under the shared checkpoint folder and the
+    good/bad split is taken from that copy: the row set no longer depends on which
+    columns a later query prunes, and later scans are columnar."""
+    from ..session import scratch_path
     full = T.StructType(list(schema.fields) + [T.StructField(CORRUPT, T.StringType(), True)])
     raw = (spark.read.schema(full).option("header", "true").option("mode", "PERMISSIVE")
            .option("columnNameOfCorruptRecord", CORRUPT).csv(path))
-    # materialise the corrupt flag so column pruning cannot change which rows are bad
-    flagged = raw.withColumn("_bad", F.col(CORRUPT).isNotNull())
-    good = flagged.where(~F.col("_bad")).drop(CORRUPT, "_bad")
-    bad = flagged.where(F.col("_bad")).select(CORRUPT)
+    if materialise:
+        target = scratch_path(spark, "csv-parsed")
+        raw.write.mode("overwrite").parquet(target)
+        raw = spark.read.parquet(target)
+    good = raw.where(F.col(CORRUPT).isNull()).drop(CORRUPT)
+    bad = raw.where(F.col(CORRUPT).isNotNull()).select(CORRUPT)
     return good, bad
 
 
