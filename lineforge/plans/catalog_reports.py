@@ -359,9 +359,15 @@ _Q4_SELECT = ("current_account_nbr, month, split, CAST(total_spend AS DOUBLE) AS
 
 
 def _q4_frame(spark, sf_dir):
+    """The quarter matrix, written once per session to the checkpoint folder: model fits,
+    early-stopping evaluation and the report queries all read the same materialised rows
+    instead of re-running the windows and joins."""
     ctx = context(spark, sf_dir)
-    df, feats, target = matrix.q4_feature_matrix(ctx.cm_lags, ctx.base, CUTOFF_MONTH)
-    return df, feats, target
+    store = ctx.__dict__.setdefault("_models", {})
+    if "q4_frame" not in store:
+        df, feats, target = matrix.q4_feature_matrix(ctx.cm_lags, ctx.base, CUTOFF_MONTH)
+        store["q4_frame"] = (df.checkpoint(), feats, target)
+    return store["q4_frame"]
 
 
 @register("q4_feature_matrix", q(_q4_oracle_body(_Q4_SELECT), "cm_lags", "customer_base"))

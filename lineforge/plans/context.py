@@ -33,9 +33,20 @@ def finish(df: DataFrame) -> DataFrame:
 
 
 class Context:
-    def __init__(self, spark: SparkSession, sf_dir: str):
+    """Lazily built, memoised feature frames for one (session, sf directory).
+
+    The two shared derived tables — the account-month table and the account base — are
+    checkpointed (written to the shared checkpoint folder) on first use, so the
+    transaction aggregation and the account joins run once per session and every later
+    query starts from a short lineage that survives executor loss."""
+
+    def __init__(self, spark: SparkSession, sf_dir: str, materialise: bool = True):
         self.spark = spark
         self.sf_dir = sf_dir
+        self.materialise = materialise
+
+    def _keep(self, df: DataFrame) -> DataFrame:
+        return df.checkpoint() if self.materialise else df
 
     @cached_property
     def t(self) -> dict[str, DataFrame]:
@@ -43,7 +54,7 @@ class Context:
 
     @cached_property
     def cm(self) -> DataFrame:
-        return monthly.customer_monthly(self.t["transaction_base"], self.t["statement_fact"])
+        return self._keep(monthly.customer_monthly(self.t["transaction_base"], self.t["statement_fact"]))
 
     @cached_property
     def cm_lags(self) -> DataFrame:
@@ -52,7 +63,8 @@ class Context:
     @cached_property
     def base(self) -> DataFrame:
         t = self.t
-        return accounts.customer_base(t["account_dim"], t["syf_id"], t["rams_batch_cur"], t["fraud_claim_case"])
+        return self._keep(accounts.customer_base(t["account_dim"], t["syf_id"], t["rams_batch_cur"],
+                                                 t["fraud_claim_case"]))
 
     @cached_property
     def segments(self) -> DataFrame:

@@ -172,14 +172,6 @@ def derive_tables(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
     return {n: frames[n] for n in INPUT_TABLES}
 
 
-# Account-keyed inputs are laid out hash-partitioned by account and sorted inside each
-# file, so later aggregates/joins on the account read co-located, ordered data.
-_LAYOUT = {
-    "transaction_base": "current_account_nbr",
-    "statement_fact": "current_account_nbr",
-    "rams_batch_cur": "cu_account_nbr",
-}
-
 _lock = threading.Lock()
 _materialised: dict[tuple[int, str], dict[str, str]] = {}
 
@@ -207,12 +199,10 @@ def input_tables(spark: SparkSession, sf_dir: str, materialise: bool = True) ->
             paths = {}
             for name in ("account_dim", "syf_id", "transaction_base", "statement_fact",
                          "rams_batch_cur", "fraud_claim_case"):
-                df = lazy[name]
-                if name in _LAYOUT:
-                    key_col = _LAYOUT[name]
-                    df = df.repartition(key_col).sortWithinPartitions(key_col)
+                # plain map-side writes: no layout shuffle (plain Parquet carries no
+                # partitioning guarantee that a later plan could use)
                 path = f"{base}/inputs-{tag}/{name}"
-                df.write.mode("overwrite").parquet(path)
+                lazy[name].write.mode("overwrite").parquet(path)
                 paths[name] = path
             # the claims are derived from the written union, not from a second join
             tb = spark.read.parquet(paths["transaction_base"])
