@@ -29,29 +29,36 @@ def _month(col: str):
     return F.trunc(F.col(col).cast("date"), "month")
 
 
-def txn_monthly(transaction_base: DataFrame) -> DataFrame:
-    """Per account and month: spend, counts, cash advances, returns, fees, foreign amount."""
+def txn_monthly_aggs() -> list:
+    """Aggregate expressions of the account-month transaction summary (shared by the
+    batch operator and the streaming form)."""
     amt = F.col("transaction_amt")
     code = F.col("transaction_code").cast("string")
     cur = F.col("frgn_curr_code").cast("string")
     zero = F.lit(0).cast("decimal(18,2)")
-    return (transaction_base
-            .where(F.col("transaction_date").isNotNull())
-            .groupBy(F.col(ACCT), _month("transaction_date").alias("txn_month"))
-            .agg(F.sum(F.when(code.isin(*PURCHASE_CODES), amt).otherwise(zero)).alias("total_spend"),
-                 F.count(F.lit(1)).alias("txn_count"),
-                 F.sum(amt).alias("_sum_amt"),
-                 F.count(amt).alias("_n_amt"),
-                 F.max(amt).alias("max_txn_amt"),
-                 F.sum(F.when(code == CASH_ADVANCE_CODE, amt).otherwise(zero)).alias("total_cash_advance"),
-                 F.sum(F.when(code == RETURN_CODE, amt).otherwise(zero)).alias("total_returns"),
-                 F.sum("curr_markup_fee").alias("total_markup_fees"),
-                 F.sum(F.when((cur != DOMESTIC_CURRENCY) & (cur != ""), amt).otherwise(zero))
-                 .alias("total_foreign_txn_amt"),
-                 F.sum(F.when(F.col("first_purchase_ind") == "Y", 1).otherwise(0)).cast("long")
-                 .alias("first_purchase_count"))
-            .withColumn("avg_txn_amt", F.col("_sum_amt").cast("double") / F.col("_n_amt"))
-            .drop("_sum_amt", "_n_amt"))
+    return [F.sum(F.when(code.isin(*PURCHASE_CODES), amt).otherwise(zero)).alias("total_spend"),
+            F.count(F.lit(1)).alias("txn_count"),
+            F.sum(amt).alias("_sum_amt"),
+            F.count(amt).alias("_n_amt"),
+            F.max(amt).alias("max_txn_amt"),
+            F.sum(F.when(code == CASH_ADVANCE_CODE, amt).otherwise(zero)).alias("total_cash_advance"),
+            F.sum(F.when(code == RETURN_CODE, amt).otherwise(zero)).alias("total_returns"),
+            F.sum("curr_markup_fee").alias("total_markup_fees"),
+            F.sum(F.when((cur != DOMESTIC_CURRENCY) & (cur != ""), amt).otherwise(zero)).alias("total_foreign_txn_amt"),
+            F.sum(F.when(F.col("first_purchase_ind") == "Y", 1).otherwise(0)).cast("long").alias("first_purchase_count")]
+
+
+def finish_txn_monthly(df: DataFrame) -> DataFrame:
+    return df.withColumn("avg_txn_amt", F.col("_sum_amt").cast("double") / F.col("_n_amt")).drop("_sum_amt", "_n_amt")
+
+
+def txn_monthly(transaction_base: DataFrame) -> DataFrame:
+    """Per account and month: spend, counts, cash advances, returns, fees, foreign amount."""
+    g = (transaction_base
+         .where(F.col("transaction_date").isNotNull())
+         .groupBy(F.col(ACCT), _month("transaction_date").alias("txn_month"))
+         .agg(*txn_monthly_aggs()))
+    return finish_txn_monthly(g)
 
 
 def stmt_monthly(statement_fact: DataFrame) -> DataFrame:

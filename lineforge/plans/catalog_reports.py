@@ -111,7 +111,18 @@ def q_describe_frame(spark, sf_dir):
     return R.summary_stats(context(spark, sf_dir).rule_adj, RULE_DESCRIBE)
 
 
-@register("missing_summary", None)
+def _base_columns() -> list[str]:
+    from .oracle import SNAP_COLS
+    return (["current_account_nbr", "payment_hist_1_12_mths", "card_activation_date", "external_status_reason_code",
+             "market_segment", "confidence_level"] + SNAP_COLS
+            + ["has_fraud_case", "max_fraud_amt", "delinquent_cycle_count", "max_delinquency_level", "risk_flag_count",
+               "avg_monthly_sales_6m", "sales_trend_slope", "utilization_ratio", "otb_ratio"])
+
+
+@register("missing_summary", q("SELECT * FROM (" + "\nUNION ALL\n".join(
+    f"SELECT '{c}' AS column_name, COUNT(*) FILTER (WHERE {c} IS NULL) AS missing_count, "
+    f"{_r(f'COUNT(*) FILTER (WHERE {c} IS NULL) / COUNT(*) * 100.0', 2)} AS missing_pct FROM customer_base"
+    for c in _base_columns()) + ") WHERE missing_count > 0", "customer_base"))
 def q_missing_summary(spark, sf_dir):
     return R.missing_summary(finish(context(spark, sf_dir).base))
 
