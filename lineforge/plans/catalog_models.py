@@ -438,6 +438,46 @@ def q_contribution_importance(spark, sf_dir):
     return C.mean_abs_contributions(contrib, p["features"])
 
 
+@register("contribution_waterfall")
+def q_contribution_waterfall(spark, sf_dir):
+    """Per segment, the representative account's contributions (waterfall data)."""
+    from . import reports as R
+    p = _pipeline(context(spark, sf_dir), spark, sf_dir)
+    reps = R.median_representative(p["final"], "segment_name", "adjustment_delta").select("segment_name", ACCT)
+    rows = p["adj"].join(F.broadcast(reps), ACCT, "left_semi")  # one account per segment
+    contrib = C.explain(rows, p["model"].stages[-1], p["features"])
+    return C.account_breakdown(contrib, p["features"]).join(reps, ACCT)
+
+
+@register("spend_gbt_causal")
+def q_spend_gbt_causal(spark, sf_dir):
+    """The spend model on features known before the month (no same-month columns, no
+    spend-to-line ratio of the target month), reported next to the as-coded set."""
+    ctx = context(spark, sf_dir)
+    df, _, target = _q4_frame(spark, sf_dir)
+    feats = [c for c in matrix.CAUSAL_FEATURES if c in df.columns]
+    model, best, _ = models.fit_gbt_early_stop(df.where(F.col("split") == "train"), feats, target, val_share=0.2,
+                                               settings=models.GBTSettings(max_iter=20, max_depth=5))
+    pred = models.predict_floor(model, df.where(F.col("split") == "test"), feats)
+    del ctx
+    return forecast.regression_metrics(pred, target, "prediction", "gbt_causal").withColumn("trees", F.lit(best))
+
+
+@register("forest_sink")
+def q_forest_sink(spark, sf_dir):
+    """Node table written as Parquet and read back: reloaded scores equal fitted scores."""
+    from ..session import scratch_path
+    ctx = context(spark, sf_dir)
+    feats = ctx.anomaly_features.select(ACCT, *ANOMALY_COLS).checkpoint()
+    nodes, meta = iforest.fit_isolation_forest(feats, ANOMALY_COLS, n_trees=50)
+    nodes = nodes.checkpoint()
+    path = iforest.save_forest(nodes, meta, scratch_path(spark, "forest"))
+    again, meta2 = iforest.load_forest(spark, path)
+    a = iforest.score_isolation_forest(feats, nodes, meta, ANOMALY_COLS).withColumnRenamed("score", "score_fitted")
+    b = iforest.score_isolation_forest(feats, again, meta2, ANOMALY_COLS).withColumnRenamed("score", "score_reloaded")
+    return a.join(b, ACCT).withColumn("equal", F.col("score_fitted") == F.col("score_reloaded"))
+
+
 @register("model_sink")
 def q_model_sink(spark, sf_dir):
     from pyspark.ml import PipelineModel
