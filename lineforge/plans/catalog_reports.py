@@ -511,3 +511,43 @@ def q_csv_sink(spark, sf_dir):
     schema = ("current_account_nbr string, current_credit_line double, q4_forecast double, segment_name string, "
               "risk_score double, anomaly_flag double, recommended_credit_line double, adjustment_delta double")
     return spark.read.schema(schema).option("header", "true").csv(path)
+
+
+@register("exclude_column", q("SELECT * FROM latest_rams", "latest_rams"))
+def q_exclude_column(spark, sf_dir):
+    """The newest snapshot rows with the helper rank column dropped (``SELECT * EXCLUDE``)."""
+    from ..operators import accounts
+    return accounts.latest_snapshot(context(spark, sf_dir).t["rams_batch_cur"])
+
+
+@register("not_null_filter", q("""
+SELECT 'transaction_base' AS table_name, current_account_nbr, transaction_date AS event_date FROM transaction_base
+WHERE transaction_date IS NOT NULL
+UNION ALL
+SELECT 'statement_fact', current_account_nbr, billing_cycle_date FROM statement_fact WHERE billing_cycle_date IS NOT NULL""",
+                               "transaction_base", "statement_fact"))
+def q_not_null_filter(spark, sf_dir):
+    t = context(spark, sf_dir).t
+    a = (t["transaction_base"].where(F.col("transaction_date").isNotNull())
+         .select(F.lit("transaction_base").alias("table_name"), ACCT, F.col("transaction_date").alias("event_date")))
+    b = (t["statement_fact"].where(F.col("billing_cycle_date").isNotNull())
+         .select(F.lit("statement_fact").alias("table_name"), ACCT, F.col("billing_cycle_date").alias("event_date")))
+    return a.unionByName(b)
+
+
+@register("load_pipeline", q("\nUNION ALL\n".join(
+    f"SELECT '{n}' AS table_name, CAST({v} AS BIGINT) AS expected, "
+    f"(SELECT COUNT(*) FROM {n}) AS actual, (SELECT COUNT(*) FROM {n}) - {v} AS diff, "
+    f"ABS((SELECT COUNT(*) FROM {n}) - {v}) <= {ingest.AUDIT_TOLERANCE} AS ok"
+    for n, v in ingest.EXPECTED_COUNTS.items()), *ingest.EXPECTED_COUNTS.keys()))
+def q_load_pipeline(spark, sf_dir):
+    """Full load path: every source table is exported as headered CSV, loaded back with
+    its fixed schema (corrupt-row split), unioned, and audited against expected counts."""
+    t = context(spark, sf_dir).t
+    base = scratch_path(spark, "csv-extracts")
+    schemas = {}
+    for name in ingest.SOURCE_TABLES:
+        ingest.write_csv(t[name], f"{base}/{name}.csv")
+        schemas[name] = t[name].schema
+    loaded = ingest.load_tables(spark, base, schemas)
+    return ingest.row_count_audit(spark, loaded)
