@@ -31,7 +31,7 @@ def local_session(cpus: int | str = "*", shuffle_partitions: int = 8,
         builder = builder.config(k, v)
     spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
-    ensure_checkpoint_dir(spark)
+    prepare(spark)
     return spark
 
 
@@ -56,3 +56,73 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh, unique path under the shared checkpoint folder."""
     base = ensure_checkpoint_dir(spark)
     return f"{base.rstrip('/')}/{name}-{uuid.uuid4().hex[:12]}"
+
+
+_shipped: set[str] = set()
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Make ``lineforge`` importable in executor Python workers (once per SparkContext).
+
+    The Arrow-batched functions (grid search, isolation forest, contributions) run in
+    executor Python workers, which must import this package.  The package is zipped into
+    the shared checkpoint folder and registered with ``addPyFile``, as ``--py-files``
+    would do at submit time."""
+    import os
+    import zipfile
+
+    sc = spark.sparkContext
+    key = sc.applicationId
+    if key in _shipped:
+        return
+    pkg_dir = os.path.dirname(os.path.abspath(__file__))
+    root = os.path.dirname(pkg_dir)
+    base = ensure_checkpoint_dir(spark)
+    target = f"{base.rstrip('/')}/pyfiles-{uuid.uuid4().hex[:8]}/lineforge.zip"
+    local = target[len("file:"):] if target.startswith("file:") else target
+    if "://" in local:  # remote shared storage: build locally, then let Spark distribute it
+        local = os.path.join(tempfile.mkdtemp(prefix="lineforge-zip-"), "lineforge.zip")
+    os.makedirs(os.path.dirname(local), exist_ok=True)
+    with zipfile.ZipFile(local, "w", zipfile.ZIP_DEFLATED) as zf:
+        for dirpath, _, files in os.walk(pkg_dir):
+            if "__pycache__" in dirpath:
+                continue
+            for f in files:
+                if f.endswith(".py"):
+                    full = os.path.join(dirpath, f)
+                    zf.write(full, os.path.relpath(full, root))
+    sc.addPyFile(local)
+    _shipped.add(key)
+
+
+def prepare(spark: SparkSession) -> str:
+    """Checkpoint folder + package on executors; returns the checkpoint folder."""
+    base = ensure_checkpoint_dir(spark)
+    ship_package(spark)
+    return base
+
+
+def cluster_conf(input_bytes: int, executors: int, cores_per_executor: int,
+                 target_partition_bytes: int = 256 << 20) -> dict[str, str]:
+    """Sizing for a cluster run over ``input_bytes`` of Parquet input.
+
+    * scan splits of ~256 MB (``maxPartitionBytes``) keep every task's input bounded;
+    * initial shuffle width = max(3 x cores, input / 256 MB) so the widest exchange (the
+      transaction-side partial aggregates) spills little; AQE then coalesces small
+      partitions to the advisory size and splits skewed ones (a hot account);
+    * broadcast only sides measured under 64 MB at runtime (AQE statistics)."""
+    cores = max(1, executors * cores_per_executor)
+    width = max(3 * cores, -(-int(input_bytes) // target_partition_bytes))
+    return {
+        "spark.sql.files.maxPartitionBytes": str(target_partition_bytes),
+        "spark.sql.shuffle.partitions": str(width),
+        "spark.sql.adaptive.enabled": "true",
+        "spark.sql.adaptive.coalescePartitions.enabled": "true",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(target_partition_bytes),
+        "spark.sql.adaptive.skewJoin.enabled": "true",
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "5",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": str(target_partition_bytes * 4),
+        "spark.sql.autoBroadcastJoinThreshold": str(64 << 20),
+        "spark.sql.adaptive.autoBroadcastJoinThreshold": str(64 << 20),
+        "spark.sql.execution.arrow.maxRecordsPerBatch": "10000",
+    }

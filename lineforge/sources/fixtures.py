@@ -21,7 +21,7 @@ import threading
 
 from pyspark.sql import DataFrame, SparkSession
 
-from ..session import ensure_checkpoint_dir
+from ..session import ensure_checkpoint_dir, prepare
 
 BASE_TABLES = ("customer", "orders", "lineitem", "region")
 
@@ -187,6 +187,7 @@ def input_tables(spark: SparkSession, sf_dir: str, materialise: bool = True) ->
     Parquet under the shared checkpoint folder (lineage cut, survives executor loss) and
     every later call reads them back with full column pruning and filter pushdown.
     """
+    prepare(spark)
     if not materialise:
         return derive_tables(spark, sf_dir)
     key = _paths_key(spark, sf_dir)
