@@ -19,7 +19,7 @@ from pyspark.ml.regression import GBTRegressor
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..session import ensure_checkpoint_dir
+from ..session import ensure_checkpoint_dir, materialise
 from .matrix import hash_bucket, zscore
 from .segments import SEGMENTS
 
@@ -67,7 +67,7 @@ def fit_gbt_early_stop(train: DataFrame, features: list[str], label: str, val_sh
     data = with_double_features(train, features).withColumn(label, F.col(label).cast("double"))
     bucket = F.pmod(F.conv(F.substring(F.md5(F.concat(F.lit(salt + "|"), F.col(key).cast("string"))), 1, 8), 16, 10)
                     .cast("long"), F.lit(100))
-    data = data.withColumn("_is_val", bucket < F.lit(int(round(val_share * 100)))).checkpoint()
+    data = materialise(data.withColumn("_is_val", bucket < F.lit(int(round(val_share * 100)))), "gbt-input")
     assembler = _assembler(features)
     fit_rows = assembler.transform(data.where(~F.col("_is_val")))
     val_rows = assembler.transform(data.where(F.col("_is_val")))
@@ -109,7 +109,7 @@ def fit_segment_classifier(df: DataFrame, features: list[str], label: str = "seg
     ensure_checkpoint_dir(df.sparkSession)
     data = with_double_features(df.dropna(subset=features + [label]), features)
     data = class_weights(data, label, "class_weight").withColumn("_is_test", hash_bucket(ACCT) < F.lit(int(test_share * 100)))
-    data = data.checkpoint()  # the fit and the test scoring read the same materialised rows
+    data = materialise(data, "classifier-input")  # the fit and the test scoring read the same rows
     rf = RandomForestClassifier(featuresCol="features", labelCol=label, weightCol="class_weight", numTrees=num_trees,
                                 maxDepth=max_depth, minInstancesPerNode=min_instances, seed=seed,
                                 checkpointInterval=10)
@@ -166,7 +166,7 @@ def kmeans_clusters(df: DataFrame, features: list[str], k: int = 6, seeds=(42, 4
     """k-means on zero-filled z-scored features; the run with the lowest training cost
     over ``seeds`` wins.  Returns ``(frame with cluster_id, model, cost)``."""
     z = zscore(df, features, keep=(ACCT,))
-    data = _assembler(features).transform(z).checkpoint()  # every seed reads the same rows
+    data = materialise(_assembler(features).transform(z), "kmeans-input")  # every seed reads the same rows
     best = None
     for s in seeds:
         m = KMeans(k=k, seed=s, maxIter=max_iter, featuresCol="features", predictionCol="cluster_id").fit(data)
@@ -185,7 +185,7 @@ def sequence_regression(seq_vectors: DataFrame, test_share: float = 0.2, setting
     from pyspark.ml.functions import vector_to_array, array_to_vector
     s = settings or GBTSettings()
     arr = seq_vectors.withColumn("_a", vector_to_array("features"))
-    arr = arr.withColumn("_is_test", hash_bucket(ACCT) < F.lit(int(test_share * 100))).checkpoint()
+    arr = materialise(arr.withColumn("_is_test", hash_bucket(ACCT) < F.lit(int(test_share * 100))), "sequence-input")
     train = arr.where(~F.col("_is_test"))
     spend = F.explode(F.slice("_a", 1, 9))
     st_s = train.select(spend.alias("v")).agg(F.avg("v").alias("m"), F.stddev_pop("v").alias("s")).first()

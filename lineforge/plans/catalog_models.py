@@ -15,6 +15,7 @@ from .catalog import ACCT, register
 from .catalog_reports import ANOMALY_COLS, _q4_frame, _q4_oracle_body, _r
 from .context import CUTOFF_MONTH, context, finish
 from .oracle import q
+from ..session import materialise
 
 HOLT_ALPHA, HOLT_BETA = 0.5, 0.3
 
@@ -270,7 +271,7 @@ def _classifier(ctx):
         clustered, _, _ = _kmeans(ctx)
         feats = segments.CLASSIFICATION_FEATURES + ["cluster_id"]
         model, pred = models.fit_segment_classifier(clustered, feats, num_trees=30, max_depth=10)
-        return model, pred.checkpoint(), feats
+        return model, materialise(pred, "segment-pred"), feats
     return _memo(ctx, "classifier", build)
 
 
@@ -364,7 +365,7 @@ def q_sequence_forecast(spark, sf_dir):
 def _forest(ctx):
     def build():
         rate = risk.contamination_rate(ctx.base).first()["contamination"]
-        return iforest.isolation_forest(ctx.anomaly_features, ANOMALY_COLS, float(rate)).checkpoint()
+        return materialise(iforest.isolation_forest(ctx.anomaly_features, ANOMALY_COLS, float(rate)), "anomaly-flags")
     return _memo(ctx, "iforest", build)
 
 
@@ -391,7 +392,7 @@ def _pipeline(ctx, spark, sf_dir):
         fc = _q4_forecast(ctx, spark, sf_dir)
         full = (scored.join(fc, ACCT, "left")
                 .withColumn("q4_forecast", F.coalesce(F.col("q4_forecast"), F.lit(0.0))))
-        adj = credit.apply_rule_based_adjustment(full).checkpoint()
+        adj = materialise(credit.apply_rule_based_adjustment(full), "rule-adjusted")
         feats = [c for c in credit.CREDIT_FEATURES + ["q4_forecast"] if c in adj.columns]
         train = adj.dropna(subset=feats + ["rule_adjustment_delta"])
         train = train.withColumn("_is_test", matrix.hash_bucket(ACCT) < F.lit(25))
@@ -403,7 +404,7 @@ def _pipeline(ctx, spark, sf_dir):
         final = credit.final_recommendations(scored_all.drop("prediction") if "prediction" in scored_all.columns
                                              else scored_all)
         return {"adj": adj, "model": model, "features": feats, "trees": best, "test_pred": test_pred,
-                "final": final.checkpoint()}
+                "final": materialise(final, "final-recommendations")}
     return _memo(ctx, "pipeline", build)
 
 
@@ -468,9 +469,9 @@ def q_forest_sink(spark, sf_dir):
     """Node table written as Parquet and read back: reloaded scores equal fitted scores."""
     from ..session import scratch_path
     ctx = context(spark, sf_dir)
-    feats = ctx.anomaly_features.select(ACCT, *ANOMALY_COLS).checkpoint()
+    feats = materialise(ctx.anomaly_features.select(ACCT, *ANOMALY_COLS), "forest-input")
     nodes, meta = iforest.fit_isolation_forest(feats, ANOMALY_COLS, n_trees=50)
-    nodes = nodes.checkpoint()
+    nodes = materialise(nodes, "forest-nodes")
     path = iforest.save_forest(nodes, meta, scratch_path(spark, "forest"))
     again, meta2 = iforest.load_forest(spark, path)
     a = iforest.score_isolation_forest(feats, nodes, meta, ANOMALY_COLS).withColumnRenamed("score", "score_fitted")

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from ..functions.status import extract_month, parse_dates
 from ..operators import matrix, segments
 from ..sources import ingest
-from ..session import scratch_path
+from ..session import materialise, scratch_path
 from . import reports as R
 from .catalog import ACCT, QP, register
 from .context import CUTOFF_MONTH, QUARTER_MONTHS, context, finish
@@ -377,7 +377,7 @@ def _q4_frame(spark, sf_dir):
     store = ctx.__dict__.setdefault("_models", {})
     if "q4_frame" not in store:
         df, feats, target = matrix.q4_feature_matrix(ctx.cm_lags, ctx.base, CUTOFF_MONTH)
-        store["q4_frame"] = (df.checkpoint(), feats, target)
+        store["q4_frame"] = (materialise(df, "q4-matrix"), feats, target)
     return store["q4_frame"]
 
 

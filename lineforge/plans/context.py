@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import DecimalType
 
 from ..operators import accounts, credit, fraud, monthly, risk, segments
+from ..session import materialise
 from ..sources.fixtures import input_tables
 
 # Fixed values for the test data: the forecast quarter (FIXTURES.md section 3).
@@ -46,7 +47,7 @@ class Context:
         self.materialise = materialise
 
     def _keep(self, df: DataFrame) -> DataFrame:
-        return df.checkpoint() if self.materialise else df
+        return materialise(df, "derived") if self.materialise else df
 
     @cached_property
     def t(self) -> dict[str, DataFrame]:

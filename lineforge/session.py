@@ -126,3 +126,15 @@ def cluster_conf(input_bytes: int, executors: int, cores_per_executor: int,
         "spark.sql.adaptive.autoBroadcastJoinThreshold": str(64 << 20),
         "spark.sql.execution.arrow.maxRecordsPerBatch": "10000",
     }
+
+
+def materialise(df, name: str = "stage"):
+    """Write ``df`` once as Parquet under the shared checkpoint folder and read it back.
+
+    Cuts the lineage like a reliable checkpoint (the data survives executor loss), runs
+    the plan exactly once, and later queries read it columnar, with column pruning and
+    filter pushdown."""
+    spark = df.sparkSession
+    path = scratch_path(spark, name)
+    df.write.mode("overwrite").parquet(path)
+    return spark.read.parquet(path)

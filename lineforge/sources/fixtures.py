@@ -197,14 +197,20 @@ def input_tables(spark: SparkSession, sf_dir: str, materialise: bool = True) ->
             base = ensure_checkpoint_dir(spark).rstrip("/")
             tag = hashlib.sha1(f"{sf_dir}|{id(spark._jsparkSession)}".encode()).hexdigest()[:12]
             lazy = derive_tables(spark, sf_dir)
-            paths = {}
-            for name in ("account_dim", "syf_id", "transaction_base", "statement_fact",
-                         "rams_batch_cur", "fraud_claim_case"):
+            paths = {name: f"{base}/inputs-{tag}/{name}" for name in
+                     ("account_dim", "syf_id", "transaction_base", "statement_fact", "rams_batch_cur",
+                      "fraud_claim_case")}
+
+            def write(name: str) -> None:
                 # plain map-side writes: no layout shuffle (plain Parquet carries no
                 # partitioning guarantee that a later plan could use)
-                path = f"{base}/inputs-{tag}/{name}"
-                lazy[name].write.mode("overwrite").parquet(path)
-                paths[name] = path
+                lazy[name].write.mode("overwrite").parquet(paths[name])
+
+            # independent jobs: submitted together so small tables do not leave the
+            # cluster idle while the transaction union is written
+            from concurrent.futures import ThreadPoolExecutor
+            with ThreadPoolExecutor(max_workers=len(paths)) as pool:
+                list(pool.map(write, list(paths)))
             # the claims are derived from the written union, not from a second join
             tb = spark.read.parquet(paths["transaction_base"])
             claims = spark.sql(FRAUD_CLAIM_TRAN, transaction_base=tb)
