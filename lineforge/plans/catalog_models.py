@@ -287,6 +287,14 @@ def q_classifier_confusion(spark, sf_dir):
     return models.confusion_matrix(pred)
 
 
+@register("classifier_importances")
+def q_classifier_importances(spark, sf_dir):
+    """15 largest random-forest feature importances (a vector of length #features)."""
+    model, _, feats = _classifier(context(spark, sf_dir))
+    pairs = models.feature_importances(model, feats, 15)
+    return spark.createDataFrame(pairs, "feature string, importance double")
+
+
 @register("class_weights_applied", q("""
 SELECT current_account_nbr, segment_label,
   CAST(COUNT(*) OVER () AS DOUBLE) / (COUNT(DISTINCT segment_label) OVER () * COUNT(*) OVER (PARTITION BY segment_label))
@@ -439,6 +447,17 @@ def q_contribution_importance(spark, sf_dir):
     return C.mean_abs_contributions(contrib, p["features"])
 
 
+@register("spend_contribution_importance")
+def q_spend_contribution_importance(spark, sf_dir):
+    """Mean |contribution| per feature of the spend model over all its test rows."""
+    ctx = context(spark, sf_dir)
+    model, feats, _ = _spend_model(ctx, spark, sf_dir)
+    df, _, _ = _q4_frame(spark, sf_dir)
+    test = df.where(F.col("split") == "test")
+    contrib = C.explain(test, model.stages[-1], feats, zero_fill=False)
+    return C.mean_abs_contributions(contrib, feats)
+
+
 @register("contribution_waterfall")
 def q_contribution_waterfall(spark, sf_dir):
     """Per segment, the representative account's contributions (waterfall data)."""
