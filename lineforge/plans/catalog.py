@@ -325,7 +325,7 @@ def q_contamination_rate(spark, sf_dir):
 
 
 @register("fraud_confusion", q("""
-WITH_INNER SELECT tp, fp, fn, tn, ROUND(p, 4) AS precision, ROUND(r, 4) AS recall,
+SELECT tp, fp, fn, tn, ROUND(p, 4) AS precision, ROUND(r, 4) AS recall,
   ROUND(CASE WHEN p + r > 0 THEN 2.0 * p * r / (p + r) ELSE 0.0 END, 4) AS f1
 FROM (SELECT *, CASE WHEN tp + fp > 0 THEN tp / (tp + fp) ELSE 0.0 END AS p,
         CASE WHEN tp + fn > 0 THEN tp / (tp + fn) ELSE 0.0 END AS r
@@ -333,7 +333,7 @@ FROM (SELECT *, CASE WHEN tp + fp > 0 THEN tp / (tp + fp) ELSE 0.0 END AS p,
                    COUNT(*) FILTER (WHERE fl = 0 AND fr = 1) AS fn, COUNT(*) FILTER (WHERE fl = 0 AND fr = 0) AS tn
             FROM (SELECT s.anomaly_flag AS fl, COALESCE(CAST(b.has_fraud_case AS INTEGER), 0) AS fr
                   FROM standin_flags s LEFT JOIN customer_base b ON s.current_account_nbr = b.current_account_nbr)))
-""".replace("WITH_INNER", ""), "standin_flags", "customer_base"))
+""", "standin_flags", "customer_base"))
 def q_fraud_confusion(spark, sf_dir):
     ctx = context(spark, sf_dir)
     return risk.fraud_confusion(ctx.standin_flags, ctx.base)

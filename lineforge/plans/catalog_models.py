@@ -297,9 +297,9 @@ def q_classifier_importances(spark, sf_dir):
 
 @register("class_weights_applied", q("""
 SELECT current_account_nbr, segment_label,
-  CAST(COUNT(*) OVER () AS DOUBLE) / (COUNT(DISTINCT segment_label) OVER () * COUNT(*) OVER (PARTITION BY segment_label))
-  AS class_weight FROM segments""".replace("COUNT(DISTINCT segment_label) OVER ()",
-                                          "(SELECT COUNT(DISTINCT segment_label) FROM segments)"), "segments"))
+  CAST(COUNT(*) OVER () AS DOUBLE)
+    / ((SELECT COUNT(DISTINCT segment_label) FROM segments) * COUNT(*) OVER (PARTITION BY segment_label))
+  AS class_weight FROM segments""", "segments"))
 def q_class_weights_applied(spark, sf_dir):
     s = context(spark, sf_dir).segments.select(ACCT, "segment_label")
     return segments.class_weights(s).select(ACCT, "segment_label", "class_weight")

@@ -24,7 +24,14 @@ def _qsel(q_: float) -> str:
     return f"MAX(CASE WHEN rn = GREATEST(CAST(CEIL({q_} * n) AS BIGINT), 1) THEN x END)"
 
 
-def _describe_sql(table: str, cols, stats, digits: int = 4, group: str | None = None) -> str:
+def _describe_sql(table: str, cols, stats, digits: int = 4, group: str | None = None,
+                  round_all: bool = False) -> str:
+    """Long-form describe in DuckDB: mean/std rounded half-up to ``digits``; quantiles by
+    rank ceil(q*n) (the rank rule of the Spark sketch); ``round_all`` also rounds
+    min/max/quantiles."""
+    def rnd(expr: str) -> str:
+        return _r(expr, digits) if round_all else expr
+
     parts = []
     for c in cols:
         part_by = f"PARTITION BY {group} " if group else ""
@@ -32,12 +39,12 @@ def _describe_sql(table: str, cols, stats, digits: int = 4, group: str | None =
             "count": "COUNT(x) AS count",
             "mean": f"{_r('AVG(x)', digits)} AS mean",
             "std": f"{_r('STDDEV_SAMP(x)', digits)} AS std",
-            "min": "MIN(x) AS min",
-            "p25": f"{_qsel(0.25)} AS p25",
-            "p50": f"{_qsel(0.5)} AS p50",
-            "median": f"{_qsel(0.5)} AS median",
-            "p75": f"{_qsel(0.75)} AS p75",
-            "max": "MAX(x) AS max",
+            "min": f"{rnd('MIN(x)')} AS min",
+            "p25": f"{rnd(_qsel(0.25))} AS p25",
+            "p50": f"{rnd(_qsel(0.5))} AS p50",
+            "median": f"{rnd(_qsel(0.5))} AS median",
+            "p75": f"{rnd(_qsel(0.75))} AS p75",
+            "max": f"{rnd('MAX(x)')} AS max",
         }
         head = f"{group}, " if group else f"'{c}' AS column_name, "
         inner = (f"SELECT {group + ', ' if group else ''}CAST({c} AS DOUBLE) AS x, "
@@ -89,11 +96,12 @@ def q_fraud_rate(spark, sf_dir):
 
 
 @register("fraud_txn_rate", q(f"""
-SELECT SUM(is_fraud_txn) AS fraud_txns, COUNT(*) AS transactions, {_r('AVG(CAST(is_fraud_txn AS DOUBLE)) * 100.0', 4)} AS fraud_txn_pct
+SELECT CAST(SUM(is_fraud_txn) AS BIGINT) AS fraud_txns, COUNT(*) AS transactions,
+  {_r('AVG(CAST(is_fraud_txn AS DOUBLE)) * 100.0', 4)} AS fraud_txn_pct
 FROM (SELECT CASE WHEN f.current_account_nbr IS NOT NULL THEN 1 ELSE 0 END AS is_fraud_txn
       FROM transaction_base t LEFT JOIN fraud_claim_tran f ON t.current_account_nbr = f.current_account_nbr
         AND CAST(t.transaction_date AS DATE) = CAST(f.transaction_dt AS DATE) AND ABS(t.transaction_amt - f.transaction_am) < 0.01)
-""".replace("SUM(is_fraud_txn)", "CAST(SUM(is_fraud_txn) AS BIGINT)"), "transaction_base", "fraud_claim_tran"))
+""", "transaction_base", "fraud_claim_tran"))
 def q_fraud_txn_rate(spark, sf_dir):
     from ..operators import fraud
     t = context(spark, sf_dir).t
@@ -176,12 +184,7 @@ def q_segment_profile(spark, sf_dir):
 
 
 @register("risk_by_segment", q(_describe_sql("risk", ["risk_score"], ["count", "mean", "std", "min", "p25", "p50", "p75", "max"],
-                                             digits=2, group="segment_name")
-                               .replace("MIN(x) AS min", f"{_r('MIN(x)', 2)} AS min")
-                               .replace("MAX(x) AS max", f"{_r('MAX(x)', 2)} AS max")
-                               .replace(f"{_qsel(0.25)} AS p25", f"{_r(_qsel(0.25), 2)} AS p25")
-                               .replace(f"{_qsel(0.5)} AS p50", f"{_r(_qsel(0.5), 2)} AS p50")
-                               .replace(f"{_qsel(0.75)} AS p75", f"{_r(_qsel(0.75), 2)} AS p75"), "risk"))
+                                             digits=2, group="segment_name", round_all=True), "risk"))
 def q_risk_by_segment(spark, sf_dir):
     return R.grouped_summary(context(spark, sf_dir).risk, "segment_name", "risk_score", 2)
 
@@ -352,7 +355,6 @@ def q_month_in_filter(spark, sf_dir):
 # ---------------------------------------------------------------------------------------
 
 def _q4_oracle_body(select: str) -> str:
-    feats = ", ".join(matrix.Q4_FEATURES)
     static = ", ".join(f"b.{c}" for c in matrix.STATIC_FEATURES)
     return f"""
 SELECT {select} FROM (
@@ -362,7 +364,7 @@ SELECT {select} FROM (
            ELSE 0.0 END AS spend_to_limit_ratio
     FROM cm_lags l LEFT JOIN customer_base b2 ON l.current_account_nbr = b2.current_account_nbr) m
   LEFT JOIN customer_base b ON m.current_account_nbr = b.current_account_nbr)
-WHERE {' AND '.join(f'{c} IS NOT NULL' for c in matrix.Q4_FEATURES + ['total_spend'])}""".replace("{feats}", feats)
+WHERE {' AND '.join(f'{c} IS NOT NULL' for c in matrix.Q4_FEATURES + ['total_spend'])}"""
 
 
 _Q4_SELECT = ("current_account_nbr, month, split, CAST(total_spend AS DOUBLE) AS total_spend, "

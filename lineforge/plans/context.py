@@ -73,7 +73,7 @@ class Context:
 
     @cached_property
     def anomaly_features(self) -> DataFrame:
-        return fraud.anomaly_features(self.t["transaction_base"])
+        return self._keep(fraud.anomaly_features(self.t["transaction_base"]))
 
     @cached_property
     def standin_flags(self) -> DataFrame:
