@@ -183,3 +183,29 @@ def test_round_dp_half_up(spark):
     df = spark.createDataFrame([(1.005,), (2.5,), (-2.5,), (0.125,)], "x double")
     got = [r.v for r in df.select(R.round_dp("x", 2).alias("v")).collect()]
     assert got == [1.0, 2.5, -2.5, 0.13]  # 1.005 is 1.00499.. in binary
+
+
+def test_duplicate_claims_fan_out_and_once(spark):
+    from lineforge.operators import fraud
+    txn = spark.createDataFrame(
+        [("A1", 1, "2000-01-05", "10.00"), ("A1", 2, "2000-01-05", "20.00"), ("A2", 3, "2000-01-06", "10.00")],
+        "current_account_nbr string, transaction_id long, d string, a string")
+    txn = txn.select("current_account_nbr", "transaction_id", F.to_date("d").alias("transaction_date"),
+                     F.col("a").cast("decimal(18,2)").alias("transaction_amt"))
+    claims = spark.createDataFrame(
+        [("A1", "2000-01-05", 10.004), ("A1", "2000-01-05", 10.0), ("A1", "2000-01-05", 20.02), ("A2", "2000-01-07", 10.0)],
+        "current_account_nbr string, d string, transaction_am double"
+    ).select("current_account_nbr", F.to_date("d").alias("transaction_dt"), "transaction_am")
+    fanned = fraud.txn_fraud_flag(txn, claims).collect()
+    # transaction 1 matches two claims (0.004 off and exact) and appears twice, as coded
+    assert sorted((r.transaction_id, r.is_fraud_txn) for r in fanned) == [(1, 1), (1, 1), (2, 0), (3, 0)]
+    once = fraud.txn_fraud_flag_once(txn, claims).collect()
+    assert sorted((r.transaction_id, r.is_fraud_txn) for r in once) == [(1, 1), (2, 0), (3, 0)]
+
+
+def test_single_month_account_has_null_lags_and_zero_std(spark):
+    cm = spark.createDataFrame([("A9", "2000-05-01", "12.50")], "current_account_nbr string, m string, s string") \
+        .select("current_account_nbr", F.to_date("m").alias("month"), F.col("s").cast("decimal(28,2)").alias("total_spend"))
+    r = monthly.add_lag_features(cm).first()
+    assert r.spend_lag_1 is None and r.spend_lag_3 is None
+    assert r.spend_rolling_mean_3 is None and r.spend_rolling_std_3 == 0.0
