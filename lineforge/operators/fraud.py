@@ -31,13 +31,16 @@ def txn_fraud_flag(transaction_base: DataFrame, fraud_claim_tran: DataFrame) ->
 
 
 def txn_fraud_flag_once(transaction_base: DataFrame, fraud_claim_tran: DataFrame) -> DataFrame:
-    """Same flag with exactly one row per transaction: semi join (flag 1) and anti join
-    (flag 0) on the same keys; the transaction-side exchange is shared by both joins."""
-    t = transaction_base
-    f = _claims(fraud_claim_tran)
-    hit = t.join(f, _claim_match(t, f), "left_semi").withColumn("is_fraud_txn", F.lit(1))
-    miss = t.join(f, _claim_match(t, f), "left_anti").withColumn("is_fraud_txn", F.lit(0))
-    return hit.unionByName(miss)
+    """Same flag with exactly one row per transaction: a correlated EXISTS, which Spark
+    plans as a single existence join (one pass over the transactions, no fan-out and no
+    re-aggregation)."""
+    spark = transaction_base.sparkSession
+    return spark.sql(f"""
+        SELECT t.*, CASE WHEN EXISTS (
+            SELECT 1 FROM {{f}} f
+            WHERE f.{ACCT} = t.{ACCT} AND CAST(f.transaction_dt AS DATE) = CAST(t.transaction_date AS DATE)
+              AND abs(t.transaction_amt - f.transaction_am) < {AMOUNT_TOLERANCE}) THEN 1 ELSE 0 END AS is_fraud_txn
+        FROM {{t}} t""", t=transaction_base, f=fraud_claim_tran)
 
 
 def anomaly_features(transaction_base: DataFrame) -> DataFrame:
