@@ -209,3 +209,18 @@ def test_single_month_account_has_null_lags_and_zero_std(spark):
     r = monthly.add_lag_features(cm).first()
     assert r.spend_lag_1 is None and r.spend_lag_3 is None
     assert r.spend_rolling_mean_3 is None and r.spend_rolling_std_3 == 0.0
+
+
+@pytest.mark.parametrize("fn", ["txn_fraud_flag", "txn_fraud_flag_once"])
+def test_salted_claim_join_equals_broadcast_join(spark, fn):
+    from lineforge.operators import fraud
+    from lineforge.sources.fixtures import input_tables
+    t = input_tables(spark, "/root/testdata/sf0.001")
+    op = getattr(fraud, fn)
+    small = op(t["transaction_base"], t["fraud_claim_tran"])
+    salted = op(t["transaction_base"], t["fraud_claim_tran"], broadcast_max_rows=0, salt_buckets=7)
+    assert "_salt" not in salted.columns and salted.columns == small.columns
+    key = lambda r: tuple(str(x) for x in r)
+    a, b = sorted(small.collect(), key=key), sorted(salted.collect(), key=key)
+    assert a == b
+    assert sum(r.is_fraud_txn for r in a) > 0
