@@ -6,7 +6,12 @@ from conftest import SF_SMALL
 
 
 def plan(df) -> str:
-    return df._sc._jvm.PythonSQLUtils.explainString(df._jdf.queryExecution(), "formatted")
+    import contextlib
+    import io
+    buf = io.StringIO()
+    with contextlib.redirect_stdout(buf):
+        df.explain(mode="formatted")
+    return buf.getvalue()
 
 
 @pytest.mark.parametrize("name", sorted(entry.oracle_sql()))
