@@ -92,6 +92,24 @@ def q_holt_forecast(spark, sf_dir):
     return df.select(ACCT, round_dp("hw_predicted_q4_spend", 4).alias("hw_predicted_q4_spend"), "alpha", "beta")
 
 
+@register("holt_estimated")
+def q_holt_estimated(spark, sf_dir):
+    """Holt smoothing with least-squares initial level/trend per grid point (the
+    optimiser-estimated start of the reference model); checked against brute force."""
+    ctx = context(spark, sf_dir)
+    return _memo(ctx, "holt_est", lambda: forecast.holt_estimated(_series(ctx)))
+
+
+@register("holt_estimated_metrics")
+def q_holt_estimated_metrics(spark, sf_dir):
+    ctx = context(spark, sf_dir)
+    hw = _memo(ctx, "holt_est", lambda: forecast.holt_estimated(_series(ctx)))
+    actual = (ctx.cm.where(F.col("month") >= F.to_date(F.lit(CUTOFF_MONTH))).groupBy(ACCT)
+              .agg(F.sum("total_spend").alias("actual_q4_spend")))
+    return forecast.regression_metrics(hw.join(actual, ACCT, "inner"), "actual_q4_spend", "hw_predicted_q4_spend",
+                                       "holt_estimated")
+
+
 _ACTUAL = f"""SELECT current_account_nbr, SUM(total_spend) AS actual_q4_spend FROM customer_monthly
   WHERE month >= DATE '{CUTOFF_MONTH}' GROUP BY current_account_nbr"""
 

@@ -159,3 +159,35 @@ def test_classifier_and_clusters(spark):
     assert 0.0 <= report["accuracy"].f1 <= 1.0
     clusters = q["cluster_distribution"](spark, SF_SMALL).collect()
     assert 1 <= len(clusters) <= 6
+
+
+def test_holt_estimated_is_the_least_squares_start(spark):
+    ctx = context(spark, SF_SMALL)
+    series = forecast.monthly_series(ctx.cm, end_month=CUTOFF_MONTH)
+    got = {r.current_account_nbr: r for r in forecast.holt_estimated(series).collect()}
+    for r in series.collect()[:25]:
+        ys = np.array(r.ys, dtype=float)
+        g = got[r.current_account_nbr]
+
+        def errors(a, b, l0, b0):
+            level, trend, out = l0, b0, []
+            for y in ys:
+                out.append(y - (level + trend))
+                new_level = a * y + (1 - a) * (level + trend)
+                trend = b * (new_level - level) + (1 - b) * trend
+                level = new_level
+            return np.array(out), level, trend
+
+        best = None
+        for a, b in forecast.DEFAULT_GRID:
+            e0, _, _ = errors(a, b, 0.0, 0.0)
+            el = errors(a, b, 1.0, 0.0)[0] - e0
+            eb = errors(a, b, 0.0, 1.0)[0] - e0
+            sol = np.linalg.lstsq(np.stack([el, eb], axis=1), -e0, rcond=None)[0]
+            e, level, trend = errors(a, b, sol[0], sol[1])
+            cand = (float(e @ e), max(3 * level + 6 * trend, 0.0), a, b)
+            if best is None or cand < best:
+                best = cand
+        assert (g.alpha, g.beta) == (best[2], best[3])
+        assert math.isclose(g.sse, best[0], rel_tol=1e-6, abs_tol=1e-3)
+        assert math.isclose(g.hw_predicted_q4_spend, best[1], rel_tol=1e-6, abs_tol=1e-3)
