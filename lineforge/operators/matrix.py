@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .monthly import add_lag_features, add_spend_to_limit_ratio
+from .monthly import add_lag_features
 
 ACCT = "current_account_nbr"
 
@@ -49,13 +49,17 @@ def q4_feature_matrix(cm: DataFrame, customer_base: DataFrame, cutoff_month: str
     null feature or target are dropped on both sides."""
     if "spend_lag_1" not in cm.columns:
         cm = add_lag_features(cm)
-    if "spend_to_limit_ratio" not in cm.columns:
-        cm = add_spend_to_limit_ratio(cm, customer_base)
     static = [c for c in STATIC_FEATURES if c in customer_base.columns and c not in cm.columns]
-    if static:
-        cm = cm.join(customer_base.select(ACCT, *static), ACCT, "left")
-    if "cu_crd_line" not in cm.columns and "cu_crd_line" in customer_base.columns:
-        cm = cm.join(customer_base.select(ACCT, "cu_crd_line").dropDuplicates(), ACCT, "left")
+    need_line = "cu_crd_line" not in cm.columns and "cu_crd_line" in customer_base.columns
+    # one left join brings the credit line and every static feature: the account base is
+    # shuffled once, and the account-month side keeps the partitioning of its lag window
+    joined_cols = (["cu_crd_line"] if need_line else []) + static
+    if joined_cols:
+        cm = cm.join(customer_base.select(ACCT, *joined_cols), ACCT, "left")
+    if "spend_to_limit_ratio" not in cm.columns:
+        from ..functions.numeric import numeric_or_zero, safe_ratio
+        cm = cm.withColumn("spend_to_limit_ratio",
+                           safe_ratio(F.col("total_spend").cast("double"), numeric_or_zero("cu_crd_line")))
     wanted = Q4_FEATURES if feature_set == "as_coded" else CAUSAL_FEATURES
     features = [c for c in wanted if c in cm.columns]
     cutoff = F.to_date(F.lit(cutoff_month))
