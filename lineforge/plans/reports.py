@@ -122,20 +122,28 @@ def drop_high_missing(df: DataFrame, threshold: float = 0.70) -> tuple[DataFrame
 
 
 def correlation_pairs(df: DataFrame, cols: list[str], digits: int = 4) -> DataFrame:
-    """|Pearson r| for every pair (i < j) on pair-complete rows; constant column -> null."""
+    """|Pearson r| for every pair (i < j) on pair-complete rows; constant column -> null.
+
+    One aggregate computes the moments of every pair into named columns; the ratio and
+    rounding are a projection over that single row, which keeps the expressions small."""
     aggs, names = [], []
     for i, a in enumerate(cols):
         for j in range(i + 1, len(cols)):
             b = cols[j]
             xa = F.when(F.col(b).isNotNull(), F.col(a).cast("double"))
             xb = F.when(F.col(a).isNotNull(), F.col(b).cast("double"))
-            denom = F.stddev_pop(xa) * F.stddev_pop(xb)
-            r = F.covar_pop(xa, xb) / F.when(denom != 0, denom)
             k = len(names)
-            aggs.append(round_dp(F.abs(r), digits).alias(f"abs_corr_{k}"))
+            aggs += [F.covar_pop(xa, xb).alias(f"cov_{k}"), F.stddev_pop(xa).alias(f"sa_{k}"),
+                     F.stddev_pop(xb).alias(f"sb_{k}")]
             names.append(f"{a}|{b}")
-    one = df.agg(*aggs)
-    long = one.selectExpr(_stack(len(names), names, ["abs_corr"]))
+    moments = df.agg(*aggs)
+    ratios = []
+    for k in range(len(names)):
+        denom = F.col(f"sa_{k}") * F.col(f"sb_{k}")
+        ratios.append((F.col(f"cov_{k}") / F.when(denom != 0, denom)).alias(f"r_{k}"))
+    rounded = moments.select(*ratios).select(*[round_dp(F.abs(F.col(f"r_{k}")), digits).alias(f"abs_corr_{k}")
+                                               for k in range(len(names))])
+    long = rounded.selectExpr(_stack(len(names), names, ["abs_corr"]))
     parts = F.split(F.col("column_name"), r"\|")
     return long.select(parts[0].alias("col_a"), parts[1].alias("col_b"), "abs_corr")
 
