@@ -224,3 +224,23 @@ def test_salted_claim_join_equals_broadcast_join(spark, fn):
     a, b = sorted(small.collect(), key=key), sorted(salted.collect(), key=key)
     assert a == b
     assert sum(r.is_fraud_txn for r in a) > 0
+
+
+def test_summary_quantiles_follow_the_rank_rule(spark):
+    import numpy as np
+    rng = np.random.default_rng(5)
+    vals = [float(v) for v in rng.integers(0, 1000, size=137)] + [None] * 5
+    df = spark.createDataFrame([(v,) for v in vals], "x double")
+    r = R.summary_stats(df, ["x"]).first()
+    xs = np.sort(np.array([v for v in vals if v is not None]))
+    n = len(xs)
+    pick = lambda q: xs[max(int(np.ceil(q * n)) - 1, 0)]
+    assert r["count"] == n and (r["min"], r["max"]) == (xs[0], xs[-1])
+    assert (r.p25, r.p50, r.p75) == (pick(0.25), pick(0.5), pick(0.75))
+    assert r.mean == round(float(np.floor(xs.mean() * 1e4 + 0.5) / 1e4), 4)
+
+
+def test_histogram_puts_the_top_edge_in_the_last_bin(spark):
+    df = spark.createDataFrame([(0.0,), (1.99,), (2.0,), (99.99,), (100.0,), (None,)], "s double")
+    got = {r.bin_start: r["count"] for r in R.histogram(df, "s", 2.0, 0.0, 100.0).collect()}
+    assert got == {0.0: 2, 2.0: 1, 98.0: 2}
