@@ -191,3 +191,9 @@ def test_holt_estimated_is_the_least_squares_start(spark):
         assert (g.alpha, g.beta) == (best[2], best[3])
         assert math.isclose(g.sse, best[0], rel_tol=1e-6, abs_tol=1e-3)
         assert math.isclose(g.hw_predicted_q4_spend, best[1], rel_tol=1e-6, abs_tol=1e-3)
+
+
+def test_account_base_has_one_row_per_account(spark):
+    from lineforge.operators.accounts import assert_one_row_per_account
+    ctx = context(spark, SF_SMALL)
+    assert assert_one_row_per_account(ctx.base).count() == 0
