@@ -531,3 +531,34 @@ def q_model_sink(spark, sf_dir):
     b = models.predict_floor(again, test, feats).select(ACCT, "month", F.col("prediction").alias("p_reloaded"))
     return a.join(b, [ACCT, "month"]).withColumn("equal", F.col("p_fitted") == F.col("p_reloaded"))
 
+
+
+# ---------------------------------------------------------------------------------------
+# Structured Streaming form of the monthly transaction aggregate
+# ---------------------------------------------------------------------------------------
+
+STREAM_DELAY_DAYS = 40
+
+
+@register("txn_monthly_stream", q(f"""
+SELECT current_account_nbr, txn_month, CAST(total_spend AS DOUBLE) AS total_spend, txn_count, avg_txn_amt,
+  CAST(max_txn_amt AS DOUBLE) AS max_txn_amt, CAST(total_cash_advance AS DOUBLE) AS total_cash_advance,
+  CAST(total_returns AS DOUBLE) AS total_returns, CAST(total_markup_fees AS DOUBLE) AS total_markup_fees,
+  CAST(total_foreign_txn_amt AS DOUBLE) AS total_foreign_txn_amt, first_purchase_count FROM txn_monthly
+WHERE txn_month < (SELECT MAX(txn_month) FROM txn_monthly) - INTERVAL {STREAM_DELAY_DAYS} DAY""", "txn_monthly"))
+def q_txn_monthly_stream(spark, sf_dir):
+    """The transaction folder replayed as a stream (available-now trigger): every month the
+    watermark has closed is appended to a Parquet sink, which is read back."""
+    from ..session import scratch_path
+    from ..sources.fixtures import input_path
+    from ..streaming.monthly import start_txn_monthly_stream
+    source = input_path(spark, sf_dir, "transaction_base")
+    schema = spark.read.parquet(source).schema
+    sink = scratch_path(spark, "stream-monthly")
+    query = start_txn_monthly_stream(spark, source, schema, sink, scratch_path(spark, "stream-state"),
+                                     delay=f"{STREAM_DELAY_DAYS} days")
+    query.awaitTermination()
+    cols = ["current_account_nbr", "txn_month", "total_spend", "txn_count", "avg_txn_amt", "max_txn_amt",
+            "total_cash_advance", "total_returns", "total_markup_fees", "total_foreign_txn_amt",
+            "first_purchase_count"]
+    return finish(spark.read.parquet(sink).select(*cols))

@@ -223,3 +223,9 @@ def input_tables(spark: SparkSession, sf_dir: str, materialise: bool = True) ->
     out["transaction_fact"] = tb.where("source_table = 'transaction_fact'").drop("source_table")
     out["wrld_stor_tran_fact"] = tb.where("source_table = 'wrld_stor_tran_fact'").drop("source_table")
     return out
+
+
+def input_path(spark: SparkSession, sf_dir: str, name: str) -> str:
+    """Folder of a materialised input table (materialises on first use)."""
+    input_tables(spark, sf_dir)
+    return _materialised[_paths_key(spark, sf_dir)][name]
