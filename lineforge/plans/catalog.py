@@ -10,8 +10,8 @@ from pyspark.sql import functions as F
 from ..functions import payment as pay
 from ..functions.numeric import to_numeric_zero
 from ..functions.status import external_status_desc
-from ..operators import accounts, credit, fraud, matrix, monthly, risk, segments
-from .context import CUTOFF_MONTH, QUARTER_END, QUARTER_MONTHS, context, finish
+from ..operators import accounts, credit, fraud, monthly, risk, segments
+from .context import CUTOFF_MONTH, QUARTER_END, context, finish
 from .oracle import q
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
