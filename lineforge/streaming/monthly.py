@@ -24,14 +24,31 @@ def txn_monthly_stream(events: DataFrame, delay: str = "40 days") -> DataFrame:
     return finish_txn_monthly(agg).withColumn("txn_month", F.col("month_ts").cast("date")).drop("month_ts")
 
 
+def state_partitions_for(spark: SparkSession, source_path: str, schema: StructType) -> int:
+    """State-store width sized from the input: one partition per input file, at least the
+    cluster's default parallelism (the file count grows with the data volume)."""
+    files = spark.read.schema(schema).parquet(source_path).inputFiles()
+    return max(spark.sparkContext.defaultParallelism, len(files))
+
+
 def start_txn_monthly_stream(spark: SparkSession, source_path: str, schema: StructType, sink_path: str,
-                             checkpoint_location: str, delay: str = "40 days", available_now: bool = True):
+                             checkpoint_location: str, delay: str = "40 days", available_now: bool = True,
+                             state_partitions: int | None = None):
     """Run the stream from a folder of transaction Parquet files into a Parquet sink.
 
     ``checkpoint_location`` must be on shared storage (the cluster's checkpoint folder) so
-    the query resumes with its state after a restart or executor loss."""
+    the query resumes with its state after a restart or executor loss.  The number of
+    state partitions is fixed when a query first starts; it is taken from
+    ``state_partitions`` (default: sized from the input) and set only while the query
+    starts, then the session setting is restored."""
     events = spark.readStream.schema(schema).parquet(source_path)
     writer = (txn_monthly_stream(events, delay).writeStream.outputMode("append").format("parquet")
               .option("path", sink_path).option("checkpointLocation", checkpoint_location))
     writer = writer.trigger(availableNow=True) if available_now else writer.trigger(processingTime="1 minute")
-    return writer.start()
+    width = state_partitions or state_partitions_for(spark, source_path, schema)
+    previous = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", str(width))
+    try:
+        return writer.start()
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", previous)
