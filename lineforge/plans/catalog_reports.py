@@ -240,6 +240,13 @@ def q_spend_heatmap(spark, sf_dir):
             .agg(F.avg(F.col("total_spend").cast("double")).alias("avg_spend")))
 
 
+@register("spend_heatmap_wide")
+def q_spend_heatmap_wide(spark, sf_dir):
+    """Wide form of the heatmap: one column per month, missing cells 0 (its long form,
+    ``spend_heatmap``, carries the exact oracle)."""
+    return R.spend_heatmap_wide(context(spark, sf_dir).cm, 200)
+
+
 @register("output_head_tail", q("""
 SELECT * FROM (SELECT 'head' AS part, current_account_nbr, adjustment_delta FROM final_recs
                ORDER BY adjustment_delta DESC, current_account_nbr LIMIT 10)

@@ -201,3 +201,18 @@ def hash_sample(df: DataFrame, n: int, key: str = ACCT, seed: int = 42) -> DataF
     """A reproducible sample of at most n rows: smallest md5(seed|key) first."""
     h = F.md5(F.concat(F.lit(f"{seed}|"), F.col(key).cast("string")))
     return df.withColumn("_h", h).orderBy("_h", key).limit(n).drop("_h")
+
+
+def spend_heatmap_wide(cm: DataFrame, top_n: int = 200, months: list[str] | None = None) -> DataFrame:
+    """Account x month pivot of mean spend for the top-n spenders, missing cells 0.
+
+    The month list is passed to ``pivot`` explicitly (no extra distinct-values job);
+    when not given it is read from the data — one value per month, a bounded list."""
+    sums = cm.groupBy(ACCT).agg(F.sum("total_spend").alias("_s"))
+    top = top_k(sums, top_n, [F.col("_s").desc(), F.col(ACCT)]).select(ACCT)
+    rows = (cm.join(F.broadcast(top), ACCT, "left_semi")  # at most top_n keys
+            .withColumn("month_str", F.date_format("month", "yyyy-MM")))
+    if months is None:
+        months = sorted(r.month_str for r in rows.select("month_str").distinct().collect())
+    wide = rows.groupBy(ACCT).pivot("month_str", months).agg(F.avg(F.col("total_spend").cast("double")))
+    return wide.fillna(0.0, subset=list(months))

@@ -244,3 +244,14 @@ def test_histogram_puts_the_top_edge_in_the_last_bin(spark):
     df = spark.createDataFrame([(0.0,), (1.99,), (2.0,), (99.99,), (100.0,), (None,)], "s double")
     got = {r.bin_start: r["count"] for r in R.histogram(df, "s", 2.0, 0.0, 100.0).collect()}
     assert got == {0.0: 2, 2.0: 1, 98.0: 2}
+
+
+def test_heatmap_wide_matches_long_form(spark):
+    import __spark_entry__ as entry
+    sf = "/root/testdata/sf0.001"
+    wide = entry.queries()["spend_heatmap_wide"](spark, sf).toPandas().set_index("current_account_nbr")
+    long = entry.queries()["spend_heatmap"](spark, sf).toPandas()
+    assert len(wide) == long.current_account_nbr.nunique() <= 200
+    for r in long.itertuples(index=False):
+        assert abs(wide.loc[r.current_account_nbr, r.month_str] - r.avg_spend) < 1e-9
+    assert (wide.fillna(-1) >= 0).all().all()  # absent cells are 0, never null
