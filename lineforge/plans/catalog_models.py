@@ -92,12 +92,63 @@ def q_holt_forecast(spark, sf_dir):
     return df.select(ACCT, round_dp("hw_predicted_q4_spend", 4).alias("hw_predicted_q4_spend"), "alpha", "beta")
 
 
-@register("holt_estimated")
+def _holt_est_rec(grid) -> str:
+    """Three linear recursions per (account, grid point) — data from a zero state, unit
+    level, unit trend — with the six running error products, as in holt_estimated."""
+    values = ", ".join(f"({_lit(a)}, {_lit(1.0 - a)}, {_lit(b)}, {_lit(1.0 - b)})" for a, b in grid)
+    z = "CAST(0.0 AS DOUBLE)"
+    one = "CAST(1.0 AS DOUBLE)"
+    ey = "(s.y - (r.yl + r.yt))"
+    el = f"({z} - (r.ul + r.ut))"
+    eb = f"({z} - (r.vl + r.vt))"
+
+    def step(l, b, y):
+        lvl = f"(r.a * {y} + r.na * (r.{l} + r.{b}))"
+        return f"{lvl}, r.c * ({lvl} - r.{l}) + r.nc * r.{b}"
+
+    return _SERIES + f""",
+he_grid AS (SELECT * FROM (VALUES {values}) g(a, na, c, nc)),
+he_rec AS (
+  SELECT e.current_account_nbr, g.a, g.na, g.c, g.nc, 0 AS t,
+    {z} AS yl, {z} AS yt, {one} AS ul, {z} AS ut, {z} AS vl, {one} AS vt,
+    {z} AS s_yy, {z} AS s_ly, {z} AS s_by, {z} AS s_ll, {z} AS s_lb, {z} AS s_bb
+  FROM hw_elig e, he_grid g
+  UNION ALL
+  SELECT r.current_account_nbr, r.a, r.na, r.c, r.nc, r.t + 1,
+    {step("yl", "yt", "s.y")}, {step("ul", "ut", z)}, {step("vl", "vt", z)},
+    r.s_yy + {ey} * {ey}, r.s_ly + {el} * {ey}, r.s_by + {eb} * {ey},
+    r.s_ll + {el} * {el}, r.s_lb + {el} * {eb}, r.s_bb + {eb} * {eb}
+  FROM he_rec r JOIN hw_ser s ON s.current_account_nbr = r.current_account_nbr AND s.rn = r.t + 1),
+he_last AS (
+  SELECT r.*, e.y1, e.y2, r.s_ll * r.s_bb - r.s_lb * r.s_lb AS det
+  FROM he_rec r JOIN hw_elig e ON r.current_account_nbr = e.current_account_nbr AND r.t = e.n),
+he_init AS (
+  SELECT *,
+    CASE WHEN ABS(det) > 1e-12 * GREATEST(ABS(s_ll * s_bb), 1.0)
+         THEN ((-s_ly) * s_bb - (-s_by) * s_lb) / det ELSE y1 END AS l0,
+    CASE WHEN ABS(det) > 1e-12 * GREATEST(ABS(s_ll * s_bb), 1.0)
+         THEN (s_ll * (-s_by) - s_lb * (-s_ly)) / det ELSE y2 - y1 END AS b0
+  FROM he_last),
+he_final AS (
+  SELECT current_account_nbr, a AS alpha, c AS beta, l0, b0,
+    s_yy + 2.0 * l0 * s_ly + 2.0 * b0 * s_by + l0 * l0 * s_ll + 2.0 * l0 * b0 * s_lb + b0 * b0 * s_bb AS sse,
+    GREATEST(3.0 * (yl + l0 * ul + b0 * vl) + 6.0 * (yt + l0 * ut + b0 * vt), 0.0) AS fc
+  FROM he_init)"""
+
+
+@register("holt_estimated", q(f"""
+SELECT current_account_nbr, {_r('fc', 4)} AS hw_predicted_q4_spend, alpha, beta, {_r('l0', 4)} AS l0,
+  {_r('b0', 4)} AS b0 FROM (
+  SELECT *, ROW_NUMBER() OVER (PARTITION BY current_account_nbr ORDER BY sse, fc, alpha, beta) AS k FROM he_final)
+WHERE k = 1""", "customer_monthly", recursive=True, extra=_holt_est_rec(forecast.DEFAULT_GRID)))
 def q_holt_estimated(spark, sf_dir):
     """Holt smoothing with least-squares initial level/trend per grid point (the
-    optimiser-estimated start of the reference model); checked against brute force."""
+    optimiser-estimated start of the reference model)."""
+    from .reports import round_dp
     ctx = context(spark, sf_dir)
-    return _memo(ctx, "holt_est", lambda: forecast.holt_estimated(_series(ctx)))
+    df = _memo(ctx, "holt_est", lambda: forecast.holt_estimated(_series(ctx)))
+    return df.select(ACCT, round_dp("hw_predicted_q4_spend", 4).alias("hw_predicted_q4_spend"), "alpha", "beta",
+                     round_dp("l0", 4).alias("l0"), round_dp("b0", 4).alias("b0"))
 
 
 @register("holt_estimated_metrics")
