@@ -59,6 +59,13 @@ hw_final AS (
   FROM hw_rec r JOIN hw_elig e ON r.current_account_nbr = e.current_account_nbr AND r.t = e.n)"""
 
 
+def _metrics_sql(src: str, y: str, yhat: str, model: str) -> str:
+    e = f"(CAST({y} AS DOUBLE) - CAST({yhat} AS DOUBLE))"
+    return (f"SELECT '{model}' AS model, {_r(f'AVG(ABS({e}))', 2)} AS mae, {_r(f'SQRT(AVG({e} * {e}))', 2)} AS rmse, "
+            f"{_r(f'CASE WHEN VAR_POP(CAST({y} AS DOUBLE)) > 0 THEN 1.0 - SUM({e} * {e}) / (VAR_POP(CAST({y} AS DOUBLE)) * COUNT(*)) END', 4)} AS r2, "
+            f"COUNT(*) AS n FROM ({src})")
+
+
 def _series(ctx):
     return forecast.monthly_series(ctx.cm, end_month=CUTOFF_MONTH, min_positive=3)
 
@@ -151,7 +158,17 @@ def q_holt_estimated(spark, sf_dir):
                      round_dp("l0", 4).alias("l0"), round_dp("b0", 4).alias("b0"))
 
 
-@register("holt_estimated_metrics")
+_HE_BEST = """SELECT current_account_nbr, fc FROM (
+  SELECT *, ROW_NUMBER() OVER (PARTITION BY current_account_nbr ORDER BY sse, fc, alpha, beta) AS k FROM he_final)
+  WHERE k = 1"""
+_HE_ACTUAL = f"""SELECT current_account_nbr, SUM(total_spend) AS actual_q4_spend FROM customer_monthly
+  WHERE month >= DATE '{CUTOFF_MONTH}' GROUP BY current_account_nbr"""
+
+
+@register("holt_estimated_metrics", q(_metrics_sql(
+    f"SELECT h.fc, a.actual_q4_spend FROM ({_HE_BEST}) h JOIN ({_HE_ACTUAL}) a "
+    "ON h.current_account_nbr = a.current_account_nbr", "actual_q4_spend", "fc", "holt_estimated"),
+    "customer_monthly", recursive=True, extra=_holt_est_rec(forecast.DEFAULT_GRID)))
 def q_holt_estimated_metrics(spark, sf_dir):
     ctx = context(spark, sf_dir)
     hw = _memo(ctx, "holt_est", lambda: forecast.holt_estimated(_series(ctx)))
@@ -179,13 +196,6 @@ def q_hw_eval_join(spark, sf_dir):
         ACCT, round_dp("hw_predicted_q4_spend", 4).alias("hw_predicted_q4_spend"), "actual_q4_spend")
 
 
-def _metrics_sql(src: str, y: str, yhat: str, model: str) -> str:
-    e = f"(CAST({y} AS DOUBLE) - CAST({yhat} AS DOUBLE))"
-    return (f"SELECT '{model}' AS model, {_r(f'AVG(ABS({e}))', 2)} AS mae, {_r(f'SQRT(AVG({e} * {e}))', 2)} AS rmse, "
-            f"{_r(f'CASE WHEN VAR_POP(CAST({y} AS DOUBLE)) > 0 THEN 1.0 - SUM({e} * {e}) / (VAR_POP(CAST({y} AS DOUBLE)) * COUNT(*)) END', 4)} AS r2, "
-            f"COUNT(*) AS n FROM ({src})")
-
-
 _TEST_ROWS = _q4_oracle_body("current_account_nbr, month, split, total_spend, spend_lag_1, spend_rolling_mean_3")
 
 
