@@ -14,7 +14,7 @@ def plan(df) -> str:
     return buf.getvalue()
 
 
-@pytest.mark.parametrize("name", sorted(entry.oracle_sql()))
+@pytest.mark.parametrize("name", sorted(entry.queries()))
 def test_no_cartesian_or_nested_loop_join(spark, name):
     text = plan(entry.queries()[name](spark, SF_SMALL))
     assert "CartesianProduct" not in text
