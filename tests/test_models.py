@@ -197,3 +197,26 @@ def test_account_base_has_one_row_per_account(spark):
     from lineforge.operators.accounts import assert_one_row_per_account
     ctx = context(spark, SF_SMALL)
     assert assert_one_row_per_account(ctx.base).count() == 0
+
+
+def test_gbt_and_kmeans_are_repeatable_with_a_fixed_seed(spark):
+    from lineforge.operators import models
+    from lineforge.operators.segments import CLASSIFICATION_FEATURES
+    from lineforge.plans.catalog_reports import _q4_frame
+    df, feats, target = _q4_frame(spark, SF_SMALL)
+    train = df.where(F.col("split") == "train")
+    test = df.where(F.col("split") == "test")
+    settings = models.GBTSettings(max_iter=6, max_depth=3)
+    preds = []
+    for _ in range(2):
+        model, best, errs = models.fit_gbt_early_stop(train, feats, target, settings=settings)
+        p = models.predict_floor(model, test, feats).select("current_account_nbr", "month", "prediction")
+        preds.append(p.orderBy("current_account_nbr", "month").toPandas())
+    assert np.array_equal(preds[0].prediction.to_numpy(), preds[1].prediction.to_numpy())
+    seg = context(spark, SF_SMALL).segments
+    a, _, cost_a = models.kmeans_clusters(seg, CLASSIFICATION_FEATURES, k=4, seeds=(7,))
+    b, _, cost_b = models.kmeans_clusters(seg, CLASSIFICATION_FEATURES, k=4, seeds=(7,))
+    assert math.isclose(cost_a, cost_b, rel_tol=1e-12)
+    ja = a.select("current_account_nbr", "cluster_id").orderBy("current_account_nbr").toPandas()
+    jb = b.select("current_account_nbr", "cluster_id").orderBy("current_account_nbr").toPandas()
+    assert (ja.cluster_id.to_numpy() == jb.cluster_id.to_numpy()).all()
