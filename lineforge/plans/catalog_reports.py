@@ -127,12 +127,18 @@ def _base_columns() -> list[str]:
                "avg_monthly_sales_6m", "sales_trend_slope", "utilization_ratio", "otb_ratio"])
 
 
+_SPARK_TYPE = ("CASE typeof(ANY_VALUE({c})) WHEN 'VARCHAR' THEN 'string' WHEN 'DOUBLE' THEN 'double' "
+               "WHEN 'BIGINT' THEN 'bigint' WHEN 'INTEGER' THEN 'int' WHEN 'DATE' THEN 'date' "
+               "WHEN 'BOOLEAN' THEN 'boolean' ELSE lower(typeof(ANY_VALUE({c}))) END")
+
+
 @register("missing_summary", q("SELECT * FROM (" + "\nUNION ALL\n".join(
     f"SELECT '{c}' AS column_name, COUNT(*) FILTER (WHERE {c} IS NULL) AS missing_count, "
-    f"{_r(f'COUNT(*) FILTER (WHERE {c} IS NULL) / COUNT(*) * 100.0', 2)} AS missing_pct FROM customer_base"
+    f"{_r(f'COUNT(*) FILTER (WHERE {c} IS NULL) / COUNT(*) * 100.0', 2)} AS missing_pct, "
+    f"{_SPARK_TYPE.format(c=c)} AS dtype FROM customer_base"
     for c in _base_columns()) + ") WHERE missing_count > 0", "customer_base"))
 def q_missing_summary(spark, sf_dir):
-    return R.missing_summary(finish(context(spark, sf_dir).base))
+    return R.missing_summary(context(spark, sf_dir).base, with_dtype=True)
 
 
 @register("profile_categorical", q(f"""
