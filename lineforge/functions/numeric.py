@@ -5,9 +5,11 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-# A decimal literal as pandas ``to_numeric`` accepts it (no unit suffixes such as '1d',
-# which Spark's cast would read as a double literal).
-_NUMERIC_TEXT = r"^\s*[+-]?((\d+(\.\d*)?)|(\.\d+))([eE][+-]?\d+)?\s*$"
+# Text pandas ``to_numeric`` accepts: a decimal literal with optional surrounding spaces,
+# or an infinity spelled inf/infinity in any case without spaces.  Unit suffixes such as
+# '1d' (which Spark's cast would read as a double literal), '1_000' and '0x10' are
+# rejected; 'nan' parses to NaN, which becomes 0 like a null.
+_NUMERIC_TEXT = r"^(\s*[+-]?((\d+(\.\d*)?)|(\.\d+))([eE][+-]?\d+)?\s*|[+-]?(?i:inf|infinity))$"
 
 
 def _c(col) -> Column:

@@ -133,7 +133,7 @@ def q_payment_history(spark, sf_dir):
                     pay.risk_flag_count("payment_hist_1_12_mths").alias("risk_flag_count"))
 
 
-_NUM_RE = r"^\s*[+-]?((\d+(\.\d*)?)|(\.\d+))([eE][+-]?\d+)?\s*$"
+_NUM_RE = r"^(\s*[+-]?((\d+(\.\d*)?)|(\.\d+))([eE][+-]?\d+)?\s*|[+-]?(?i:inf|infinity))$"
 
 
 def _sql_to_num(col: str) -> str:

@@ -74,8 +74,9 @@ def test_payment_history(spark, hist, expected):
 
 
 @pytest.mark.parametrize("text,expected", [
-    ("1d", 0.0), (" 12 ", 12.0), ("1_000", 0.0), ("inf", 0.0), ("", 0.0), (None, 0.0), ("-3.5", -3.5), ("1e3", 1000.0),
-    ("NaN", 0.0),
+    ("1d", 0.0), (" 12 ", 12.0), ("1_000", 0.0), ("inf", math.inf), ("-Infinity", -math.inf), ("INF", math.inf),
+    (" inf ", 0.0), ("infin", 0.0), ("0x10", 0.0), ("", 0.0), (None, 0.0), ("-3.5", -3.5), ("1e3", 1000.0),
+    ("5.", 5.0), (".5", 0.5), ("NaN", 0.0),
 ])
 def test_to_numeric_zero(spark, text, expected):
     r = spark.createDataFrame([(text,)], "x string").select(to_numeric_zero("x").alias("v")).first()
