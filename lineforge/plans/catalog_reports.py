@@ -24,8 +24,13 @@ def _qsel(q_: float) -> str:
     return f"MAX(CASE WHEN rn = GREATEST(CAST(CEIL({q_} * n) AS BIGINT), 1) THEN x END)"
 
 
+def _qcont(q_: float, digits: int) -> str:
+    """Linear-interpolated quantile (pandas/numpy rule), rounded like the Spark side."""
+    return _r(f"QUANTILE_CONT(x, {q_})", digits)
+
+
 def _describe_sql(table: str, cols, stats, digits: int = 4, group: str | None = None,
-                  round_all: bool = False) -> str:
+                  round_all: bool = False, interpolate: bool = False) -> str:
     """Long-form describe in DuckDB: mean/std rounded half-up to ``digits``; quantiles by
     rank ceil(q*n) (the rank rule of the Spark sketch); ``round_all`` also rounds
     min/max/quantiles."""
@@ -40,10 +45,10 @@ def _describe_sql(table: str, cols, stats, digits: int = 4, group: str | None =
             "mean": f"{_r('AVG(x)', digits)} AS mean",
             "std": f"{_r('STDDEV_SAMP(x)', digits)} AS std",
             "min": f"{rnd('MIN(x)')} AS min",
-            "p25": f"{rnd(_qsel(0.25))} AS p25",
-            "p50": f"{rnd(_qsel(0.5))} AS p50",
-            "median": f"{rnd(_qsel(0.5))} AS median",
-            "p75": f"{rnd(_qsel(0.75))} AS p75",
+            "p25": f"{_qcont(0.25, digits) if interpolate else rnd(_qsel(0.25))} AS p25",
+            "p50": f"{_qcont(0.5, digits) if interpolate else rnd(_qsel(0.5))} AS p50",
+            "median": f"{_qcont(0.5, digits) if interpolate else rnd(_qsel(0.5))} AS median",
+            "p75": f"{_qcont(0.75, digits) if interpolate else rnd(_qsel(0.75))} AS p75",
             "max": f"{rnd('MAX(x)')} AS max",
         }
         head = f"{group}, " if group else f"'{c}' AS column_name, "
@@ -70,7 +75,8 @@ DERIVED_COLS = ["delinquent_cycle_count", "max_delinquency_level", "risk_flag_co
                 "sales_trend_slope", "utilization_ratio", "otb_ratio", "has_fraud_case"]
 
 
-@register("derived_summary", q(_describe_sql("customer_base", DERIVED_COLS, ["mean", "median", "min", "max"]),
+@register("derived_summary", q(_describe_sql("customer_base", DERIVED_COLS, ["mean", "median", "min", "max"],
+                                             interpolate=True),
                                "customer_base"))
 def q_derived_summary(spark, sf_dir):
     return R.summary_stats(context(spark, sf_dir).base, DERIVED_COLS, stats=("mean", "median", "min", "max"))
@@ -113,7 +119,8 @@ def q_fraud_txn_rate(spark, sf_dir):
 RULE_DESCRIBE = ["adjustment_pct", "rule_recommended_line", "rule_adjustment_delta"]
 
 
-@register("describe_frame", q(_describe_sql("rule_adj", RULE_DESCRIBE, ["count", "mean", "std", "min", "p25", "p50", "p75", "max"]),
+@register("describe_frame", q(_describe_sql("rule_adj", RULE_DESCRIBE, ["count", "mean", "std", "min", "p25", "p50", "p75", "max"],
+                                            interpolate=True),
                               "rule_adj"))
 def q_describe_frame(spark, sf_dir):
     return R.summary_stats(context(spark, sf_dir).rule_adj, RULE_DESCRIBE)
@@ -195,7 +202,8 @@ def q_risk_by_segment(spark, sf_dir):
     return R.grouped_summary(context(spark, sf_dir).risk, "segment_name", "risk_score", 2)
 
 
-@register("risk_distribution", q(_describe_sql("risk", ["risk_score"], ["mean", "median", "std", "min", "max"], digits=4), "risk"))
+@register("risk_distribution", q(_describe_sql("risk", ["risk_score"], ["mean", "median", "std", "min", "max"], digits=4,
+                                               interpolate=True), "risk"))
 def q_risk_distribution(spark, sf_dir):
     return R.summary_stats(context(spark, sf_dir).risk, ["risk_score"], stats=("mean", "median", "std", "min", "max"))
 

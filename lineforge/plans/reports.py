@@ -41,9 +41,35 @@ def portfolio_monthly(cm: DataFrame) -> DataFrame:
                     (F.col("_s").cast("double") / F.col("_n")).alias("avg_spend"), "active_accounts"))
 
 
+_QUANTILES = {"p25": 0.25, "p50": 0.5, "median": 0.5, "p75": 0.75}
+
+
+def _interpolated(x, n: int, q: float) -> Column:
+    """numpy/pandas linear quantile from two exact-rank sketch picks: the order statistics
+    at floor(q*(n-1)) and the next one, interpolated by the fractional part."""
+    if n <= 0:
+        return F.lit(None).cast("double")
+    pos = q * (n - 1)
+    i = int(pos // 1)
+    frac = pos - i
+    lo_rank, hi_rank = i, min(i + 1, n - 1)
+    lo = F.percentile_approx(x, (lo_rank + 0.5) / n, QUANTILE_ACCURACY)
+    hi = F.percentile_approx(x, (hi_rank + 0.5) / n, QUANTILE_ACCURACY)
+    return lo + (hi - lo) * F.lit(frac)
+
+
 def summary_stats(df: DataFrame, cols: list[str], stats=("count", "mean", "std", "min", "p25", "p50", "p75", "max"),
-                  digits: int = 4) -> DataFrame:
-    """Long-form describe: one row per column with the requested statistics."""
+                  digits: int = 4, interpolate: bool = True) -> DataFrame:
+    """Long-form describe: one row per column with the requested statistics.
+
+    Quantiles are linear-interpolated as pandas' describe does (``interpolate``): the
+    non-null count of every column is read first (one number per column), then each
+    quantile is two exact-rank picks of a bounded sketch.  With ``interpolate=False``
+    they are the discrete order statistic at rank ceil(q*n)."""
+    counts = {}
+    if interpolate and any(s in _QUANTILES for s in stats):
+        row = df.agg(*[F.count(F.col(c)).alias(f"n_{i}") for i, c in enumerate(cols)]).first()
+        counts = {c: int(row[f"n_{i}"]) for i, c in enumerate(cols)}
     aggs = []
     for i, c in enumerate(cols):
         x = F.col(c).cast("double")
@@ -52,12 +78,11 @@ def summary_stats(df: DataFrame, cols: list[str], stats=("count", "mean", "std",
             "mean": round_dp(F.avg(x), digits),
             "std": round_dp(F.stddev_samp(x), digits),
             "min": F.min(x),
-            "p25": F.percentile_approx(x, 0.25, QUANTILE_ACCURACY),
-            "p50": F.percentile_approx(x, 0.5, QUANTILE_ACCURACY),
-            "median": F.percentile_approx(x, 0.5, QUANTILE_ACCURACY),
-            "p75": F.percentile_approx(x, 0.75, QUANTILE_ACCURACY),
             "max": F.max(x),
         }
+        for name, qv in _QUANTILES.items():
+            spec[name] = (round_dp(_interpolated(x, counts[c], qv), digits) if interpolate
+                          else F.percentile_approx(x, qv, QUANTILE_ACCURACY))
         aggs.extend(spec[s].alias(f"{s}_{i}") for s in stats)
     one = df.agg(*aggs)
     return one.selectExpr(_stack(len(cols), cols, list(stats)))

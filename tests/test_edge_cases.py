@@ -232,7 +232,7 @@ def test_summary_quantiles_follow_the_rank_rule(spark):
     rng = np.random.default_rng(5)
     vals = [float(v) for v in rng.integers(0, 1000, size=137)] + [None] * 5
     df = spark.createDataFrame([(v,) for v in vals], "x double")
-    r = R.summary_stats(df, ["x"]).first()
+    r = R.summary_stats(df, ["x"], interpolate=False).first()
     xs = np.sort(np.array([v for v in vals if v is not None]))
     n = len(xs)
     pick = lambda q: xs[max(int(np.ceil(q * n)) - 1, 0)]
@@ -256,3 +256,15 @@ def test_heatmap_wide_matches_long_form(spark):
     for r in long.itertuples(index=False):
         assert abs(wide.loc[r.current_account_nbr, r.month_str] - r.avg_spend) < 1e-9
     assert (wide.fillna(-1) >= 0).all().all()  # absent cells are 0, never null
+
+
+def test_summary_quantiles_interpolate_like_pandas(spark):
+    import numpy as np
+    rng = np.random.default_rng(11)
+    for n in (1, 2, 5, 98):
+        vals = [float(v) for v in rng.normal(100, 30, size=n)]
+        df = spark.createDataFrame([(v,) for v in vals] + [(None,)], "x double")
+        r = R.summary_stats(df, ["x"]).first()
+        for name, q in (("p25", 25), ("p50", 50), ("p75", 75)):
+            want = float(np.percentile(np.array(vals), q))
+            assert abs(r[name] - want) <= 0.00005 + 1e-9, (n, name, r[name], want)
