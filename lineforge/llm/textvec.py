@@ -11,7 +11,6 @@ SPACE[[0x20, *range(0x09, 0x0E)]] = True
 _LOWER = np.arange(256, dtype=np.uint64)
 _LOWER[ord("A"):ord("Z") + 1] += 32
 _LOWER += np.uint64(1)
-_LOWER[SPACE] = 0
 
 _BASE = np.uint64(0x9E3779B97F4A7C15)
 _power = np.cumprod(np.full(64, _BASE, np.uint64))
@@ -35,10 +34,13 @@ def mix(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(33))
 
 
-def word_hashes(buf: np.ndarray, off: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(hash, row, first byte) of every word, A-Z lower-cased, in order; ``off`` starts at 0."""
+def word_hashes(buf: np.ndarray, off: np.ndarray, breaks: np.ndarray = SPACE) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(hash, row, first byte) of every word, A-Z lower-cased, in order; ``off`` starts at 0.
+
+    breaks: of each byte, whether it parts words."""
     n = len(buf)
-    space = SPACE[buf]
+    space = breaks[buf]
+    value = np.where(breaks, np.uint64(0), _LOWER)
     first = np.empty(n, bool)
     if n:
         first[0] = True
@@ -50,7 +52,7 @@ def word_hashes(buf: np.ndarray, off: np.ndarray) -> tuple[np.ndarray, np.ndarra
     low = starts[0]
     length = np.diff(np.append(starts, n))
     pos = np.arange(low, n) - np.repeat(starts, length)
-    h = np.add.reduceat(_LOWER[buf[low:]] * _powers(int(length.max()))[pos], starts - low)
+    h = np.add.reduceat(value[buf[low:]] * _powers(int(length.max()))[pos], starts - low)
     return mix(h), np.searchsorted(off, starts, side="right") - 1, starts
 
 
