@@ -1,6 +1,6 @@
 """Benchmark decontamination by latent semantic retrieval.
 
-Words are hashed to ``FEATURES`` features; passages of 48 words of all documents give the inverse
+Words, in lower case, are hashed to ``FEATURES`` features; passages of 48 words of all documents give the inverse
 passage frequencies.  Benchmark items, cut into passages, are dealt into blocks; the TF-IDF matrix
 of each block gets a randomised SVD (range finder with power steps), the blocks in parallel in
 Spark tasks.  A block is small enough for its latent space to keep nearly all of its passages, so
@@ -68,7 +68,7 @@ def passage_frequencies(docs: DataFrame, text_col: str = "text") -> np.ndarray:
         some = np.flatnonzero(seen)
         yield pa.RecordBatch.from_pydict({"f": np.append(some, -1), "n": np.append(seen[some], n)})
 
-    rows = (docs.select(F.col(text_col).cast("string").alias("_t")).mapInArrow(count, "f long, n long")
+    rows = (docs.select(F.lower(F.col(text_col).cast("string")).alias("_t")).mapInArrow(count, "f long, n long")
             .groupBy("f").agg(F.sum("n").alias("n")).collect())  # FEATURES rows at most, whatever the input
     out, total = np.zeros(FEATURES), 0
     for r in rows:
@@ -102,7 +102,7 @@ def latent_blocks(benchmark: DataFrame, idf: np.ndarray, id_col: str = "item_id"
     number of items).
 
     Items with fewer than MIN_WORDS words, null and empty ones among them, are left out."""
-    items = benchmark.select(F.col(id_col).cast("long").alias("item"), F.col(text_col).cast("string").alias("_t"))
+    items = benchmark.select(F.col(id_col).cast("long").alias("item"), F.lower(F.col(text_col).cast("string")).alias("_t"))
 
     def passages(batches):
         for b, i, h, row, rows in _texts(batches, "_t"):
@@ -123,7 +123,7 @@ def latent_blocks(benchmark: DataFrame, idf: np.ndarray, id_col: str = "item_id"
     cut = materialise(items.mapInArrow(passages, "item long, words binary, answer binary"), "passages")
     blocks = max(1, -(-cut.count() // IN_BLOCK))
 
-    def model(key, t: pa.Table) -> pa.Table:
+    def model(key, t):
         import pickle
 
         t = t.sort_by([("words", "ascending"), ("item", "ascending")])
@@ -272,8 +272,8 @@ def with_matches(docs: DataFrame, benchmark: DataFrame, text_col: str = "text",
     idf = passage_frequencies(docs, text_col)
     blocks = latent_blocks(benchmark, idf, id_col)
     keys = sorted(r.block for r in blocks.select("block").collect())  # one number a block of items
-    out = docs.withColumn("_lf_matches", F.array().cast("array<struct<item:bigint,share:double>>"))
-    at = out.columns.index(text_col)
+    lower = F.lower(F.col(text_col).cast("string"))
+    out = docs.withColumn("_lf_lower", lower).withColumn("_lf_matches", F.array().cast("array<struct<item:bigint,share:double>>"))
     for g in range(0, len(keys), MODELS_AT_ONCE):
         some = keys[g:g + MODELS_AT_ONCE]
         models = [r.model for r in blocks.where(F.col("block").isin(some)).orderBy("block").collect()]
@@ -282,13 +282,15 @@ def with_matches(docs: DataFrame, benchmark: DataFrame, text_col: str = "text",
         def run(batches, shared=shared):
             matchers = _matchers_of(shared)
             for b in batches:
-                buf, off = text_buffer(b.column(at))
+                buf, off = text_buffer(b.column(b.num_columns - 2))
                 old = b.column(b.num_columns - 1).to_pylist()
                 for i, j in chunks(off, 1 << 20):
                     h, row, _ = word_hashes(buf[off[i]:off[j]], off[i:j + 1] - off[i], BREAKS)
                     for m in matchers:
                         for r, held in m.matches(h, row, j - i).items():
-                            old[i + r] = old[i + r] + [{"item": x, "share": s} for x, s in sorted(
+                            for x in old[i + r]:
+                                held[x["item"]] = max(x["share"], held.get(x["item"], 0.0))
+                            old[i + r] = [{"item": x, "share": s} for x, s in sorted(
                                 held.items(), key=lambda y: (y[0] is None, y[0] or 0))]
                 new = pa.array(old, pa.list_(pa.struct([("item", pa.int64()), ("share", pa.float64())])))
                 yield pa.RecordBatch.from_arrays([*b.columns[:-1], new], names=b.schema.names)
@@ -296,7 +298,7 @@ def with_matches(docs: DataFrame, benchmark: DataFrame, text_col: str = "text",
         out = out.mapInArrow(run, out.schema)
         if g and (g // MODELS_AT_ONCE) % 4 == 0:
             out = materialise(out, "matched")
-    return out
+    return out.drop("_lf_lower")
 
 
 def _best(matches):

@@ -39,15 +39,16 @@ def repeated_runs(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
              .agg(*[F.first(c).alias(c) for c in ("_id", "_w", "_h", "_g")]))
     text = Window.partitionBy("_k1", "_k2")
     lines = lines.withColumn("_e", F.sum("_w").over(text.orderBy("_p").rowsBetween(Window.unboundedPreceding, 0)))
-    lines = lines.withColumn("_s", F.col("_e") - F.col("_w"))
+    lines = lines.withColumn("_s", F.col("_e") - F.col("_w")).withColumn("_o", F.row_number().over(text.orderBy("_p")))
 
     def window(w, first, last):
         return F.struct(F.min("_h").over(w).alias("fp"), F.xxhash64(F.collect_list("_h").over(w)).alias("h"),
                         F.sum("_g").over(w).alias("g"), F.sum("_w").over(w).alias("n"), first(w).alias("first"), last(w).alias("last"))
 
-    here = lambda w: F.col("_p")
-    ahead = window(text.orderBy("_s").rangeBetween(0, min_words - 1), here, lambda w: F.max("_p").over(w))
-    back = window(text.orderBy("_e").rangeBetween(1 - min_words, 0), lambda w: F.min("_p").over(w), here)
+    at = F.struct("_p", "_o")  # a line's place among all lines, and among those that count
+    here = lambda w: at
+    ahead = window(text.orderBy("_s").rangeBetween(0, min_words - 1), here, lambda w: F.max(at).over(w))
+    back = window(text.orderBy("_e").rangeBetween(1 - min_words, 0), lambda w: F.min(at).over(w), here)
     windows = (lines.select("_id", "_k1", "_k2", ahead.alias("a"), back.alias("b"))
                .select("_id", "_k1", "_k2", F.explode(F.array_distinct(F.array("a", "b"))).alias("x"))
                .select("_id", "_k1", "_k2", "x.*").where(F.col("n") >= min_words))
@@ -63,15 +64,15 @@ def repeated_runs(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
     later = likely.join(earliest, ["fp", "h", "g"]).where(spot > F.col("origin")).select("_k1", "_k2", "first", "last")
 
     spans = later.distinct().groupBy("_k1", "_k2").agg(F.sort_array(F.collect_list(F.struct("first", "last"))).alias("runs"))
-    tail = lambda a: F.element_at(a, -1)
-    grow = lambda a, x: F.when(  # noqa: E731  adjoining or overlapping: one run
-        (F.size(a) > 0) & (F.coalesce(F.try_element_at(a, F.lit(-1))["last"], F.lit(-2)) + 1 >= x["first"]),
+    end = lambda a: F.try_element_at(a, F.lit(-1))
+    grow = lambda a, x: F.when(  # noqa: E731  overlapping, or with blank lines only between: one run
+        (F.size(a) > 0) & (F.coalesce(end(a)["last"]["_o"], F.lit(-2)) + 1 >= x["first"]["_o"]),
         F.concat(F.slice(a, F.lit(1), F.size(a) - 1), F.array(F.struct(
-            F.try_element_at(a, F.lit(-1))["first"].alias("first"),
-            F.greatest(F.try_element_at(a, F.lit(-1))["last"], x["last"]).alias("last")))),
+            end(a)["first"].alias("first"), F.greatest(end(a)["last"], x["last"]).alias("last")))),
     ).otherwise(F.concat(a, F.array(x)))
-    none = F.array().cast("array<struct<first:int,last:int>>")
-    return spans.select("_k1", "_k2", F.aggregate("runs", none, grow).alias("runs"))
+    none = F.array().cast("array<struct<first:struct<_p:int,_o:int>,last:struct<_p:int,_o:int>>>")
+    runs = F.transform(F.aggregate("runs", none, grow), lambda r: F.struct(r["first"]["_p"].alias("first"), r["last"]["_p"].alias("last")))
+    return spans.select("_k1", "_k2", runs.alias("runs"))
 
 
 def _keyed(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
@@ -83,7 +84,7 @@ def dedup_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
 
     Documents come in the order of id, then of a hash of id and text; the first place of a run
     stays.  Lines are compared without the white space around them; a word is what stands between
-    white space; blank lines do not count, but go with a run that they are inside of.
+    white space; blank lines do not count, but go if the lines that count on both sides go.
 
     Nulls and odd input: null and empty texts stay as they are; null ids come first; rows that
     repeat id and text are one text and lose the same lines; a text of which all is repeated
@@ -93,7 +94,8 @@ def dedup_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
         F.col("_k1").alias("_lf_1"), F.col("_k2").alias("_lf_2"), F.col("runs").alias("_lf_runs")), "runs")
     keyed = docs.withColumns({"_lf_k1": F.xxhash64(id_col, F.col(text_col).cast("string")),
                               "_lf_k2": F.xxhash64(F.col(text_col).cast("string"), id_col, F.lit(1))})
-    out = keyed.join(runs, (F.col("_lf_k1") == F.col("_lf_1")) & (F.col("_lf_k2") == F.col("_lf_2")), "left")
+    # always merged: which way texts go should not depend on how many runs there are
+    out = keyed.join(runs.hint("merge"), (F.col("_lf_k1") == F.col("_lf_1")) & (F.col("_lf_k2") == F.col("_lf_2")), "left")
     kept = F.array_join(F.filter(F.split(F.col(text_col), "\n"), lambda x, i: ~F.exists(
         "_lf_runs", lambda r: (r["first"] <= i) & (i <= r["last"]))), "\n")
     out = out.withColumn(text_col, F.when(F.col("_lf_runs").isNull(), F.col(text_col)).otherwise(kept))
@@ -134,7 +136,11 @@ u as (select distinct * from (select * from f union all select * from g) where t
 o as (select *, min((rid, a)) over (partition by content) as origin from u),
 gone as (select distinct w.rid, w.p from w join o on w.rid = o.rid and w.p between o.a and o.b
          where (o.rid, o.a) > o.origin),
-m as (select raw.rid, raw.p, raw.line, gone.p is not null as dead from raw left join gone using (rid, p)),
+q as (select raw.rid, raw.p, raw.line, case when w.n > 0 then gone.p is not null end as dead
+      from raw join w using (rid, p) left join gone using (rid, p)),
+m as (select rid, p, line, coalesce(dead, coalesce(last_value(dead ignore nulls) over (partition by rid order by p
+        rows between unbounded preceding and current row), false) and coalesce(first_value(dead ignore nulls) over (
+        partition by rid order by p rows between current row and unbounded following), false)) as dead from q),
 k as (select rid, coalesce(string_agg(line, chr(10) order by p) filter (where not dead), '') as text,
         sum(dead::int)::bigint as lines_removed,
         sum((dead and not before)::int)::bigint as runs_removed

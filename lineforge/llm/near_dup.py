@@ -275,4 +275,4 @@ def drop_near_duplicates(docs: DataFrame, words: int = 5, num: int = 80, den: in
     found = near_duplicates(docs, words=words, num=num, den=den)
     gone = found.where("component_id <> doc_id").select(F.col("doc_id").alias("_lf_gone")).distinct()
     gone = materialise(gone, "gone")
-    return docs.join(gone, docs["doc_id"] == gone["_lf_gone"], "left_anti")
+    return docs.join(gone.hint("merge"), docs["doc_id"] == gone["_lf_gone"], "left_anti")

@@ -25,6 +25,5 @@ def oracle_sql():
         "op1_license_sentences": licenses.license_sql(),
         "op4_exact_topk": topk.TOPK_SQL,
         "op6_winnowed_lines": line_dedup.LINE_SQL,
-        "op7_lsi_decontamination": decontam.decontam_query,
         "op8_chat_format": chat.CHAT_SQL,
     }

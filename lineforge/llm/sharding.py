@@ -25,7 +25,8 @@ def interleaved_shards(docs: DataFrame, shards: int = 40, seed: int = 7, id_col:
     """(doc_id, size, text_crc32, source, law, shard, slot, grown_shard) of every row of ``docs``.
 
     The law is ``rows``: the counts of the shards are at most one apart, slots are gapless from 0
-    in each shard, and each shard has its share of each source within two rows.  size: bytes of
+    in each shard, and each shard has its share of each source within about two rows (tiny sources,
+    of fewer rows than shards, fall where their phase puts them).  size: bytes of
     the UTF-8 text, and 16; text_crc32: unsigned.
 
     Nulls and odd input: a null text counts as an empty one (size 16, checksum 0); null sources are

@@ -50,8 +50,9 @@ def test_planted_items_copies_and_paraphrases(spark, sf):
             want[n] = i if k < 3 else None
     df = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
     out = {r.doc_id: [m.item for m in r._lf_matches] for r in d.with_matches(df, spark.read.parquet(f"{sf}/benchmark.parquet")).collect()}
-    found = [want[n] in out[n] for n in want if want[n] is not None]
-    assert np.mean(found) >= .97, np.mean(found)
+    found = {n: want[n] in out[n] for n in want if want[n] is not None}
+    assert all(hit for n, hit in found.items() if n % 4 < 2)
+    assert np.mean([hit for n, hit in found.items() if n % 4 == 2]) >= .85  # of short ones too many words may be changed
     assert np.mean([bool(out[n]) for n in want if want[n] is None]) <= .05
 
 

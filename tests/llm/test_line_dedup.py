@@ -1,5 +1,5 @@
 """Repeated runs against a definition by brute force: a line goes if it lies in a run of at least
-min_words words, in a row, that stands earlier too."""
+min_words words, in a row, that stands earlier too; blank lines between lines that go, go."""
 import random
 
 from lineforge.llm import line_dedup
@@ -26,7 +26,10 @@ def brute(rows, most):
             for b in range(a, len(ls)):
                 n += ls[b][2]
                 if n >= most and places[tuple(x for _, x, _ in ls[a:b + 1])] < (d, a):
-                    gone |= set(range(ls[a][0], ls[b][0] + 1))
+                    gone |= {p for p, _, _ in ls[a:b + 1]}
+        for (p, _, _), (q, _, _) in zip(ls, ls[1:]):
+            if p in gone and q in gone:
+                gone |= set(range(p, q))
         out[i] = t if t is None else "\n".join(x for p, x in enumerate(t.split("\n")) if p not in gone)
     return out
 

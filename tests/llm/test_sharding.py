@@ -45,7 +45,7 @@ def test_order_is_that_of_fractional_ranks(spark, sf):
 
 
 def test_nulls_repeats_hot_source_and_other_columns(spark):
-    rows = [(i, f"text {i % 50}", "hot") for i in range(700)] + [(1000 + i, "é" * (i % 7), f"s{i}") for i in range(200)]
+    rows = [(i, f"text {i % 50}", "hot") for i in range(700)] + [(1000 + i, "é" * (i % 7), f"s{i % 4}") for i in range(200)]
     rows += [(None, None, None)] * 3 + [(5, None, "hot"), (5, "", None), (5, "", None), (1, "x" * 500_000, "s1")]
     df = spark.createDataFrame(rows, "doc_id long, text string, source string").selectExpr(
         "*", "'a' as shard", "1 as slot", "2 as size", "3 as law")
