@@ -6,7 +6,7 @@ of each block gets a randomised SVD (range finder with power steps), the blocks
 Spark tasks.  A block is small enough for its latent space to keep nearly all of its passages, so
 retrieval does not depend on how many items there are.
 
-Documents are read in windows of 48 words, 16 apart, folded into the latent space and held against
+Documents are read in windows of 32 words, 16 apart, folded into the latent space and held against
 the block's passages by cosine, over the window's full norm.  A candidate is checked word by word:
 the longest common subsequence with the words around the window, as a share of the passage.  A high
 share is a copy; a middling one is a paraphrase only if the answer, the end of the item, is there.
@@ -23,11 +23,12 @@ from .common import chunks, materialise, table, text_buffer
 from .textvec import SPACE, word_hashes
 
 FEATURES = 1 << 17
-PASSAGE, STRIDE = 48, 16        # words of a passage or window; of the blocks that windows are made of
+PASSAGE = 48                    # words of a passage, at most
+WINDOW, STRIDE = 32, 16         # words of a window, and of the blocks that windows are made of
 MIN_WORDS = 8                   # items with fewer words cannot be told from chance
 IN_BLOCK = 192                  # passages of a block, about
 ENERGY = 0.999                  # of a block's matrix that its latent space keeps
-COSINE = 0.25
+COSINE = 0.35
 COPY, PARAPHRASE, ANSWER = 0.8, 0.6, 0.8
 MODELS_AT_ONCE = 8              # blocks that one pass over the documents holds
 
@@ -64,7 +65,11 @@ def passage_frequencies(docs: DataFrame, text_col: str = "text") -> np.ndarray:
             part = np.cumsum(np.concatenate([[0], ((np.diff(row) != 0) | (place[1:] % PASSAGE == 0)).astype(np.int64)]))[:len(row)]
             if len(part):
                 n += int(part[-1]) + 1
-                seen += np.bincount(np.unique(part * FEATURES + features_of(h)) % FEATURES, minlength=FEATURES)
+                # a chunk has a few thousand passages, so passage and feature fit 32 bits
+                kind = np.int32 if (int(part[-1]) + 1) * FEATURES < 2 ** 31 else np.int64
+                pair = np.sort((part * FEATURES + features_of(h)).astype(kind))
+                once = np.append(True, pair[1:] != pair[:-1])
+                seen += np.bincount(pair[once] % FEATURES, minlength=FEATURES)
         some = np.flatnonzero(seen)
         yield pa.RecordBatch.from_pydict({"f": np.append(some, -1), "n": np.append(seen[some], n)})
 
@@ -196,7 +201,7 @@ class Matcher:
         starts = np.concatenate([[0], np.flatnonzero(np.diff(block)) + 1])
         of = row[starts]
         n = len(starts)
-        span = PASSAGE // STRIDE
+        span = WINDOW // STRIDE
         # a window: blocks from k on, as many as the text has, up to span
         wide = np.minimum(np.searchsorted(of, of, side="right"), np.arange(n) + span)
         lead = np.searchsorted(of, of, side="left")
@@ -215,8 +220,12 @@ class Matcher:
         word = np.flatnonzero((at >= 0) & need[block])
         z = np.zeros((n, self.v.shape[1]), np.float32)
         if len(word):
-            cut = np.concatenate([[0], np.flatnonzero(np.diff(block[word])) + 1])
-            z[block[word[cut]]] = np.add.reduceat(self.v[at[word]], cut, axis=0)
+            b = block[word]
+            cut = np.concatenate([[0], np.flatnonzero(np.diff(b)) + 1])
+            nth = np.arange(len(b)) - np.repeat(cut, np.diff(np.append(cut, len(b))))
+            for j in range(STRIDE):  # the jth such word of every block: no block twice
+                x = np.flatnonzero(nth == j)
+                z[b[x]] += self.v[at[word[x]]]
         last = np.append(starts, len(h))
         for a in range(0, len(k), 4096):
             kk = k[a:a + 4096]
@@ -236,7 +245,10 @@ class Matcher:
         for r, a, b, p in self.candidates(h, row, rows):
             n = len(self.words[p])
             words = h[max(first[r], a - n):min(first[r + 1], b + n)].tolist()
-            share = common_subsequence(self.masks[p], n, words) / n
+            masks = self.masks[p]
+            if len(masks.keys() & set(words)) < len(masks) - (1 - PARAPHRASE) * n:
+                continue  # too many words are missing, in whatever order
+            share = common_subsequence(masks, n, words) / n
             if share >= PARAPHRASE and share < COPY:
                 end = len(self.answer[p])
                 if common_subsequence(self.ends[p], end, words) < ANSWER * end:
