@@ -2,8 +2,8 @@
 
 Wide summaries are computed as one aggregate over all requested columns and then
 unpivoted (``stack``) — the data is scanned once and nothing is multiplied before the
-shuffle.  Quantiles use ``percentile_approx`` (bounded-memory sketch; exact whenever the
-group is smaller than the accuracy), so no group ever has to be held whole in one task.
+shuffle.  Quantiles are exact at any size (``operators.quantiles``), without ever holding a
+group in one task.
 """
 
 from __future__ import annotations
@@ -12,8 +12,10 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import FloatType, DoubleType, NumericType
 
+from ..operators.quantiles import exact_quantiles
+from ..session import materialise
+
 ACCT = "current_account_nbr"
-QUANTILE_ACCURACY = 1_000_000
 
 
 def round_dp(col, digits: int) -> Column:
@@ -44,33 +46,23 @@ def portfolio_monthly(cm: DataFrame) -> DataFrame:
 _QUANTILES = {"p25": 0.25, "p50": 0.5, "median": 0.5, "p75": 0.75}
 
 
-def _interpolated(x, n: int, q: float) -> Column:
-    """numpy/pandas linear quantile from two exact-rank sketch picks: the order statistics
-    at floor(q*(n-1)) and the next one, interpolated by the fractional part."""
-    if n <= 0:
-        return F.lit(None).cast("double")
-    pos = q * (n - 1)
-    i = int(pos // 1)
-    frac = pos - i
-    lo_rank, hi_rank = i, min(i + 1, n - 1)
-    lo = F.percentile_approx(x, (lo_rank + 0.5) / n, QUANTILE_ACCURACY)
-    hi = F.percentile_approx(x, (hi_rank + 0.5) / n, QUANTILE_ACCURACY)
-    return lo + (hi - lo) * F.lit(frac)
+def _quantile_columns(df: DataFrame, cols: list[str], names: list[str], digits: int, discrete: bool,
+                      group: str | None = None) -> DataFrame:
+    """One row per column (and group) with the named quantiles."""
+    q = exact_quantiles(df, cols, sorted({_QUANTILES[x] for x in names}), group, discrete)
+    keys = ([group] if group else []) + ["column_name"]
+    value = F.col("value") if discrete else round_dp("value", digits)
+    return q.groupBy(*keys).agg(*[F.max(F.when(F.col("q") == _QUANTILES[x], value)).alias(x) for x in names])
 
 
 def summary_stats(df: DataFrame, cols: list[str], stats=("count", "mean", "std", "min", "p25", "p50", "p75", "max"),
                   digits: int = 4, interpolate: bool = True) -> DataFrame:
     """Long-form describe: one row per column with the requested statistics.
 
-    Quantiles are linear-interpolated as pandas' describe does (``interpolate``): the
-    non-null count of every column is read first (one number per column), then each
-    quantile is two exact-rank picks of a bounded sketch.  With ``interpolate=False``
-    they are the discrete order statistic at rank ceil(q*n)."""
-    counts = {}
-    if interpolate and any(s in _QUANTILES for s in stats):
-        row = df.agg(*[F.count(F.col(c)).alias(f"n_{i}") for i, c in enumerate(cols)]).first()
-        counts = {c: int(row[f"n_{i}"]) for i, c in enumerate(cols)}
+    Quantiles are exact at any size: linear between ranks as pandas' describe does
+    (``interpolate``), or the order statistic at rank ceil(q*n)."""
     aggs = []
+    plain = [s for s in stats if s not in _QUANTILES]
     for i, c in enumerate(cols):
         x = F.col(c).cast("double")
         spec = {
@@ -80,24 +72,24 @@ def summary_stats(df: DataFrame, cols: list[str], stats=("count", "mean", "std",
             "min": F.min(x),
             "max": F.max(x),
         }
-        for name, qv in _QUANTILES.items():
-            spec[name] = (round_dp(_interpolated(x, counts[c], qv), digits) if interpolate
-                          else F.percentile_approx(x, qv, QUANTILE_ACCURACY))
-        aggs.extend(spec[s].alias(f"{s}_{i}") for s in stats)
-    one = df.agg(*aggs)
-    return one.selectExpr(_stack(len(cols), cols, list(stats)))
+        aggs.extend(spec[s].alias(f"{s}_{i}") for s in plain)
+    names = [s for s in stats if s in _QUANTILES]
+    one = df.agg(*aggs).selectExpr(_stack(len(cols), cols, plain))
+    if names:
+        one = one.join(_quantile_columns(df, cols, names, digits, not interpolate), "column_name", "left")
+    return one.select("column_name", *stats)
 
 
 def grouped_summary(df: DataFrame, group: str, col: str, digits: int = 2) -> DataFrame:
-    """Per group: count, mean, std, min, quartiles, max of one column (rounded)."""
+    """Per group: count, mean, std, min, quartiles (linear between ranks), max of one column (rounded)."""
     x = F.col(col).cast("double")
-    return df.groupBy(group).agg(
+    plain = df.groupBy(group).agg(
         F.count(x).alias("count"), round_dp(F.avg(x), digits).alias("mean"),
         round_dp(F.stddev_samp(x), digits).alias("std"), round_dp(F.min(x), digits).alias("min"),
-        round_dp(F.percentile_approx(x, 0.25, QUANTILE_ACCURACY), digits).alias("p25"),
-        round_dp(F.percentile_approx(x, 0.5, QUANTILE_ACCURACY), digits).alias("p50"),
-        round_dp(F.percentile_approx(x, 0.75, QUANTILE_ACCURACY), digits).alias("p75"),
         round_dp(F.max(x), digits).alias("max"))
+    q = _quantile_columns(df, [col], ["p25", "p50", "p75"], digits, False, group).withColumnRenamed(group, "_g")
+    return (plain.join(q, F.col(group).eqNullSafe(F.col("_g")), "left")
+            .select(group, "count", "mean", "std", "min", "p25", "p50", "p75", "max"))
 
 
 def non_null_counts(df: DataFrame, cols: list[str]) -> DataFrame:
@@ -146,37 +138,58 @@ def drop_high_missing(df: DataFrame, threshold: float = 0.70) -> tuple[DataFrame
     return df.drop(*dropped), verdicts
 
 
-def correlation_pairs(df: DataFrame, cols: list[str], digits: int = 4) -> DataFrame:
+def correlation_moments(df: DataFrame, cols: list[str]) -> DataFrame:
+    """(i, j, n, sx, sy, sxx, syy, sxy) of every pair i < j over the rows where both are there.
+
+    One pass: each task sums the products of its rows' columns, shifted by the columns' means (one
+    number a column) so that nothing cancels, and gives one row a pair; these are added up."""
+    import numpy as np
+    import pyarrow as pa
+
+    means = df.agg(*[F.avg(F.col(c).cast("double")).alias(f"m_{i}") for i, c in enumerate(cols)]).first()
+    shift = np.array([m if m is not None and np.isfinite(m) else 0.0 for m in means])
+    k = len(cols)
+    i, j = np.triu_indices(k, 1)
+
+    def sums(batches):
+        n, s, ss, p = (np.zeros((k, k)) for _ in range(4))
+        for b in batches:
+            x = np.stack([b.column(c).to_numpy(zero_copy_only=False).astype(float) for c in range(k)], axis=1) - shift
+            there = ~np.isnan(x)
+            x = np.where(there, x, 0.0)
+            m = there.astype(float)
+            n += m.T @ m
+            s += x.T @ m           # sum of column a over the rows where b is there
+            ss += (x * x).T @ m
+            p += x.T @ x
+        yield pa.RecordBatch.from_pydict({
+            "i": i.astype("int32"), "j": j.astype("int32"), "n": n[i, j], "sx": s[i, j], "sy": s[j, i],
+            "sxx": ss[i, j], "syy": ss[j, i], "sxy": p[i, j]})
+
+    kinds = "i int, j int, n double, sx double, sy double, sxx double, syy double, sxy double"
+    parts = df.select(*[F.col(c).cast("double").alias(f"c_{q}") for q, c in enumerate(cols)]).mapInArrow(sums, kinds)
+    return parts.groupBy("i", "j").agg(*[F.sum(c).alias(c) for c in ("n", "sx", "sy", "sxx", "syy", "sxy")])
+
+
+def correlation_pairs(df: DataFrame, cols: list[str], digits: int | None = 4) -> DataFrame:
     """|Pearson r| for every pair (i < j) on pair-complete rows; constant column -> null.
-
-    One aggregate computes the moments of every pair into named columns; the ratio and
-    rounding are a projection over that single row, which keeps the expressions small."""
-    aggs, names = [], []
-    for i, a in enumerate(cols):
-        for j in range(i + 1, len(cols)):
-            b = cols[j]
-            xa = F.when(F.col(b).isNotNull(), F.col(a).cast("double"))
-            xb = F.when(F.col(a).isNotNull(), F.col(b).cast("double"))
-            k = len(names)
-            aggs += [F.covar_pop(xa, xb).alias(f"cov_{k}"), F.stddev_pop(xa).alias(f"sa_{k}"),
-                     F.stddev_pop(xb).alias(f"sb_{k}")]
-            names.append(f"{a}|{b}")
-    moments = df.agg(*aggs)
-    ratios = []
-    for k in range(len(names)):
-        denom = F.col(f"sa_{k}") * F.col(f"sb_{k}")
-        ratios.append((F.col(f"cov_{k}") / F.when(denom != 0, denom)).alias(f"r_{k}"))
-    rounded = moments.select(*ratios).select(*[round_dp(F.abs(F.col(f"r_{k}")), digits).alias(f"abs_corr_{k}")
-                                               for k in range(len(names))])
-    long = rounded.selectExpr(_stack(len(names), names, ["abs_corr"]))
-    parts = F.split(F.col("column_name"), r"\|")
-    return long.select(parts[0].alias("col_a"), parts[1].alias("col_b"), "abs_corr")
+    ``digits`` None: unrounded."""
+    m = correlation_moments(df, cols)
+    n = F.when(F.col("n") > 0, F.col("n"))
+    vx = F.col("sxx") - F.col("sx") * F.col("sx") / n
+    vy = F.col("syy") - F.col("sy") * F.col("sy") / n
+    tiny = lambda v, s: v <= F.lit(1e-12) * F.col(s)  # noqa: E731  rounding of a constant column
+    cov = F.col("sxy") - F.col("sx") * F.col("sy") / n
+    r = F.when(~tiny(vx, "sxx") & ~tiny(vy, "syy"), F.abs(cov / (F.sqrt(vx) * F.sqrt(vy))))
+    names = F.array(*[F.lit(c) for c in cols])
+    return m.select(names[F.col("i")].alias("col_a"), names[F.col("j")].alias("col_b"),
+                    (r if digits is None else round_dp(r, digits)).alias("abs_corr"))
 
 
 def correlated_drops(df: DataFrame, cols: list[str], threshold: float = 0.85) -> DataFrame:
     """Per column: dropped when some later column correlates above the threshold
-    (the earlier column of a pair is the one removed, as coded)."""
-    pairs = correlation_pairs(df, cols)
+    (the earlier column of a pair is the one removed, as coded); r is not rounded first."""
+    pairs = correlation_pairs(df, cols, None)
     order = F.create_map(*[x for i, c in enumerate(cols) for x in (F.lit(c), F.lit(i))])
     flags = pairs.groupBy("col_a").agg(F.max(F.coalesce(F.col("abs_corr") > F.lit(threshold), F.lit(False))).alias("dropped"))
     all_cols = df.sparkSession.createDataFrame([(c,) for c in cols], "column_name string")
@@ -185,6 +198,13 @@ def correlated_drops(df: DataFrame, cols: list[str], threshold: float = 0.85) ->
                       F.element_at(order, F.col("column_name")).alias("position"))
 
 
+def drop_correlated(df: DataFrame, threshold: float = 0.85) -> tuple[DataFrame, DataFrame]:
+    """``(df_without_dropped_columns, verdicts)`` over all numeric columns of ``df``."""
+    verdicts = materialise(correlated_drops(df, numeric_columns(df), threshold), "verdicts")
+    dropped = [r.column_name for r in verdicts.where("dropped").collect()]  # one row a column
+    return df.drop(*dropped), verdicts
+
+
 def numeric_columns(df: DataFrame) -> list[str]:
     return [f.name for f in df.schema.fields if isinstance(f.dataType, NumericType)]
 
@@ -215,10 +235,10 @@ def top_k(df: DataFrame, k: int, order: list[Column]) -> DataFrame:
 def median_representative(df: DataFrame, group: str, value: str, key: str = ACCT) -> DataFrame:
     """Per group the (lowest-key) account whose value is the group's lower median.
 
-    The median comes from a bounded sketch per group; the account is found with a
-    join on (group, value) and a min — no group is sorted in one task."""
-    med = df.groupBy(group).agg(F.percentile_approx(F.col(value), 0.5, QUANTILE_ACCURACY).alias("_median"))
-    j = df.join(F.broadcast(med), group).where(F.col(value) == F.col("_median"))
+    The median is exact at any size; the account is found with a join on (group, value) and a
+    min — no group is sorted in one task."""
+    med = exact_quantiles(df, [value], [0.5], group, discrete=True).select(F.col(group).alias("_g"), F.col("value").alias("_median"))
+    j = df.join(med, F.col(group).eqNullSafe(F.col("_g")) & (F.col(value) == F.col("_median")))
     return j.groupBy(group).agg(F.min(key).alias(key), F.first("_median").alias(value))
 
 
@@ -235,7 +255,7 @@ def spend_heatmap_wide(cm: DataFrame, top_n: int = 200, months: list[str] | None
     when not given it is read from the data — one value per month, a bounded list."""
     sums = cm.groupBy(ACCT).agg(F.sum("total_spend").alias("_s"))
     top = top_k(sums, top_n, [F.col("_s").desc(), F.col(ACCT)]).select(ACCT)
-    rows = (cm.join(F.broadcast(top), ACCT, "left_semi")  # at most top_n keys
+    rows = (cm.join(top, ACCT, "left_semi")
             .withColumn("month_str", F.date_format("month", "yyyy-MM")))
     if months is None:
         months = sorted(r.month_str for r in rows.select("month_str").distinct().collect())
