@@ -8,11 +8,7 @@ from pyspark.sql import functions as F
 ACCT = "current_account_nbr"
 AMOUNT_TOLERANCE = 0.01  # fixed value: claim amount matches within one cent (strict <)
 
-# Claims are broadcast only below this row count (checked with a bounded count); above it
-# the join is a shuffle join salted into SALT_BUCKETS so that one hot (account, day) is
-# split over many tasks.
-BROADCAST_MAX_CLAIMS = 1_000_000
-SALT_BUCKETS = 16
+SALT_BUCKETS = 16  # parts of each (account, day) in the existence join
 
 
 def _claims(fraud_claim_tran: DataFrame) -> DataFrame:
@@ -21,68 +17,36 @@ def _claims(fraud_claim_tran: DataFrame) -> DataFrame:
                                    F.col("transaction_am").alias("_f_am"))
 
 
-def claims_fit_broadcast(fraud_claim_tran: DataFrame, max_rows: int = BROADCAST_MAX_CLAIMS) -> bool:
-    """Proven size bound: at most ``max_rows`` claim rows (reads at most max_rows + 1)."""
-    return fraud_claim_tran.limit(max_rows + 1).count() <= max_rows
+def txn_fraud_flag(transaction_base: DataFrame, fraud_claim_tran: DataFrame) -> DataFrame:
+    """Left join with the claims; as coded, a transaction matching two claims appears twice.
 
-
-def _salted_sides(t: DataFrame, f: DataFrame, buckets: int):
-    """Deterministic salt on the transaction side (hash of the row, stable under task
-    retries), claims replicated once per bucket."""
-    t = t.withColumn("_salt", F.pmod(F.xxhash64(*[F.col(c) for c in t.columns]), F.lit(buckets)))
-    f = f.withColumn("_f_salt", F.explode(F.sequence(F.lit(0), F.lit(buckets - 1))))
-    return t, f
-
-
-def _join_parts(transaction_base: DataFrame, fraud_claim_tran: DataFrame, max_rows: int, buckets: int):
-    t = transaction_base
-    f = _claims(fraud_claim_tran)
-    if claims_fit_broadcast(fraud_claim_tran, max_rows):
-        return t, F.broadcast(f), None
-    t, f = _salted_sides(t, f, buckets)
-    return t, f, (t["_salt"] == f["_f_salt"])
-
-
-def _claim_match(t: DataFrame, f: DataFrame):
-    """Equi keys (account, date) plus the amount band as residual predicate."""
-    return ((t[ACCT] == f["_f_acct"])
-            & (t["transaction_date"].cast("date") == f["_f_dt"])
-            & (F.abs(t["transaction_amt"] - f["_f_am"]) < F.lit(AMOUNT_TOLERANCE)))
-
-
-def txn_fraud_flag(transaction_base: DataFrame, fraud_claim_tran: DataFrame,
-                   broadcast_max_rows: int = BROADCAST_MAX_CLAIMS, salt_buckets: int = SALT_BUCKETS) -> DataFrame:
-    """Left join with the claims; as coded, a transaction matching two claims appears twice."""
-    cols = transaction_base.columns
-    t, f, salt = _join_parts(transaction_base, fraud_claim_tran, broadcast_max_rows, salt_buckets)
-    cond = _claim_match(t, f) if salt is None else (_claim_match(t, f) & salt)
-    j = t.join(f, cond, "left")
-    return j.select(*[t[c] for c in cols], F.when(f["_f_acct"].isNotNull(), 1).otherwise(0).alias("is_fraud_txn"))
+    One plan at every size: AQE broadcasts the claims if they measure small, and splits a hot
+    (account, day) of the sorted sides otherwise."""
+    t, f = transaction_base, _claims(fraud_claim_tran)
+    match = ((t[ACCT] == f["_f_acct"]) & (t["transaction_date"].cast("date") == f["_f_dt"])
+             & (F.abs(t["transaction_amt"] - f["_f_am"]) < F.lit(AMOUNT_TOLERANCE)))
+    j = t.join(f, match, "left")
+    return j.select(*[t[c] for c in t.columns], F.when(f["_f_acct"].isNotNull(), 1).otherwise(0).alias("is_fraud_txn"))
 
 
 def txn_fraud_flag_once(transaction_base: DataFrame, fraud_claim_tran: DataFrame,
-                        broadcast_max_rows: int = BROADCAST_MAX_CLAIMS, salt_buckets: int = SALT_BUCKETS) -> DataFrame:
-    """Same flag with exactly one row per transaction.
+                        salt_buckets: int = SALT_BUCKETS) -> DataFrame:
+    """Same flag with exactly one row per transaction: a correlated EXISTS, which Spark plans as
+    one existence join (one pass, no fan-out, no re-aggregation).
 
-    Broadcastable claims: a correlated EXISTS, which Spark plans as a single existence
-    join (one pass, no fan-out, no re-aggregation).  Larger claims: salted semi join
-    (flag 1) plus salted anti join (flag 0) on the same keys — both join types that AQE
-    can split further when a partition is still skewed."""
+    AQE does not split that kind of join, so it is salted always: a transaction's part is a hash of
+    its row (the same under task retries), and the few claims are repeated for each part."""
     spark = transaction_base.sparkSession
     cols = transaction_base.columns
-    t, f, salt = _join_parts(transaction_base, fraud_claim_tran, broadcast_max_rows, salt_buckets)
-    if salt is None:
-        col_list = ", ".join(f"t.`{c}`" for c in cols)
-        return spark.sql(f"""
-            SELECT {col_list}, CASE WHEN EXISTS (
-                SELECT 1 FROM {{f}} f
-                WHERE f._f_acct = t.{ACCT} AND f._f_dt = CAST(t.transaction_date AS DATE)
-                  AND abs(t.transaction_amt - f._f_am) < {AMOUNT_TOLERANCE}) THEN 1 ELSE 0 END AS is_fraud_txn
-            FROM {{t}} t""", t=t, f=f)
-    cond = _claim_match(t, f) & salt
-    hit = t.join(f, cond, "left_semi").select(*cols, F.lit(1).alias("is_fraud_txn"))
-    miss = t.join(f, cond, "left_anti").select(*cols, F.lit(0).alias("is_fraud_txn"))
-    return hit.unionByName(miss)
+    t = transaction_base.withColumn("_salt", F.pmod(F.xxhash64(*[F.col(c) for c in cols]), F.lit(salt_buckets)).cast("int"))
+    f = _claims(fraud_claim_tran).withColumn("_f_salt", F.explode(F.sequence(F.lit(0), F.lit(salt_buckets - 1))))
+    col_list = ", ".join(f"t.`{c}`" for c in cols)
+    return spark.sql(f"""
+        SELECT {col_list}, CASE WHEN EXISTS (
+            SELECT 1 FROM {{f}} f
+            WHERE f._f_acct = t.{ACCT} AND f._f_dt = CAST(t.transaction_date AS DATE) AND f._f_salt = t._salt
+              AND abs(t.transaction_amt - f._f_am) < {AMOUNT_TOLERANCE}) THEN 1 ELSE 0 END AS is_fraud_txn
+        FROM {{t}} t""", t=t, f=f)
 
 
 def anomaly_features(transaction_base: DataFrame) -> DataFrame:
