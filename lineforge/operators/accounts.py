@@ -16,7 +16,7 @@ from ..functions.status import impute_sentinel
 
 ACCT = "current_account_nbr"
 
-# Snapshot columns carried into the account base, in output order.
+# Snapshot columns carried into the account base, in output order.
 SNAPSHOT_COLUMNS = [
     "cu_bhv_scr", "ca_cash_bal_pct_crd_line", "ca_cash_bal_pct_cash_line", "cu_nbr_days_dlq",
     "cu_nbr_of_plastics", "ca_avg_utilz_lst_6_mnths", "cu_cash_line_am", "cu_crd_bureau_scr",

@@ -19,6 +19,7 @@ ADJUSTMENT_RULES = {3: 0.20, 2: 0.10, 1: 0.00, 0: -0.05}
 BALANCE_FLOOR = 1.10
 LINE_CAP = 1.50
 
+# Features of the credit model.
 CREDIT_FEATURES = [
     "cu_crd_line", "cu_cur_balance", "cu_otb",
     "ca_current_utilz", "ca_avg_utilz_lst_3_mnths", "ca_avg_utilz_lst_6_mnths",

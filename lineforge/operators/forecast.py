@@ -198,6 +198,7 @@ def regression_metrics(df: DataFrame, y: str, yhat: str, model: str | None = Non
     """MAE, RMSE (2 dp) and R^2 (4 dp) in one aggregate (no collect)."""
     from ..plans.reports import round_dp
     e = F.col(y).cast("double") - F.col(yhat).cast("double")
+    df = df.where(F.col(y).isNotNull() & F.col(yhat).isNotNull())  # n, variance and errors over the same rows
     stats = df.agg(F.avg(F.abs(e)).alias("_mae"), F.avg(e * e).alias("_mse"),
                    F.sum(e * e).alias("_ssr"), F.var_pop(F.col(y).cast("double")).alias("_var"),
                    F.count(F.lit(1)).alias("n"))

@@ -9,6 +9,7 @@ from .monthly import add_lag_features
 
 ACCT = "current_account_nbr"
 
+# The models' feature lists.
 STATIC_FEATURES = [
     "cu_bhv_scr", "cu_crd_bureau_scr",
     "ca_current_utilz", "ca_avg_utilz_lst_3_mnths",
@@ -42,11 +43,12 @@ TARGET = "total_spend"
 
 
 def q4_feature_matrix(cm: DataFrame, customer_base: DataFrame, cutoff_month: str,
-                      end_month: str | None = None, feature_set: str = "as_coded"):
+                      end_month: str | None = None, feature_set: str = "as_coded", drop_nulls: bool = True):
     """Adds lags/ratio if absent, left-joins the static account features, and returns
     ``(frame_with_split_column, feature_cols, target)``.  ``split`` is 'train' before the
     cutoff and 'test' from it (open-ended unless ``end_month`` is given); rows with a
-    null feature or target are dropped on both sides."""
+    null feature or target are dropped on both sides, unless ``drop_nulls`` is off (scoring of
+    every account: the fitted pipeline fills nulls with its training means)."""
     if "spend_lag_1" not in cm.columns:
         cm = add_lag_features(cm)
     static = [c for c in STATIC_FEATURES if c in customer_base.columns and c not in cm.columns]
@@ -67,7 +69,8 @@ def q4_feature_matrix(cm: DataFrame, customer_base: DataFrame, cutoff_month: str
     out = cm.withColumn("split", split)
     if end_month is not None:
         out = out.where(F.col("month") < F.to_date(F.lit(end_month)))
-    out = out.dropna(subset=features + [TARGET])
+    if drop_nulls:
+        out = out.dropna(subset=features + [TARGET])
     return out, features, TARGET
 
 
@@ -87,15 +90,52 @@ def month_in(df: DataFrame, months, col: str = "month") -> DataFrame:
     return df.where(F.date_format(F.col(col), "yyyy-MM").isin(list(months)))
 
 
-def hash_bucket(col: str = ACCT, buckets: int = 100):
-    """Reproducible bucket 0..buckets-1 from the first 32 bits of md5(key)."""
-    return F.pmod(F.conv(F.substring(F.md5(F.col(col).cast("string")), 1, 8), 16, 10).cast("long"),
-                  F.lit(buckets))
+def key_hash(col: str = ACCT, salt: str = ""):
+    """The first 32 bits of md5(salt, key)."""
+    key = F.col(col).cast("string")
+    return F.conv(F.substring(F.md5(F.concat(F.lit(salt), key) if salt else key), 1, 8), 16, 10).cast("long")
 
 
-def split_indicator(df: DataFrame, share: float, name: str = "is_holdout", key: str = ACCT) -> DataFrame:
+def hash_bucket(col: str = ACCT, buckets: int = 100, salt: str = ""):
+    """Reproducible bucket 0..buckets-1 of a key."""
+    return F.pmod(key_hash(col, salt), F.lit(buckets))
+
+
+def split_indicator(df: DataFrame, share: float, name: str = "is_holdout", key: str = ACCT, salt: str = "") -> DataFrame:
     """Holdout indicator for a share of keys (hash based: no global sort, no window)."""
-    return df.withColumn(name, hash_bucket(key) < F.lit(int(round(share * 100))))
+    return df.withColumn(name, hash_bucket(key, salt=salt) < F.lit(int(round(share * 100))))
+
+
+VALIDATION_SALT = "val|"  # the models' validation share is another split than their test share
+
+
+def validation_indicator(df: DataFrame, share: float = 0.2, name: str = "is_validation", key: str = ACCT) -> DataFrame:
+    """The validation share that the boosted models stop on."""
+    return split_indicator(df, share, name, key, VALIDATION_SALT)
+
+
+def stratified_split(df: DataFrame, label: str, share: float, name: str = "is_test", key: str = ACCT) -> DataFrame:
+    """Marks ``share`` of each label's rows (to the nearest row), in the order of the key's hash.
+
+    No label is sorted whole: rows are counted by label and hash prefix, the prefix with the cut is
+    found from the counts, and only that prefix's rows are ranked.  Keys are unique; rows with a
+    null label are not marked."""
+    step = 1 << 20  # 4,096 prefixes of the 32 bits
+    rows = df.withColumn("_h", key_hash(key)).withColumn("_p", F.floor(F.col("_h") / F.lit(step)))
+    counts = rows.groupBy(label, "_p").agg(F.count(F.lit(1)).alias("_c"))
+    one = Window.partitionBy(label)
+    cut = (counts.withColumns({"_n": F.sum("_c").over(one),
+                               "_b": F.coalesce(F.sum("_c").over(one.orderBy("_p").rowsBetween(
+                                   Window.unboundedPreceding, -1)), F.lit(0))})
+           .withColumn("_want", F.floor(F.col("_n") * F.lit(float(share)) + F.lit(0.5)))
+           .where("_b < _want and _want <= _b + _c")
+           .select(F.col(label).alias("_l"), F.col("_p").alias("_cut"), (F.col("_want") - F.col("_b")).alias("_rest")))
+    rows = rows.join(cut, F.col(label) == F.col("_l"), "left")
+    edge = (rows.where("_p = _cut").withColumn("_k", F.row_number().over(Window.partitionBy(label).orderBy("_h", key)))
+            .where("_k <= _rest").select(F.col(key).alias("_e")))
+    out = rows.join(edge, F.col(key) == F.col("_e"), "left")
+    marked = F.coalesce((F.col("_p") < F.col("_cut")) | F.col("_e").isNotNull(), F.lit(False))
+    return out.select(*df.columns, marked.alias(name))
 
 
 def sequence_windows(cm: DataFrame, seq_length: int = 9, horizon: int = 3, min_history: int = 12) -> DataFrame:

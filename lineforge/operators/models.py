@@ -14,13 +14,13 @@ from dataclasses import dataclass
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import RandomForestClassifier
 from pyspark.ml.clustering import KMeans
-from pyspark.ml.feature import VectorAssembler
+from pyspark.ml.feature import Imputer, VectorAssembler
 from pyspark.ml.regression import GBTRegressor
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..session import ensure_checkpoint_dir, materialise
-from .matrix import hash_bucket, zscore
+from .matrix import hash_bucket, stratified_split, validation_indicator, zscore
 from .segments import SEGMENTS
 
 ACCT = "current_account_nbr"
@@ -57,7 +57,7 @@ def with_double_features(df: DataFrame, features: list[str], zero_fill: bool = F
 
 
 def fit_gbt_early_stop(train: DataFrame, features: list[str], label: str, val_share: float = 0.2,
-                       settings: GBTSettings | None = None, key: str = ACCT, salt: str = "val"):
+                       settings: GBTSettings | None = None, key: str = ACCT):
     """Fit on the rows outside a hash-chosen validation share, pick the number of trees
     with the least validation MAE (``evaluateEachIteration``), refit to that length.
 
@@ -65,17 +65,19 @@ def fit_gbt_early_stop(train: DataFrame, features: list[str], label: str, val_sh
     s = settings or GBTSettings()
     ensure_checkpoint_dir(train.sparkSession)
     data = with_double_features(train, features).withColumn(label, F.col(label).cast("double"))
-    bucket = F.pmod(F.conv(F.substring(F.md5(F.concat(F.lit(salt + "|"), F.col(key).cast("string"))), 1, 8), 16, 10)
-                    .cast("long"), F.lit(100))
-    data = materialise(data.withColumn("_is_val", bucket < F.lit(int(round(val_share * 100)))), "gbt-input")
-    assembler = _assembler(features)
-    fit_rows = assembler.transform(data.where(~F.col("_is_val")))
-    val_rows = assembler.transform(data.where(F.col("_is_val")))
+    data = materialise(validation_indicator(data, val_share, "_is_val", key), "gbt-input")
+    # null policy of scoring: the means of the training rows, stored with the model
+    filled = [f"_filled_{c}" for c in features]
+    imputer = Imputer(inputCols=features, outputCols=filled, strategy="mean").fit(data.where(~F.col("_is_val")))
+    assembler = _assembler(filled)
+    ready = lambda rows: assembler.transform(imputer.transform(rows))
+    fit_rows = ready(data.where(~F.col("_is_val")))
+    val_rows = ready(data.where(F.col("_is_val")))
     first = _gbt("features", label, s, s.max_iter).fit(fit_rows)
     errs = first.evaluateEachIteration(val_rows, "absolute") if s.max_iter > 1 else [0.0]
     best = int(min(range(len(errs)), key=lambda i: errs[i])) + 1 if errs else s.max_iter
     model = first if best == s.max_iter else _gbt("features", label, s, best).fit(fit_rows)
-    return PipelineModel(stages=[assembler, model]), best, list(errs)
+    return PipelineModel(stages=[imputer, assembler, model]), best, list(errs)
 
 
 def predict_floor(model: PipelineModel, df: DataFrame, features: list[str], out: str = "prediction",
@@ -85,7 +87,7 @@ def predict_floor(model: PipelineModel, df: DataFrame, features: list[str], out:
     pred = F.col("prediction")
     if floor is not None:
         pred = F.greatest(pred, F.lit(floor))
-    return scored.withColumn(out, pred).drop("features")
+    return scored.withColumn(out, pred).drop("features", *[f"_filled_{c}" for c in features])
 
 
 def feature_importances(model: PipelineModel, features: list[str], top: int = 15) -> list[tuple[str, float]]:
@@ -102,18 +104,17 @@ def feature_importances(model: PipelineModel, features: list[str], top: int = 15
 def fit_segment_classifier(df: DataFrame, features: list[str], label: str = "segment_label",
                            test_share: float = 0.25, num_trees: int = 50, max_depth: int = 10,
                            min_instances: int = 5, seed: int = 42):
-    """Random forest on the rule labels with balanced class weights; hash-stratified
-    75/25 split (every class is split by the same key hash).  Returns
-    ``(model, predictions_on_test)`` with columns y_true, y_pred."""
+    """Random forest on the rule labels; 75/25 split stratified by label, class weights balanced
+    over the training rows.  Returns ``(model, predictions_on_test)`` with y_true, y_pred."""
     from .segments import class_weights
     ensure_checkpoint_dir(df.sparkSession)
     data = with_double_features(df.dropna(subset=features + [label]), features)
-    data = class_weights(data, label, "class_weight").withColumn("_is_test", hash_bucket(ACCT) < F.lit(int(test_share * 100)))
-    data = materialise(data, "classifier-input")  # the fit and the test scoring read the same rows
+    data = materialise(stratified_split(data, label, test_share, "_is_test"), "classifier-input")
+    train = class_weights(data.where(~F.col("_is_test")), label, "class_weight")
     rf = RandomForestClassifier(featuresCol="features", labelCol=label, weightCol="class_weight", numTrees=num_trees,
                                 maxDepth=max_depth, minInstancesPerNode=min_instances, seed=seed,
                                 checkpointInterval=10)
-    pipe = Pipeline(stages=[_assembler(features), rf]).fit(data.where(~F.col("_is_test")).withColumn(label, F.col(label).cast("double")))
+    pipe = Pipeline(stages=[_assembler(features), rf]).fit(train.withColumn(label, F.col(label).cast("double")))
     pred = pipe.transform(data.where(F.col("_is_test")))
     out = pred.select(ACCT, F.col(label).cast("int").alias("y_true"), F.col("prediction").cast("int").alias("y_pred"))
     return pipe, out
@@ -162,7 +163,7 @@ def classification_report(pred: DataFrame, labels=tuple(sorted(SEGMENTS))) -> Da
                       F.col("support").cast("long").alias("support"))
 
 
-def kmeans_clusters(df: DataFrame, features: list[str], k: int = 6, seeds=(42, 43, 44), max_iter: int = 20):
+def kmeans_clusters(df: DataFrame, features: list[str], k: int = 6, seeds=tuple(range(42, 52)), max_iter: int = 20):
     """k-means on zero-filled z-scored features; the run with the lowest training cost
     over ``seeds`` wins.  Returns ``(frame with cluster_id, model, cost)``."""
     z = zscore(df, features, keep=(ACCT,))

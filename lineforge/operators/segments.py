@@ -18,6 +18,7 @@ SEGMENTS = {
     2: "Eligible - With Risk",
     3: "Eligible - No Risk",
 }
+# Inputs of the rules and features of the classifier.
 RULE_INPUTS = [
     "ca_current_utilz", "cu_nbr_days_dlq", "ca_nsf_count_lst_12_months", "has_fraud_case",
     "delinquent_cycle_count", "max_delinquency_level", "sales_trend_slope", "avg_monthly_sales_6m",
@@ -73,11 +74,10 @@ def assign_rule_based_segments(df: DataFrame) -> DataFrame:
 
 def class_weights(df: DataFrame, label: str = "segment_label", weight: str = "class_weight") -> DataFrame:
     """``n / (k * n_c)`` per row (balanced class weights) from two small aggregates."""
-    # one row per class: the table is bounded by the number of labels, so the global
-    # window and the broadcast below are bounded too
+    # one row per class: the global window is over the labels
     counts = df.groupBy(label).agg(F.count(F.lit(1)).alias("_n_c"))
     everything = Window.partitionBy()
     per = counts.withColumns({"_n": F.sum("_n_c").over(everything),
                               "_k": F.count(F.lit(1)).over(everything)})
     per = per.select(label, (F.col("_n") / (F.col("_k") * F.col("_n_c"))).alias(weight))
-    return df.join(F.broadcast(per), label, "left")
+    return df.join(per, label, "left")

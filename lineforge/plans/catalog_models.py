@@ -11,9 +11,9 @@ from pyspark.sql import functions as F
 
 from ..operators import contributions as C
 from ..operators import credit, forecast, iforest, matrix, models, risk, segments
-from .catalog import ACCT, register
+from .catalog import register
 from .catalog_reports import ANOMALY_COLS, _q4_frame, _q4_oracle_body, _r
-from .context import CUTOFF_MONTH, context, finish
+from .context import ACCT, CUTOFF_MONTH, QUARTER_END, QUARTER_MONTHS, context, finish
 from .oracle import q
 from ..session import materialise
 
@@ -63,7 +63,7 @@ def _metrics_sql(src: str, y: str, yhat: str, model: str) -> str:
     e = f"(CAST({y} AS DOUBLE) - CAST({yhat} AS DOUBLE))"
     return (f"SELECT '{model}' AS model, {_r(f'AVG(ABS({e}))', 2)} AS mae, {_r(f'SQRT(AVG({e} * {e}))', 2)} AS rmse, "
             f"{_r(f'CASE WHEN VAR_POP(CAST({y} AS DOUBLE)) > 0 THEN 1.0 - SUM({e} * {e}) / (VAR_POP(CAST({y} AS DOUBLE)) * COUNT(*)) END', 4)} AS r2, "
-            f"COUNT(*) AS n FROM ({src})")
+            f"COUNT(*) AS n FROM (SELECT * FROM ({src}) WHERE {y} IS NOT NULL AND {yhat} IS NOT NULL)")
 
 
 def _series(ctx):
@@ -161,39 +161,57 @@ def q_holt_estimated(spark, sf_dir):
 _HE_BEST = """SELECT current_account_nbr, fc FROM (
   SELECT *, ROW_NUMBER() OVER (PARTITION BY current_account_nbr ORDER BY sse, fc, alpha, beta) AS k FROM he_final)
   WHERE k = 1"""
-_HE_ACTUAL = f"""SELECT current_account_nbr, SUM(total_spend) AS actual_q4_spend FROM customer_monthly
-  WHERE month >= DATE '{CUTOFF_MONTH}' GROUP BY current_account_nbr"""
 
+# what a quarter's forecast is held against: all months from the cutoff (as coded), or the quarter
+WINDOWS = {"open_end": None, "quarter": QUARTER_END}
 
-@register("holt_estimated_metrics", q(_metrics_sql(
-    f"SELECT h.fc, a.actual_q4_spend FROM ({_HE_BEST}) h JOIN ({_HE_ACTUAL}) a "
-    "ON h.current_account_nbr = a.current_account_nbr", "actual_q4_spend", "fc", "holt_estimated"),
-    "customer_monthly", recursive=True, extra=_holt_est_rec(forecast.DEFAULT_GRID)))
+
+def _actual_sql(end: str | None) -> str:
+    until = f" AND month < DATE '{end}'" if end else ""
+    return (f"SELECT current_account_nbr, SUM(total_spend) AS actual_q4_spend FROM customer_monthly "
+            f"WHERE month >= DATE '{CUTOFF_MONTH}'{until} GROUP BY current_account_nbr")
+
+
+def _actual(ctx, end: str | None):
+    rows = ctx.cm.where(F.col("month") >= F.to_date(F.lit(CUTOFF_MONTH)))
+    if end:
+        rows = rows.where(F.col("month") < F.to_date(F.lit(end)))
+    return rows.groupBy(ACCT).agg(F.sum("total_spend").cast("double").alias("actual_q4_spend"))
+
+
+def _each_window(make):
+    """The frames of all windows, one under the other."""
+    out = None
+    for name, end in WINDOWS.items():
+        df = make(name, end)
+        out = df if out is None else out.unionByName(df)
+    return out
+
+
+@register("holt_estimated_metrics", q("\nUNION ALL\n".join(
+    "SELECT '" + w + "' AS actuals, * FROM (" + _metrics_sql(
+        f"SELECT h.fc, a.actual_q4_spend FROM ({_HE_BEST}) h JOIN ({_actual_sql(end)}) a "
+        "ON h.current_account_nbr = a.current_account_nbr", "actual_q4_spend", "fc", "holt_estimated") + ")"
+    for w, end in WINDOWS.items()), "customer_monthly", recursive=True, extra=_holt_est_rec(forecast.DEFAULT_GRID)))
 def q_holt_estimated_metrics(spark, sf_dir):
     ctx = context(spark, sf_dir)
     hw = _memo(ctx, "holt_est", lambda: forecast.holt_estimated(_series(ctx)))
-    actual = (ctx.cm.where(F.col("month") >= F.to_date(F.lit(CUTOFF_MONTH))).groupBy(ACCT)
-              .agg(F.sum("total_spend").alias("actual_q4_spend")))
-    return forecast.regression_metrics(hw.join(actual, ACCT, "inner"), "actual_q4_spend", "hw_predicted_q4_spend",
-                                       "holt_estimated")
-
-
-_ACTUAL = f"""SELECT current_account_nbr, SUM(total_spend) AS actual_q4_spend FROM customer_monthly
-  WHERE month >= DATE '{CUTOFF_MONTH}' GROUP BY current_account_nbr"""
+    return _each_window(lambda w, end: forecast.regression_metrics(
+        hw.join(_actual(ctx, end), ACCT, "inner"), "actual_q4_spend", "hw_predicted_q4_spend", "holt_estimated")
+        .withColumn("actuals", F.lit(w)))
 
 
-@register("hw_eval_join", q(f"""
-SELECT h.current_account_nbr, {_r('h.fc', 4)} AS hw_predicted_q4_spend, CAST(a.actual_q4_spend AS DOUBLE) AS actual_q4_spend
-FROM ({_HOLT_BEST}) h JOIN ({_ACTUAL}) a ON h.current_account_nbr = a.current_account_nbr""",
+@register("hw_eval_join", q("\nUNION ALL\n".join(f"""
+SELECT '{w}' AS actuals, h.current_account_nbr, {_r('h.fc', 4)} AS hw_predicted_q4_spend,
+  CAST(a.actual_q4_spend AS DOUBLE) AS actual_q4_spend
+FROM ({_HOLT_BEST}) h JOIN ({_actual_sql(end)}) a ON h.current_account_nbr = a.current_account_nbr""" for w, end in WINDOWS.items()),
                             "customer_monthly", recursive=True, extra=_holt_rec(forecast.DEFAULT_GRID)))
 def q_hw_eval_join(spark, sf_dir):
     from .reports import round_dp
     ctx = context(spark, sf_dir)
     hw = _memo(ctx, "holt", lambda: forecast.holt_forecast(_series(ctx)))
-    actual = (ctx.cm.where(F.col("month") >= F.to_date(F.lit(CUTOFF_MONTH))).groupBy(ACCT)
-              .agg(F.sum("total_spend").cast("double").alias("actual_q4_spend")))
-    return hw.join(actual, ACCT, "inner").select(
-        ACCT, round_dp("hw_predicted_q4_spend", 4).alias("hw_predicted_q4_spend"), "actual_q4_spend")
+    return _each_window(lambda w, end: hw.join(_actual(ctx, end), ACCT, "inner").select(
+        F.lit(w).alias("actuals"), ACCT, round_dp("hw_predicted_q4_spend", 4).alias("hw_predicted_q4_spend"), "actual_q4_spend"))
 
 
 _TEST_ROWS = _q4_oracle_body("current_account_nbr, month, split, total_spend, spend_lag_1, spend_rolling_mean_3")
@@ -206,28 +224,41 @@ def q_regression_metrics(spark, sf_dir):
     return forecast.regression_metrics(df.where(F.col("split") == "test"), "total_spend", "spend_lag_1", "naive_lag_1")
 
 
+_HOLT_ROWS = {w: (f"SELECT h.fc, a.actual_q4_spend FROM ({_HOLT_BEST}) h JOIN ({_actual_sql(end)}) a "
+                 "ON h.current_account_nbr = a.current_account_nbr") for w, end in WINDOWS.items()}
+
+
 @register("comparison_table", q(f"""
 SELECT *, ROW_NUMBER() OVER (ORDER BY mae ASC NULLS LAST, model) = 1 AS is_best FROM (
 {_metrics_sql(f"SELECT * FROM ({_TEST_ROWS}) WHERE split = 'test'", "total_spend", "spend_lag_1", "naive_lag_1")}
 UNION ALL
 {_metrics_sql(f"SELECT * FROM ({_TEST_ROWS}) WHERE split = 'test'", "total_spend", "spend_rolling_mean_3", "rolling_mean_3")}
 UNION ALL
-{_metrics_sql(f"SELECT h.fc, a.actual_q4_spend FROM ({_HOLT_BEST}) h JOIN ({_ACTUAL}) a ON h.current_account_nbr = a.current_account_nbr",
-              "actual_q4_spend", "fc", "holt")})""", "cm_lags", "customer_base", recursive=True,
+{_metrics_sql(_HOLT_ROWS["open_end"], "actual_q4_spend", "fc", "holt")}
+UNION ALL
+{_metrics_sql(_HOLT_ROWS["quarter"], "actual_q4_spend", "fc", "holt_quarter")})""", "cm_lags", "customer_base", recursive=True,
                                 extra=_holt_rec(forecast.DEFAULT_GRID)))
 def q_comparison_table(spark, sf_dir):
+    return forecast.comparison_table(_simple_metrics(spark, sf_dir))
+
+
+def _simple_metrics(spark, sf_dir) -> list:
     ctx = context(spark, sf_dir)
     df, _, _ = _q4_frame(spark, sf_dir)
     test = df.where(F.col("split") == "test")
     hw = _memo(ctx, "holt", lambda: forecast.holt_forecast(_series(ctx)))
-    actual = (ctx.cm.where(F.col("month") >= F.to_date(F.lit(CUTOFF_MONTH))).groupBy(ACCT)
-              .agg(F.sum("total_spend").alias("actual_q4_spend")))
-    hw_eval = hw.join(actual, ACCT, "inner")
-    return forecast.comparison_table([
-        forecast.regression_metrics(test, "total_spend", "spend_lag_1", "naive_lag_1"),
-        forecast.regression_metrics(test, "total_spend", "spend_rolling_mean_3", "rolling_mean_3"),
-        forecast.regression_metrics(hw_eval, "actual_q4_spend", "hw_predicted_q4_spend", "holt"),
-    ])
+    held = lambda end, name: forecast.regression_metrics(
+        hw.join(_actual(ctx, end), ACCT, "inner"), "actual_q4_spend", "hw_predicted_q4_spend", name)
+    return [forecast.regression_metrics(test, "total_spend", "spend_lag_1", "naive_lag_1"),
+            forecast.regression_metrics(test, "total_spend", "spend_rolling_mean_3", "rolling_mean_3"),
+            held(None, "holt"), held(QUARTER_END, "holt_quarter")]
+
+
+@register("model_comparison")
+def q_model_comparison(spark, sf_dir):
+    """The comparison with the fitted models in it (boosted trees, sequence regression)."""
+    fitted = [q_spend_gbt(spark, sf_dir).drop("trees"), q_sequence_forecast(spark, sf_dir)]
+    return forecast.comparison_table(_simple_metrics(spark, sf_dir) + fitted)
 
 
 @register("forecast_vs_actual", q(f"""
@@ -409,14 +440,22 @@ def q_spend_gbt(spark, sf_dir):
 
 @register("predict_q4")
 def q_predict_q4(spark, sf_dir):
+    """Every account with rows in the quarter: missing features are the training rows' means."""
     ctx = context(spark, sf_dir)
     model, feats, _ = _spend_model(ctx, spark, sf_dir)
-    df, _, _ = _q4_frame(spark, sf_dir)
-    quarter = matrix.month_in(df, ("2000-10", "2000-11", "2000-12"))
-    pred = models.predict_floor(model, quarter, feats)
+    rows, _, _ = matrix.q4_feature_matrix(ctx.cm_lags, ctx.base, CUTOFF_MONTH, drop_nulls=False)
+    pred = models.predict_floor(model, matrix.month_in(rows, QUARTER_MONTHS), feats)
     return pred.groupBy(ACCT).agg(F.sum("prediction").alias("xgb_predicted_q4_spend"))
 
 
+@register("predict_q4_accounts", q(f"""
+SELECT current_account_nbr, TRUE AS predicted FROM customer_monthly
+WHERE strftime(month, '%Y-%m') IN ({', '.join(repr(m) for m in QUARTER_MONTHS)}) GROUP BY current_account_nbr""", "customer_monthly"))
+def q_predict_q4_accounts(spark, sf_dir):
+    """The accounts that ``predict_q4`` gives a number to."""
+    return q_predict_q4(spark, sf_dir).select(ACCT, (F.col("xgb_predicted_q4_spend") >= 0).alias("predicted"))
+
+
 @register("forecast_by_account")
 def q_forecast_by_account(spark, sf_dir):
     return finish(_q4_forecast(context(spark, sf_dir), spark, sf_dir))
@@ -543,7 +582,7 @@ def q_contribution_waterfall(spark, sf_dir):
     from . import reports as R
     p = _pipeline(context(spark, sf_dir), spark, sf_dir)
     reps = R.median_representative(p["final"], "segment_name", "adjustment_delta").select("segment_name", ACCT)
-    rows = p["adj"].join(F.broadcast(reps), ACCT, "left_semi")  # one account per segment
+    rows = p["adj"].join(reps, ACCT, "left_semi")
     contrib = C.explain(rows, p["model"].stages[-1], p["features"])
     return C.account_breakdown(contrib, p["features"]).join(reps, ACCT)
 
@@ -568,7 +607,7 @@ def q_forest_sink(spark, sf_dir):
     from ..session import scratch_path
     ctx = context(spark, sf_dir)
     feats = materialise(ctx.anomaly_features.select(ACCT, *ANOMALY_COLS), "forest-input")
-    nodes, meta = iforest.fit_isolation_forest(feats, ANOMALY_COLS, n_trees=50)
+    nodes, meta = iforest.fit_isolation_forest(feats, ANOMALY_COLS)
     nodes = materialise(nodes, "forest-nodes")
     path = iforest.save_forest(nodes, meta, scratch_path(spark, "forest"))
     again, meta2 = iforest.load_forest(spark, path)
@@ -579,47 +618,48 @@ def q_forest_sink(spark, sf_dir):
 
 @register("model_sink")
 def q_model_sink(spark, sf_dir):
+    """Spend model, classifier and credit adjuster, each saved, loaded and held against the fitted one."""
     from pyspark.ml import PipelineModel
     from ..session import scratch_path
     ctx = context(spark, sf_dir)
-    model, feats, _ = _spend_model(ctx, spark, sf_dir)
-    path = scratch_path(spark, "spend-model")
-    model.write().overwrite().save(path)
-    again = PipelineModel.load(path)
+    spend, feats, _ = _spend_model(ctx, spark, sf_dir)
     df, _, _ = _q4_frame(spark, sf_dir)
-    test = df.where(F.col("split") == "test")
-    a = models.predict_floor(model, test, feats).select(ACCT, "month", F.col("prediction").alias("p_fitted"))
-    b = models.predict_floor(again, test, feats).select(ACCT, "month", F.col("prediction").alias("p_reloaded"))
-    return a.join(b, [ACCT, "month"]).withColumn("equal", F.col("p_fitted") == F.col("p_reloaded"))
-
+    run = _pipeline(ctx, spark, sf_dir)
+    classifier, _, cfeats = _classifier(ctx)
+    clustered, _, _ = _kmeans(ctx)
+    # name: model, rows to score, features, what identifies a row
+    cases = {"spend": (spend, df.where(F.col("split") == "test").withColumn("row", F.concat_ws("|", ACCT, "month")), feats),
+             "credit": (run["model"], run["adj"].dropna(subset=run["features"]).withColumn("row", F.col(ACCT)), run["features"]),
+             "classifier": (classifier, clustered.dropna(subset=cfeats).withColumn("row", F.col(ACCT)), cfeats)}
+    out = None
+    for name, (model, rows, features) in cases.items():
+        path = scratch_path(spark, f"{name}-model")
+        model.write().overwrite().save(path)
+        scored = lambda m: models.predict_floor(m, rows, features, floor=None)
+        a = scored(model).select("row", F.col("prediction").alias("p_fitted"))
+        b = scored(PipelineModel.load(path)).select("row", F.col("prediction").alias("p_reloaded"))
+        one = a.join(b, "row").select(F.lit(name).alias("model"), "row", "p_fitted", "p_reloaded",
+                                      (F.col("p_fitted") == F.col("p_reloaded")).alias("equal"))
+        out = one if out is None else out.unionByName(one)
+    return out
 
 
 # ---------------------------------------------------------------------------------------
 # Structured Streaming form of the monthly transaction aggregate
 # ---------------------------------------------------------------------------------------
 
-STREAM_DELAY_DAYS = 40
-
-
-@register("txn_monthly_stream", q(f"""
+@register("txn_monthly_stream", q("""
 SELECT current_account_nbr, txn_month, CAST(total_spend AS DOUBLE) AS total_spend, txn_count, avg_txn_amt,
   CAST(max_txn_amt AS DOUBLE) AS max_txn_amt, CAST(total_cash_advance AS DOUBLE) AS total_cash_advance,
   CAST(total_returns AS DOUBLE) AS total_returns, CAST(total_markup_fees AS DOUBLE) AS total_markup_fees,
-  CAST(total_foreign_txn_amt AS DOUBLE) AS total_foreign_txn_amt, first_purchase_count FROM txn_monthly
-WHERE txn_month < (SELECT MAX(txn_month) FROM txn_monthly) - INTERVAL {STREAM_DELAY_DAYS} DAY""", "txn_monthly"))
+  CAST(total_foreign_txn_amt AS DOUBLE) AS total_foreign_txn_amt, first_purchase_count FROM txn_monthly""", "txn_monthly"))
 def q_txn_monthly_stream(spark, sf_dir):
-    """The transaction folder replayed as a stream (available-now trigger): every month the
-    watermark has closed is appended to a Parquet sink, which is read back."""
+    """The transaction folder replayed as a stream (available-now trigger), all months."""
     from ..session import scratch_path
     from ..sources.fixtures import input_path
-    from ..streaming.monthly import start_txn_monthly_stream
+    from ..streaming.monthly import merged_months, start_txn_monthly_stream
     source = input_path(spark, sf_dir, "transaction_base")
     schema = spark.read.parquet(source).schema
     sink = scratch_path(spark, "stream-monthly")
-    query = start_txn_monthly_stream(spark, source, schema, sink, scratch_path(spark, "stream-state"),
-                                     delay=f"{STREAM_DELAY_DAYS} days")
-    query.awaitTermination()
-    cols = ["current_account_nbr", "txn_month", "total_spend", "txn_count", "avg_txn_amt", "max_txn_amt",
-            "total_cash_advance", "total_returns", "total_markup_fees", "total_foreign_txn_amt",
-            "first_purchase_count"]
-    return finish(spark.read.parquet(sink).select(*cols))
+    start_txn_monthly_stream(spark, source, schema, sink, scratch_path(spark, "stream-state")).awaitTermination()
+    return finish(merged_months(spark.read.parquet(sink)))

@@ -197,7 +197,7 @@ def q_segment_profile(spark, sf_dir):
 
 
 @register("risk_by_segment", q(_describe_sql("risk", ["risk_score"], ["count", "mean", "std", "min", "p25", "p50", "p75", "max"],
-                                             digits=2, group="segment_name", round_all=True), "risk"))
+                                             digits=2, group="segment_name", round_all=True, interpolate=True), "risk"))
 def q_risk_by_segment(spark, sf_dir):
     return R.grouped_summary(context(spark, sf_dir).risk, "segment_name", "risk_score", 2)
 
@@ -308,42 +308,61 @@ ANOMALY_COLS = ["total_spend", "txn_count", "avg_txn_amt", "max_txn_amt", "total
                 "first_purchase_count"]
 
 
-def _corr_sql(table: str, cols) -> str:
-    parts = []
-    for i, a in enumerate(cols):
-        for b in cols[i + 1:]:
-            xa = f"CASE WHEN {b} IS NOT NULL THEN CAST({a} AS DOUBLE) END"
-            xb = f"CASE WHEN {a} IS NOT NULL THEN CAST({b} AS DOUBLE) END"
-            r = f"COVAR_POP({xa}, {xb}) / NULLIF(STDDEV_POP({xa}) * STDDEV_POP({xb}), 0)"
-            parts.append(f"SELECT '{a}' AS col_a, '{b}' AS col_b, {_r(f'ABS({r})', 4)} AS abs_corr FROM {table}")
-    return "\nUNION ALL\n".join(parts)
+# numeric columns of the account base, in its order
+BASE_NUMERIC = [c for c in _base_columns() if c not in (
+    "current_account_nbr", "payment_hist_1_12_mths", "card_activation_date", "external_status_reason_code", "market_segment",
+    "cu_line_incr_excl_flag", "rb_crd_gr_new_crd_gr", "cu_processing_date")]
+
+
+def _corr_sql(table: str, cols, digits: int | None = 4) -> str:
+    """Every pair's |r| by DuckDB's own correlation over long-form cells, null where a column does
+    not vary over the pair's rows."""
+    cells = ", ".join(f"{{'i': {i}, 'x': CAST({c} AS DOUBLE)}}" for i, c in enumerate(cols))
+    names = "[" + ", ".join(f"'{c}'" for c in cols) + "]"
+    r = "CASE WHEN MIN(a.x) < MAX(a.x) AND MIN(b.x) < MAX(b.x) THEN ABS(CORR(a.x, b.x)) END"
+    return f"""
+SELECT {names}[g.i + 1] AS col_a, {names}[g.j + 1] AS col_b, {_r('m.r', digits) if digits is not None else 'm.r'} AS abs_corr
+FROM (SELECT x.i AS i, y.i AS j FROM range({len(cols)}) x(i) JOIN range({len(cols)}) y(i) ON x.i < y.i) g
+LEFT JOIN (
+  WITH cell AS (SELECT rid, p.i AS i, p.x AS x FROM (
+    SELECT rid, unnest([{cells}]) AS p FROM (SELECT *, ROW_NUMBER() OVER () AS rid FROM {table})) WHERE p.x IS NOT NULL)
+  SELECT a.i AS i, b.i AS j, {r} AS r FROM cell a JOIN cell b ON a.rid = b.rid AND a.i < b.i GROUP BY a.i, b.i) m
+ON g.i = m.i AND g.j = m.j"""
 
 
-@register("correlation_matrix", q(_corr_sql("anomaly_features", ANOMALY_COLS), "anomaly_features"))
+@register("correlation_matrix", q(_corr_sql("customer_base", BASE_NUMERIC), "customer_base"))
 def q_correlation_matrix(spark, sf_dir):
-    return R.correlation_pairs(context(spark, sf_dir).anomaly_features, ANOMALY_COLS)
+    return R.correlation_pairs(finish(context(spark, sf_dir).base), BASE_NUMERIC)
 
 
 @register("drop_correlated", q(f"""
-SELECT c.column_name, COALESCE(MAX(p.abs_corr > 0.85), FALSE) AS dropped, c.position
-FROM (SELECT * FROM (VALUES {', '.join(f"('{c}', {i})" for i, c in enumerate(ANOMALY_COLS))}) v(column_name, position)) c
-LEFT JOIN ({_corr_sql('anomaly_features', ANOMALY_COLS)}) p ON p.col_a = c.column_name
-GROUP BY c.column_name, c.position""", "anomaly_features"))
+SELECT c.column_name, COALESCE(bool_or(p.abs_corr > 0.85), FALSE) AS dropped, c.position
+FROM (SELECT * FROM (VALUES {', '.join(f"('{c}', {i})" for i, c in enumerate(BASE_NUMERIC))}) v(column_name, position)) c
+LEFT JOIN ({_corr_sql('customer_base', BASE_NUMERIC, None)}) p ON p.col_a = c.column_name
+GROUP BY c.column_name, c.position""", "customer_base"))
 def q_drop_correlated(spark, sf_dir):
-    return R.correlated_drops(context(spark, sf_dir).anomaly_features, ANOMALY_COLS, 0.85)
+    _, verdicts = R.drop_correlated(finish(context(spark, sf_dir).base).select(*BASE_NUMERIC), 0.85)
+    return verdicts
 
 
-BASE_MISSING_COLS = ["confidence_level", "cu_bhv_scr", "cu_crd_bureau_scr", "cu_line_incr_excl_flag", "max_fraud_amt",
-                     "external_status_reason_code", "payment_hist_1_12_mths", "cu_processing_date"]
+@register("pruned_base", q("SELECT * FROM (" + "\nUNION ALL\n".join(
+    f"SELECT '{c}' AS column_name, COUNT({c}) AS non_null FROM customer_base" for c in BASE_NUMERIC) + f""") k
+WHERE column_name NOT IN (SELECT p.col_a FROM ({_corr_sql('customer_base', BASE_NUMERIC, None)}) p WHERE p.abs_corr > 0.85)
+  AND non_null >= 0.3 * (SELECT COUNT(*) FROM customer_base)""", "customer_base"))
+def q_pruned_base(spark, sf_dir):
+    """The base's numeric columns that both prunings leave, counted in the pruned frame."""
+    base = finish(context(spark, sf_dir).base).select(*BASE_NUMERIC)
+    few, _ = R.drop_correlated(base, 0.85)
+    left, _ = R.drop_high_missing(few, 0.70)
+    return R.non_null_counts(left, left.columns).select("column_name", "non_null")
 
 
 @register("drop_high_missing", q("\nUNION ALL\n".join(
     f"SELECT '{c}' AS column_name, AVG(CASE WHEN {c} IS NULL THEN 1.0 ELSE 0.0 END) AS missing_share, "
-    f"AVG(CASE WHEN {c} IS NULL THEN 1.0 ELSE 0.0 END) > 0.7 AS dropped FROM customer_base" for c in BASE_MISSING_COLS),
+    f"AVG(CASE WHEN {c} IS NULL THEN 1.0 ELSE 0.0 END) > 0.7 AS dropped FROM customer_base" for c in _base_columns()),
                                  "customer_base"))
 def q_drop_high_missing(spark, sf_dir):
-    base = finish(context(spark, sf_dir).base).select(*BASE_MISSING_COLS)
-    _, verdicts = R.drop_high_missing(base, 0.70)
+    _, verdicts = R.drop_high_missing(finish(context(spark, sf_dir).base), 0.70)
     return verdicts
 
 
@@ -448,28 +467,28 @@ def q_sequence_windows(spark, sf_dir):
     return matrix.sequence_windows(context(spark, sf_dir).cm)
 
 
-_BUCKET = "(CAST(('0x' || substr(md5(CAST(current_account_nbr AS VARCHAR)), 1, 8)) AS BIGINT) % 100)"
+def _hash(salt: str = "") -> str:
+    return f"CAST(('0x' || substr(md5('{salt}' || CAST(current_account_nbr AS VARCHAR)), 1, 8)) AS BIGINT)"
 
 
 @register("validation_tail", q(f"""
-SELECT current_account_nbr, month, {_BUCKET} < 20 AS is_validation FROM ({_q4_oracle_body('current_account_nbr, month, split')})
-WHERE split = 'train'""", "cm_lags", "customer_base"))
+SELECT current_account_nbr, month, {_hash(matrix.VALIDATION_SALT)} % 100 < 20 AS is_validation
+FROM ({_q4_oracle_body('current_account_nbr, month, split')}) WHERE split = 'train'""", "cm_lags", "customer_base"))
 def q_validation_tail(spark, sf_dir):
     df, _, _ = _q4_frame(spark, sf_dir)
-    train = df.where(F.col("split") == "train").select(ACCT, "month")
-    return matrix.split_indicator(train, 0.20, "is_validation")
+    return matrix.validation_indicator(df.where(F.col("split") == "train").select(ACCT, "month"), 0.20)
 
 
-@register("random_split", q(f"SELECT current_account_nbr, {_BUCKET} < 25 AS is_test FROM rule_adj", "rule_adj"))
+@register("random_split", q(f"SELECT current_account_nbr, {_hash()} % 100 < 25 AS is_test FROM rule_adj", "rule_adj"))
 def q_random_split(spark, sf_dir):
     return matrix.split_indicator(context(spark, sf_dir).rule_adj.select(ACCT), 0.25, "is_test")
 
 
 @register("stratified_split", q(f"""
-SELECT current_account_nbr, segment_label, {_BUCKET} < 25 AS is_test FROM segments""", "segments"))
+SELECT current_account_nbr, segment_label, ROW_NUMBER() OVER (PARTITION BY segment_label ORDER BY {_hash()}, current_account_nbr)
+  <= FLOOR(COUNT(*) OVER (PARTITION BY segment_label) * 0.25 + 0.5) AS is_test FROM segments""", "segments"))
 def q_stratified_split(spark, sf_dir):
-    s = context(spark, sf_dir).segments.select(ACCT, "segment_label")
-    return matrix.split_indicator(s, 0.25, "is_test")
+    return matrix.stratified_split(context(spark, sf_dir).segments.select(ACCT, "segment_label"), "segment_label", 0.25)
 
 
 @register("class_weights", q("""
@@ -558,6 +577,10 @@ def q_not_null_filter(spark, sf_dir):
     return a.unionByName(b)
 
 
+_LOADED = ("current_account_nbr", "transaction_id", "transaction_date", "transaction_amt", "transaction_code", "frgn_curr_code",
+           "first_purchase_ind", "source_table")
+
+
 @register("load_pipeline", q("\nUNION ALL\n".join(
     f"SELECT '{n}' AS table_name, CAST({v} AS BIGINT) AS expected, "
     f"(SELECT COUNT(*) FROM {n}) AS actual, (SELECT COUNT(*) FROM {n}) - {v} AS diff, "
@@ -566,11 +589,22 @@ def q_not_null_filter(spark, sf_dir):
 def q_load_pipeline(spark, sf_dir):
     """Full load path: every source table is exported as headered CSV, loaded back with
     its fixed schema (corrupt-row split), unioned, and audited against expected counts."""
+    return ingest.row_count_audit(spark, _csv_round_trip(spark, sf_dir))
+
+
+def _csv_round_trip(spark, sf_dir):
     t = context(spark, sf_dir).t
     base = scratch_path(spark, "csv-extracts")
     schemas = {}
     for name in ingest.SOURCE_TABLES:
         ingest.write_csv(t[name], f"{base}/{name}.csv")
         schemas[name] = t[name].schema
-    loaded = ingest.load_tables(spark, base, schemas)
-    return ingest.row_count_audit(spark, loaded)
+    return ingest.load_tables(spark, base, schemas)
+
+
+@register("load_pipeline_values", q(f"""
+SELECT {', '.join('CAST(transaction_amt AS DOUBLE) AS transaction_amt' if c == 'transaction_amt' else c for c in _LOADED)}
+FROM transaction_base""", "transaction_base"))
+def q_load_pipeline_values(spark, sf_dir):
+    """The transactions' values after the CSV round trip, empty text told from null."""
+    return finish(_csv_round_trip(spark, sf_dir)["transaction_base"].select(*_LOADED))

@@ -14,7 +14,9 @@ from pyspark.sql.types import DecimalType
 
 from ..operators import accounts, credit, fraud, monthly, risk, segments
 from ..session import materialise
-from ..sources.fixtures import input_tables
+from ..sources.fixtures import input_tables, session_key
+
+ACCT = "current_account_nbr"
 
 # Fixed values for the test data: the forecast quarter (FIXTURES.md section 3).
 CUTOFF_MONTH = "2000-10-01"
@@ -102,16 +104,19 @@ class Context:
 
     @cached_property
     def final_recs(self) -> DataFrame:
-        """Final recommendation chain with the rule delta standing in for the model delta."""
-        staged = self.rule_adj_fc.withColumn("predicted_adjustment_delta", F.col("rule_adjustment_delta"))
+        """Final recommendation chain with a delta from the account's hash standing in for the
+        model's: of both signs, up to twice the line, so that every branch is taken."""
+        h = F.conv(F.substring(F.md5(F.concat(F.lit("delta|"), F.col(ACCT))), 1, 4), 16, 10).cast("long")
+        staged = self.rule_adj_fc.withColumn(
+            "predicted_adjustment_delta", F.col("cu_crd_line") * (F.pmod(h, F.lit(401)) - 200).cast("double") / F.lit(100.0))
         return credit.final_recommendations(staged)
 
 
-_contexts: dict[tuple[int, str], Context] = {}
+_contexts: dict[tuple[str, str], Context] = {}
 
 
 def context(spark: SparkSession, sf_dir: str) -> Context:
-    key = (id(spark._jsparkSession), sf_dir.rstrip("/"))
+    key = (session_key(spark), sf_dir.rstrip("/"))
     ctx = _contexts.get(key)
     if ctx is None:
         ctx = _contexts[key] = Context(spark, sf_dir)
