@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from ..functions import payment as pay
 from ..functions.numeric import to_numeric_zero
-from ..functions.status import external_status_desc
+from ..functions.status import EXT_STATUS, external_status_desc
 from ..operators import accounts, credit, fraud, monthly, risk, segments
 from .context import CUTOFF_MONTH, QUARTER_END, context, finish
 from .oracle import q
@@ -171,12 +171,12 @@ def q_impute_sentinel(spark, sf_dir):
     return context(spark, sf_dir).base.select(ACCT, "card_activation_date")
 
 
-@register("map_external_status", q("""
+_STATUS = " ".join(f"WHEN '{k}' THEN '{v}'" for k, v in EXT_STATUS.items())
+
+
+@register("map_external_status", q(f"""
 SELECT current_account_nbr, external_status_reason_code,
-  COALESCE(CASE CAST(external_status_reason_code AS VARCHAR) WHEN '0' THEN 'Normal' WHEN 'A' THEN 'Authorization Prohibited'
-    WHEN 'B' THEN 'Bankrupt' WHEN 'C' THEN 'Closed' WHEN 'E' THEN 'Revoked' WHEN 'F' THEN 'Frozen'
-    WHEN 'I' THEN 'Interest Accrual Prohibited' WHEN 'L' THEN 'Lost' WHEN 'U' THEN 'Stolen' WHEN 'Z' THEN 'Charged Off' END,
-    'Unknown') AS ext_status_desc
+  COALESCE(CASE CAST(external_status_reason_code AS VARCHAR) {_STATUS} END, 'Unknown') AS ext_status_desc
 FROM account_dim""", "account_dim"))
 def q_map_external_status(spark, sf_dir):
     a = context(spark, sf_dir).t["account_dim"]
