@@ -18,6 +18,7 @@ from __future__ import annotations
 
 import hashlib
 import threading
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -62,6 +63,10 @@ select concat('A', lpad(cast(o.o_custkey as string), 9, '0')) as current_account
   case when l.l_linenumber = 1 then 'Y' else 'N' end as first_purchase_ind
 from {lineitem} l join {orders} o on l.l_orderkey = o.o_orderkey where l.l_linestatus = """
 
+# Both sources from one join, for storing them; the source is the line's status.
+TRANSACTIONS = _TXN_BODY.replace("as first_purchase_ind\n", "as first_purchase_ind,\n"
+                                 "  case l.l_linestatus when 'F' then 'transaction_fact' else 'wrld_stor_tran_fact' end as source_table\n"
+                                 ).replace("where l.l_linestatus = ", "where l.l_linestatus in ('F', 'O')")
 TRANSACTION_FACT = _TXN_BODY + "'F'\n"
 WRLD_STOR_TRAN_FACT = _TXN_BODY + "'O'\n"
 
@@ -173,11 +178,21 @@ def derive_tables(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
 
 
 _lock = threading.Lock()
-_materialised: dict[tuple[int, str], dict[str, str]] = {}
+_materialised: dict[tuple[str, str], dict[str, str]] = {}
+_SESSION = "lineforge.session.key"
 
 
-def _paths_key(spark: SparkSession, sf_dir: str) -> tuple[int, str]:
-    return (id(spark._jsparkSession), sf_dir.rstrip("/"))
+def session_key(spark: SparkSession) -> str:
+    """Names a session for good: the application, and a mark set once on the session."""
+    mark = spark.conf.get(_SESSION, None)
+    if not mark:
+        mark = uuid.uuid4().hex
+        spark.conf.set(_SESSION, mark)
+    return f"{spark.sparkContext.applicationId}/{mark}"
+
+
+def _paths_key(spark: SparkSession, sf_dir: str) -> tuple[str, str]:
+    return (session_key(spark), sf_dir.rstrip("/"))
 
 
 def input_tables(spark: SparkSession, sf_dir: str, materialise: bool = True) -> dict[str, DataFrame]:
@@ -195,7 +210,7 @@ def input_tables(spark: SparkSession, sf_dir: str, materialise: bool = True) ->
         paths = _materialised.get(key)
         if paths is None:
             base = ensure_checkpoint_dir(spark).rstrip("/")
-            tag = hashlib.sha1(f"{sf_dir}|{id(spark._jsparkSession)}".encode()).hexdigest()[:12]
+            tag = hashlib.sha1("|".join(key).encode()).hexdigest()[:12]
             lazy = derive_tables(spark, sf_dir)
             paths = {name: f"{base}/inputs-{tag}/{name}" for name in
                      ("account_dim", "syf_id", "transaction_base", "statement_fact", "rams_batch_cur",
@@ -204,7 +219,11 @@ def input_tables(spark: SparkSession, sf_dir: str, materialise: bool = True) ->
             def write(name: str) -> None:
                 # plain map-side writes: no layout shuffle (plain Parquet carries no
                 # partitioning guarantee that a later plan could use)
-                lazy[name].write.mode("overwrite").parquet(paths[name])
+                if name == "transaction_base":  # one join; each source in a folder of its own
+                    both = spark.sql(TRANSACTIONS, **{n: read_base(spark, sf_dir, n) for n in ("lineitem", "orders")})
+                    both.write.mode("overwrite").partitionBy("source_table").parquet(paths[name])
+                else:
+                    lazy[name].write.mode("overwrite").parquet(paths[name])
 
             # independent jobs: submitted together so small tables do not leave the
             # cluster idle while the transaction union is written
@@ -219,9 +238,9 @@ def input_tables(spark: SparkSession, sf_dir: str, materialise: bool = True) ->
             paths["fraud_claim_tran"] = path
             _materialised[key] = paths
     out = {n: spark.read.parquet(p) for n, p in paths.items()}
-    tb = out["transaction_base"]
-    out["transaction_fact"] = tb.where("source_table = 'transaction_fact'").drop("source_table")
-    out["wrld_stor_tran_fact"] = tb.where("source_table = 'wrld_stor_tran_fact'").drop("source_table")
+    for name in ("transaction_fact", "wrld_stor_tran_fact"):  # each is stored as it came
+        out[name] = (spark.read.schema(out["transaction_base"].drop("source_table").schema)
+                     .parquet(f"{paths['transaction_base']}/source_table={name}"))
     return out
 
 

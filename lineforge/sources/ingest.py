@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 CORRUPT = "_corrupt_record"
+NULL_TEXT = "\\N"  # beside an empty field without quotes; "" in quotes is an empty text
 
 # ---------------------------------------------------------------------------------------
 # Expected row counts of the production extracts, and the audit tolerance.
@@ -41,6 +42,7 @@ def read_csv_table(spark: SparkSession, path: str, schema: T.StructType,
     from ..session import scratch_path
     full = T.StructType(list(schema.fields) + [T.StructField(CORRUPT, T.StringType(), True)])
     raw = (spark.read.schema(full).option("header", "true").option("mode", "PERMISSIVE")
+           .option("emptyValue", "").option("nullValue", NULL_TEXT)
            .option("columnNameOfCorruptRecord", CORRUPT).csv(path))
     if materialise:
         target = scratch_path(spark, "csv-parsed")
@@ -98,5 +100,6 @@ def write_parquet(df: DataFrame, path: str, partition_by: list[str] | None = Non
 
 
 def write_csv(df: DataFrame, path: str) -> str:
-    df.write.mode("overwrite").option("header", "true").csv(path)
+    """Headered CSV: an empty text is written as a pair of quotes, a null as nothing."""
+    df.write.mode("overwrite").option("header", "true").option("emptyValue", '""').csv(path)
     return path

@@ -1,9 +1,9 @@
 """Incremental account-month transaction aggregates with Structured Streaming.
 
-New transaction files are read as a stream; each (account, month) group is finalised and
-appended once the event-time watermark (the latest month seen minus ``delay``) has passed
-its month, so state stays bounded by the open months.  The aggregate expressions are the
-batch operator's, so a closed month has exactly the batch values.
+Every micro-batch of new transaction files is pre-aggregated by account and month and written as
+partial sums under its batch number (written again after a failure, it replaces itself).  Reading
+merges the partials with the batch operator's own arithmetic, so at any time the result covers all
+input so far, late months included: there is no state store to size and nothing to flush.
 """
 
 from __future__ import annotations
@@ -14,41 +14,33 @@ from pyspark.sql.types import StructType
 
 from ..operators.monthly import ACCT, finish_txn_monthly, txn_monthly_aggs
 
+KEYS = [ACCT, "txn_month"]
 
-def txn_monthly_stream(events: DataFrame, delay: str = "40 days") -> DataFrame:
-    """Streaming aggregate over a streaming transaction frame (append-mode ready)."""
-    with_month = (events.where(F.col("transaction_date").isNotNull())
-                  .withColumn("month_ts", F.date_trunc("month", F.col("transaction_date").cast("timestamp")))
-                  .withWatermark("month_ts", delay))
-    agg = with_month.groupBy(F.col(ACCT), F.col("month_ts")).agg(*txn_monthly_aggs())
-    return finish_txn_monthly(agg).withColumn("txn_month", F.col("month_ts").cast("date")).drop("month_ts")
 
+def partial_months(events: DataFrame) -> DataFrame:
+    """Partial sums of a set of transactions, by account and month."""
+    month = F.trunc(F.col("transaction_date").cast("date"), "month").alias("txn_month")
+    return events.where(F.col("transaction_date").isNotNull()).groupBy(F.col(ACCT), month).agg(*txn_monthly_aggs())
 
-def state_partitions_for(spark: SparkSession, source_path: str, schema: StructType) -> int:
-    """State-store width sized from the input: one partition per input file, at least the
-    cluster's default parallelism (the file count grows with the data volume)."""
-    files = spark.read.schema(schema).parquet(source_path).inputFiles()
-    return max(spark.sparkContext.defaultParallelism, len(files))
+
+def merged_months(partials: DataFrame) -> DataFrame:
+    """The batch operator's table from all partials (sums and counts add up, maxima compare)."""
+    merge = lambda c: (F.max(c) if c == "max_txn_amt" else F.sum(c)).alias(c)
+    cols = [c for c in partials.columns if c not in (*KEYS, "batch")]
+    return finish_txn_monthly(partials.groupBy(*KEYS).agg(*[merge(c) for c in cols]))
 
 
 def start_txn_monthly_stream(spark: SparkSession, source_path: str, schema: StructType, sink_path: str,
-                             checkpoint_location: str, delay: str = "40 days", available_now: bool = True,
-                             state_partitions: int | None = None):
-    """Run the stream from a folder of transaction Parquet files into a Parquet sink.
-
-    ``checkpoint_location`` must be on shared storage (the cluster's checkpoint folder) so
-    the query resumes with its state after a restart or executor loss.  The number of
-    state partitions is fixed when a query first starts; it is taken from
-    ``state_partitions`` (default: sized from the input) and set only while the query
-    starts, then the session setting is restored."""
-    events = spark.readStream.schema(schema).parquet(source_path)
-    writer = (txn_monthly_stream(events, delay).writeStream.outputMode("append").format("parquet")
-              .option("path", sink_path).option("checkpointLocation", checkpoint_location))
+                             checkpoint_location: str, available_now: bool = True, files_per_batch: int = 1000):
+    """Run the stream from a folder of transaction Parquet files into a folder of partials.
+
+    ``checkpoint_location`` must be on shared storage, so the query goes on where it was after a
+    restart or executor loss; ``files_per_batch`` bounds a micro-batch."""
+    events = spark.readStream.schema(schema).option("maxFilesPerTrigger", files_per_batch).parquet(source_path)
+
+    def save(batch: DataFrame, number: int) -> None:
+        partial_months(batch).write.mode("overwrite").parquet(f"{sink_path.rstrip('/')}/batch={number}")
+
+    writer = events.writeStream.foreachBatch(save).option("checkpointLocation", checkpoint_location)
     writer = writer.trigger(availableNow=True) if available_now else writer.trigger(processingTime="1 minute")
-    width = state_partitions or state_partitions_for(spark, source_path, schema)
-    previous = spark.conf.get("spark.sql.shuffle.partitions")
-    spark.conf.set("spark.sql.shuffle.partitions", str(width))
-    try:
-        return writer.start()
-    finally:
-        spark.conf.set("spark.sql.shuffle.partitions", previous)
+    return writer.start()
