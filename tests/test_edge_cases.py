@@ -212,19 +212,19 @@ def test_single_month_account_has_null_lags_and_zero_std(spark):
     assert r.spend_rolling_mean_3 is None and r.spend_rolling_std_3 == 0.0
 
 
-@pytest.mark.parametrize("fn", ["txn_fraud_flag", "txn_fraud_flag_once"])
-def test_salted_claim_join_equals_broadcast_join(spark, fn):
+def test_claim_flags_do_not_depend_on_the_salt_or_a_hot_account(spark):
     from lineforge.operators import fraud
     from lineforge.sources.fixtures import input_tables
     t = input_tables(spark, "/root/testdata/sf0.001")
-    op = getattr(fraud, fn)
-    small = op(t["transaction_base"], t["fraud_claim_tran"])
-    salted = op(t["transaction_base"], t["fraud_claim_tran"], broadcast_max_rows=0, salt_buckets=7)
-    assert "_salt" not in salted.columns and salted.columns == small.columns
-    key = lambda r: tuple(str(x) for x in r)
-    a, b = sorted(small.collect(), key=key), sorted(salted.collect(), key=key)
-    assert a == b
-    assert sum(r.is_fraud_txn for r in a) > 0
+    hot = lambda df: df.withColumn("current_account_nbr", F.lit("HOT"))
+    for tb, claims in ((t["transaction_base"], t["fraud_claim_tran"]), (hot(t["transaction_base"]), hot(t["fraud_claim_tran"]))):
+        many = fraud.txn_fraud_flag(tb, claims)
+        once = [fraud.txn_fraud_flag_once(tb, claims, salt_buckets=n).select(*many.columns).collect() for n in (1, 7, 16)]
+        key = lambda r: tuple(str(x) for x in r)
+        rows = [sorted(x, key=key) for x in once]
+        assert rows[0] == rows[1] == rows[2] and len(rows[0]) == tb.count()
+        assert sorted(set(map(key, many.collect()))) == sorted(set(map(key, rows[0])))
+        assert sum(r.is_fraud_txn for r in rows[0]) > 0
 
 
 def test_summary_quantiles_follow_the_rank_rule(spark):
@@ -268,3 +268,63 @@ def test_summary_quantiles_interpolate_like_pandas(spark):
         for name, q in (("p25", 25), ("p50", 50), ("p75", 75)):
             want = float(np.percentile(np.array(vals), q))
             assert abs(r[name] - want) <= 0.00005 + 1e-9, (n, name, r[name], want)
+
+
+def test_quantiles_are_exact_on_millions_of_rows_ties_and_extremes(spark):
+    import numpy as np
+    from lineforge.operators.quantiles import exact_quantiles
+    n = 2_200_000
+    x = F.when(F.col("id") % 3 == 0, F.lit(7.5)).otherwise(F.pmod(F.col("id") * 7919, F.lit(1_000_003)) / 7.0 - 50_000)
+    df = spark.range(n).select(x.alias("x"), F.when(F.col("id") % 2 == 0, F.exp(F.col("id") % 600)).alias("y"),
+                               (F.col("id") % 4).alias("g"))
+    i = np.arange(n)
+    want = np.where(i % 3 == 0, 7.5, (i * 7919 % 1_000_003) / 7.0 - 50_000)
+    other = np.exp((i % 600).astype(float))[i % 2 == 0]
+    qs = [0.0, 0.01, 0.25, 0.5, 0.75, 0.9999, 1.0]
+    got = {(r.column_name, r.q): r.value for r in exact_quantiles(df, ["x", "y"], qs).collect()}
+    for q in qs:
+        assert got["x", q] == pytest.approx(np.quantile(want, q), rel=1e-12)
+        assert got["y", q] == pytest.approx(np.quantile(other, q), rel=1e-9)
+    grouped = {(r.g, r.q): (r.value, r.n) for r in exact_quantiles(df, ["x"], [0.5], "g", discrete=True).collect()}
+    for g in range(4):
+        part = np.sort(want[i % 4 == g])
+        assert grouped[g, 0.5] == (part[int(np.ceil(0.5 * len(part))) - 1], len(part))
+
+
+def test_quantiles_of_nulls_nan_one_value_and_no_rows(spark):
+    from lineforge.operators.quantiles import exact_quantiles
+    df = spark.createDataFrame([(None, "a"), (float("nan"), "a"), (3.0, "a"), (1.7e308, None), (-1.7e308, None)], "x double, g string")
+    got = {r.g: (r.value, r.n) for r in exact_quantiles(df, ["x"], [0.25], "g").collect()}
+    assert got["a"] == (3.0, 1) and got[None][1] == 2
+    assert exact_quantiles(df.where("x = 3"), ["x"], [0.9]).first().value == 3.0
+    assert exact_quantiles(df.limit(0), ["x"], [0.9]).count() == 0
+
+
+def test_stratified_split_is_within_a_row_of_the_share(spark):
+    from lineforge.operators.matrix import stratified_split
+    df = spark.range(20_000).select(F.col("id").cast("string").alias("current_account_nbr"),
+                                    F.when(F.col("id") % 10 < 7, 0).when(F.col("id") < 40, 1).when(F.col("id") % 2 == 0, 2).alias("label"))
+    out = stratified_split(df, "label", 0.25)
+    for r in out.groupBy("label").agg(F.count(F.lit(1)).alias("n"), F.count_if("is_test").alias("t")).collect():
+        assert r.t == (int(r.n * 0.25 + 0.5) if r.label is not None else 0), r
+    assert out.count() == 20_000 and out.columns == [*df.columns, "is_test"]
+
+
+def test_metrics_skip_rows_without_a_prediction(spark):
+    from lineforge.operators.forecast import regression_metrics
+    df = spark.createDataFrame([(1.0, 1.5), (2.0, 2.0), (9.0, None), (None, 3.0), (4.0, 4.0)], "y double, p double")
+    r = regression_metrics(df, "y", "p").first()
+    assert r.n == 3 and r.r2 == round(1 - 0.25 / (14 / 3), 4)
+
+
+def test_stand_in_recommendations_take_every_branch(spark):
+    from lineforge.plans.context import context
+    rows = context(spark, "/root/testdata/sf0.01").final_recs.select(
+        "cu_crd_line", "cu_cur_balance", "cu_line_incr_excl_flag", "recommended_credit_line", "predicted_adjustment_delta").collect()
+    excl = lambda r: (r.cu_line_incr_excl_flag or "").upper() == "Y"
+    blocked = [r for r in rows if excl(r) and r.predicted_adjustment_delta == 0.0]
+    floor = [r for r in rows if r.cu_crd_line and r.recommended_credit_line == r.cu_cur_balance * 1.1]
+    cap = [r for r in rows if r.cu_crd_line and r.recommended_credit_line == r.cu_crd_line * 1.5]
+    crossed = [r for r in rows if r.cu_crd_line and r.cu_cur_balance * 1.1 > r.cu_crd_line * 1.5]
+    zero = [r for r in rows if r.cu_crd_line == 0]
+    assert all(len(x) > 0 for x in (blocked, floor, cap, crossed, zero))
