@@ -102,7 +102,7 @@ def feature_importances(model: PipelineModel, features: list[str], top: int = 15
 # ---------------------------------------------------------------------------------------
 
 def fit_segment_classifier(df: DataFrame, features: list[str], label: str = "segment_label",
-                           test_share: float = 0.25, num_trees: int = 50, max_depth: int = 10,
+                           test_share: float = 0.25, num_trees: int = 300, max_depth: int = 15,
                            min_instances: int = 5, seed: int = 42):
     """Random forest on the rule labels; 75/25 split stratified by label, class weights balanced
     over the training rows.  Returns ``(model, predictions_on_test)`` with y_true, y_pred."""

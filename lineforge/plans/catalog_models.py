@@ -380,7 +380,7 @@ def _classifier(ctx):
     def build():
         clustered, _, _ = _kmeans(ctx)
         feats = segments.CLASSIFICATION_FEATURES + ["cluster_id"]
-        model, pred = models.fit_segment_classifier(clustered, feats, num_trees=30, max_depth=10)
+        model, pred = models.fit_segment_classifier(clustered, feats)
         return model, materialise(pred, "segment-pred"), feats
     return _memo(ctx, "classifier", build)
 
