@@ -115,67 +115,84 @@ def holt_forecast(series: DataFrame, grid=DEFAULT_GRID, horizon: int = 3) -> Dat
         run, f"{ACCT} string, hw_predicted_q4_spend double, alpha double, beta double, sse double")
 
 
-def holt_estimated(series: DataFrame, grid=DEFAULT_GRID, horizon: int = 3) -> DataFrame:
-    """Holt smoothing with estimated initial level and trend, per account.
+def _holt_states(ys, lens, alphas, betas, horizon: int):
+    """Least-squares start and fit of every (account, parameter pair): alphas, betas are (n, g) or
+    (1, g).  Returns sse, forecast, l0, b0, each (n, g).
 
     For fixed (alpha, beta) the one-step errors are linear in the initial state:
     e_t = e^y_t + l0 * e^l_t + b0 * e^b_t, where e^y runs the recursion on the data from a
     zero state and e^l, e^b run it on zero data from unit level / unit trend.  The
-    (l0, b0) minimising the squared errors solve a 2x2 normal system; the grid point with
-    the least resulting error wins.  Falls back to l0 = y1, b0 = y2 - y1 when the system
-    is singular.  Arrow-batched, vectorised over (accounts x grid)."""
+    (l0, b0) minimising the squared errors solve a 2x2 normal system; l0 = y1, b0 = y2 - y1 when
+    the system is singular."""
     import numpy as np
-    import pandas as pd
 
-    alphas = np.array([a for a, _ in grid], dtype=float)
-    betas = np.array([b for _, b in grid], dtype=float)
+    n, g = len(ys), alphas.shape[1]
     steps = horizon * (horizon + 1) / 2.0
+    # three linear runs: data from zero state, unit level, unit trend
+    lv = np.zeros((3, n, g))
+    tr = np.zeros((3, n, g))
+    lv[1] = 1.0
+    tr[2] = 1.0
+    sums = {k: np.zeros((n, g)) for k in ("yy", "ly", "by", "ll", "lb", "bb")}
+    for t in range(int(lens.max())):
+        live = (t < lens)[:, None]
+        y = np.stack([ys[:, t:t + 1] * np.ones((1, g)), np.zeros((n, g)), np.zeros((n, g))])
+        err = y - (lv + tr)
+        new_l = alphas * y + (1.0 - alphas) * (lv + tr)
+        new_b = betas * (new_l - lv) + (1.0 - betas) * tr
+        for k, (i, j) in {"yy": (0, 0), "ly": (1, 0), "by": (2, 0), "ll": (1, 1), "lb": (1, 2), "bb": (2, 2)}.items():
+            sums[k] = np.where(live, sums[k] + err[i] * err[j], sums[k])
+        lv = np.where(live, new_l, lv)
+        tr = np.where(live, new_b, tr)
+    a11, a12, a22 = sums["ll"], sums["lb"], sums["bb"]
+    r1, r2 = -sums["ly"], -sums["by"]
+    det = a11 * a22 - a12 * a12
+    ok = np.abs(det) > 1e-12 * np.maximum(np.abs(a11 * a22), 1.0)
+    safe = np.where(ok, det, 1.0)
+    l0 = np.where(ok, (r1 * a22 - r2 * a12) / safe, np.repeat(ys[:, :1], g, axis=1))
+    b0 = np.where(ok, (a11 * r2 - a12 * r1) / safe, np.repeat(ys[:, 1:2] - ys[:, :1], g, axis=1))
+    sse = (sums["yy"] + 2 * l0 * sums["ly"] + 2 * b0 * sums["by"] + l0 * l0 * a11
+           + 2 * l0 * b0 * a12 + b0 * b0 * a22)
+    level = lv[0] + l0 * lv[1] + b0 * lv[2]
+    trend = tr[0] + l0 * tr[1] + b0 * tr[2]
+    return sse, np.maximum(float(horizon) * level + steps * trend, 0.0), l0, b0
+
+
+def holt_estimated(series: DataFrame, grid=DEFAULT_GRID, horizon: int = 3, refine: int = 0) -> DataFrame:
+    """Holt smoothing with estimated initial level and trend, per account.
+
+    The pair of the grid with the least squared error wins, with the least-squares start of each.
+    ``refine`` rounds then search around it: eight neighbours at a step that halves every round,
+    starting from half the grid's, so the parameters are no longer bound to the grid.
+    Arrow-batched, vectorised over (accounts x pairs)."""
+    import numpy as np
+    import pandas as pd
+
+    alphas = np.array([[a for a, _ in grid]], dtype=float)
+    betas = np.array([[b for _, b in grid]], dtype=float)
+    around = np.array([(i, j) for i in (0, -1, 1) for j in (0, -1, 1)], dtype=float)
 
     def run(batches):
         for pdf in batches:
             if pdf.empty:
                 continue
             lens = pdf["ys"].map(len).to_numpy()
-            t_max = int(lens.max())
-            n, g = len(pdf), len(grid)
-            ys = np.zeros((n, t_max))
+            ys = np.zeros((len(pdf), int(lens.max())))
             for i, arr in enumerate(pdf["ys"]):
                 ys[i, :len(arr)] = arr
-            # three linear runs: data from zero state, unit level, unit trend
-            lv = np.zeros((3, n, g))
-            tr = np.zeros((3, n, g))
-            lv[1] = 1.0
-            tr[2] = 1.0
-            sums = {k: np.zeros((n, g)) for k in ("yy", "ly", "by", "ll", "lb", "bb")}
-            for t in range(t_max):
-                live = (t < lens)[:, None]
-                y = np.stack([ys[:, t:t + 1] * np.ones((1, g)), np.zeros((n, g)), np.zeros((n, g))])
-                err = y - (lv + tr)
-                new_l = alphas * y + (1.0 - alphas) * (lv + tr)
-                new_b = betas * (new_l - lv) + (1.0 - betas) * tr
-                for k, (i, j) in {"yy": (0, 0), "ly": (1, 0), "by": (2, 0), "ll": (1, 1), "lb": (1, 2),
-                                  "bb": (2, 2)}.items():
-                    sums[k] = np.where(live, sums[k] + err[i] * err[j], sums[k])
-                lv = np.where(live, new_l, lv)
-                tr = np.where(live, new_b, tr)
-            a11, a12, a22 = sums["ll"], sums["lb"], sums["bb"]
-            r1, r2 = -sums["ly"], -sums["by"]
-            det = a11 * a22 - a12 * a12
-            ok = np.abs(det) > 1e-12 * np.maximum(np.abs(a11 * a22), 1.0)
-            safe = np.where(ok, det, 1.0)
-            l0 = np.where(ok, (r1 * a22 - r2 * a12) / safe, np.repeat(ys[:, :1], g, axis=1))
-            b0 = np.where(ok, (a11 * r2 - a12 * r1) / safe, np.repeat(ys[:, 1:2] - ys[:, :1], g, axis=1))
-            sse = (sums["yy"] + 2 * l0 * sums["ly"] + 2 * b0 * sums["by"] + l0 * l0 * a11
-                   + 2 * l0 * b0 * a12 + b0 * b0 * a22)
-            level = lv[0] + l0 * lv[1] + b0 * lv[2]
-            trend = tr[0] + l0 * tr[1] + b0 * tr[2]
-            fc = np.maximum(float(horizon) * level + steps * trend, 0.0)
-            best = np.lexsort((np.broadcast_to(betas, fc.shape), np.broadcast_to(alphas, fc.shape), fc, sse),
-                              axis=-1)[:, 0]
-            rows = np.arange(n)
-            yield pd.DataFrame({ACCT: pdf[ACCT].to_numpy(), "hw_predicted_q4_spend": fc[rows, best],
-                                "alpha": alphas[best], "beta": betas[best], "l0": l0[rows, best],
-                                "b0": b0[rows, best], "sse": sse[rows, best]})
+            rows, a, b = np.arange(len(pdf)), alphas, betas
+            for k in range(refine + 1):
+                sse, fc, l0, b0 = _holt_states(ys, lens, a, b, horizon)
+                best = np.lexsort((np.broadcast_to(b, fc.shape), np.broadcast_to(a, fc.shape), fc, sse), axis=-1)[:, 0]
+                won = {"alpha": np.broadcast_to(a, fc.shape)[rows, best], "beta": np.broadcast_to(b, fc.shape)[rows, best],
+                       "hw_predicted_q4_spend": fc[rows, best], "l0": l0[rows, best], "b0": b0[rows, best],
+                       "sse": sse[rows, best]}
+                step = 0.05 / 2 ** k
+                a = np.clip(won["alpha"][:, None] + step * around[None, :, 0], 1e-4, 0.9999)
+                b = np.clip(won["beta"][:, None] + step * around[None, :, 1], 1e-4, 0.9999)
+            yield pd.DataFrame({ACCT: pdf[ACCT].to_numpy(), "hw_predicted_q4_spend": won["hw_predicted_q4_spend"],
+                                "alpha": won["alpha"], "beta": won["beta"], "l0": won["l0"], "b0": won["b0"],
+                                "sse": won["sse"]})
 
     return series.select(ACCT, "ys").mapInPandas(
         run, f"{ACCT} string, hw_predicted_q4_spend double, alpha double, beta double, l0 double, b0 double, sse double")

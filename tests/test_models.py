@@ -220,3 +220,14 @@ def test_gbt_and_kmeans_are_repeatable_with_a_fixed_seed(spark):
     ja = a.select("current_account_nbr", "cluster_id").orderBy("current_account_nbr").toPandas()
     jb = b.select("current_account_nbr", "cluster_id").orderBy("current_account_nbr").toPandas()
     assert (ja.cluster_id.to_numpy() == jb.cluster_id.to_numpy()).all()
+
+
+def test_refined_holt_only_lowers_the_error(spark):
+    from lineforge.operators import forecast
+    from lineforge.plans.catalog_models import _series
+    series = _series(context(spark, SF_SMALL))
+    grid = {r.current_account_nbr: r.sse for r in forecast.holt_estimated(series).collect()}
+    fine = {r.current_account_nbr: r for r in forecast.holt_estimated(series, refine=6).collect()}
+    assert set(grid) == set(fine)
+    assert all(r.sse <= grid[a] * (1 + 1e-9) + 1e-6 and 0 < r.alpha < 1 and 0 < r.beta < 1 for a, r in fine.items())
+    assert sum(r.sse < grid[a] * 0.999 for a, r in fine.items()) > len(fine) / 2
