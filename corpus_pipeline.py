@@ -16,11 +16,13 @@ def quality_classifier(spark, docs, sf_dir):
 
 def line_dedup_stage(spark, docs, sf_dir):
     """Repeated runs of lines go, and documents of which nothing else is left."""
+    prepare(spark)
     return line_dedup.without_repeated_lines(docs)
 
 
 def minhash_near_dedup(spark, docs, sf_dir):
     """One document of each group of near-duplicates stays (five-word shingles, similarity 0.8)."""
+    prepare(spark)
     return near_dup.drop_near_duplicates(docs)
 
 
@@ -31,6 +33,7 @@ def benchmark_decontamination(spark, docs, sf_dir):
 
 def sentencepiece_encoding(spark, docs, sf_dir):
     """Token ids of each document, and whether decoding gives its text again."""
+    prepare(spark)
     return pieces.encode_texts(docs, pieces.load_vocabulary())
 
 
@@ -49,7 +52,6 @@ ORACLE_SQL = None
 
 def run(spark, sf_dir: str):
     """The rows that the stages leave of ``documents``, each stage written before the next."""
-    prepare(spark)
     docs = table(spark, sf_dir, "documents")
     for k, (name, stage) in enumerate(STAGES):
         docs = stage(spark, docs, sf_dir)

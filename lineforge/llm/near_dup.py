@@ -2,10 +2,10 @@
 
 Texts with the same shingle set are one class.  128 MinHash values a class, in 32 bands of 4, put
 classes into buckets; a pair above a similarity of 0.8 misses all bands with a probability under
-1e-7.  Another MinHash sample (the smallest hash in each of 512 bins) is folded into an odd sketch:
-each sampled value flips one of 1,024 parity bits, so the population count of the XOR of two
+1e-7.  Another MinHash sample (the smallest hash in each of 1,024 bins) is folded into an odd
+sketch: each sampled value flips one of 2,048 parity bits, so the population count of the XOR of two
 sketches estimates how many samples differ, and with it a high similarity precisely (standard
-error under 0.02).  Pairs whose estimate is not clearly below the threshold are confirmed on their
+error under 0.015).  Pairs whose estimate is not clearly below the threshold are confirmed on their
 full shingle sets.
 
 No bucket is expanded into its pairs.  Every member is first held against its bucket's smallest
@@ -25,15 +25,14 @@ from .common import chunks, components, materialise, table, text_buffer
 from .textvec import mix, shingles, word_hashes
 
 BANDS, ROWS = 32, 4
-SKETCH_BITS, BINS = 1024, 512
-MARGIN = 0.06        # of the estimate below the threshold: over 3 standard errors
+SKETCH_BITS, BINS = 2048, 1024
+MARGIN = 0.06        # of the estimate below the threshold: over 4 standard errors
 BLOCK = 256          # members held against each other at a time
 FIRST_TRIES = 4      # of a member with each other component of a block, in the first round
 
 _rng = np.random.default_rng(20240917)
 _A = _rng.integers(1, 1 << 32, BANDS * ROWS, dtype=np.uint64).astype(np.uint32) | np.uint32(1)
 _B = _rng.integers(0, 1 << 32, BANDS * ROWS, dtype=np.uint64).astype(np.uint32)
-_BITS = np.array([bin(i).count("1") for i in range(256)], np.uint8)
 
 
 def _sets(column: pa.Array, words: int):
@@ -77,8 +76,8 @@ def _signature(u: np.ndarray, bounds: np.ndarray):
 def _estimate(x: np.ndarray, y: np.ndarray) -> np.ndarray:
     """Similarity by the sketches (…, bytes) of two arrays that broadcast."""
     cut = SKETCH_BITS // 8
-    z = _BITS[x[..., :cut] ^ y[..., :cut]].sum(-1, dtype=np.int64)
-    ones = lambda t: _BITS[t].sum(-1, dtype=np.int64)
+    ones = lambda t: np.bitwise_count(t).sum(-1, dtype=np.int64)
+    z = ones(x[..., :cut] ^ y[..., :cut])
     differ = -SKETCH_BITS / 2 * np.log(np.maximum(1 - 2 * z / SKETCH_BITS, 1e-9))
     same = (ones(x[..., cut:]) + ones(y[..., cut:]) - differ) / 2
     return same / np.maximum(ones(x[..., cut:] | y[..., cut:]), 1)
