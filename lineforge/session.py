@@ -61,6 +61,16 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{base.rstrip('/')}/{name}-{uuid.uuid4().hex[:12]}"
 
 
+def clear_scratch(spark: SparkSession) -> None:
+    """Delete what this application wrote under the checkpoint folder (call it at the session's end:
+    frames that read from there are gone with it).  The folder is the application's own, made by
+    Spark under the shared one, so nobody else's files are touched."""
+    base = spark.sparkContext.getCheckpointDir()
+    if base:
+        path = spark._jvm.org.apache.hadoop.fs.Path(base)
+        path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+
+
 _shipped: set[str] = set()
 
 

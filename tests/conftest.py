@@ -12,7 +12,8 @@ SF_CHECK = "/root/testdata/sf0.01"
 
 @pytest.fixture(scope="session")
 def spark():
-    from lineforge.session import local_session
+    from lineforge.session import clear_scratch, local_session
     s = local_session("*", shuffle_partitions=8, app="lineforge-tests")
     yield s
+    clear_scratch(s)
     s.stop()

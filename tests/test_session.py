@@ -29,3 +29,25 @@ def test_executor_workers_import_the_package(spark):
 
     rows = spark.range(4).repartition(2).mapInPandas(probe, "version string, gamma double").collect()
     assert rows and all(r.version == __import__("lineforge").__version__ for r in rows)
+
+
+def test_clear_scratch_deletes_only_the_applications_folder(spark):
+    import subprocess
+    import sys
+    import tempfile
+    shared = tempfile.mkdtemp()
+    code = f"""
+import os
+from lineforge import session
+from pyspark.sql import SparkSession
+s = (SparkSession.builder.master("local[1]").config("spark.ui.enabled", "false").config("spark.checkpoint.dir", "file://{shared}")
+     .getOrCreate())
+open("{shared}/other", "w").close()
+session.materialise(s.range(3), "x")
+assert len(os.listdir("{shared}")) == 2
+session.clear_scratch(s)
+assert os.listdir("{shared}") == ["other"]
+"""
+    import os
+    root = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+    subprocess.run([sys.executable, "-c", code], check=True, cwd=root, env=os.environ | {"PYTHONPATH": root})
