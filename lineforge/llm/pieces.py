@@ -16,6 +16,8 @@ from __future__ import annotations
 
 import itertools
 import re
+from array import array
+from uuid import uuid4
 
 import numpy as np
 import pyarrow as pa
@@ -26,7 +28,7 @@ from .common import chunks, table, text_buffer
 
 MARK = "▁"  # stands for a space
 MODEL = "/opt/tokenizers/piece_bpe_32k.model"
-CACHED = 400_000  # words (and twice as many pairs of pieces) that a worker remembers
+CACHED = 700_000  # words (and twice as many pairs of pieces) that a worker remembers
 
 
 def load_vocabulary(path: str = MODEL) -> dict:
@@ -49,7 +51,12 @@ class Encoder:
         names, special = vocabulary["pieces"], vocabulary["special"]
         self.score = {s: x for s, x, odd in zip(names, vocabulary["scores"], special) if not odd}
         self.id = {s: i for i, (s, odd) in enumerate(zip(names, special)) if not odd}
-        self.longest = max(map(len, self.id), default=1)
+        self.root: dict = {}  # trie of the vocabulary; under "" the piece that ends at a node
+        for piece in self.id:
+            node = self.root
+            for c in piece:
+                node = node.setdefault(c, {})
+            node[""] = piece
         self.unknown = vocabulary["unknown"]
         self.byte = {int(names[i][3:5], 16): i for i in vocabulary["bytes"]}
         raw = {i: bytes([b]) for b, i in self.byte.items()}
@@ -77,14 +84,6 @@ class Encoder:
             parts[at:at + 2] = [parts[at] + parts[at + 1]]
         return parts
 
-    def _fit(self, a: str, b: str) -> bool:
-        got = self.fits.get((a, b))
-        if got is None:
-            if len(self.fits) > 2 * CACHED:
-                self.fits.clear()
-            got = self.fits[a, b] = self.merged(a + b) == [a, b]
-        return got
-
     def _alone(self, a: str) -> bool:
         got = self.whole.get(a)
         if got is None:
@@ -92,33 +91,57 @@ class Encoder:
         return got
 
     def segmented(self, words) -> dict[str, list[str]]:
-        """Pieces of each of the distinct ``words``."""
-        out, prev, best = {}, "", [0.0]
-        last: list[str] = [""]  # at i: the piece that ends the encoding of the first i characters
-        ids, longest, bpe = self.id, self.longest, self.kind == "bpe"
+        """Pieces of each of the distinct ``words``.
+
+        At each place of the walk are kept: the piece that ends the prefix's encoding, its score,
+        and the vocabulary's pieces that are under way (where they begin, and their trie node)."""
+        out, prev, best, fits = {}, "", [0.0], self.fits
+        last: list[str] = [""]
+        under: list[list] = [[]]
+        root, bpe = self.root, self.kind == "bpe"
         floor = min(self.score.values(), default=0.0) - 10.0
+        if len(fits) > 2 * CACHED:
+            fits.clear()
         for word in sorted(words):
             n, most = 0, min(len(prev), len(word))
             while n < most and prev[n] == word[n]:
                 n += 1
-            del last[n + 1:], best[n + 1:]
-            for i in range(n + 1, len(word) + 1):
-                if bpe:
-                    for j in range(max(0, i - longest), i):
-                        piece = word[j:i]
-                        if piece in ids or j == i - 1:
-                            if self._alone(piece) if j == 0 else self._fit(last[j], piece):
-                                break
-                    last.append(piece)
-                else:
-                    top, won = None, word[i - 1]
-                    for j in range(max(0, i - longest), i):
-                        piece = word[j:i]
-                        s = self.score.get(piece, floor if j == i - 1 else None)
-                        if s is not None and (top is None or best[j] + s > top):
-                            top, won = best[j] + s, piece
-                    last.append(won)
+            del last[n + 1:], best[n + 1:], under[n + 1:]
+            for i in range(n, len(word)):
+                c = word[i]
+                go, won, top = [], None, None
+                for at in under[i]:
+                    node = at[1].get(c)
+                    if node is None:
+                        continue
+                    j = at[0]
+                    go.append((j, node))
+                    piece = node.get("")
+                    if piece is None or won is not None and bpe:
+                        continue
+                    if bpe:  # one piece is valid: that which merges with nothing before it
+                        if j == 0:
+                            if self._alone(piece):
+                                won = piece
+                        else:
+                            pair = (last[j], piece)
+                            good = fits.get(pair)
+                            if good is None:
+                                good = fits[pair] = self.merged(pair[0] + piece) == [pair[0], piece]
+                            if good:
+                                won = piece
+                    elif top is None or best[j] + self.score[piece] > top:
+                        top, won = best[j] + self.score[piece], piece
+                node = root.get(c)
+                if node is not None:
+                    go.append((i, node))
+                if not bpe:
+                    s = best[i] + self.score.get(c, floor)
+                    if top is None or s > top:
+                        top, won = s, c
                     best.append(top)
+                last.append(c if won is None else won)
+                under.append(go)
             prev, at, got = word, len(word), []
             while at:
                 got.append(last[at])
@@ -145,7 +168,7 @@ class Encoder:
             self.known.clear()
         fresh = set(itertools.chain.from_iterable(units)).difference(self.known)
         for word, pieces in self.segmented(fresh).items():
-            self.known[word] = np.array(self._ids(pieces), np.int32).tobytes()
+            self.known[word] = array("i", self._ids(pieces)).tobytes()
         get = self.known.__getitem__
         return [np.frombuffer(b"".join(map(get, u)), np.int32) for u in units]
 
@@ -154,16 +177,15 @@ class Encoder:
         return text[1:] if text.startswith(" ") else text
 
 
-_encoders: dict[int, Encoder] = {}
+_encoders: dict[str, Encoder] = {}
 
 
 def _encoder(shared) -> Encoder:
-    """The worker's encoder for a broadcast vocabulary: it lasts over the tasks of the worker."""
-    got = _encoders.get(shared.id if hasattr(shared, "id") else id(shared))
+    """The worker's encoder for a vocabulary (name, broadcast): it lasts over the tasks of the worker."""
+    got = _encoders.get(shared[0])
     if got is None:
         _encoders.clear()
-        key = shared.id if hasattr(shared, "id") else id(shared)
-        got = _encoders[key] = Encoder(shared.value)
+        got = _encoders[shared[0]] = Encoder(shared[1].value)
     return got
 
 
@@ -177,7 +199,7 @@ def encode_texts(docs: DataFrame, vocabulary: dict, id_col: str = "doc_id", text
     null for a null one); a character that the model lacks becomes its UTF-8 bytes; the mark
     U+2581 in a text comes back as a space, so round_trip is false; ids may be null or repeat.  An
     empty table gives no rows.  Other columns are not read, whatever their names."""
-    shared = docs.sparkSession.sparkContext.broadcast(vocabulary)
+    shared = (uuid4().hex, docs.sparkSession.sparkContext.broadcast(vocabulary))
 
     def run(batches):
         encoder = _encoder(shared)
