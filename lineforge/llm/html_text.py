@@ -3,9 +3,7 @@
 A page is parsed into its tree of elements.  What the markup itself calls boilerplate (menus,
 footers, scripts, forms, adverts, comments ...) goes by tag, role and class.  For the rest, the
 subtrees are hashed and Spark counts, for each host, on how many different pages each occurs; a
-subtree that recurs on many of a host's pages is site template and is deleted too.  Paragraphs,
-headings and other plain text blocks inside a marked article are the author's, however often they
-recur; containers there are not.
+subtree that recurs on many of a host's pages is site template and is deleted too.
 """
 
 from __future__ import annotations
@@ -44,6 +42,7 @@ NAMES = set("""ad ads advert adverts advertisement advertising adsense banner ba
     consent gdpr notice notices alert popup modal overlay newsletter subscribe subscription signup share sharing social
     related recommended recommendations comment comments disqus replies respond login search searchbox toolbar pagination
     pager widget widgets skip copyright""".split())
+COMMENTS = set("comment comments disqus replies respond comment-list comments-area comment-body".split())
 MAIN_NAMES = set("article content entry main post story maincontent".split())
 
 _TOKEN = re.compile(r"<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<[!?][^>]*+>|"
@@ -133,6 +132,10 @@ def _names(attrs: dict[str, str]) -> set[str]:
     return {w.lower() for w in _NAME.findall(attrs.get("class", "") + " " + attrs.get("id", ""))}
 
 
+def _tokens(attrs: dict[str, str]) -> set[str]:
+    return set((attrs.get("class", "") + " " + attrs.get("id", "")).lower().split())
+
+
 def _is_gone(e: Element, attrs: dict[str, str], in_main: bool) -> bool:
     if e.tag in ("html", "body", "article", "main") and not attrs:
         return False
@@ -144,12 +147,52 @@ def _is_gone(e: Element, attrs: dict[str, str], in_main: bool) -> bool:
         return True
     if "style" in attrs and re.search(r"display\s*:\s*none", attrs["style"]):
         return True
+    return False
+
+
+def _is_named(e: Element, attrs: dict[str, str], in_main: bool) -> bool:
+    if not attrs or e.tag in ("html", "body", "main"):
+        return False
+    if e.tag == "article":  # layout classes of an article name what is beside it: only whole ones count
+        return bool(_tokens(attrs) & NAMES)
     names = _names(attrs)
     return bool(names & NAMES) or not in_main and "header" in names
 
 
+def _spared(root: Element):
+    """A test whether an element holds the main element or most of the text, so no name drops it."""
+    size: dict[int, int] = {}  # text of each element, less what goes whatever its names
+    order, articles, mains = [], [], []
+    todo = [(root, (), False, False)]
+    while todo:
+        e, path, inside, comments = todo.pop()
+        order.append(e)
+        attrs = _attributes(e)
+        if e is not root and _is_gone(e, attrs, inside):
+            size[id(e)] = 0
+            continue
+        comments = comments or e.tag not in ("html", "body", "main") and bool(_tokens(attrs) & COMMENTS)
+        path = (e, path)
+        if e.tag in ("article", "main") and not comments:
+            (articles if e.tag == "article" else mains).append((e, path))
+        inside = inside or e.tag in ("article", "main")
+        todo.extend((x, path, inside, comments) for x in e.parts if isinstance(x, Element))
+    for e in reversed(order):
+        if id(e) not in size:
+            size[id(e)] = sum(size[id(x)] if isinstance(x, Element) else 0 if x.isspace() else len(x) for x in e.parts)
+    best, path = max(articles or mains, key=lambda x: size[id(x[0])], default=(root, ()))
+    holds = set()
+    while path:
+        holds.add(id(path[0]))
+        path = path[1]
+    below = set(map(id, _walk(best)))
+    return lambda x, attrs: id(x) in holds or (id(x) in below and 2 * size.get(id(x), 0) > size[id(best)]
+                                               and (best is root or not _tokens(attrs) & COMMENTS))
+
+
 def prune(e: Element, in_main: bool = False) -> None:
     """Drops what the markup calls boilerplate (walks without recursion: pages can be deep)."""
+    root, spared = e, None
     todo = [(e, in_main)]
     while todo:
         e, inside = todo.pop()
@@ -158,7 +201,11 @@ def prune(e: Element, in_main: bool = False) -> None:
             if isinstance(x, Element):
                 attrs = _attributes(x)
                 now = inside or x.tag in ("article", "main")
-                if _is_gone(x, attrs, inside):
+                gone = _is_gone(x, attrs, inside)
+                if not gone and _is_named(x, attrs, inside):
+                    spared = spared or _spared(root)  # before anything named goes
+                    gone = not spared(x, attrs)
+                if gone:
                     kept.append(Element("#gone") if x.tag in BLOCK else " ")
                     continue
                 todo.append((x, now))

@@ -33,6 +33,19 @@ def test_markup():
     assert text("<b>" * 20_000 + "deep" + "<div>" * 20_000 + "er") == "deep\ner"
 
 
+def test_layout_classes_keep_the_article():
+    body = "<h1>T</h1><p>the text of the article</p>"
+    for html in ('<article class="post has-sidebar">%s</article>', '<article class="post comments-open">%s</article>',
+                 '<div class="content-sidebar-wrap"><article>%s</article></div>', '<div id="page" class="no-sidebar"><main>%s</main></div>',
+                 '<div id="page" class="no-sidebar has-header"><div class="entry">%s</div></div>',
+                 '<article><div class="no-sidebar">%s</div><div class="share">no</div></article>',
+                 '<div id=wrap class="with-menu"><div class=sidebar>no</div><article>%s</article><div class=newsletter>no</div></div>'):
+        assert text(html % body + "<div class=menu>no</div>") == "T\nthe text of the article", html
+    comments = "<div id=comments class=comments-area><article class=comment-body><p>a comment that is longer than all else</p></article></div>"
+    assert text(f"<div class=no-sidebar><article>{body}</article>{comments}</div>") == "T\nthe text of the article"
+    assert text(f"<main>{body}{comments}</main>") == "T\nthe text of the article"
+
+
 def test_templates_of_a_host(spark):
     page = lambda i, h="h.org": (i, f"https://{h}/{i}", f"<html><body><div class=zz><p>Read  our paper</p></div><div><p>text {i}</p>"
                                  f"<p>other {i * 7}</p></div><div>Made by us</div></body></html>")
