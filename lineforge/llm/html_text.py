@@ -3,7 +3,9 @@
 A page is parsed into its tree of elements.  What the markup itself calls boilerplate (menus,
 footers, scripts, forms, adverts, comments ...) goes by tag, role and class.  For the rest, the
 subtrees are hashed and Spark counts, for each host, on how many different pages each occurs; a
-subtree that recurs on many of a host's pages is site template and is deleted too.
+subtree that recurs on many of a host's pages is site template and is deleted too.  Paragraphs,
+headings and other plain text blocks inside a marked article must recur on more pages than others:
+an author repeats sentences too.
 """
 
 from __future__ import annotations
@@ -19,6 +21,7 @@ from pyspark.sql import functions as F
 from .common import materialise, table
 
 MIN_PAGES, MIN_SHARE = 5, 0.3  # of a host's different pages, for a subtree to be template
+PLAIN_PAGES, PLAIN_SHARE = 20, 0.5  # the same for plain blocks inside a marked article
 
 # HTML element names by kind.
 VOID = set("area base br col embed hr img input link meta param source track wbr".split())
@@ -253,7 +256,8 @@ def hash_subtrees(root: Element) -> None:
 
 
 def counted(root: Element, main: Element, marked: bool) -> list[Element]:
-    """The subtrees that may be template: not what holds the main text, and no text blocks in it."""
+    """The subtrees that may be template: not what holds the main text, no cells and no parts of
+    blocks in it.  The lowest bit of their hashes is set to tell plain blocks inside from others."""
     inside = set(map(id, _walk(main))) if marked else set()
     holds = set()
     todo = [(root, (root,))]
@@ -263,8 +267,17 @@ def counted(root: Element, main: Element, marked: bool) -> list[Element]:
             holds.update(map(id, path))
             break
         todo += [(x, (*path, x)) for x in e.parts if isinstance(x, Element)]
-    return [e for e in _walk(root) if id(e) not in holds and e.tag not in ("body", "#gone", "br", "hr")
-            and not (id(e) in inside and (e.tag in PLAIN or e.tag in INLINE))]
+    part = {id(x) for e in _walk(main) if e.tag in PLAIN or e.tag in INLINE for x in e.parts if isinstance(x, Element)} if marked else ()
+    out = []
+    for e in _walk(root):
+        if id(e) in holds or e.tag in ("body", "#gone", "br", "hr"):
+            continue
+        plain = id(e) in inside and (e.tag in PLAIN or e.tag in INLINE)
+        if plain and (e.tag in ("td", "th") or e.tag in INLINE and id(e) in part):
+            continue
+        e.hash = e.hash | 1 if plain else e.hash & ~1 or 2
+        out.append(e)
+    return out
 
 
 def block_text(main: Element, template=frozenset(), spared=frozenset()) -> str:
@@ -321,7 +334,8 @@ def _digest(text: str) -> int:
 
 def site_templates(pages: DataFrame, min_pages: int = MIN_PAGES, min_share: float = MIN_SHARE) -> DataFrame:
     """(host, template): for each host the hashes of the subtrees that recur, on ``min_pages`` and
-    on the share ``min_share`` of its pages with different main texts.
+    on the share ``min_share`` of its pages with different main texts; plain blocks inside a marked
+    article on PLAIN_PAGES and the share PLAIN_SHARE.
 
     pages: _host, _html.  A host's list is short, as each of its subtrees is on a share of its
     pages: at most mean subtrees a page / min_share."""
@@ -342,7 +356,9 @@ def site_templates(pages: DataFrame, min_pages: int = MIN_PAGES, min_share: floa
     counts = materialise(seen.groupBy("host", "tree").agg(F.countDistinct("main").alias("n")).where(F.col("n") >= min_pages),
                          "subtrees")
     whole = counts.where("tree = 0").select("host", F.col("n").alias("all"))
-    found = counts.where("tree <> 0").join(whole, "host").where(F.col("n") >= F.col("all") * min_share)
+    plain = F.col("tree").bitwiseAND(1) == 1
+    found = counts.where("tree <> 0").join(whole, "host").where(
+        F.when(plain, (F.col("n") >= PLAIN_PAGES) & (F.col("n") >= F.col("all") * PLAIN_SHARE)).otherwise(F.col("n") >= F.col("all") * min_share))
     return materialise(found.groupBy("host").agg(F.collect_list("tree").alias("template")), "templates")
 
 

@@ -64,6 +64,15 @@ def test_templates_of_a_host(spark):
     assert html_text.extract_text(df.limit(0)).count() == 0
 
 
+def test_notices_in_the_article_on_all_of_a_hosts_pages(spark):
+    """What stands in p, li or a in the article of every page goes; what the author repeats on some stays."""
+    rows = [(i, f"https://n.org/{i}", f"<article><h1>T {i}</h1><p>Subscribe <b>now</b></p><p>text {i} by <b>me</b></p>"
+             + ("<p>As I said</p>" if i % 3 == 0 else "") + "<ul><li>Write to us</li></ul><a href=/x>More</a></article>") for i in range(40)]
+    df = spark.createDataFrame(rows, "page_id long, url string, html string")
+    out = {r.page_id: r.text for r in html_text.extract_text(df).collect()}
+    assert all(out[i] == f"T {i}\ntext {i} by me" + ("\nAs I said" if i % 3 == 0 else "") for i in range(40)), out[0]
+
+
 def test_copies_of_one_page_are_no_template(spark):
     rows = [(i, "https://c.org/?" + str(i), "<div><p>one text</p></div>") for i in range(30)]
     df = spark.createDataFrame(rows, "page_id long, url string, html string")
