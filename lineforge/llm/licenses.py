@@ -108,6 +108,34 @@ def _plain(sentence: str) -> str:
     return re.sub(r"[^a-z0-9]+", " ", sentence.lower()).strip()
 
 
+def cut_up(sentences: dict[str, list[str]], rules):
+    """Both tables as the readings see them: a known sentence with a mark inside becomes a run of
+    identifiers (name-1, name-2 ...), in the rules too."""
+    import re
+    from itertools import product
+
+    known, forms = {}, {}
+    owner: dict[str, str] = {}
+    for name, variants in sentences.items():
+        forms[name] = []
+        for v in variants:
+            pieces = [p for p in re.split(r"(?<=[.!?;:])[ \t\r\f\n]+", v) if _plain(p)]
+            run = []
+            for k, p in enumerate(pieces):
+                own = name if len(pieces) == 1 else f"{name}-{k + 1}"
+                run.append(owner.setdefault(_plain(p), own))
+                if run[-1] == own:
+                    known.setdefault(own, []).append(p)
+            if run not in forms[name]:
+                forms[name].append(run)
+    every = [(licence, [i for part in way for i in part]) for licence, run in rules
+             for way in product(*[forms.get(i, [[i]]) for i in run])]
+    return known, every
+
+
+SENTENCES, RULES = cut_up(SENTENCES, RULES)
+
+
 def known_sentences(sentences: dict[str, list[str]] = SENTENCES) -> dict[str, str]:
     """Normalised sentence -> identifier."""
     return {_plain(s): k for k, v in sentences.items() for s in v}
@@ -152,6 +180,7 @@ def license_scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     null and repeated ids are kept row by row; a sentence that is repeated counts each time, its
     licence once.  An empty table gives no rows.  Other columns are not read, whatever their names.
     """
+    sentences, rules = cut_up(sentences, rules)
     known = known_sentences(sentences)
     missed = [s for s in known if not any(h in s for h in hints)]
     hints = [*hints, *missed]  # a table of one's own may need more of them

@@ -37,6 +37,35 @@ def test_rules_in_order(spark):
     assert out[9] == (["cc-by-nc-4", "mit-released", "mit-released"], ["MIT", "CC-BY-NC-4.0"], [])
 
 
+GPL2 = """This program is free software; you can redistribute it and/or modify it under the terms of the GNU General Public License
+as published by the Free Software Foundation; either version 2 of the License, or (at your option) any later version."""
+
+
+def test_gpl_2_notice_on_one_line_and_wrapped(spark):
+    from textwrap import fill
+    one = " ".join(GPL2.split())
+    for ids, names, rest in scan(spark, [one, fill(one, 72), one.split("; ", 1)[1]]):
+        assert names == ["GPL-2.0-or-later"]
+    assert scan(spark, [one])[0] == (["gpl-redistribute", "gpl2-or-later-1", "gpl2-or-later-2"], ["GPL-2.0-or-later"], [])
+
+
+def test_every_sentence_and_rule_matches(spark):
+    from textwrap import fill
+    said = {}
+    for name, texts in licenses.SENTENCES.items():
+        said[name] = texts[0]
+    lone = [(n, t) for n, ts in licenses.SENTENCES.items() for t in ts]
+    for (name, _), (ids, _, _) in zip(lone, scan(spark, [t + "." for _, t in lone])):
+        assert ids == [name]
+    for (name, _), (ids, _, _) in zip(lone, scan(spark, [fill(t + ".", 40) for _, t in lone])):
+        assert ids == [name]
+    texts = [" ".join(said[i].rstrip(".;:") + "." for i in run) for _, run in licenses.RULES]
+    for (name, run), (ids, names, rest) in zip(licenses.RULES, scan(spark, texts)):
+        assert (ids, names, rest) == (run, [name], [])
+    for (name, run), (_, names, _) in zip(licenses.RULES, scan(spark, [fill(t, 72) for t in texts])):
+        assert name in names, run
+
+
 def test_long_text_and_empty_table(spark):
     (ids, lic, rest), = scan(spark, ["word. " * 200_000 + "\nLicensed under CC BY-NC 4.0.\n"])
     assert (ids, lic) == (["cc-by-nc-4"], ["CC-BY-NC-4.0"])
