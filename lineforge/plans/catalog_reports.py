@@ -254,7 +254,7 @@ def q_spend_heatmap(spark, sf_dir):
             .agg(F.avg(F.col("total_spend").cast("double")).alias("avg_spend")))
 
 
-# Months of the test data, for the wide form.
+# Months of the test data, for the wide form's SQL; the query adds what other months the data have.
 HEATMAP_MONTHS = [f"{y}-{m:02d}" for y in range(1995, 2002) for m in range(1, 13)]
 
 

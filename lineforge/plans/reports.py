@@ -251,13 +251,13 @@ def hash_sample(df: DataFrame, n: int, key: str = ACCT, seed: int = 42) -> DataF
 def spend_heatmap_wide(cm: DataFrame, top_n: int = 200, months: list[str] | None = None) -> DataFrame:
     """Account x month pivot of mean spend for the top-n spenders, missing cells 0.
 
-    The month list is passed to ``pivot`` explicitly (no extra distinct-values job);
-    when not given it is read from the data — one value per month, a bounded list."""
+    The months are read from the data — one value per month, a bounded list; ``months`` have a
+    column each in any case, so no month of the data is left out."""
     sums = cm.groupBy(ACCT).agg(F.sum("total_spend").alias("_s"))
     top = top_k(sums, top_n, [F.col("_s").desc(), F.col(ACCT)]).select(ACCT)
     rows = (cm.join(top, ACCT, "left_semi")
             .withColumn("month_str", F.date_format("month", "yyyy-MM")))
-    if months is None:
-        months = sorted(r.month_str for r in rows.select("month_str").distinct().collect())
+    seen = {r.month_str for r in rows.where(F.col("month_str").isNotNull()).select("month_str").distinct().collect()}
+    months = sorted(seen | set(months or ()))
     wide = rows.groupBy(ACCT).pivot("month_str", months).agg(F.avg(F.col("total_spend").cast("double")))
-    return wide.fillna(0.0, subset=list(months))
+    return wide.fillna(0.0, subset=months)

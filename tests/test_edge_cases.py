@@ -258,6 +258,14 @@ def test_heatmap_wide_matches_long_form(spark):
     assert (wide.fillna(-1) >= 0).all().all()  # absent cells are 0, never null
 
 
+def test_heatmap_wide_has_months_outside_the_list(spark):
+    cm = spark.sql("""SELECT current_account_nbr, date(m) AS month, total_spend FROM VALUES
+        ('a', '2003-05-01', 7.0), ('a', '2000-01-01', 1.0), ('b', '2000-01-01', 2.0) t(current_account_nbr, m, total_spend)""")
+    out = {r.current_account_nbr: r.asDict() for r in R.spend_heatmap_wide(cm, 5, ["1999-12", "2000-01"]).collect()}
+    assert list(out["a"]) == ["current_account_nbr", "1999-12", "2000-01", "2003-05"]
+    assert out["a"]["2003-05"] == 7.0 and out["b"]["2003-05"] == 0.0 and out["b"]["2000-01"] == 2.0
+
+
 def test_summary_quantiles_interpolate_like_pandas(spark):
     import numpy as np
     rng = np.random.default_rng(11)
