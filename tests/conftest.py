@@ -4,10 +4,7 @@ import sys
 import pytest
 
 ROOT = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
-sys.path.insert(0, ROOT)
-
-SF_SMALL = "/root/testdata/sf0.001"
-SF_CHECK = "/root/testdata/sf0.01"
+sys.path[:0] = [ROOT, os.path.dirname(os.path.abspath(__file__))]  # the package; the tests' own helpers
 
 
 @pytest.fixture(scope="session")

@@ -7,7 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 
 import __spark_entry__ as entry
-from conftest import SF_CHECK, SF_SMALL
+from paths import SF_CHECK, SF_SMALL
 from lineforge.operators import contributions as C
 from lineforge.operators import forecast, iforest
 from lineforge.plans.catalog_reports import ANOMALY_COLS

@@ -2,7 +2,7 @@
 import pytest
 
 import __spark_entry__ as entry
-from conftest import SF_SMALL
+from paths import SF_SMALL
 from oracle_compare import compare, duck
 
 ORACLES = entry.oracle_sql()

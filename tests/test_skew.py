@@ -4,7 +4,7 @@ task before any exchange)."""
 import pandas as pd
 from pyspark.sql import functions as F
 
-from conftest import SF_SMALL
+from paths import SF_SMALL
 from lineforge.operators import monthly
 from lineforge.sources.fixtures import input_tables
 from test_plans import plan

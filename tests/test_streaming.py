@@ -1,6 +1,6 @@
 """The streamed account-month table equals the batch operator's, whatever the order and number of
 the micro-batches."""
-from conftest import SF_SMALL
+from paths import SF_SMALL
 from lineforge.operators.monthly import txn_monthly
 from lineforge.session import scratch_path
 from lineforge.sources.fixtures import input_path, input_tables
