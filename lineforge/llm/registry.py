@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import chat, decontam, html_text, licenses, line_dedup, near_dup, pieces, quality_crf, sharding, topk
+from . import chat, decontam, html_text, licenses, line_dedup, near_dup, packing, pieces, quality_crf, sharding, topk
 
 
 def queries():
@@ -17,6 +17,7 @@ def queries():
         "op8_chat_format": chat.chat_query,
         "op9_sentencepiece": pieces.encode_query,
         "op10_minhash_odd_sketch": near_dup.near_dup_query,
+        "op11_bounded_packing": packing.packing_query,
     }
 
 
