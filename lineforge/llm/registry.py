@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from . import chat, decontam, html_text, licenses, line_dedup, near_dup, packing, pieces, quality_crf, sharding, topk
+from . import (chat, decontam, html_text, licenses, line_dedup, near_dup, negatives, packing, pieces, quality_crf,
+               sharding, topk, whitening)
 
 
 def queries():
@@ -18,6 +19,8 @@ def queries():
         "op9_sentencepiece": pieces.encode_query,
         "op10_minhash_odd_sketch": near_dup.near_dup_query,
         "op11_bounded_packing": packing.packing_query,
+        "op12_jacobi_whitening": whitening.whitening_query,
+        "op13_hard_negatives": negatives.negatives_query,
     }
 
 
@@ -27,4 +30,5 @@ def oracle_sql():
         "op4_exact_topk": topk.TOPK_SQL,
         "op6_winnowed_lines": line_dedup.LINE_SQL,
         "op8_chat_format": chat.CHAT_SQL,
+        "op13_hard_negatives": negatives.NEGATIVES_SQL,
     }
