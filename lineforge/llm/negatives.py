@@ -27,6 +27,8 @@ ANCHORS, ROWS = 256, 1024    # of a block
 ANCHOR_BLOCKS = 16           # of a cell
 CELL_BLOCKS = (8, 1024)      # candidate blocks of a cell: at least, at most
 COLUMNS = 64                 # cells that a row of the grid has before the cells grow
+MOST_PARTS = 20_000          # of the shuffles that deal out cells
+CELL = ("dim", "row", "col")
 TILE = 128                   # anchors whose tables are held at a time
 POSITIVES, NEGATIVES = 5, 3
 LOW, HIGH = 50, 95           # bounds of a negative's score, in hundredths of the positive's
@@ -182,24 +184,26 @@ def _merged(found: list, k: int):
     return _best(np.concatenate([s for s, _ in found]), np.concatenate([p for _, p in found]), k)
 
 
-def _grid(anchors: DataFrame, candidates: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """Both sides' blocks with the cells (dim, row, col) that they go to."""
+def _grid(anchors: DataFrame, candidates: DataFrame) -> tuple[DataFrame, DataFrame, int]:
+    """Both sides' blocks with the cells (dim, row, col) that they go to, and the number of cells: as
+    a cell's work does not follow its bytes, the number of parts is set and not left to be coalesced."""
     sizes = {r.dim: r.c for r in candidates.groupBy("dim").agg(F.count(F.lit(1)).alias("c")).collect()}
     rows = {r.dim: -(-r.c // ANCHOR_BLOCKS) for r in anchors.groupBy("dim").agg(F.count(F.lit(1)).alias("c")).collect()}
     low, high = CELL_BLOCKS
     grid = [(d, rows[d], -(-c // min(max(low, -(-c // COLUMNS)), high))) for d, c in sizes.items() if d in rows]
+    parts = min(max(sum(n * m for _, n, m in grid), 1), MOST_PARTS)
     # three numbers for each length of vectors
     grid = F.broadcast(anchors.sparkSession.createDataFrame(grid, "dim int, n_rows int, n_cols int"))
     own = lambda n: F.pmod(F.col("block"), F.col(n)).cast("int")
     upto = lambda n: F.explode(F.sequence(F.lit(0), F.col(n) - 1))
     left = anchors.join(grid, "dim").withColumn("row", own("n_rows")).withColumn("col", upto("n_cols"))
     right = candidates.join(grid, "dim").withColumn("col", own("n_cols")).withColumn("row", upto("n_rows"))
-    return left.drop("n_rows", "n_cols"), right.drop("n_rows", "n_cols")
+    return left.drop("n_rows", "n_cols"), right.drop("n_rows", "n_cols"), parts
 
 
-def _cells(left: DataFrame, right: DataFrame, work, schema: str) -> DataFrame:
-    keys = ["dim", "row", "col"]
-    return left.groupBy(*keys).cogroup(right.groupBy(*keys)).applyInArrow(work, schema)
+def _cells(left: DataFrame, right: DataFrame, parts: int, work, schema: str) -> DataFrame:
+    one, two = left.repartition(parts, *CELL), right.repartition(parts, *CELL)
+    return one.groupBy(*CELL).cogroup(two.groupBy(*CELL)).applyInArrow(work, schema)
 
 
 def _rows(schema: pa.Schema, found: list[tuple]) -> pa.Table:
@@ -220,7 +224,7 @@ def hard_negatives(rows: DataFrame, anchors: DataFrame, positives: int = POSITIV
     number = pa.decimal128(38, 0)
     cand = _blocks(rows, ROWS, True, "candidates")
     asked = _blocks(anchors, ANCHORS, False, "anchors")
-    left, right = _grid(asked, cand)
+    left, right, parts = _grid(asked, cand)
     best_schema = pa.schema([("anchor_id", pa.int64()), ("block", pa.int64()), ("dim", pa.int32()), ("vec_id", pa.int64()), ("score", number)])
 
     def own_label(a: pa.Table, c: pa.Table) -> pa.Table:
@@ -238,7 +242,7 @@ def hard_negatives(rows: DataFrame, anchors: DataFrame, positives: int = POSITIV
                         out.append((int(ids[k]), r["block"], cell.dim, int(cell.ids[p]), int(s)))
         return _rows(best_schema, out)
 
-    best = _cells(left, right, own_label, "anchor_id long, block long, dim int, vec_id long, score decimal(38,0)")
+    best = _cells(left, right, parts, own_label, "anchor_id long, block long, dim int, vec_id long, score decimal(38,0)")
     order = lambda *by: Window.partitionBy(*by).orderBy(F.col("score").desc(), F.col("vec_id"))
     found = materialise(best.withColumn("rank", F.row_number().over(order("anchor_id"))).where(F.col("rank") <= positives)
                         .select("block", "dim", "anchor_id", F.col("vec_id").alias("positive_id"), F.col("score").alias("positive_score")),
@@ -280,7 +284,7 @@ def hard_negatives(rows: DataFrame, anchors: DataFrame, positives: int = POSITIV
                         out.append((anchor, pid, p, int(cell.ids[at]), int(s)))
         return _rows(mined_schema, out)
 
-    mined = _cells(left, right, other_label, "anchor_id long, positive_id long, positive_score decimal(38,0), vec_id long, score decimal(38,0)")
+    mined = _cells(left, right, parts, other_label, "anchor_id long, positive_id long, positive_score decimal(38,0), vec_id long, score decimal(38,0)")
     return (mined.withColumn("rank", F.row_number().over(order("anchor_id", "positive_id"))).where(F.col("rank") <= negatives)
             .select("anchor_id", "positive_id", "rank", F.col("vec_id").alias("negative_id"), "positive_score",
                     F.col("score").alias("negative_score")))
