@@ -1,27 +1,32 @@
-"""Additive per-row feature contributions for Spark tree ensembles (path-dependent TreeSHAP).
-
-The fitted ensemble is saved to the shared checkpoint folder and its node table read back
-(id, prediction, cover = weighted node count, children, split feature and threshold) plus
-the tree weights.  The node table is bounded by the model size, so it is broadcast; every
-row of the scored table is explained in a ``mapInPandas`` pass, vectorised over the rows
-of each Arrow batch: the tree recursion is walked once per batch, carrying one weight per
-row along the path.  Per row: ``base_value + sum(contributions) == raw prediction``.
+"""Additive per-row feature contributions for tree ensembles (path-dependent Shapley values).
+
+What a leaf adds to a feature's contribution depends only on which of the conditions on the leaf's
+path a row meets, one bit for each feature on the path.  So every leaf gets a small table, worked out
+for all leaves with equally many features at once; a row only looks its bits up.  The table is of
+the model's size, which is broadcast; rows are explained in a ``mapInPandas`` pass, batch by batch.
+Per row: ``base_value + sum(contributions) == raw prediction``.
 """
 
 from __future__ import annotations
 
+from math import factorial
+
 import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..session import scratch_path
+from .boosting import BoostedTrees
 
 ACCT = "current_account_nbr"
 
 
-def tree_tables(model, spark) -> tuple[list[dict], list[float]]:
-    """Node arrays per tree and tree weights of a GBT/RF regression model."""
+def tree_tables(model, spark) -> tuple[list[dict], list[float], float]:
+    """(node arrays of each tree, tree weights, constant) of a boosted model or of a Spark ML
+    ensemble, which is saved to the shared folder and its node table read back."""
+    if isinstance(model, BoostedTrees):
+        return model.trees, [1.0] * len(model.trees), model.base
     path = scratch_path(spark, "tree-model")
     model.write().overwrite().save(path)
     data = spark.read.parquet(path + "/data").select(
@@ -51,8 +56,8 @@ def tree_tables(model, spark) -> tuple[list[dict], list[float]]:
                 feat[i] = int(r.featureIndex)
                 thr[i] = float(r.leftCategoriesOrThreshold[0])
         trees.append({"feature": feat, "threshold": thr, "left": left, "right": right, "value": value,
-                      "cover": cover})
-    return trees, weights
+                      "cover": cover, "missing_left": np.zeros(n, bool)})
+    return trees, weights, 0.0
 
 
 def expected_value(tree: dict, node: int = 0) -> float:
@@ -63,119 +68,110 @@ def expected_value(tree: dict, node: int = 0) -> float:
     return (tree["cover"][l] * expected_value(tree, l) + tree["cover"][r] * expected_value(tree, r)) / c
 
 
-def _extend(path, pz, po, fi):
-    d = len(path["f"])
-    path["f"].append(fi)
-    path["z"].append(pz)
-    path["o"].append(po)
-    path["w"].append(np.ones_like(po) if d == 0 else np.zeros_like(po))
-    w = path["w"]
-    for i in range(d - 1, -1, -1):
-        w[i + 1] = w[i + 1] + po * w[i] * (i + 1) / (d + 1)
-        w[i] = pz * w[i] * (d - i) / (d + 1)
-
-
-def _unwind(path, idx):
-    d = len(path["f"]) - 1
-    o = path["o"][idx]
-    z = path["z"][idx]
-    w = path["w"]
-    nz = o != 0
-    o_safe = np.where(nz, o, 1.0)
-    nxt = w[d].copy()
-    for i in range(d - 1, -1, -1):
-        tmp = w[i].copy()
-        w_one = nxt * (d + 1) / ((i + 1) * o_safe)
-        w_zero = (tmp * (d + 1) / (z * (d - i))) if z != 0 else np.zeros_like(tmp)
-        w[i] = np.where(nz, w_one, w_zero)
-        nxt = np.where(nz, tmp - w[i] * z * (d - i) / (d + 1), nxt)
-    for key in ("f", "z", "o"):
-        del path[key][idx]
-    del w[d]
-
-
-def _unwound_sum(path, idx):
-    d = len(path["f"]) - 1
-    o = path["o"][idx]
-    z = path["z"][idx]
-    w = path["w"]
-    nz = o != 0
-    o_safe = np.where(nz, o, 1.0)
-    nxt = w[d].copy()
-    total = np.zeros_like(nxt)
-    for i in range(d - 1, -1, -1):
-        tmp = nxt * (d + 1) / ((i + 1) * o_safe)
-        zero_part = (w[i] / z) / ((d - i) / (d + 1)) if z != 0 else np.zeros_like(tmp)
-        total = total + np.where(nz, tmp, zero_part)
-        nxt = np.where(nz, w[i] - tmp * z * ((d - i) / (d + 1)), nxt)
-    return total
-
-
-def _copy(path):
-    return {"f": list(path["f"]), "z": list(path["z"]), "o": list(path["o"]), "w": [a.copy() for a in path["w"]]}
-
-
-def tree_shap(tree: dict, x: np.ndarray, phi: np.ndarray, scale: float = 1.0) -> None:
-    """Adds ``scale`` x path-dependent SHAP values of one tree for all rows of ``x``."""
-    n = x.shape[0]
-
-    def recurse(node, path, pz, po, pfi):
-        path = _copy(path)
-        _extend(path, pz, po, pfi)
+def leaf_paths(tree: dict) -> list[tuple]:
+    """(leaf, {feature: (share of the cover that meets its conditions, [(node, goes left)])}) of each
+    leaf that some of the cover reaches."""
+    out, stack = [], [(0, {})]
+    while stack:
+        node, path = stack.pop()
         if tree["left"][node] < 0:
-            d = len(path["f"]) - 1
-            for i in range(1, d + 1):
-                w = _unwound_sum(path, i)
-                phi[:, path["f"][i]] += w * (path["o"][i] - path["z"][i]) * tree["value"][node] * scale
-            return
-        f = tree["feature"][node]
-        l, r = tree["left"][node], tree["right"][node]
-        c = tree["cover"][node] or 1.0
-        goes_left = (x[:, f] <= tree["threshold"][node]).astype(float)
-        iz, io = 1.0, np.ones(n)
-        for k in range(1, len(path["f"])):
-            if path["f"][k] == f:
-                iz, io = path["z"][k], path["o"][k]
-                _unwind(path, k)
-                break
-        recurse(l, path, tree["cover"][l] / c * iz, io * goes_left, f)
-        recurse(r, path, tree["cover"][r] / c * iz, io * (1.0 - goes_left), f)
-
-    recurse(0, {"f": [], "z": [], "o": [], "w": []}, 1.0, np.ones(n), -1)
+            out.append((node, path))
+            continue
+        f, c = int(tree["feature"][node]), tree["cover"][node] or 1.0
+        for child, left in ((tree["left"][node], True), (tree["right"][node], False)):
+            share, conditions = path.get(f, (1.0, []))
+            stack.append((child, path | {f: (share * tree["cover"][child] / c, [*conditions, (node, left)])}))
+    return out
+
+
+def shapley_tables(shares: np.ndarray) -> np.ndarray:
+    """(leaves, 2^m, m): for leaves with ``m`` features on their path, whose conditions the cover
+    meets in ``shares``, each feature's Shapley value of the indicator "all conditions met", for
+    every pattern of conditions that a row meets (bit k: feature k)."""
+    n, m = shares.shape
+    met = ((np.arange(1 << m)[:, None] >> np.arange(m)) & 1).astype(float)
+    size = np.array([factorial(k) * factorial(m - k - 1) / factorial(m) for k in range(m)])
+    out = np.empty((n, 1 << m, m))
+    for i in range(m):
+        # sum over the sets S of the other features of t^|S| * product(met in S) * product(share outside)
+        poly = np.zeros((n, 1 << m, m))
+        poly[:, :, 0] = 1.0
+        for j in (j for j in range(m) if j != i):
+            grown = poly * shares[:, j, None, None]
+            grown[:, :, 1:] += poly[:, :, :-1] * met[None, :, j, None]
+            poly = grown
+        out[:, :, i] = (poly @ size) * (met[None, :, i] - shares[:, i, None])
+    return out
+
+
+class Explainer:
+    """The ensemble's leaves with their tables."""
+
+    def __init__(self, trees: list[dict], weights: list[float], n_features: int):
+        self.trees, self.weights, self.n_features = trees, weights, n_features
+        paths = [[(leaf, path) for leaf, path in leaf_paths(t)] for t in trees]
+        by_size: dict[int, list] = {}
+        for k, some in enumerate(paths):
+            for leaf, path in some:
+                by_size.setdefault(len(path), []).append((k, leaf, path))
+        self.leaves: list[list] = [[] for _ in trees]  # of each tree: (features, conditions, table)
+        for m, some in by_size.items():
+            if m == 0:
+                continue
+            for a in range(0, len(some), 512):
+                part = some[a:a + 512]
+                tables = shapley_tables(np.array([[s for s, _ in path.values()] for _, _, path in part]))
+                for (k, leaf, path), table in zip(part, tables):
+                    self.leaves[k].append((list(path), [c for _, c in path.values()], table * (trees[k]["value"][leaf] * weights[k])))
+
+    def contributions(self, x: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """(rows x features) contributions and the raw prediction without the constant."""
+        phi, pred = np.zeros((self.n_features, len(x))), np.zeros(len(x))
+        missing = np.isnan(x)
+        for t, w, some in zip(self.trees, self.weights, self.leaves):
+            side = {int(k): np.where(missing[:, t["feature"][k]], t["missing_left"][k], x[:, t["feature"][k]] <= t["threshold"][k])
+                    for k in np.flatnonzero(t["left"] >= 0)}
+            node = np.zeros(len(x), np.int64)
+            for k in sorted(side):  # children come after their parents
+                at = node == k
+                node[at] = np.where(side[k][at], t["left"][k], t["right"][k])
+            pred += w * t["value"][node]
+            for features, conditions, table in some:
+                code = np.zeros(len(x), np.int64)
+                for bit, each in enumerate(conditions):
+                    ok = np.ones(len(x), bool)
+                    for k, left in each:
+                        ok &= side[k] if left else ~side[k]
+                    code |= ok.astype(np.int64) << bit
+                for j, f in enumerate(features):
+                    phi[f] += table[code, j]
+        return phi.T, pred
 
 
 def explain(df: DataFrame, model, features: list[str], key: str = ACCT, zero_fill: bool = True) -> DataFrame:
-    """key, base_value, raw_prediction, one ``contrib_<feature>`` column per feature."""
+    """key, base_value, raw_prediction, one ``contrib_<feature>`` column per feature.
+
+    A null or NaN feature takes the side that its split has learnt (the right one in Spark ML's
+    trees), or counts as 0 with ``zero_fill``."""
     spark = df.sparkSession
-    trees, weights = tree_tables(model, spark)
-    base = float(sum(w * expected_value(t) for t, w in zip(trees, weights)))
-    bc = spark.sparkContext.broadcast({"trees": trees, "weights": weights})
+    trees, weights, constant = tree_tables(model, spark)
+    base = constant + float(sum(w * expected_value(t) for t, w in zip(trees, weights)))
+    bc = spark.sparkContext.broadcast((trees, weights))
     cols = [F.col(c).cast("double") for c in features]
     if zero_fill:
         cols = [F.coalesce(c, F.lit(0.0)) for c in cols]
-    x_df = df.select(F.col(key), *[c.alias(f) for c, f in zip(cols, features)])
+    # a row costs its way through every leaf: few bytes, much work, so the rows are dealt out anew
+    x_df = df.select(F.col(key), *[c.alias(f) for c, f in zip(cols, features)]).repartition(spark.sparkContext.defaultParallelism)
     out_schema = f"{key} string, base_value double, raw_prediction double, " + ", ".join(
         f"contrib_{f} double" for f in features)
 
     def run(batches):
-        forest = bc.value
+        explainer = None
         for pdf in batches:
-            x = pdf[features].to_numpy(dtype=float)
-            phi = np.zeros((x.shape[0], len(features)))
-            pred = np.zeros(x.shape[0])
-            for t, w in zip(forest["trees"], forest["weights"]):
-                tree_shap(t, x, phi, w)
-                node = np.zeros(x.shape[0], dtype=int)
-                for _ in range(64):
-                    inner = t["left"][node] >= 0
-                    if not inner.any():
-                        break
-                    fidx = np.where(inner, t["feature"][node], 0)
-                    go_left = x[np.arange(x.shape[0]), fidx] <= t["threshold"][node]
-                    node = np.where(inner, np.where(go_left, t["left"][node], t["right"][node]), node)
-                pred += w * t["value"][node]
+            explainer = explainer or Explainer(*bc.value, len(features))
+            phi, pred = explainer.contributions(pdf[features].to_numpy(dtype=float))
             out = pd.DataFrame(phi, columns=[f"contrib_{f}" for f in features])
-            out.insert(0, "raw_prediction", pred)
+            out.insert(0, "raw_prediction", pred + constant)
             out.insert(0, "base_value", base)
             out.insert(0, key, pdf[key].to_numpy())
             yield out

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..session import materialise
 from .monthly import add_lag_features
 
 ACCT = "current_account_nbr"
@@ -96,22 +97,34 @@ def key_hash(col: str = ACCT, salt: str = ""):
     return F.conv(F.substring(F.md5(F.concat(F.lit(salt), key) if salt else key), 1, 8), 16, 10).cast("long")
 
 
-def hash_bucket(col: str = ACCT, buckets: int = 100, salt: str = ""):
-    """Reproducible bucket 0..buckets-1 of a key."""
-    return F.pmod(key_hash(col, salt), F.lit(buckets))
-
-
-def split_indicator(df: DataFrame, share: float, name: str = "is_holdout", key: str = ACCT, salt: str = "") -> DataFrame:
-    """Holdout indicator for a share of keys (hash based: no global sort, no window)."""
-    return df.withColumn(name, hash_bucket(key, salt=salt) < F.lit(int(round(share * 100))))
-
-
-VALIDATION_SALT = "val|"  # the models' validation share is another split than their test share
-
-
-def validation_indicator(df: DataFrame, share: float = 0.2, name: str = "is_validation", key: str = ACCT) -> DataFrame:
-    """The validation share that the boosted models stop on."""
-    return split_indicator(df, share, name, key, VALIDATION_SALT)
+def positional_tail(df: DataFrame, share: float, order: list[str], name: str = "is_validation") -> DataFrame:
+    """Marks the last floor(``share`` x n) rows in the order of ``order``, which identifies a row.
+
+    The rows are dealt into ranges of the order and written; the ranges' counts (a number for each)
+    tell which range the cut falls into, and only that range is ranked.  Nulls come first.  An empty
+    table stays empty; a tail without rows of a table that has some is refused."""
+    ranged = materialise(df.repartitionByRange(*order).withColumn("_range", F.spark_partition_id()), "ranged")
+    counts = {r._range: r.n for r in ranged.groupBy("_range").agg(F.count(F.lit(1)).alias("n")).collect()}
+    rest = int(sum(counts.values()) * share)
+    if counts and not rest:
+        raise ValueError(f"a share of {share} of {sum(counts.values())} rows is no row")
+    cut = None
+    for cut in sorted(counts, reverse=True):
+        if counts[cut] >= rest:
+            break
+        rest -= counts[cut]
+    if cut is None:
+        return ranged.withColumn(name, F.lit(False)).drop("_range")
+    back = Window.partitionBy("_range").orderBy(*[F.col(c).desc() for c in order])
+    inside = (ranged.where(F.col("_range") == cut).withColumn(name, F.row_number().over(back) <= rest))
+    outside = ranged.where(F.col("_range") != cut).withColumn(name, F.col("_range") > cut)
+    return inside.unionByName(outside).drop("_range")
+
+
+def exact_split(df: DataFrame, share: float, name: str = "is_test", key: str = ACCT) -> DataFrame:
+    """Marks ``share`` of the rows, to the nearest row, in the order of the key's hash."""
+    one = stratified_split(df.withColumn("_all", F.lit(1)), "_all", share, name, key)
+    return one.drop("_all")
 
 
 def stratified_split(df: DataFrame, label: str, share: float, name: str = "is_test", key: str = ACCT) -> DataFrame:

@@ -1,54 +1,32 @@
-"""Spark ML models: boosted spend and credit regressors with validation-based stopping,
-the segment classifier and its report, k-means clusters, and the sequence regression.
+"""Models: boosted spend and credit regressors that stop by the tail of their training rows, the
+segment classifier and its report, and k-means clusters.
 
-Training inputs stay distributed; only fixed-size artefacts reach the driver (per-
-iteration validation errors, cluster costs, feature importances).  Tree ensembles
-checkpoint their internal state every ``checkpointInterval`` iterations into the shared
-checkpoint folder, so a lost executor does not restart a long fit from the source scan.
+Training inputs stay distributed; only fixed-size artefacts reach the driver (validation errors,
+cluster centres, feature importances).  What a long fit has reached is written to the shared
+checkpoint folder, so a lost executor does not restart it from the source scan.
 """
 
 from __future__ import annotations
 
-from dataclasses import dataclass
-
-from pyspark.ml import Pipeline, PipelineModel
+from pyspark.ml import Pipeline
 from pyspark.ml.classification import RandomForestClassifier
 from pyspark.ml.clustering import KMeans
-from pyspark.ml.feature import Imputer, VectorAssembler
-from pyspark.ml.regression import GBTRegressor
+from pyspark.ml.feature import VectorAssembler
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..session import ensure_checkpoint_dir, materialise
-from .matrix import hash_bucket, stratified_split, validation_indicator, zscore
+from .boosting import BoostedTrees, BoostSettings, fit_boosted
+from .matrix import positional_tail, stratified_split, zscore
 from .segments import SEGMENTS
 
 ACCT = "current_account_nbr"
 
 
-@dataclass
-class GBTSettings:
-    max_iter: int = 20
-    max_depth: int = 5
-    step_size: float = 0.1
-    subsampling_rate: float = 0.8
-    feature_subset: str = "0.8"
-    min_instances: int = 5
-    seed: int = 42
-    max_bins: int = 32
-
-
 def _assembler(features: list[str], out: str = "features") -> VectorAssembler:
     return VectorAssembler(inputCols=features, outputCol=out, handleInvalid="keep")
 
 
-def _gbt(features_col: str, label: str, s: GBTSettings, n_iter: int) -> GBTRegressor:
-    return GBTRegressor(featuresCol=features_col, labelCol=label, maxIter=n_iter, maxDepth=s.max_depth,
-                        stepSize=s.step_size, subsamplingRate=s.subsampling_rate,
-                        featureSubsetStrategy=s.feature_subset, minInstancesPerNode=s.min_instances,
-                        seed=s.seed, maxBins=s.max_bins, checkpointInterval=10, cacheNodeIds=False)
-
-
 def with_double_features(df: DataFrame, features: list[str], zero_fill: bool = False) -> DataFrame:
     cols = {c: F.col(c).cast("double") for c in features}
     if zero_fill:
@@ -56,42 +34,32 @@ def with_double_features(df: DataFrame, features: list[str], zero_fill: bool = F
     return df.withColumns(cols)
 
 
-def fit_gbt_early_stop(train: DataFrame, features: list[str], label: str, val_share: float = 0.2,
-                       settings: GBTSettings | None = None, key: str = ACCT):
-    """Fit on the rows outside a hash-chosen validation share, pick the number of trees
-    with the least validation MAE (``evaluateEachIteration``), refit to that length.
-
-    Returns ``(pipeline_model, best_iterations, validation_mae_per_iteration)``."""
-    s = settings or GBTSettings()
+def fit_with_tail(train: DataFrame, features: list[str], label: str, keys: list[str], val_share: float = 0.2,
+                  settings: BoostSettings | None = None) -> BoostedTrees:
+    """Boosted trees that stop by the positional tail of the training rows (the last ``val_share`` of
+    them in the order of ``keys``).  A table too small for a tail of a row is refused."""
     ensure_checkpoint_dir(train.sparkSession)
-    data = with_double_features(train, features).withColumn(label, F.col(label).cast("double"))
-    data = materialise(validation_indicator(data, val_share, "_is_val", key), "gbt-input")
-    # null policy of scoring: the means of the training rows, stored with the model
-    filled = [f"_filled_{c}" for c in features]
-    imputer = Imputer(inputCols=features, outputCols=filled, strategy="mean").fit(data.where(~F.col("_is_val")))
-    assembler = _assembler(filled)
-    ready = lambda rows: assembler.transform(imputer.transform(rows))
-    fit_rows = ready(data.where(~F.col("_is_val")))
-    val_rows = ready(data.where(F.col("_is_val")))
-    first = _gbt("features", label, s, s.max_iter).fit(fit_rows)
-    errs = first.evaluateEachIteration(val_rows, "absolute") if s.max_iter > 1 else [0.0]
-    best = int(min(range(len(errs)), key=lambda i: errs[i])) + 1 if errs else s.max_iter
-    model = first if best == s.max_iter else _gbt("features", label, s, best).fit(fit_rows)
-    return PipelineModel(stages=[imputer, assembler, model]), best, list(errs)
-
-
-def predict_floor(model: PipelineModel, df: DataFrame, features: list[str], out: str = "prediction",
+    y = F.col(label).cast("double")
+    rows = positional_tail(train.where(y.isNotNull() & ~F.isnan(y)), val_share, keys, "_is_val")
+    return fit_boosted(rows, features, label, F.col("_is_val"), keys, settings)
+
+
+def predict_floor(model, df: DataFrame, features: list[str], out: str = "prediction",
                   floor: float | None = 0.0, zero_fill: bool = False) -> DataFrame:
-    """Score with the fitted pipeline; predictions floored (negative spend is 0)."""
-    scored = model.transform(with_double_features(df, features, zero_fill=zero_fill))
-    pred = F.col("prediction")
-    if floor is not None:
-        pred = F.greatest(pred, F.lit(floor))
-    return scored.withColumn(out, pred).drop("features", *[f"_filled_{c}" for c in features])
+    """Score with a fitted model; predictions floored (negative spend is 0)."""
+    rows = with_double_features(df, features, zero_fill=zero_fill)
+    if isinstance(model, BoostedTrees):
+        scored = model.predict(rows, "_raw")
+    else:
+        scored = model.transform(rows).withColumn("_raw", F.col("prediction")).drop("features", "rawPrediction", "probability", "prediction")
+    pred = F.col("_raw") if floor is None else F.greatest(F.col("_raw"), F.lit(floor))
+    return scored.withColumn(out, pred).drop("_raw")
 
 
-def feature_importances(model: PipelineModel, features: list[str], top: int = 15) -> list[tuple[str, float]]:
+def feature_importances(model, features: list[str], top: int = 15) -> list[tuple[str, float]]:
     """(feature, importance) pairs, largest first (a vector of length #features)."""
+    if isinstance(model, BoostedTrees):
+        return model.importances(top)
     imp = model.stages[-1].featureImportances.toArray()
     pairs = sorted(zip(features, [float(x) for x in imp]), key=lambda p: (-p[1], p[0]))
     return pairs[:top]
@@ -177,26 +145,3 @@ def kmeans_clusters(df: DataFrame, features: list[str], k: int = 6, seeds=tuple(
     model, cost = best
     clusters = model.transform(data).select(ACCT, F.col("cluster_id").cast("int").alias("cluster_id"))
     return df.join(clusters, ACCT, "left"), model, cost
-
-
-def sequence_regression(seq_vectors: DataFrame, test_share: float = 0.2, settings: GBTSettings | None = None):
-    """Regression of the next-quarter total on the flattened 9x2 sequence (hash split
-    80/20 by account); features are standardised with training mean/std per channel
-    (population std + 1e-8).  Returns ``(model, test_predictions)``."""
-    from pyspark.ml.functions import vector_to_array, array_to_vector
-    s = settings or GBTSettings()
-    arr = seq_vectors.withColumn("_a", vector_to_array("features"))
-    arr = materialise(arr.withColumn("_is_test", hash_bucket(ACCT) < F.lit(int(test_share * 100))), "sequence-input")
-    train = arr.where(~F.col("_is_test"))
-    spend = F.explode(F.slice("_a", 1, 9))
-    st_s = train.select(spend.alias("v")).agg(F.avg("v").alias("m"), F.stddev_pop("v").alias("s")).first()
-    st_b = train.select(F.explode(F.slice("_a", 10, 9)).alias("v")).agg(F.avg("v").alias("m"),
-                                                                       F.stddev_pop("v").alias("s")).first()
-    ms, ss = float(st_s.m or 0.0), float(st_s.s or 0.0) + 1e-8
-    mb, sb = float(st_b.m or 0.0), float(st_b.s or 0.0) + 1e-8
-    norm = F.concat(F.transform(F.slice("_a", 1, 9), lambda v: (v - F.lit(ms)) / F.lit(ss)),
-                    F.transform(F.slice("_a", 10, 9), lambda v: (v - F.lit(mb)) / F.lit(sb)))
-    arr = arr.withColumn("features", array_to_vector(norm)).drop("_a")
-    model = _gbt("features", "target", s, s.max_iter).fit(arr.where(~F.col("_is_test")))
-    pred = model.transform(arr.where(F.col("_is_test"))).withColumn("prediction", F.greatest(F.col("prediction"), F.lit(0.0)))
-    return model, pred.select(ACCT, "target", "prediction")

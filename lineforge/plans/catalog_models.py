@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from ..operators import contributions as C
-from ..operators import credit, forecast, iforest, matrix, models, risk, segments
+from ..operators import credit, forecast, iforest, matrix, models, recurrent, risk, segments
 from .catalog import register
 from .catalog_reports import ANOMALY_COLS, _q4_frame, _q4_oracle_body, _r
 from .context import ACCT, CUTOFF_MONTH, QUARTER_END, QUARTER_MONTHS, context, finish
@@ -275,7 +275,7 @@ def q_model_comparison(spark, sf_dir):
     ctx = context(spark, sf_dir)
     refined = forecast.regression_metrics(_holt_refined(ctx).join(_actual(ctx, QUARTER_END), ACCT, "inner"),
                                           "actual_q4_spend", "hw_predicted_q4_spend", "holt_refined_quarter")
-    fitted = [refined, q_spend_gbt(spark, sf_dir).drop("trees"), q_sequence_forecast(spark, sf_dir)]
+    fitted = [refined, q_spend_gbt(spark, sf_dir).drop("trees", "tried"), q_sequence_forecast(spark, sf_dir).drop("epochs")]
     return forecast.comparison_table(_simple_metrics(spark, sf_dir) + fitted)
 
 
@@ -437,30 +437,45 @@ def q_class_weights_applied(spark, sf_dir):
 # boosted spend model, quarter prediction, sequence regression
 # ---------------------------------------------------------------------------------------
 
+#: A larger step than the class's own: a fit takes some 200 trees instead of over 1,000.
+SPEND = models.BoostSettings(learning_rate=0.4)
+CREDIT = models.BoostSettings(learning_rate=0.3, max_trees=800, patience=30)
+
+
 def _spend_model(ctx, spark, sf_dir):
     def build():
         df, feats, target = _q4_frame(spark, sf_dir)
-        train = df.where(F.col("split") == "train")
-        model, best, errs = models.fit_gbt_early_stop(train, feats, target, val_share=0.2,
-                                                      settings=models.GBTSettings(max_iter=20, max_depth=5))
-        return model, feats, best
+        return models.fit_with_tail(df.where(F.col("split") == "train"), feats, target, [ACCT, "month"], settings=SPEND), feats
     return _memo(ctx, "spend_gbt", build)
 
 
 @register("spend_gbt")
 def q_spend_gbt(spark, sf_dir):
     ctx = context(spark, sf_dir)
-    model, feats, best = _spend_model(ctx, spark, sf_dir)
+    model, feats = _spend_model(ctx, spark, sf_dir)
     df, _, target = _q4_frame(spark, sf_dir)
     pred = models.predict_floor(model, df.where(F.col("split") == "test"), feats)
-    return forecast.regression_metrics(pred, target, "prediction", "gbt").withColumn("trees", F.lit(best))
+    return _with_length(forecast.regression_metrics(pred, target, "prediction", "gbt"), model)
+
+
+def _with_length(metrics, model):
+    """trees: of the model; tried: up to the end of patience."""
+    return metrics.withColumns({"trees": F.lit(len(model.trees)), "tried": F.lit(max(len(model.errors) - 1, 0))})
+
+
+@register("spend_gbt_course")
+def q_spend_gbt_course(spark, sf_dir):
+    """The validation error after each tree of the spend model (a row a tree), and which is the best."""
+    model, _ = _spend_model(context(spark, sf_dir), spark, sf_dir)
+    return spark.createDataFrame([(k, float(e), k == len(model.trees)) for k, e in enumerate(model.errors)],
+                                 "trees int, validation_mae double, is_best boolean")
 
 
 @register("predict_q4")
 def q_predict_q4(spark, sf_dir):
-    """Every account with rows in the quarter: missing features are the training rows' means."""
+    """Every account with rows in the quarter: a missing feature takes the side of its split."""
     ctx = context(spark, sf_dir)
-    model, feats, _ = _spend_model(ctx, spark, sf_dir)
+    model, feats = _spend_model(ctx, spark, sf_dir)
     rows, _, _ = matrix.q4_feature_matrix(ctx.cm_lags, ctx.base, CUTOFF_MONTH, drop_nulls=False)
     pred = models.predict_floor(model, matrix.month_in(rows, QUARTER_MONTHS), feats)
     return pred.groupBy(ACCT).agg(F.sum("prediction").alias("xgb_predicted_q4_spend"))
@@ -481,7 +496,7 @@ def q_forecast_by_account(spark, sf_dir):
 
 def _q4_forecast(ctx, spark, sf_dir):
     """Sum of floored monthly predictions over the test rows per account (as the run does)."""
-    model, feats, _ = _spend_model(ctx, spark, sf_dir)
+    model, feats = _spend_model(ctx, spark, sf_dir)
     df, _, _ = _q4_frame(spark, sf_dir)
     pred = models.predict_floor(model, df.where(F.col("split") == "test"), feats)
     return pred.groupBy(ACCT).agg(F.sum("prediction").alias("q4_forecast"))
@@ -489,17 +504,26 @@ def _q4_forecast(ctx, spark, sf_dir):
 
 @register("top_importances")
 def q_top_importances(spark, sf_dir):
-    model, feats, _ = _spend_model(context(spark, sf_dir), spark, sf_dir)
+    model, feats = _spend_model(context(spark, sf_dir), spark, sf_dir)
     pairs = models.feature_importances(model, feats, 15)
     return spark.createDataFrame(pairs, "feature string, importance double")
 
 
+#: Smaller layers than the class's own: accounts here have two channels of nine months.
+SEQUENCE = recurrent.RecurrentSettings(first=16, second=12, dense=8, rate=0.03, epochs=60)
+
+
 @register("sequence_forecast")
 def q_sequence_forecast(spark, sf_dir):
+    """The recurrent model: the last fifth of the accounts is held out."""
+    from pyspark.ml.functions import vector_to_array
     ctx = context(spark, sf_dir)
-    seq = matrix.sequence_vectors(matrix.sequence_windows(ctx.cm))
-    _, pred = models.sequence_regression(seq, settings=models.GBTSettings(max_iter=15, max_depth=4))
-    return forecast.regression_metrics(pred, "target", "prediction", "sequence_gbt")
+    seq = matrix.sequence_vectors(matrix.sequence_windows(ctx.cm)).withColumn("features", vector_to_array("features"))
+    rows = materialise(matrix.positional_tail(seq, 0.2, [ACCT], "_is_test"), "sequences")
+    model = recurrent.fit_recurrent(rows.where(~F.col("_is_test")), 2, [ACCT], SEQUENCE)
+    pred = recurrent.predict_recurrent(model, rows.where(F.col("_is_test")), 2)
+    return forecast.regression_metrics(pred, "target", "prediction", "sequence_lstm").withColumn(
+        "epochs", F.lit(len(model.losses) - 1))
 
 
 # ---------------------------------------------------------------------------------------
@@ -539,15 +563,14 @@ def _pipeline(ctx, spark, sf_dir):
         adj = materialise(credit.apply_rule_based_adjustment(full), "rule-adjusted")
         feats = [c for c in credit.CREDIT_FEATURES + ["q4_forecast"] if c in adj.columns]
         train = adj.dropna(subset=feats + ["rule_adjustment_delta"])
-        train = train.withColumn("_is_test", matrix.hash_bucket(ACCT) < F.lit(25))
-        model, best, _ = models.fit_gbt_early_stop(train.where(~F.col("_is_test")), feats, "rule_adjustment_delta",
-                                                   val_share=0.15, settings=models.GBTSettings(max_iter=20, max_depth=5))
+        train = materialise(matrix.exact_split(train, 0.25, "_is_test"), "adjuster-input")
+        model = models.fit_with_tail(train.where(~F.col("_is_test")), feats, "rule_adjustment_delta", [ACCT], 0.15, CREDIT)
         test_pred = models.predict_floor(model, train.where(F.col("_is_test")), feats, floor=None)
         scored_all = models.predict_floor(model, adj, feats, out="predicted_adjustment_delta", floor=None,
                                           zero_fill=True)
         final = credit.final_recommendations(scored_all.drop("prediction") if "prediction" in scored_all.columns
                                              else scored_all)
-        return {"adj": adj, "model": model, "features": feats, "trees": best, "test_pred": test_pred,
+        return {"adj": adj, "model": model, "features": feats, "test_pred": test_pred,
                 "final": materialise(final, "final-recommendations")}
     return _memo(ctx, "pipeline", build)
 
@@ -555,8 +578,7 @@ def _pipeline(ctx, spark, sf_dir):
 @register("credit_adjuster")
 def q_credit_adjuster(spark, sf_dir):
     p = _pipeline(context(spark, sf_dir), spark, sf_dir)
-    return forecast.regression_metrics(p["test_pred"], "rule_adjustment_delta", "prediction", "credit_gbt") \
-        .withColumn("trees", F.lit(p["trees"]))
+    return _with_length(forecast.regression_metrics(p["test_pred"], "rule_adjustment_delta", "prediction", "credit_gbt"), p["model"])
 
 
 @register("recommendation_run")
@@ -572,14 +594,13 @@ def q_recommendation_impact(spark, sf_dir):
 @register("feature_contributions")
 def q_feature_contributions(spark, sf_dir):
     p = _pipeline(context(spark, sf_dir), spark, sf_dir)
-    gbt = p["model"].stages[-1]
-    return C.explain(p["adj"], gbt, p["features"])
+    return C.explain(p["adj"], p["model"], p["features"])
 
 
 @register("contribution_importance")
 def q_contribution_importance(spark, sf_dir):
     p = _pipeline(context(spark, sf_dir), spark, sf_dir)
-    contrib = C.explain(p["adj"], p["model"].stages[-1], p["features"])
+    contrib = C.explain(p["adj"], p["model"], p["features"])
     return C.mean_abs_contributions(contrib, p["features"])
 
 
@@ -587,10 +608,10 @@ def q_contribution_importance(spark, sf_dir):
 def q_spend_contribution_importance(spark, sf_dir):
     """Mean |contribution| per feature of the spend model over all its test rows."""
     ctx = context(spark, sf_dir)
-    model, feats, _ = _spend_model(ctx, spark, sf_dir)
+    model, feats = _spend_model(ctx, spark, sf_dir)
     df, _, _ = _q4_frame(spark, sf_dir)
     test = df.where(F.col("split") == "test")
-    contrib = C.explain(test, model.stages[-1], feats, zero_fill=False)
+    contrib = C.explain(test, model, feats, zero_fill=False)
     return C.mean_abs_contributions(contrib, feats)
 
 
@@ -601,7 +622,7 @@ def q_contribution_waterfall(spark, sf_dir):
     p = _pipeline(context(spark, sf_dir), spark, sf_dir)
     reps = R.median_representative(p["final"], "segment_name", "adjustment_delta").select("segment_name", ACCT)
     rows = p["adj"].join(reps, ACCT, "left_semi")
-    contrib = C.explain(rows, p["model"].stages[-1], p["features"])
+    contrib = C.explain(rows, p["model"], p["features"])
     return C.account_breakdown(contrib, p["features"]).join(reps, ACCT)
 
 
@@ -609,14 +630,11 @@ def q_contribution_waterfall(spark, sf_dir):
 def q_spend_gbt_causal(spark, sf_dir):
     """The spend model on features known before the month (no same-month columns, no
     spend-to-line ratio of the target month), reported next to the as-coded set."""
-    ctx = context(spark, sf_dir)
     df, _, target = _q4_frame(spark, sf_dir)
     feats = [c for c in matrix.CAUSAL_FEATURES if c in df.columns]
-    model, best, _ = models.fit_gbt_early_stop(df.where(F.col("split") == "train"), feats, target, val_share=0.2,
-                                               settings=models.GBTSettings(max_iter=20, max_depth=5))
+    model = models.fit_with_tail(df.where(F.col("split") == "train"), feats, target, [ACCT, "month"], settings=SPEND)
     pred = models.predict_floor(model, df.where(F.col("split") == "test"), feats)
-    del ctx
-    return forecast.regression_metrics(pred, target, "prediction", "gbt_causal").withColumn("trees", F.lit(best))
+    return _with_length(forecast.regression_metrics(pred, target, "prediction", "gbt_causal"), model)
 
 
 @register("forest_sink")
@@ -640,7 +658,7 @@ def q_model_sink(spark, sf_dir):
     from pyspark.ml import PipelineModel
     from ..session import scratch_path
     ctx = context(spark, sf_dir)
-    spend, feats, _ = _spend_model(ctx, spark, sf_dir)
+    spend, feats = _spend_model(ctx, spark, sf_dir)
     df, _, _ = _q4_frame(spark, sf_dir)
     run = _pipeline(ctx, spark, sf_dir)
     classifier, _, cfeats = _classifier(ctx)
@@ -652,10 +670,14 @@ def q_model_sink(spark, sf_dir):
     out = None
     for name, (model, rows, features) in cases.items():
         path = scratch_path(spark, f"{name}-model")
-        model.write().overwrite().save(path)
+        if isinstance(model, models.BoostedTrees):
+            again = models.BoostedTrees.load(spark, model.save(spark, path))
+        else:
+            model.write().overwrite().save(path)
+            again = PipelineModel.load(path)
         scored = lambda m: models.predict_floor(m, rows, features, floor=None)
         a = scored(model).select("row", F.col("prediction").alias("p_fitted"))
-        b = scored(PipelineModel.load(path)).select("row", F.col("prediction").alias("p_reloaded"))
+        b = scored(again).select("row", F.col("prediction").alias("p_reloaded"))
         one = a.join(b, "row").select(F.lit(name).alias("model"), "row", "p_fitted", "p_reloaded",
                                       (F.col("p_fitted") == F.col("p_reloaded")).alias("equal"))
         out = one if out is None else out.unionByName(one)

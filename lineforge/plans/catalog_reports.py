@@ -480,16 +480,19 @@ def _hash(salt: str = "") -> str:
 
 
 @register("validation_tail", q(f"""
-SELECT current_account_nbr, month, {_hash(matrix.VALIDATION_SALT)} % 100 < 20 AS is_validation
+SELECT current_account_nbr, month,
+  ROW_NUMBER() OVER (ORDER BY current_account_nbr DESC, month DESC) <= FLOOR(COUNT(*) OVER () * CAST('0.2' AS DOUBLE)) AS is_validation
 FROM ({_q4_oracle_body('current_account_nbr, month, split')}) WHERE split = 'train'""", "cm_lags", "customer_base"))
 def q_validation_tail(spark, sf_dir):
     df, _, _ = _q4_frame(spark, sf_dir)
-    return matrix.validation_indicator(df.where(F.col("split") == "train").select(ACCT, "month"), 0.20)
+    return matrix.positional_tail(df.where(F.col("split") == "train").select(ACCT, "month"), 0.20, [ACCT, "month"])
 
 
-@register("random_split", q(f"SELECT current_account_nbr, {_hash()} % 100 < 25 AS is_test FROM rule_adj", "rule_adj"))
+@register("random_split", q(f"""
+SELECT current_account_nbr, ROW_NUMBER() OVER (ORDER BY {_hash()}, current_account_nbr)
+  <= FLOOR(COUNT(*) OVER () * 0.25 + 0.5) AS is_test FROM rule_adj""", "rule_adj"))
 def q_random_split(spark, sf_dir):
-    return matrix.split_indicator(context(spark, sf_dir).rule_adj.select(ACCT), 0.25, "is_test")
+    return matrix.exact_split(context(spark, sf_dir).rule_adj.select(ACCT), 0.25, "is_test")
 
 
 @register("stratified_split", q(f"""

@@ -117,7 +117,7 @@ def test_tree_shap_matches_brute_force(spark):
     model = GBTRegressor(featuresCol="features", labelCol="y", maxIter=4, maxDepth=3, seed=1) \
         .fit(VectorAssembler(inputCols=feats, outputCol="features").transform(df))
     contrib = C.explain(df, model, feats).toPandas().set_index("current_account_nbr")
-    trees, weights = C.tree_tables(model, spark)
+    trees, weights, _ = C.tree_tables(model, spark)
     for i in range(0, 200, 25):
         expected = sum(w * _brute_shap(t, x[i], 4) for t, w in zip(trees, weights))
         got = contrib.loc[f"r{i}", [f"contrib_{f}" for f in feats]].to_numpy(dtype=float)
@@ -206,10 +206,10 @@ def test_gbt_and_kmeans_are_repeatable_with_a_fixed_seed(spark):
     df, feats, target = _q4_frame(spark, SF_SMALL)
     train = df.where(F.col("split") == "train")
     test = df.where(F.col("split") == "test")
-    settings = models.GBTSettings(max_iter=6, max_depth=3)
+    settings = models.BoostSettings(max_trees=6, max_depth=3, learning_rate=0.3)
     preds = []
     for _ in range(2):
-        model, best, errs = models.fit_gbt_early_stop(train, feats, target, settings=settings)
+        model = models.fit_with_tail(train, feats, target, ["current_account_nbr", "month"], settings=settings)
         p = models.predict_floor(model, test, feats).select("current_account_nbr", "month", "prediction")
         preds.append(p.orderBy("current_account_nbr", "month").toPandas())
     assert np.array_equal(preds[0].prediction.to_numpy(), preds[1].prediction.to_numpy())
