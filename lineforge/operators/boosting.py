@@ -163,7 +163,7 @@ def best_splits(grad: np.ndarray, hess: np.ndarray, s: BoostSettings):
         gl, hl = (g + grad[:, MISSING:], h + hess[:, MISSING:]) if left else (g, h)
         gain = weight(gl, hl) + weight(g_all - gl, h_all - hl) - weight(g_all, h_all)
         ok = (hl >= s.min_weight) & (h_all - hl >= s.min_weight)
-        sides.append((rounded(np.where(ok, gain, 0.0)), gl, hl))
+        sides.append((rounded(np.where(ok, np.maximum(gain, 0.0), 0.0)), gl, hl))
     rows = np.arange(len(grad))
     at = [x[0].argmax(1) for x in sides]
     gains = [x[0][rows, k] for x, k in zip(sides, at)]

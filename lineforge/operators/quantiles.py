@@ -1,20 +1,27 @@
 """Exact quantiles of any number of rows, by refining histograms.
 
-A quantile needs the order statistics at one or two ranks.  Each round bins the values between the
-known bounds of a rank (``BINS`` bins at most), counts them with map-side pre-aggregation, and
-takes the bin that holds the rank; its smallest and largest values are the next bounds.  It ends
-where both are equal.  State and shuffles are bounded by ranks x bins, whatever the number of rows,
-and the result is the same at every size.
+A quantile needs the order statistics at one or two ranks.  A double's bits, with the sign put in
+order, are a whole number that sorts as the double does; its digits of ``DIGIT`` bits are the bins.
+Each round counts one digit, with map-side pre-aggregation, within the prefixes that hold a rank, and
+keeps the digit that does; only rows with such a prefix go on to the next round.  It ends where a
+bin's smallest and largest values agree, after six rounds at most whatever the values are, infinite
+ones included.  State and shuffles are bounded by ranks x bins, whatever the number of rows.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..session import materialise
 
-BINS = 4096
+DIGIT = 12  # bits: 4,096 bins
+
+
+def ordered_bits(x: Column) -> Column:
+    """A long that sorts, bit by bit from the highest, as the double ``x`` (neither null nor NaN)."""
+    bits = F.reflect(F.lit("java.lang.Double"), F.lit("doubleToLongBits"), x + F.lit(0.0)).cast("long")  # -0.0 + 0.0 is 0.0
+    return F.when(bits < 0, F.bitwise_not(bits)).otherwise(bits.bitwiseXOR(F.lit(-(1 << 63))))
 
 
 def exact_quantiles(df: DataFrame, cols: list[str], qs: list[float], group: str | None = None,
@@ -30,7 +37,7 @@ def exact_quantiles(df: DataFrame, cols: list[str], qs: list[float], group: str
                                 for i, c in enumerate(cols)])).alias("e")
     rows = df.select(F.coalesce(F.concat(F.lit("="), marked.cast("string")), F.lit("")).alias("k"),
                      marked.alias("g"), cells).select("k", "g", "e.c", "e.x")
-    rows = materialise(rows.where(F.col("x").isNotNull() & ~F.isnan("x")), "quantile-input")
+    rows = materialise(rows.where(F.col("x").isNotNull() & ~F.isnan("x")), "quantile-input").select("k", "g", "c", "x")
     whole = rows.groupBy("k", "c").agg(F.first("g").alias("g"), F.count(F.lit(1)).alias("n"), F.min("x").alias("lo"),
                                        F.max("x").alias("hi"))
     if discrete:
@@ -43,27 +50,34 @@ def exact_quantiles(df: DataFrame, cols: list[str], qs: list[float], group: str
     asked = materialise(whole.withColumn("q", F.explode(F.array(*[F.lit(float(q)) for q in qs])))
                         .select("k", "c", "g", "n", "q", first.cast("long").alias("r1"), last.cast("long").alias("r2"),
                                 part.alias("part"), "lo", "hi"), "quantile-ranks")
-    state = (asked.select("k", "c", F.explode(F.array("r1", "r2")).alias("r"), "lo", "hi").distinct()
-             .withColumn("below", F.lit(0).cast("long")))
-    state = materialise(state, "quantile-state")
-    while True:
-        narrow = state.where("lo < hi")
-        if narrow.isEmpty():
-            break
-        span = F.col("hi") - F.col("lo")
-        share = F.when(span < F.lit(float("inf")), (F.col("x") - F.col("lo")) / span).otherwise(
-            (F.col("x") / 2 - F.col("lo") / 2) / (F.col("hi") / 2 - F.col("lo") / 2))
-        bins = (rows.select("k", "c", "x").join(narrow, ["k", "c"]).where("x >= lo and x <= hi")
-                .groupBy("k", "c", "r", "below", F.least(F.floor(share * BINS), F.lit(BINS - 1)).alias("bin"))
-                .agg(F.count(F.lit(1)).alias("m"), F.min("x").alias("lo"), F.max("x").alias("hi")))
-        before = Window.partitionBy("k", "c", "r").orderBy("bin").rowsBetween(Window.unboundedPreceding, -1)
-        bins = bins.withColumn("before", F.col("below") + F.coalesce(F.sum("m").over(before), F.lit(0)))
-        found = (bins.where("before <= r and r < before + m")
-                 .select("k", "c", "r", "lo", "hi", F.col("before").alias("below")))
+    state = asked.select("k", "c", F.explode(F.array("r1", "r2")).alias("r"), "lo", "hi").distinct()
+    state = materialise(state.select("k", "c", "r", "lo", "hi", F.lit(0).cast("long").alias("below"), F.lit(0).cast("long").alias("prefix")),
+                        "quantile-state")
+    left = 64
+    while left and not state.where("lo < hi").isEmpty():
+        narrow = state.where("lo < hi").drop("lo", "hi")
+        width = min(DIGIT, left)
+        left -= width
+        part = rows.withColumn("u", ordered_bits(F.col("x")))
+        prefix = F.shiftrightunsigned("u", left + width) if left + width < 64 else F.lit(0).cast("long")
+        digit = F.shiftrightunsigned("u", left).bitwiseAND(F.lit((1 << width) - 1))
+        part = part.select("k", "c", "x", prefix.alias("prefix"), digit.alias("digit"))
+        counts = part.groupBy("k", "c", "prefix", "digit").agg(F.count(F.lit(1)).alias("m"), F.min("x").alias("lo"), F.max("x").alias("hi"))
+        before = Window.partitionBy("k", "c", "prefix").orderBy("digit").rowsBetween(Window.unboundedPreceding, -1)
+        counts = counts.withColumn("before", F.coalesce(F.sum("m").over(before), F.lit(0)))
+        start = F.col("below") + F.col("before")
+        found = (narrow.join(counts, ["k", "c", "prefix"]).where((start <= F.col("r")) & (F.col("r") < start + F.col("m")))
+                 .select("k", "c", "r", "lo", "hi", start.alias("below"),
+                         F.shiftleft("prefix", width).bitwiseOR(F.col("digit")).alias("prefix")))
         state = materialise(found.unionByName(state.where("lo = hi")), "quantile-state")
+        if left:  # what has a prefix that is still open
+            longer = F.shiftrightunsigned(ordered_bits(F.col("x")), left).alias("prefix")
+            wanted = state.where("lo < hi").select("k", "c", "prefix").distinct()
+            rows = materialise(rows.select("k", "c", "x", longer).join(wanted, ["k", "c", "prefix"], "left_semi").drop("prefix"), "quantile-rows")
     at = lambda r, v: state.select("k", "c", F.col("r").alias(r), F.col("lo").alias(v))
     out = asked.select("k", "c", "g", "n", "q", "r1", "r2", "part").join(at("r1", "v1"), ["k", "c", "r1"]).join(
         at("r2", "v2"), ["k", "c", "r2"])
-    value = F.col("v1") + (F.col("v2") - F.col("v1")) * F.col("part")
+    value = F.when((F.col("v1") == F.col("v2")) | (F.col("part") == 0), F.col("v1")).otherwise(
+        F.col("v1") + (F.col("v2") - F.col("v1")) * F.col("part"))
     head = [F.col("g").cast(df.schema[group].dataType).alias(group)] if group else []
     return out.select(*head, F.element_at(names, F.col("c")).alias("column_name"), "q", "n", value.alias("value"))
