@@ -19,7 +19,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import chunks, materialise, table, text_buffer
+from .common import chunks, materialise, table, text_buffer, worker_state
 from .textvec import SPACE, word_hashes
 
 FEATURES = 1 << 17
@@ -260,16 +260,11 @@ class Matcher:
         return found
 
 
-_matchers: dict[int, tuple[list[Matcher], object]] = {}
-
-
 def _matchers_of(shared) -> list[Matcher]:
-    got = _matchers.get(shared[0])
-    if got is None:
-        _matchers.clear()
+    def build():
         models, idf = shared[1].value
-        got = _matchers[shared[0]] = [Matcher(m, idf) for m in models]
-    return got
+        return [Matcher(m, idf) for m in models]
+    return worker_state(shared[0], build)
 
 
 def with_matches(docs: DataFrame, benchmark: DataFrame, text_col: str = "text", id_col: str = "item_id") -> DataFrame:

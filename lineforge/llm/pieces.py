@@ -24,11 +24,26 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import chunks, table, text_buffer
+from .common import chunks, table, text_buffer, worker_state
 
 MARK = "▁"  # stands for a space
 MODEL = "/opt/tokenizers/piece_bpe_32k.model"
-CACHED = 700_000  # words (and twice as many pairs of pieces) that a worker remembers
+CACHED = 48 << 20  # bytes of words, and as many of pairs of pieces, that a worker remembers
+ENTRY = 200        # bytes of an entry besides its text: a key, a value, their place in a table
+LONG = 64          # characters of a word that is not remembered
+
+
+def model_kind(path: str) -> str:
+    """"unigram" or "bpe", as the model file says (its trainer's model_type); others are refused."""
+    from sentencepiece import sentencepiece_model_pb2 as pb
+
+    model = pb.ModelProto()
+    with open(path, "rb") as f:
+        model.ParseFromString(f.read())
+    kind = pb.TrainerSpec.ModelType.Name(model.trainer_spec.model_type).lower()
+    if kind not in ("unigram", "bpe"):
+        raise ValueError(f"pieces of a {kind} model have no merges and no scores to choose by")
+    return kind
 
 
 def load_vocabulary(path: str = MODEL) -> dict:
@@ -40,7 +55,7 @@ def load_vocabulary(path: str = MODEL) -> dict:
     special = lambda i: p.is_byte(i) or p.is_control(i) or p.is_unknown(i) or p.is_unused(i)
     return {"pieces": [p.id_to_piece(i) for i in ids], "scores": [p.get_score(i) for i in ids],
             "special": [special(i) for i in ids], "bytes": [i for i in ids if p.is_byte(i)],
-            "unknown": p.unk_id(), "kind": "bpe"}
+            "unknown": p.unk_id(), "kind": model_kind(path)}
 
 
 class Encoder:
@@ -67,7 +82,8 @@ class Encoder:
         else:
             self.unit = re.compile(rf"{'|'.join([apart] if apart else [])}{'|' if apart else ''}{MARK}*[^{MARK}{apart}]+|{MARK}+")
         self.known: dict[str, bytes] = {}
-        self.fits: dict[tuple[str, str], bool] = {}
+        self.known_bytes = 0
+        self.fits: dict[tuple[str, str], bool] = {}  # of vocabulary pieces, which are short
         self.whole: dict[str, bool] = {}
 
     def merged(self, text: str) -> list[str]:
@@ -100,7 +116,7 @@ class Encoder:
         under: list[list] = [[]]
         root, bpe = self.root, self.kind == "bpe"
         floor = min(self.score.values(), default=0.0) - 10.0
-        if len(fits) > 2 * CACHED:
+        if len(fits) * ENTRY > CACHED:
             fits.clear()
         for word in sorted(words):
             n, most = 0, min(len(prev), len(word))
@@ -164,31 +180,26 @@ class Encoder:
     def encode(self, texts: list[str]) -> list[np.ndarray]:
         """Ids (int32) of each text; a space is put before it, as the model does; of an empty text none."""
         units = [self.unit.findall(MARK + t.replace(" ", MARK)) if t else [] for t in texts]
-        if len(self.known) > CACHED:
+        if self.known_bytes > CACHED:
             self.known.clear()
-        fresh = set(itertools.chain.from_iterable(units)).difference(self.known)
-        for word, pieces in self.segmented(fresh).items():
-            self.known[word] = array("i", self._ids(pieces)).tobytes()
-        get = self.known.__getitem__
-        return [np.frombuffer(b"".join(map(get, u)), np.int32) for u in units]
+            self.known_bytes = 0
+        known, long = self.known, []
+        for word, pieces in self.segmented(set(itertools.chain.from_iterable(units)).difference(known)).items():
+            ids = known[word] = array("i", self._ids(pieces)).tobytes()
+            if len(word) > LONG:
+                long.append(word)
+            else:
+                self.known_bytes += len(word) + len(ids) + ENTRY
+        out = [np.frombuffer(b"".join(map(known.__getitem__, u)), np.int32) for u in units]
+        for word in long:  # a text without spaces is one word of any length
+            del known[word]
+        return out
 
     def decode(self, ids) -> str:
         text = b"".join(map(self.raw.__getitem__, ids)).decode("utf-8", "replace")
         return text[1:] if text.startswith(" ") else text
 
 
-_encoders: dict[str, Encoder] = {}
-
-
-def _encoder(shared) -> Encoder:
-    """The worker's encoder for a vocabulary (name, broadcast): it lasts over the tasks of the worker."""
-    got = _encoders.get(shared[0])
-    if got is None:
-        _encoders.clear()
-        got = _encoders[shared[0]] = Encoder(shared[1].value)
-    return got
-
-
 def encode_texts(docs: DataFrame, vocabulary: dict, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(doc_id, n_tokens, token_ids, round_trip) of every row of ``docs``; round_trip: decoding the
     ids gives the text again.
@@ -202,7 +213,7 @@ def encode_texts(docs: DataFrame, vocabulary: dict, id_col: str = "doc_id", text
     shared = (uuid4().hex, docs.sparkSession.sparkContext.broadcast(vocabulary))
 
     def run(batches):
-        encoder = _encoder(shared)
+        encoder = worker_state(shared[0], lambda: Encoder(shared[1].value))
         for b in batches:
             column, (buf, off) = b.column("_t"), text_buffer(b.column("_t"))
             for i, j in chunks(off, 3 << 20, 4000):
