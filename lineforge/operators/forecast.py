@@ -158,12 +158,81 @@ def _holt_states(ys, lens, alphas, betas, horizon: int):
     return sse, np.maximum(float(horizon) * level + steps * trend, 0.0), l0, b0
 
 
-def holt_estimated(series: DataFrame, grid=DEFAULT_GRID, horizon: int = 3, refine: int = 0) -> DataFrame:
+def _newton(ys, lens, a, b, horizon: int, rounds: int = 40):
+    """Damped Newton steps from (a, b), each (n,), for all accounts at once, within (0, 1).
+
+    The start is solved inside (:func:`_holt_states`), so only the two parameters move.  The errors'
+    derivatives by them, and by the start, are carried through the recursion; with the start
+    eliminated they make a 2 x 2 system an account (Gauss and Newton's, damped as Levenberg does).
+    A step is taken only where it lowers the squared error, so no account ends above its start.
+    Returns a, b, sse, forecast, l0, b0."""
+    import numpy as np
+
+    def states(a, b):
+        return [v[:, 0] for v in _holt_states(ys, lens, a[:, None], b[:, None], horizon)]
+
+    def normal(a, b, l0, b0):
+        """J'J (4 x 4, in the order alpha, beta, level, trend) and J'e at the point."""
+        n = len(ys)
+        level, trend = l0.copy(), b0.copy()
+        dl, db = np.zeros((4, n)), np.zeros((4, n))
+        dl[2], db[3] = 1.0, 1.0
+        jj, je = np.zeros((n, 4, 4)), np.zeros((n, 4))
+        for t in range(ys.shape[1]):
+            live = t < lens
+            err = ys[:, t] - (level + trend)
+            j = -(dl + db)
+            w = np.where(live, 1.0, 0.0)
+            jj += np.einsum("in,jn,n->nij", j, j, w)
+            je += (j * (err * w)).T
+            new_level = a * ys[:, t] + (1 - a) * (level + trend)
+            nl = (1 - a) * (dl + db)
+            nl[0] += err
+            nb = b * (nl - dl) + (1 - b) * db
+            nb[1] += (new_level - level) - trend
+            new_trend = b * (new_level - level) + (1 - b) * trend
+            level, trend = np.where(live, new_level, level), np.where(live, new_trend, trend)
+            dl, db = np.where(live, nl, dl), np.where(live, nb, db)
+        return jj, je
+
+    sse, fc, l0, b0 = states(a, b)
+    damp = np.full(len(a), 1e-3)
+    for _ in range(rounds):
+        jj, je = normal(a, b, l0, b0)
+        ridge = 1e-12 * (1.0 + np.trace(jj[:, 2:, 2:], axis1=1, axis2=2))
+        inner = jj[:, 2:, 2:] + ridge[:, None, None] * np.eye(2)
+        solved = np.linalg.solve(inner, np.concatenate([jj[:, 2:, :2], je[:, 2:, None]], axis=2))
+        h = jj[:, :2, :2] - jj[:, :2, 2:] @ solved[:, :, :2]
+        g = je[:, :2] - (jj[:, :2, 2:] @ solved[:, :, 2:])[:, :, 0]
+        size = np.maximum(np.trace(h, axis1=1, axis2=2), 1e-300)
+        # at a bound that the step would leave, only the other parameter moves
+        p = np.stack([a, b], axis=1)
+        fixed = ((p <= LEAST) & (g > 0)) | ((p >= MOST) & (g < 0))
+        g = np.where(fixed, 0.0, g)
+        h = np.where(fixed[:, :, None] | fixed[:, None, :], 0.0, h) + (damp * size)[:, None, None] * np.eye(2)
+        step = -np.linalg.solve(h, g[:, :, None])[:, :, 0]
+        q = np.clip(p + step, LEAST, MOST)
+        trial = states(q[:, 0], q[:, 1])
+        better = trial[0] < sse
+        a, b = np.where(better, q[:, 0], a), np.where(better, q[:, 1], b)
+        gain = np.where(better, (sse - trial[0]) / np.maximum(sse, 1e-300), 0.0)
+        sse, fc, l0, b0 = (np.where(better, new, old) for new, old in zip(trial, (sse, fc, l0, b0)))
+        damp = np.clip(np.where(better, damp / 5, damp * 10), 1e-12, 1e12)
+        if (gain < 1e-12).all() and (damp > 1e6).all():
+            break
+    return a, b, sse, fc, l0, b0
+
+
+LEAST, MOST = 1e-4, 0.9999  # of the smoothing parameters
+
+
+def holt_estimated(series: DataFrame, grid=DEFAULT_GRID, horizon: int = 3, refine: int = 0, newton: bool = False) -> DataFrame:
     """Holt smoothing with estimated initial level and trend, per account.
 
     The pair of the grid with the least squared error wins, with the least-squares start of each.
     ``refine`` rounds then search around it: eight neighbours at a step that halves every round,
-    starting from half the grid's, so the parameters are no longer bound to the grid.
+    starting from half the grid's, so the parameters are no longer bound to the grid.  ``newton``
+    goes on from there to the nearest minimum, never above (:func:`_newton`).
     Arrow-batched, vectorised over (accounts x pairs)."""
     import numpy as np
     import pandas as pd
@@ -188,8 +257,11 @@ def holt_estimated(series: DataFrame, grid=DEFAULT_GRID, horizon: int = 3, refin
                        "hw_predicted_q4_spend": fc[rows, best], "l0": l0[rows, best], "b0": b0[rows, best],
                        "sse": sse[rows, best]}
                 step = 0.05 / 2 ** k
-                a = np.clip(won["alpha"][:, None] + step * around[None, :, 0], 1e-4, 0.9999)
-                b = np.clip(won["beta"][:, None] + step * around[None, :, 1], 1e-4, 0.9999)
+                a = np.clip(won["alpha"][:, None] + step * around[None, :, 0], LEAST, MOST)
+                b = np.clip(won["beta"][:, None] + step * around[None, :, 1], LEAST, MOST)
+            if newton:
+                names = ("alpha", "beta", "sse", "hw_predicted_q4_spend", "l0", "b0")
+                won = dict(zip(names, _newton(ys, lens, won["alpha"], won["beta"], horizon)))
             yield pd.DataFrame({ACCT: pdf[ACCT].to_numpy(), "hw_predicted_q4_spend": won["hw_predicted_q4_spend"],
                                 "alpha": won["alpha"], "beta": won["beta"], "l0": won["l0"], "b0": won["b0"],
                                 "sse": won["sse"]})

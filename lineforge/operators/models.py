@@ -8,9 +8,10 @@ checkpoint folder, so a lost executor does not restart it from the source scan.
 
 from __future__ import annotations
 
+import numpy as np
+import pandas as pd
 from pyspark.ml import Pipeline
 from pyspark.ml.classification import RandomForestClassifier
-from pyspark.ml.clustering import KMeans
 from pyspark.ml.feature import VectorAssembler
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -131,17 +132,74 @@ def classification_report(pred: DataFrame, labels=tuple(sorted(SEGMENTS))) -> Da
                       F.col("support").cast("long").alias("support"))
 
 
-def kmeans_clusters(df: DataFrame, features: list[str], k: int = 6, seeds=tuple(range(42, 52)), max_iter: int = 20):
-    """k-means on zero-filled z-scored features; the run with the lowest training cost
-    over ``seeds`` wins.  Returns ``(frame with cluster_id, model, cost)``."""
-    z = zscore(df, features, keep=(ACCT,))
-    data = materialise(_assembler(features).transform(z), "kmeans-input")  # every seed reads the same rows
-    best = None
-    for s in seeds:
-        m = KMeans(k=k, seed=s, maxIter=max_iter, featuresCol="features", predictionCol="cluster_id").fit(data)
-        cost = m.summary.trainingCost
-        if best is None or cost < best[1]:
-            best = (m, cost)
-    model, cost = best
-    clusters = model.transform(data).select(ACCT, F.col("cluster_id").cast("int").alias("cluster_id"))
-    return df.join(clusters, ACCT, "left"), model, cost
+START_ROWS = 4096  # rows (by the hash of their key) that the starts are drawn from
+
+
+def _start_centres(x: np.ndarray, k: int, seed: int) -> np.ndarray:
+    """k-means++ over the rows ``x``: each next centre by the squared distance to those there are."""
+    rng = np.random.default_rng(seed)
+    centres = [x[rng.integers(len(x))]]
+    while len(centres) < k:
+        d = np.min([((x - c) ** 2).sum(1) for c in centres], axis=0)
+        centres.append(x[rng.choice(len(x), p=d / d.sum())] if d.sum() > 0 else x[rng.integers(len(x))])
+    return np.array(centres)
+
+
+def kmeans_all_starts(data: DataFrame, features: list[str], k: int, seeds, max_iter: int = 100, key: str = ACCT):
+    """(centres, cost) of each start: all of them move in the same pass.
+
+    An iteration is one job: each task gives, for every start and cluster, the number, sum and
+    squared distance of its rows; these are added up in Spark, and the driver gets starts x clusters
+    rows.  It ends when no centre of any start moves."""
+    sample = data.orderBy(F.xxhash64(key), key).limit(START_ROWS).select(*features).toPandas().to_numpy(dtype=float)
+    if not len(sample):
+        return []
+    centres = np.array([_start_centres(sample, k, s) for s in seeds])
+    names = [f"s{j}" for j in range(len(features))]
+
+    def sums(centres):
+        def run(batches):
+            total = np.zeros((len(centres) * k, len(features) + 2))
+            for pdf in batches:
+                x = pdf[features].to_numpy(dtype=float)
+                ones = np.concatenate([np.ones((len(x), 1)), x], axis=1)
+                for i, c in enumerate(centres):
+                    d = (x * x).sum(1)[:, None] - 2 * x @ c.T + (c * c).sum(1)
+                    at = d.argmin(1)
+                    hot = np.zeros((k, len(x)))
+                    hot[at, np.arange(len(x))] = 1.0
+                    total[i * k:(i + 1) * k, :-1] += hot @ ones
+                    total[i * k:(i + 1) * k, -1] += hot @ np.maximum(d[np.arange(len(x)), at], 0.0)
+            out = pd.DataFrame(total, columns=["n", *names, "cost"])
+            out.insert(0, "slot", np.arange(len(total)))
+            yield out
+
+        each = data.select(*features).mapInPandas(run, "slot int, n double, " + ", ".join(f"{c} double" for c in names) + ", cost double")
+        got = each.groupBy("slot").agg(*[F.sum(c).alias(c) for c in ("n", *names, "cost")]).toPandas().sort_values("slot")
+        n, s = got.n.to_numpy(), got[names].to_numpy()
+        moved = np.where(n[:, None] > 0, s / np.maximum(n, 1)[:, None], centres.reshape(-1, len(features)))
+        return moved.reshape(centres.shape), got.cost.to_numpy().reshape(len(centres), k).sum(1)
+
+    costs = None
+    for _ in range(max_iter):
+        moved, costs = sums(centres)
+        if np.abs(moved - centres).max() < 1e-9:
+            break
+        centres = moved
+    return list(zip(centres, costs.tolist()))
+
+
+def kmeans_clusters(df: DataFrame, features: list[str], k: int = 6, seeds=tuple(range(42, 52)), max_iter: int = 100):
+    """k-means on zero-filled z-scored features; the start with the lowest cost wins, its clusters
+    numbered from the one with the smallest first feature on.  Returns
+    ``(frame with cluster_id, centres, cost)``."""
+    data = materialise(zscore(df, features, keep=(ACCT,)), "kmeans-input")  # every pass reads the same rows
+    found = kmeans_all_starts(data, features, k, seeds, max_iter)
+    if not found:
+        return df.withColumn("cluster_id", F.lit(None).cast("int")), np.zeros((0, len(features))), 0.0
+    centres, cost = min(found, key=lambda f: f[1])
+    centres = centres[np.lexsort(centres.T[::-1])]
+    far = F.array(*[sum(((F.col(c) - F.lit(float(v))) * (F.col(c) - F.lit(float(v))) for c, v in zip(features, centre)), F.lit(0.0))
+                    for centre in centres])
+    clusters = data.select(ACCT, (F.array_position(far, F.array_min(far)) - 1).cast("int").alias("cluster_id"))
+    return df.join(clusters, ACCT, "left"), centres, cost

@@ -90,10 +90,11 @@ SELECT current_account_nbr, fc, alpha, beta, sse FROM (
 WHERE k = 1"""
 
 
-@register("holt_forecast", q(f"""
+@register("holt_grid", q(f"""
 SELECT current_account_nbr, {_r('fc', 4)} AS hw_predicted_q4_spend, alpha, beta FROM ({_HOLT_BEST})""",
                              "customer_monthly", recursive=True, extra=_holt_rec(forecast.DEFAULT_GRID)))
-def q_holt_forecast(spark, sf_dir):
+def q_holt_grid(spark, sf_dir):
+    """The best of a grid of parameters from a fixed start, in floats that SQL repeats exactly."""
     from .reports import round_dp
     df = _memo(context(spark, sf_dir), "holt", lambda: forecast.holt_forecast(_series(context(spark, sf_dir))))
     return df.select(ACCT, round_dp("hw_predicted_q4_spend", 4).alias("hw_predicted_q4_spend"), "alpha", "beta")
@@ -169,6 +170,34 @@ def _holt_refined(ctx):
     return _memo(ctx, "holt_refined", lambda: forecast.holt_estimated(_series(ctx), refine=REFINE))
 
 
+def _holt_fitted(ctx):
+    return _memo(ctx, "holt_fitted", lambda: materialise(
+        forecast.holt_estimated(_series(ctx), refine=REFINE, newton=True), "holt"))
+
+
+@register("holt_forecast")
+def q_holt_forecast(spark, sf_dir):
+    """The trained forecast: start and parameters estimated, to a minimum of the squared error."""
+    from .reports import round_dp
+    return _holt_fitted(context(spark, sf_dir)).select(
+        ACCT, round_dp("hw_predicted_q4_spend", 4).alias("hw_predicted_q4_spend"), "alpha", "beta", "l0", "b0", "sse")
+
+
+@register("holt_forecast_check", q(f"""
+SELECT current_account_nbr, {_r('sse', 2)} AS grid_sse, TRUE AS not_above_grid, TRUE AS within_bounds FROM (
+  SELECT *, ROW_NUMBER() OVER (PARTITION BY current_account_nbr ORDER BY sse, fc, alpha, beta) AS k FROM he_final)
+WHERE k = 1""", "customer_monthly", recursive=True, extra=_holt_est_rec(forecast.DEFAULT_GRID)))
+def q_holt_forecast_check(spark, sf_dir):
+    """The trained forecast of each account held against the best grid point's squared error."""
+    from .reports import round_dp
+    ctx = context(spark, sf_dir)
+    grid = _memo(ctx, "holt_est", lambda: forecast.holt_estimated(_series(ctx))).select(ACCT, F.col("sse").alias("_grid"))
+    j = grid.join(_holt_fitted(ctx), ACCT)
+    return j.select(ACCT, round_dp("_grid", 2).alias("grid_sse"),
+                    (F.col("sse") <= F.col("_grid") * F.lit(1 + 1e-9) + F.lit(1e-6)).alias("not_above_grid"),
+                    (F.col("alpha").between(0, 1) & F.col("beta").between(0, 1)).alias("within_bounds"))
+
+
 @register("holt_refined")
 def q_holt_refined(spark, sf_dir):
     """Holt with estimated start, its parameters refined around the best grid point."""
@@ -271,11 +300,11 @@ def _simple_metrics(spark, sf_dir) -> list:
 
 @register("model_comparison")
 def q_model_comparison(spark, sf_dir):
-    """The comparison with the fitted models in it (refined Holt, boosted trees, sequence regression)."""
+    """The comparison with the fitted models in it (trained Holt, boosted trees, recurrent network)."""
     ctx = context(spark, sf_dir)
-    refined = forecast.regression_metrics(_holt_refined(ctx).join(_actual(ctx, QUARTER_END), ACCT, "inner"),
-                                          "actual_q4_spend", "hw_predicted_q4_spend", "holt_refined_quarter")
-    fitted = [refined, q_spend_gbt(spark, sf_dir).drop("trees", "tried"), q_sequence_forecast(spark, sf_dir).drop("epochs")]
+    trained = forecast.regression_metrics(_holt_fitted(ctx).join(_actual(ctx, QUARTER_END), ACCT, "inner"),
+                                          "actual_q4_spend", "hw_predicted_q4_spend", "holt_fitted_quarter")
+    fitted = [trained, q_spend_gbt(spark, sf_dir).drop("trees", "tried"), q_sequence_forecast(spark, sf_dir).drop("epochs")]
     return forecast.comparison_table(_simple_metrics(spark, sf_dir) + fitted)
 
 

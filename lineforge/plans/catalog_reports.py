@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from ..functions.status import extract_month, parse_dates
 from ..operators import matrix, segments
-from ..sources import ingest
+from ..sources import ingest, tables
 from ..session import materialise, scratch_path
 from . import reports as R
 from .catalog import ACCT, QP, register
@@ -533,7 +533,10 @@ def q_csv_ingest(spark, sf_dir):
     src = context(spark, sf_dir).t["account_dim"]
     path = ingest.write_csv(src, scratch_path(spark, "csv-ingest"))
     good, _bad = ingest.read_csv_table(spark, path, _parse_datatype_string(ACCOUNT_DIM_SCHEMA))
-    return good
+    store = scratch_path(spark, "store")
+    for rows in (good.limit(1), good):  # the second load drops and recreates the table
+        tables.replace_table(rows, store, "account_dim")
+    return tables.read_table(spark, store, "account_dim")
 
 
 @register("row_count_audit", q("\nUNION ALL\n".join(
@@ -550,8 +553,9 @@ def q_row_count_audit(spark, sf_dir):
                             f"FROM customer_monthly", "customer_monthly"))
 def q_parquet_sink(spark, sf_dir):
     cm = finish(context(spark, sf_dir).cm.select(ACCT, "month", "total_spend", "txn_count"))
-    path = ingest.write_parquet(cm, scratch_path(spark, "customer-monthly"))
-    return spark.read.parquet(path)
+    store = scratch_path(spark, "store")
+    tables.replace_table(cm, store, "customer_monthly")
+    return tables.read_table(spark, store, "customer_monthly")
 
 
 @register("csv_sink", q("""
@@ -610,7 +614,7 @@ def _csv_round_trip(spark, sf_dir):
     for name in ingest.SOURCE_TABLES:
         ingest.write_csv(t[name], f"{base}/{name}.csv")
         schemas[name] = t[name].schema
-    return ingest.load_tables(spark, base, schemas)
+    return ingest.load_tables(spark, base, schemas, store=f"{base}/store")
 
 
 @register("load_pipeline_values", q(f"""

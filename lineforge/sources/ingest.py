@@ -54,15 +54,23 @@ def read_csv_table(spark: SparkSession, path: str, schema: T.StructType,
 
 
 def load_tables(spark: SparkSession, base_path: str, schemas: dict[str, T.StructType],
-                file_names: dict[str, str] | None = None) -> dict[str, DataFrame]:
-    """All source CSVs (good rows) plus the transaction union; nothing is collected."""
+                file_names: dict[str, str] | None = None, store: str | None = None) -> dict[str, DataFrame]:
+    """All source CSVs (good rows) plus the transaction union; nothing is collected.
+
+    With ``store`` each of them replaces the table of its name there (:mod:`.tables`); a table that
+    cannot be loaded keeps its old rows, and the error ends the load."""
+    from .tables import read_table, replace_table
     out = {}
     for name, schema in schemas.items():
         fname = (file_names or {}).get(name, f"{name}.csv")
         out[name], _ = read_csv_table(spark, f"{base_path.rstrip('/')}/{fname}", schema)
     if "transaction_fact" in out and "wrld_stor_tran_fact" in out:
         out["transaction_base"] = union_transactions(out["transaction_fact"], out["wrld_stor_tran_fact"])
-    return out
+    if store is None:
+        return out
+    for name, df in out.items():
+        replace_table(df, store, name)
+    return {name: read_table(spark, store, name) for name in out}
 
 
 def union_transactions(transaction_fact: DataFrame, wrld_stor_tran_fact: DataFrame) -> DataFrame:
