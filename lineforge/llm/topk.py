@@ -24,16 +24,18 @@ TILE = 256       # queries scored at a time
 BINS = 512       # of a round
 SPREAD = 16      # ways in which the candidate blocks are dealt for each block of queries
 EXACT = 2 ** 53  # up to here doubles hold all integers
-MOST = 2 ** 63 - 1
+MOST = 2 ** 62 - 1  # scores beyond it are held to it, so that a range of scores fits a long
+HELD = 2 ** 58
 
 
 def quantised(rows: DataFrame, scale: int = 256, id_col: str = "vec_id", vec_col: str = "embedding") -> DataFrame:
     """(vec_id, v): floor(scale * x) of each component, as doubles; rows with a null id or vector,
-    an empty vector, or a component that is null or not finite are left out."""
-    v = F.transform(F.col(vec_col), lambda x: F.floor(F.lit(float(scale)) * x.cast("double")).cast("double"))
+    an empty vector, or a component that is null or not finite are left out.  Components beyond
+    2^58 in size, after scaling, are held to it."""
+    v = F.transform(F.col(vec_col), lambda x: F.floor(F.greatest(F.least(F.lit(float(scale)) * x.cast("double"), F.lit(float(HELD))),
+                                                                F.lit(float(-HELD)))).cast("double"))
     fine = F.forall(F.col(vec_col), lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < F.lit(float("inf"))))
-    big = F.forall(F.col(vec_col), lambda x: F.abs(x.cast("double")) < F.lit(float(EXACT) / scale))
-    good = F.col(id_col).isNotNull() & F.col(vec_col).isNotNull() & (F.size(F.col(vec_col)) > 0) & fine & big
+    good = F.col(id_col).isNotNull() & F.col(vec_col).isNotNull() & (F.size(F.col(vec_col)) > 0) & fine
     return rows.where(good).select(F.col(id_col).cast("long").alias("vec_id"), v.alias("v"))
 
 
@@ -91,8 +93,8 @@ def top_k(vectors: DataFrame, queries: DataFrame, k: int = 5) -> DataFrame:
 
     A query is not held against rows with its own id, nor against vectors of another length.  A
     query id that is repeated is asked once, with the smallest of its vectors; candidates that
-    repeat an id are all held.  Empty tables give no rows.  Products beyond a long are held to its
-    range."""
+    repeat an id are all held.  Empty tables give no rows.  Scores beyond 2^62 in
+    size are held to it, and so tie."""
     cand = _blocks(vectors, "candidates")
     asked = _blocks(queries.groupBy("vec_id").agg(F.min("v").alias("v")), "queries")
     parts = F.pmod(F.xxhash64("block"), F.lit(SPREAD)).alias("part")

@@ -37,6 +37,18 @@ def test_nulls_lengths_large_numbers_and_repeated_ids(spark):
     assert got(spark, rows, 3, 1) == brute(rows, 3, lambda i: True)
 
 
+def test_large_vectors_take_part(spark):
+    rows = [(0, [1e14, 1.0]), (1, [3e13, -2.0]), (2, [1.0, 1.0]), (3, [-1e14, 5.0]), (4, [.25, .125]), (5, [1e300, 0.0])]
+    held = lambda x: max(min(math.floor(256 * x), topk.HELD), -topk.HELD)
+    whole = {i: [held(x) for x in v] for i, v in rows}
+    want = []
+    for q, a in whole.items():
+        score = lambda i: max(min(sum(x * y for x, y in zip(a, whole[i])), topk.MOST), -topk.MOST)
+        best = sorted((-score(i), i) for i in whole if i != q)
+        want += [(q, r + 1, i, -s) for r, (s, i) in enumerate(best)]
+    assert got(spark, rows, 5, 1) == sorted(want) and len(want) == 30
+
+
 def test_empty(spark):
     assert got(spark, []) == []
     assert got(spark, [(1, [1.0])]) == []
