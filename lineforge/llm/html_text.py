@@ -11,6 +11,7 @@ an author repeats sentences too.
 from __future__ import annotations
 
 import re
+from collections import Counter
 from hashlib import blake2b
 from html import unescape
 
@@ -65,8 +66,10 @@ def parse(html: str) -> Element:
     """The tree of a page, however broken: parts are elements and text."""
     root = Element("html")
     stack, at = [root], 0
+    open_ = Counter()  # elements on the stack by tag: what is not there is not looked for
 
     def close(k: int):
+        open_.subtract(e.tag for e in stack[k:])
         del stack[k:]
 
     def text(s: str):
@@ -85,7 +88,7 @@ def parse(html: str) -> Element:
             continue
         tag = tag.lower()
         if m[1]:
-            if tag in ("body", "html"):
+            if tag in ("body", "html") or not open_[tag]:
                 continue
             for k in range(len(stack) - 1, 0, -1):
                 if stack[k].tag == tag:
@@ -96,7 +99,7 @@ def parse(html: str) -> Element:
             continue
         if tag == "html":
             continue
-        if tag in CLOSES_P:
+        if tag in CLOSES_P and open_["p"]:
             for k in range(len(stack) - 1, 0, -1):
                 if stack[k].tag == "p":
                     close(k)
@@ -105,7 +108,7 @@ def parse(html: str) -> Element:
                     break
         if tag in ENDS:
             kinds, bound = ENDS[tag]
-            for k in range(len(stack) - 1, 0, -1):
+            for k in range(len(stack) - 1, 0, -1) if any(open_[x] for x in kinds) else ():
                 if stack[k].tag in bound:
                     break
                 if stack[k].tag in kinds:
@@ -125,6 +128,7 @@ def parse(html: str) -> Element:
             at = end.end() if end else len(html)
         elif tag not in VOID and not (m[3].endswith("/") and tag not in BLOCK and tag not in INLINE):
             stack.append(e)
+            open_[tag] += 1
 
 
 def _attributes(e: Element) -> dict[str, str]:
@@ -139,18 +143,55 @@ def _tokens(attrs: dict[str, str]) -> set[str]:
     return set((attrs.get("class", "") + " " + attrs.get("id", "")).lower().split())
 
 
-def _is_gone(e: Element, attrs: dict[str, str], in_main: bool) -> bool:
+def _is_gone(e: Element, attrs: dict[str, str], in_main: bool, around) -> bool:
+    """around(): the elements around the main text, which sites wrap in forms and hide until loaded."""
     if e.tag in ("html", "body", "article", "main") and not attrs:
         return False
-    if e.tag in GONE or e.tag == "header" and not in_main:
+    if e.tag in GONE - {"form"} or e.tag == "header" and not in_main:
         return True
-    if not attrs or e.tag in ("html", "body", "main"):
+    if e.tag in ("html", "body", "main"):
         return False
-    if "hidden" in attrs or attrs.get("aria-hidden") == "true" or attrs.get("role", "").lower() in ROLES:
-        return True
-    if "style" in attrs and re.search(r"display\s*:\s*none", attrs["style"]):
-        return True
-    return False
+    return _is_cover(e, attrs) and id(e) not in around()
+
+
+def _is_cover(e: Element, attrs: dict[str, str]) -> bool:
+    return (e.tag == "form" or "hidden" in attrs or attrs.get("aria-hidden") == "true" or attrs.get("role", "").lower() in ROLES
+            or "style" in attrs and re.search(r"display\s*:\s*none", attrs["style"]) is not None)
+
+
+def _around(root: Element):
+    """The elements that hold the page's longest article (or main element, comments apart); without
+    any, those that hold most of its text.  Worked out when first asked for."""
+    found: list[set[int]] = []
+
+    def look() -> set[int]:
+        marked, todo = {"article": [], "main": []}, [(root, ())]
+        while todo:
+            e, path = todo.pop()
+            attrs = _attributes(e)
+            if e.tag in GONE - {"form"} or e.tag not in ("html", "body", "main") and _tokens(attrs) & COMMENTS:
+                continue
+            if e.tag in marked and not _is_cover(e, attrs):
+                marked[e.tag].append((_length(e), len(marked[e.tag]), path))
+            todo.extend((x, (e, path)) for x in e.parts if isinstance(x, Element))
+        best = max(marked["article"] or marked["main"], default=None)
+        if best is None:
+            size: dict[int, int] = {}
+            for e in reversed(list(_walk(root))):
+                size[id(e)] = sum(size[id(x)] if isinstance(x, Element) else 0 if x.isspace() else len(x) for x in e.parts)
+            return {k for k, n in size.items() if 2 * n > size[id(root)]}
+        held, path = set(), best[2]
+        while path:
+            held.add(id(path[0]))
+            path = path[1]
+        return held
+
+    def around() -> set[int]:
+        if not found:
+            found.append(look())
+        return found[0]
+
+    return around
 
 
 def _is_named(e: Element, attrs: dict[str, str], in_main: bool) -> bool:
@@ -162,7 +203,7 @@ def _is_named(e: Element, attrs: dict[str, str], in_main: bool) -> bool:
     return bool(names & NAMES) or not in_main and "header" in names
 
 
-def _spared(root: Element):
+def _spared(root: Element, around):
     """A test whether an element holds the main element or most of the text, so no name drops it."""
     size: dict[int, int] = {}  # text of each element, less what goes whatever its names
     order, articles, mains = [], [], []
@@ -171,7 +212,7 @@ def _spared(root: Element):
         e, path, inside, comments = todo.pop()
         order.append(e)
         attrs = _attributes(e)
-        if e is not root and _is_gone(e, attrs, inside):
+        if e is not root and _is_gone(e, attrs, inside, around):
             size[id(e)] = 0
             continue
         comments = comments or e.tag not in ("html", "body", "main") and bool(_tokens(attrs) & COMMENTS)
@@ -195,7 +236,7 @@ def _spared(root: Element):
 
 def prune(e: Element, in_main: bool = False) -> None:
     """Drops what the markup calls boilerplate (walks without recursion: pages can be deep)."""
-    root, spared = e, None
+    root, spared, around = e, None, _around(e)
     todo = [(e, in_main)]
     while todo:
         e, inside = todo.pop()
@@ -204,9 +245,9 @@ def prune(e: Element, in_main: bool = False) -> None:
             if isinstance(x, Element):
                 attrs = _attributes(x)
                 now = inside or x.tag in ("article", "main")
-                gone = _is_gone(x, attrs, inside)
+                gone = _is_gone(x, attrs, inside, around)
                 if not gone and _is_named(x, attrs, inside):
-                    spared = spared or _spared(root)  # before anything named goes
+                    spared = spared or _spared(root, around)  # before anything named goes
                     gone = not spared(x, attrs)
                 if gone:
                     kept.append(Element("#gone") if x.tag in BLOCK else " ")

@@ -77,3 +77,23 @@ def test_copies_of_one_page_are_no_template(spark):
     rows = [(i, "https://c.org/?" + str(i), "<div><p>one text</p></div>") for i in range(30)]
     df = spark.createDataFrame(rows, "page_id long, url string, html string")
     assert {r.text for r in html_text.extract_text(df).collect()} == {"one text"}
+
+
+def test_covers_around_the_article_are_spared():
+    art = "<article><p>one text</p></article>"
+    more = "<form><p>subscribe</p></form><div hidden><p>hidden words</p></div>"
+    for page in (f"<form id='f'>{art}</form>", f"<div hidden>{art}</div>", f"<div style='display: none'>{art}</div>{more}",
+                 f"<div role='search'><form>{art}{more}</form></div>"):
+        assert html_text.main_text(f"<body>{page}</body>") == "one text"
+    assert html_text.main_text("<body><form><p>a long text that fills the page</p></form><form><p>login</p></form></body>") == \
+        "a long text that fills the page"
+    teaser = "<aside><article><p>a teaser much longer than the text itself</p></article></aside>"
+    assert html_text.main_text(f"<body>{teaser}<form>{art}</form></body>") == "one text"
+
+
+def test_stray_end_tags_take_time_in_proportion():
+    import time
+    page = "<div>" * 30_000 + "x" + "</span></section>" * 50_000 + "<li>y" * 5_000
+    begun = time.process_time()
+    html_text.parse(page)
+    assert time.process_time() - begun < 4
