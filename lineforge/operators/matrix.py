@@ -122,9 +122,21 @@ def positional_tail(df: DataFrame, share: float, order: list[str], name: str = "
 
 
 def exact_split(df: DataFrame, share: float, name: str = "is_test", key: str = ACCT) -> DataFrame:
-    """Marks ``share`` of the rows, to the nearest row, in the order of the key's hash."""
-    one = stratified_split(df.withColumn("_all", F.lit(1)), "_all", share, name, key)
-    return one.drop("_all")
+    """Marks ``share`` of the rows, to the nearest row, in the order of the key's hash.
+
+    Rows are counted by hash prefix (4,096 numbers); only the prefix with the cut is ranked.  Rows
+    with a null key are not marked."""
+    rows = df.withColumn("_h", key_hash(key)).withColumn("_p", F.floor(F.col("_h") / F.lit(1 << 20)))
+    counts = {r._p: r.n for r in rows.where(F.col("_p").isNotNull()).groupBy("_p").agg(F.count(F.lit(1)).alias("n")).collect()}
+    rest, cut = int(sum(counts.values()) * share + 0.5), -1
+    for cut in sorted(counts):
+        if counts[cut] >= rest:
+            break
+        rest -= counts[cut]
+    at = F.coalesce(F.col("_p") == F.lit(cut), F.lit(False))
+    inside = rows.where(at).withColumn(name, F.row_number().over(Window.partitionBy("_p").orderBy("_h", key)) <= rest)
+    outside = rows.where(~at).withColumn(name, F.coalesce(F.col("_p") < F.lit(cut), F.lit(False)))
+    return inside.unionByName(outside).drop("_h", "_p")
 
 
 def stratified_split(df: DataFrame, label: str, share: float, name: str = "is_test", key: str = ACCT) -> DataFrame:

@@ -38,9 +38,9 @@ def test_latest_snapshot_limits_before_the_exchange(spark):
     assert "Partial" in text and "Final" in text
 
 
-def test_once_flag_is_a_single_existence_join(spark):
+def test_once_flag_is_a_single_left_join_on_the_claims_bins(spark):
     text = plan(entry.queries()["txn_fraud_flag_once"](spark, SF_SMALL))
-    assert "ExistenceJoin" in text
+    assert text.split("(1)")[0].count("Join") == 1 and "LeftOuter" in text.split("(1)")[0] and "Left keys [3]" in text
     import re
     scans = re.findall(r"^\(\d+\) Scan parquet", text, flags=re.M)
     assert len(scans) == 2  # transactions once, claims once
