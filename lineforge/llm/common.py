@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from ..session import materialise, prepare
 
-__all__ = ["components", "materialise", "prepare", "table", "text_buffer", "chunks", "worker_state"]
+__all__ = ["components", "materialise", "prepare", "table", "text_buffer", "chunks", "release_state", "worker_state"]
 
 _held: dict = {}
 
@@ -24,12 +24,17 @@ def worker_state(key, build):
     """What ``build`` gives, kept by a worker over its tasks while they ask for the same ``key``: one
     state at a time, so that the workers of a long job do not pile up what its earlier stages used."""
     if key not in _held:
-        _held.clear()
-        pa.default_memory_pool().release_unused()
+        release_state()
         _held[key] = build()
     return _held[key]
 
 
+def release_state() -> None:
+    """Lets go of what the worker has kept from earlier tasks."""
+    _held.clear()
+    pa.default_memory_pool().release_unused()
+
+
 def text_buffer(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     """UTF-8 bytes and offsets (n + 1) of a string column; a null counts as empty."""
     if isinstance(column, pa.ChunkedArray):
