@@ -62,6 +62,11 @@ def exact_quantiles(df: DataFrame, cols: list[str], qs: list[float], group: str
         prefix = F.shiftrightunsigned("u", left + width) if left + width < 64 else F.lit(0).cast("long")
         digit = F.shiftrightunsigned("u", left).bitwiseAND(F.lit((1 << width) - 1))
         part = part.select("k", "c", "x", prefix.alias("prefix"), digit.alias("digit"))
+        if left + width < 64:  # only rows with a prefix that is still open
+            part = part.join(narrow.select("k", "c", "prefix").distinct(), ["k", "c", "prefix"], "left_semi")
+            if left + 2 * width == 64:  # the first digit leaves few rows: they are what the next rounds read
+                part = materialise(part, "quantile-rows")
+                rows = part.select("k", "c", "x")
         counts = part.groupBy("k", "c", "prefix", "digit").agg(F.count(F.lit(1)).alias("m"), F.min("x").alias("lo"), F.max("x").alias("hi"))
         before = Window.partitionBy("k", "c", "prefix").orderBy("digit").rowsBetween(Window.unboundedPreceding, -1)
         counts = counts.withColumn("before", F.coalesce(F.sum("m").over(before), F.lit(0)))
@@ -70,10 +75,6 @@ def exact_quantiles(df: DataFrame, cols: list[str], qs: list[float], group: str
                  .select("k", "c", "r", "lo", "hi", start.alias("below"),
                          F.shiftleft("prefix", width).bitwiseOR(F.col("digit")).alias("prefix")))
         state = materialise(found.unionByName(state.where("lo = hi")), "quantile-state")
-        if left:  # what has a prefix that is still open
-            longer = F.shiftrightunsigned(ordered_bits(F.col("x")), left).alias("prefix")
-            wanted = state.where("lo < hi").select("k", "c", "prefix").distinct()
-            rows = materialise(rows.select("k", "c", "x", longer).join(wanted, ["k", "c", "prefix"], "left_semi").drop("prefix"), "quantile-rows")
     at = lambda r, v: state.select("k", "c", F.col("r").alias(r), F.col("lo").alias(v))
     out = asked.select("k", "c", "g", "n", "q", "r1", "r2", "part").join(at("r1", "v1"), ["k", "c", "r1"]).join(
         at("r2", "v2"), ["k", "c", "r2"])

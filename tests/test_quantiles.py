@@ -10,24 +10,30 @@ from lineforge.operators import quantiles
 INF = float("inf")
 
 
-def one(spark, values, qs, discrete=False):
+CASES = [
+    [1.0, 2.0, 5.0, INF], [-INF, INF, 0.0], [-INF, -INF, INF, INF, 3.0],
+    [5e-324, 1e308, -1e308, 1.7976931348623157e308, 0.0, -0.0, -5e-324, 1e-300], [7.0], [2.0] * 9 + [INF] * 9]
+
+
+def one(spark, values, qs):
     df = spark.createDataFrame([(v,) for v in values], "x double").repartition(3)
-    return {r.q: r for r in quantiles.exact_quantiles(df, ["x"], qs, discrete=discrete).collect()}
+    return {r.q: r for r in quantiles.exact_quantiles(df, ["x"], qs).collect()}
 
 
-@pytest.mark.parametrize("values", [
-    [1.0, 2.0, 5.0, INF], [-INF, INF, 0.0], [-INF, -INF, INF, INF, 3.0],
-    [5e-324, 1e308, -1e308, 1.7976931348623157e308, 0.0, -0.0, -5e-324, 1e-300], [7.0], [2.0] * 9 + [INF] * 9])
-def test_any_double(spark, values):
+def test_any_double(spark):
     qs = [0.0, 0.25, 0.5, 0.75, 1.0]
-    got, s = one(spark, values, qs), sorted(values)
-    for q in qs:
-        at = q * (len(s) - 1)
-        a, b = s[math.floor(at)], s[min(math.floor(at) + 1, len(s) - 1)]
-        want = a if a == b or at == math.floor(at) else a + (b - a) * (at - math.floor(at))
-        assert got[q].n == len(s) and (got[q].value == want or math.isnan(want) and math.isnan(got[q].value))
-    low = one(spark, values, qs, discrete=True)
-    assert all(low[q].value == s[max(math.ceil(q * len(s)), 1) - 1] for q in qs)
+    df = spark.createDataFrame([(g, v) for g, values in enumerate(CASES) for v in values], "g int, x double").repartition(3)
+    got = {(r.g, r.q): r for r in quantiles.exact_quantiles(df, ["x"], qs, "g").collect()}
+    low = {(r.g, r.q): r.value for r in quantiles.exact_quantiles(df, ["x"], qs, "g", discrete=True).collect()}
+    for g, values in enumerate(CASES):
+        s = sorted(values)
+        for q in qs:
+            at = q * (len(s) - 1)
+            a, b = s[math.floor(at)], s[min(math.floor(at) + 1, len(s) - 1)]
+            want = a if a == b or at == math.floor(at) else a + (b - a) * (at - math.floor(at))
+            r = got[g, q]
+            assert r.n == len(s) and (r.value == want or math.isnan(want) and math.isnan(r.value))
+            assert low[g, q] == s[max(math.ceil(q * len(s)), 1) - 1]
 
 
 def test_equals_duckdb_over_all_sizes_of_numbers(spark):
