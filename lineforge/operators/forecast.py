@@ -168,24 +168,22 @@ def _newton(ys, lens, a, b, horizon: int, rounds: int = 40):
     Returns a, b, sse, forecast, l0, b0."""
     import numpy as np
 
-    def states(a, b):
-        return [v[:, 0] for v in _holt_states(ys, lens, a[:, None], b[:, None], horizon)]
+    def states(at, a, b):
+        return [v[:, 0] for v in _holt_states(ys[at], lens[at], a[:, None], b[:, None], horizon)]
 
-    def normal(a, b, l0, b0):
+    def normal(at, a, b, level, trend):
         """J'J (4 x 4, in the order alpha, beta, level, trend) and J'e at the point."""
-        n = len(ys)
-        level, trend = l0.copy(), b0.copy()
+        y, n = ys[at], len(at)
         dl, db = np.zeros((4, n)), np.zeros((4, n))
         dl[2], db[3] = 1.0, 1.0
         jj, je = np.zeros((n, 4, 4)), np.zeros((n, 4))
-        for t in range(ys.shape[1]):
-            live = t < lens
-            err = ys[:, t] - (level + trend)
-            j = -(dl + db)
-            w = np.where(live, 1.0, 0.0)
-            jj += np.einsum("in,jn,n->nij", j, j, w)
-            je += (j * (err * w)).T
-            new_level = a * ys[:, t] + (1 - a) * (level + trend)
+        for t in range(int(lens[at].max())):
+            live = t < lens[at]
+            err = y[:, t] - (level + trend)
+            j = np.where(live, -(dl + db), 0.0)
+            jj += j.T[:, :, None] * j.T[:, None, :]
+            je += (j * err).T
+            new_level = a * y[:, t] + (1 - a) * (level + trend)
             nl = (1 - a) * (dl + db)
             nl[0] += err
             nb = b * (nl - dl) + (1 - b) * db
@@ -195,10 +193,13 @@ def _newton(ys, lens, a, b, horizon: int, rounds: int = 40):
             dl, db = np.where(live, nl, dl), np.where(live, nb, db)
         return jj, je
 
-    sse, fc, l0, b0 = states(a, b)
+    a, b, at = a.copy(), b.copy(), np.arange(len(a))
+    won = states(at, a, b)  # sse, forecast, l0, b0
     damp = np.full(len(a), 1e-3)
     for _ in range(rounds):
-        jj, je = normal(a, b, l0, b0)
+        if not len(at):
+            break
+        jj, je = normal(at, a[at], b[at], won[2][at], won[3][at])
         ridge = 1e-12 * (1.0 + np.trace(jj[:, 2:, 2:], axis1=1, axis2=2))
         inner = jj[:, 2:, 2:] + ridge[:, None, None] * np.eye(2)
         solved = np.linalg.solve(inner, np.concatenate([jj[:, 2:, :2], je[:, 2:, None]], axis=2))
@@ -206,21 +207,21 @@ def _newton(ys, lens, a, b, horizon: int, rounds: int = 40):
         g = je[:, :2] - (jj[:, :2, 2:] @ solved[:, :, 2:])[:, :, 0]
         size = np.maximum(np.trace(h, axis1=1, axis2=2), 1e-300)
         # at a bound that the step would leave, only the other parameter moves
-        p = np.stack([a, b], axis=1)
+        p = np.stack([a[at], b[at]], axis=1)
         fixed = ((p <= LEAST) & (g > 0)) | ((p >= MOST) & (g < 0))
         g = np.where(fixed, 0.0, g)
-        h = np.where(fixed[:, :, None] | fixed[:, None, :], 0.0, h) + (damp * size)[:, None, None] * np.eye(2)
-        step = -np.linalg.solve(h, g[:, :, None])[:, :, 0]
-        q = np.clip(p + step, LEAST, MOST)
-        trial = states(q[:, 0], q[:, 1])
-        better = trial[0] < sse
-        a, b = np.where(better, q[:, 0], a), np.where(better, q[:, 1], b)
-        gain = np.where(better, (sse - trial[0]) / np.maximum(sse, 1e-300), 0.0)
-        sse, fc, l0, b0 = (np.where(better, new, old) for new, old in zip(trial, (sse, fc, l0, b0)))
-        damp = np.clip(np.where(better, damp / 5, damp * 10), 1e-12, 1e12)
-        if (gain < 1e-12).all() and (damp > 1e6).all():
-            break
-    return a, b, sse, fc, l0, b0
+        h = np.where(fixed[:, :, None] | fixed[:, None, :], 0.0, h) + (damp[at] * size)[:, None, None] * np.eye(2)
+        q = np.clip(p - np.linalg.solve(h, g[:, :, None])[:, :, 0], LEAST, MOST)
+        trial, old = states(at, q[:, 0], q[:, 1]), won[0][at]
+        better = trial[0] < old
+        gain = np.where(better, (old - trial[0]) / np.maximum(old, 1e-300), 0.0)
+        up = at[better]
+        a[up], b[up] = q[better, 0], q[better, 1]
+        for k, v in enumerate(trial):
+            won[k][up] = v[better]
+        damp[at] = np.clip(np.where(better, damp[at] / 5, damp[at] * 10), 1e-12, 1e12)
+        at = at[np.where(better, gain > 1e-10, damp[at] < 1e7)]  # the others have come to rest
+    return a, b, *won
 
 
 LEAST, MOST = 1e-4, 0.9999  # of the smoothing parameters
@@ -266,7 +267,10 @@ def holt_estimated(series: DataFrame, grid=DEFAULT_GRID, horizon: int = 3, refin
                                 "alpha": won["alpha"], "beta": won["beta"], "l0": won["l0"], "b0": won["b0"],
                                 "sse": won["sse"]})
 
-    return series.select(ACCT, "ys").mapInPandas(
+    rows = series.select(ACCT, "ys")
+    if newton:  # much work for few bytes: dealt out, not coalesced
+        rows = rows.repartition(series.sparkSession.sparkContext.defaultParallelism)
+    return rows.mapInPandas(
         run, f"{ACCT} string, hw_predicted_q4_spend double, alpha double, beta double, l0 double, b0 double, sse double")
 
 
