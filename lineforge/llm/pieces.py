@@ -17,17 +17,18 @@ from __future__ import annotations
 import itertools
 import re
 from array import array
+from uuid import uuid4
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import chunks, release_state, table, text_buffer
+from .common import chunks, table, text_buffer, worker_state
 
 MARK = "▁"  # stands for a space
 MODEL = "/opt/tokenizers/piece_bpe_32k.model"
-CACHED = 32 << 20  # bytes of words, and as many of pairs of pieces, that a worker remembers
+CACHED = 40 << 20  # bytes of words, and as many of pairs of pieces, that a worker remembers
 ENTRY = 200        # bytes of an entry besides its text: a key, a value, their place in a table
 LONG = 64          # characters of a word that is not remembered
 
@@ -209,11 +210,10 @@ def encode_texts(docs: DataFrame, vocabulary: dict, id_col: str = "doc_id", text
     null for a null one); a character that the model lacks becomes its UTF-8 bytes; the mark
     U+2581 in a text comes back as a space, so round_trip is false; ids may be null or repeat.  An
     empty table gives no rows.  Other columns are not read, whatever their names."""
-    shared = docs.sparkSession.sparkContext.broadcast(vocabulary)
+    shared = (uuid4().hex, docs.sparkSession.sparkContext.broadcast(vocabulary))
 
     def run(batches):
-        release_state()
-        encoder = Encoder(shared.value)  # ends with the task, and what it remembers with it
+        encoder = worker_state(shared[0], lambda: Encoder(shared[1].value))
         for b in batches:
             column, (buf, off) = b.column("_t"), text_buffer(b.column("_t"))
             for i, j in chunks(off, 3 << 20, 4000):

@@ -18,7 +18,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import chunks, table, text_buffer
+from .common import chunks, release_state, table, text_buffer
 from .textvec import word_hashes
 
 TRAIN_DOCS, TRAIN_BYTES = 4000, 100_000
@@ -255,6 +255,7 @@ def good_documents(docs: DataFrame, labels: DataFrame, threshold: float = THRESH
     at = docs.columns.index("text")
 
     def run(batches):
+        release_state()
         for b in batches:
             yield b.filter(pa.array(score_texts(*text_buffer(b.column(at)), model) >= threshold))
 

@@ -75,3 +75,30 @@ def test_entry_works_without_this_subpackage(tmp_path):
     shutil.copytree(root, tmp_path / "repo", ignore=shutil.ignore_patterns(".git", "llm", "corpus_pipeline.py", "__pycache__"))
     code = "import __spark_entry__ as e; q = e.queries(); assert 'spend_lags' in q and 'pipeline' not in q; e.oracle_sql()"
     subprocess.run([sys.executable, "-c", code], cwd=tmp_path / "repo", check=True, env=os.environ | {"PYTHONPATH": ""})
+
+
+def test_stages_on_an_empty_table(spark, sf):
+    docs = spark.read.parquet(f"{sf}/documents.parquet").limit(0)
+    for name, stage in corpus_pipeline.STAGES:
+        out = stage(spark, docs, sf)
+        assert out.count() == 0, name
+        if name != "sentencepiece":
+            assert out.columns == COLUMNS, name
+
+
+def test_stages_on_null_and_repeated_rows(spark, sf, kept):
+    good = [r for i, r in sorted(kept[4].items()) if len(r.text) > 2000][:2]
+    docs = spark.read.parquet(f"{sf}/documents.parquet")
+    rows = [(7, None, None, None, None), (7, None, None, None, None), (8, "", "en", None, 0), (None, good[0].text, None, "a", 1),
+            (None, None, None, None, None), (9, good[1].text, "en", "b", None), (9, good[1].text, "en", "b", None)]
+    docs = spark.createDataFrame(rows, docs.schema)
+    known = {(r[0], bool(r[1])) for r in rows}
+    for name, stage in corpus_pipeline.STAGES:
+        out = stage(spark, docs, sf).collect()
+        if name == "sentencepiece":
+            assert sorted((r.doc_id or 0, r.n_tokens > 0, r.round_trip is None) for r in out) == [
+                (0, False, True), (0, True, False), (7, False, True), (7, False, True), (8, False, False), (9, True, False), (9, True, False)]
+        else:
+            assert {(r.doc_id, bool(r.text)) for r in out} <= known and len(out) <= 7, name
+            assert sum(r.doc_id == 9 for r in out) == 2, name
+            assert sum(r.doc_id is None and bool(r.text) for r in out) == 1, name
