@@ -170,3 +170,33 @@ def test_recurrent_model_learns_and_stops(spark):
     assert min(model.losses) < 0.5 * model.losses[0] and len(model.losses) <= 41
     empty = recurrent.fit_recurrent(df.limit(0), 2, ["current_account_nbr"], s)
     assert recurrent.predict_recurrent(empty, df.limit(0), 2).count() == 0
+
+
+def test_bins_find_the_leaves_that_rows_of_values_do():
+    rng = np.random.default_rng(6)
+    x = rng.normal(size=(4000, 4))
+    x[rng.random(x.shape) < 0.2] = np.nan
+    y = np.nan_to_num(x[:, 0]) * 3 + np.isnan(x[:, 1]) + rng.normal(size=4000)
+    edges = [np.unique(np.quantile(c[~np.isnan(c)], np.arange(1, 63) / 63)) for c in x.T]
+    bins = np.array([np.where(np.isnan(c), B.MISSING, np.searchsorted(e, c)) for e, c in zip(edges, x.T)]).astype(np.uint8)
+    row = {"bins": bins.tobytes(), "y": y.tobytes(), "score": np.zeros(4000).tobytes(), "val": np.zeros(4000, np.uint8).tobytes(),
+           "seed": rng.integers(0, 2 ** 62, 4000).tobytes()}
+    for depth in (1, 4, 9):  # the last one with more nodes than a byte counts
+        s = B.BoostSettings(max_depth=depth, min_weight=0.5, l1=0.0, row_share=1.0, column_share=1.0)
+        tree = B.Rounds(4, edges, s).next_tree(lambda level: B._level_here([B._Block(row, 4)], level, s))
+        assert depth < 9 or len(tree["value"]) > 256
+        model = B.BoostedTrees(FEATS, 0.0, [tree])
+        assert (tree["value"][B.binned_leaves(tree, bins)] == model.raw(x)).all()
+
+
+def test_scores_are_kept_between_trees_and_let_go(spark, monkeypatch):
+    added, packed = [], []
+    rescored, pack = B._rescored, B.pack_blocks
+    monkeypatch.setattr(B, "_rescored", lambda blocks, tree, n: added.append(tree) or rescored(blocks, tree, n))
+    monkeypatch.setattr(B, "pack_blocks", lambda df, *a: packed.append(df.rdd.getNumPartitions()) or pack(df, *a))
+    before = spark.sparkContext._jsc.getPersistentRDDs().size()
+    model = B.fit_boosted(frame(spark), FEATS, "y", F.lit(False), ["current_account_nbr"], SMALL, 50)
+    # each tree is evaluated once, not by every level of the trees after it
+    assert len(added) == len(model.trees) == 6 and all(a is t for a, t in zip(added, model.trees))
+    assert packed == [max(spark.sparkContext.defaultParallelism, 8)]  # 1,500 rows: 30 parts, of four times 50 rows 8
+    assert spark.sparkContext._jsc.getPersistentRDDs().size() == before
