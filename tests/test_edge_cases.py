@@ -26,6 +26,18 @@ def test_snapshot_tie_break_is_deterministic(spark):
     assert got == {"A1": 800.0, "A2": 100.0}
 
 
+def test_snapshots_are_dealt_before_they_are_sorted(spark, monkeypatch):
+    rows = [(f"A{i % 40}" if i % 7 else None, i // 40, float(i % 9)) for i in range(400)]
+    rams = spark.createDataFrame(rows, "cu_account_nbr string, cu_processing_date int, cu_crd_line double").coalesce(1)
+    want = sorted(map(str, accounts.latest_snapshot(rams).collect()))
+    monkeypatch.setattr(accounts, "SNAPSHOT_ROWS", 50)
+    few = accounts.latest_snapshot(rams)
+    assert sorted(map(str, few.collect())) == want and len(want) == 41
+    # a file read by one task: its rows are not sorted there, but in eight parts
+    text = few._jdf.queryExecution().toString()
+    assert "REPARTITION_BY_NUM" in text and "hashpartitioning(cu_account_nbr" in text and ", 8)" in text
+
+
 def test_full_join_null_account_and_month_gap(spark):
     txn = spark.createDataFrame(
         [("A1", 1, "2000-01-05", "10.00", "253", None, "840", "Y"),
