@@ -111,10 +111,15 @@ def holt_forecast(series: DataFrame, grid=DEFAULT_GRID, horizon: int = 3) -> Dat
             yield pd.DataFrame({ACCT: pdf[ACCT].to_numpy(), "hw_predicted_q4_spend": fc[rows, best],
                                 "alpha": alphas[best], "beta": betas[best], "sse": sse[rows, best]})
 
-    return series.select(ACCT, "ys").mapInPandas(
+    return _dealt_series(series).mapInPandas(
         run, f"{ACCT} string, hw_predicted_q4_spend double, alpha double, beta double, sse double")
 
 
+def _dealt_series(series: DataFrame) -> DataFrame:
+    """The series over all cores: much work for few bytes, which would be coalesced by their size."""
+    return series.select(ACCT, "ys").repartition(series.sparkSession.sparkContext.defaultParallelism, ACCT)
+
+
 def _holt_states(ys, lens, alphas, betas, horizon: int):
     """Least-squares start and fit of every (account, parameter pair): alphas, betas are (n, g) or
     (1, g).  Returns sse, forecast, l0, b0, each (n, g).
@@ -267,10 +272,7 @@ def holt_estimated(series: DataFrame, grid=DEFAULT_GRID, horizon: int = 3, refin
                                 "alpha": won["alpha"], "beta": won["beta"], "l0": won["l0"], "b0": won["b0"],
                                 "sse": won["sse"]})
 
-    rows = series.select(ACCT, "ys")
-    if newton:  # much work for few bytes: dealt out, not coalesced
-        rows = rows.repartition(series.sparkSession.sparkContext.defaultParallelism)
-    return rows.mapInPandas(
+    return _dealt_series(series).mapInPandas(
         run, f"{ACCT} string, hw_predicted_q4_spend double, alpha double, beta double, l0 double, b0 double, sse double")
 
 

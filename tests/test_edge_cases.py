@@ -346,3 +346,41 @@ def test_stand_in_recommendations_take_every_branch(spark):
     crossed = [r for r in rows if r.cu_crd_line and r.cu_cur_balance * 1.1 > r.cu_crd_line * 1.5]
     zero = [r for r in rows if r.cu_crd_line == 0]
     assert all(len(x) > 0 for x in (blocked, floor, cap, crossed, zero))
+
+
+def _parts(df):
+    """Numbers of the parts that the plan deals rows into by number, not by the session's shuffle width."""
+    import re
+    return [int(n) for n in re.findall(r"hashpartitioning\([^()]*(?:\([^()]*\)[^()]*)*, (\d+)\), REPARTITION_BY_NUM", df._jdf.queryExecution().executedPlan().toString())]
+
+
+def test_transactions_are_dealt_by_account_and_month_before_they_are_grouped(spark, monkeypatch):
+    txn = spark.range(600).select(
+        F.when(F.col("id") % 11 > 0, F.concat(F.lit("A"), F.col("id") % 7)).alias("current_account_nbr"), F.col("id").alias("transaction_id"),
+        F.when(F.col("id") % 13 > 0, F.date_add(F.lit("2000-01-01").cast("date"), (F.col("id") % 90).cast("int"))).alias("transaction_date"),
+        F.col("id").cast("decimal(18,2)").alias("transaction_amt"), F.lit("253").alias("transaction_code"),
+        F.lit(None).cast("decimal(18,2)").alias("curr_markup_fee"), F.lit("840").alias("frgn_curr_code"), F.lit("Y").alias("first_purchase_ind"))
+    whole = monthly.txn_monthly(txn)
+    want = sorted(map(str, whole.collect()))
+    assert _parts(whole) == []
+    monkeypatch.setattr(monthly, "TXN_ROWS", 100)
+    dealt = monthly.txn_monthly(txn)
+    assert _parts(dealt) == [6] and sorted(map(str, dealt.collect())) == want and len(want) == 24
+
+
+def test_passes_over_accounts_are_dealt_out(spark, monkeypatch):
+    from lineforge.operators import forecast, models
+    x = spark.range(400).select(F.concat(F.lit("A"), F.col("id")).alias("current_account_nbr"),
+                                ((F.col("id") % 2) * 10 + F.rand(1)).alias("a"), F.rand(2).alias("b")).coalesce(1)
+    one, centres, cost = models.kmeans_clusters(x, ["a", "b"], 2, seeds=(1,))
+    seen = []
+    keep = models.materialise
+    monkeypatch.setattr(models, "materialise", lambda df, name: seen.append(_parts(df)) or keep(df, name))
+    monkeypatch.setattr(models, "TASK_ROWS", 100)
+    many, centres2, cost2 = models.kmeans_clusters(x, ["a", "b"], 2, seeds=(1,))
+    assert seen == [[4]] and abs(centres - centres2).max() < 1e-9 and math.isclose(cost, cost2)
+    assert sorted(map(str, one.select("current_account_nbr", "cluster_id").collect())) == sorted(
+        map(str, many.select("current_account_nbr", "cluster_id").collect()))
+    series = x.select("current_account_nbr", F.array("a", "b", "a", "b").alias("ys"))
+    for df in (forecast.holt_forecast(series), forecast.holt_estimated(series)):
+        assert df.rdd.getNumPartitions() == spark.sparkContext.defaultParallelism and df.count() == 400
