@@ -2,8 +2,8 @@
 
 Plan shape at scale: transactions beyond a task's size are dealt by account and month, so
 a hot account is spread over its months; below that, as for statements, partial (map-side)
-aggregation collapses it to one row per (account, month, map task) before any exchange.  The full outer join reuses the (account, month) partitioning of
-the two aggregates, and the lag/rolling window partitions by account only, over at most
+aggregation collapses it to one row per (account, month, map task) before any exchange.  The full
+outer join reuses the (account, month) partitioning of the two aggregates, and the lag/rolling window partitions by account only, over at most
 one row per month of history.
 """
 
@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.numeric import safe_ratio, numeric_or_zero
-from ..session import dealt
+from ..session import dealt, dealt_into, parts_of
 
 ACCT = "current_account_nbr"
 
@@ -26,6 +26,7 @@ RETURN_CODE = "255"
 DOMESTIC_CURRENCY = "840"
 
 TXN_ROWS = 1 << 20  # transactions of a task
+LAG_ROWS = 1 << 20  # account-months of a task that sorts them by account
 
 
 def _month(col: str):
@@ -55,23 +56,25 @@ def finish_txn_monthly(df: DataFrame) -> DataFrame:
     return df.withColumn("avg_txn_amt", F.col("_sum_amt").cast("double") / F.col("_n_amt")).drop("_sum_amt", "_n_amt")
 
 
-def txn_monthly(transaction_base: DataFrame) -> DataFrame:
+def txn_monthly(transaction_base: DataFrame, parts: int | None = None) -> DataFrame:
     """Per account and month: spend, counts, cash advances, returns, fees, foreign amount.
 
     A scan task's rows have almost as many accounts and months as rows, so a table over ``TXN_ROWS`` is
     dealt by both first: a task's groups are bounded, are not spilled, and travel once."""
-    g = (dealt(transaction_base.withColumn("txn_month", _month("transaction_date")), TXN_ROWS, ACCT, "txn_month")
+    if parts is None:
+        parts = parts_of(transaction_base, TXN_ROWS)
+    g = (dealt_into(transaction_base.withColumn("txn_month", _month("transaction_date")), parts, ACCT, "txn_month")
          .where(F.col("transaction_date").isNotNull())
          .groupBy(ACCT, "txn_month")
          .agg(*txn_monthly_aggs()))
     return finish_txn_monthly(g)
 
 
-def stmt_monthly(statement_fact: DataFrame) -> DataFrame:
+def stmt_monthly(statement_fact: DataFrame, parts: int = 1) -> DataFrame:
     """Per account and month: max of balance and the three return-check counts."""
-    return (statement_fact
+    return (dealt_into(statement_fact.withColumn("stmt_month", _month("billing_cycle_date")), parts, ACCT, "stmt_month")
             .where(F.col("billing_cycle_date").isNotNull())
-            .groupBy(F.col(ACCT), _month("billing_cycle_date").alias("stmt_month"))
+            .groupBy(ACCT, "stmt_month")
             .agg(F.max("prev_balance").alias("prev_balance"),
                  F.max("return_check_cnt_total").alias("return_check_cnt_total"),
                  F.max("return_check_cnt_ytd").alias("return_check_cnt_ytd"),
@@ -87,9 +90,13 @@ MONTHLY_COLUMNS = [
 
 
 def customer_monthly(transaction_base: DataFrame, statement_fact: DataFrame) -> DataFrame:
-    """Transactions by month full-outer-joined with statements by month."""
-    t = txn_monthly(transaction_base).alias("t")
-    s = stmt_monthly(statement_fact).alias("s")
+    """Transactions by month full-outer-joined with statements by month.
+
+    Beyond a task's size both are dealt alike before they are grouped, and joined as they lie: a task's
+    groups and sorts are bounded however few parts shuffles have."""
+    parts = max(parts_of(df, TXN_ROWS) for df in (transaction_base, statement_fact))
+    t = txn_monthly(transaction_base, parts).alias("t")
+    s = stmt_monthly(statement_fact, parts).alias("s")
     j = t.join(s, (F.col(f"t.{ACCT}") == F.col(f"s.{ACCT}"))
                & (F.col("t.txn_month") == F.col("s.stmt_month")), "full")
     zero = F.lit(0)
@@ -110,7 +117,10 @@ def customer_monthly(transaction_base: DataFrame, statement_fact: DataFrame) ->
 
 
 def add_lag_features(cm: DataFrame, value: str = "total_spend") -> DataFrame:
-    """Lags 1-3 (by row, not calendar) and mean/sample-std of the previous <= 3 rows."""
+    """Lags 1-3 (by row, not calendar) and mean/sample-std of the previous <= 3 rows.
+
+    Tasks are made of a bounded number of rows before they sort them by account."""
+    cm = dealt(cm, LAG_ROWS, ACCT)
     w = Window.partitionBy(ACCT).orderBy("month")
     prev3 = w.rowsBetween(-3, -1)
     v = F.col(value)

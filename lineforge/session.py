@@ -153,8 +153,18 @@ def materialise(df, name: str = "stage"):
     return spark.read.parquet(path)
 
 
+def parts_of(df, rows: int) -> int:
+    """Parts of some ``rows`` rows that ``df`` makes.  Counting reads no columns of a Parquet table."""
+    return -(-df.count() // rows)
+
+
 def dealt(df, rows: int, *keys):
     """``df`` dealt by the hash of ``keys`` into as many parts as give each some ``rows`` rows; left
-    as it is if there are no more.  Counting reads no columns of a Parquet table."""
-    parts = -(-df.count() // rows)
+    as it is if there are no more."""
+    return dealt_into(df, parts_of(df, rows), *keys)
+
+
+def dealt_into(df, parts: int, *keys):
+    """``df`` dealt by the hash of ``keys`` into ``parts`` parts, left as it is if that is one.  Both sides
+    of a join, dealt alike by its keys, meet without another exchange, whatever width shuffles have."""
     return df.repartition(parts, *keys) if parts > 1 else df

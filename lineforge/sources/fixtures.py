@@ -22,10 +22,12 @@ import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
-from ..session import ensure_checkpoint_dir, prepare
+from ..session import dealt_into, ensure_checkpoint_dir, parts_of, prepare
 
 BASE_TABLES = ("customer", "orders", "lineitem", "region")
 
+LINE_ROWS = 1 << 20  # lines of a task that joins them with their orders and sorts them by source
+
 # ---------------------------------------------------------------------------------------
 # The derivation texts of FIXTURES.md section 4 (shared with the oracle).
 # ---------------------------------------------------------------------------------------
@@ -177,6 +179,14 @@ def derive_tables(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
     return {n: frames[n] for n in INPUT_TABLES}
 
 
+def lines_and_orders(spark: SparkSession, sf_dir: str, rows: int | None = None) -> dict[str, DataFrame]:
+    """The two sides of the transactions' join, dealt by the order into parts of some ``rows`` rows, so
+    that a task's sorts are bounded however few parts shuffles have."""
+    sides = {n: read_base(spark, sf_dir, n) for n in ("lineitem", "orders")}
+    parts = max(parts_of(df, rows or LINE_ROWS) for df in sides.values())
+    return {n: dealt_into(df, parts, f"{n[0]}_orderkey") for n, df in sides.items()}
+
+
 _lock = threading.Lock()
 _materialised: dict[tuple[str, str], dict[str, str]] = {}
 _SESSION = "lineforge.session.key"
@@ -220,7 +230,7 @@ def input_tables(spark: SparkSession, sf_dir: str, materialise: bool = True) ->
                 # plain map-side writes: no layout shuffle (plain Parquet carries no
                 # partitioning guarantee that a later plan could use)
                 if name == "transaction_base":  # one join; each source in a folder of its own
-                    both = spark.sql(TRANSACTIONS, **{n: read_base(spark, sf_dir, n) for n in ("lineitem", "orders")})
+                    both = spark.sql(TRANSACTIONS, **lines_and_orders(spark, sf_dir))
                     both.write.mode("overwrite").partitionBy("source_table").parquet(paths[name])
                 else:
                     lazy[name].write.mode("overwrite").parquet(paths[name])
