@@ -20,6 +20,7 @@ from pyspark.sql import functions as F
 from ..session import materialise
 
 BLOCK = 1024     # sequences of a block
+CHUNK = 256      # of them that go through the network at once
 SLICE = 4096     # numbers of the gradient that travel together
 
 
@@ -67,73 +68,119 @@ def unpack(flat: np.ndarray, channels: int, s: RecurrentSettings) -> dict[str, n
     return out
 
 
-def _sigmoid(x):
-    return 0.5 * (1.0 + np.tanh(0.5 * x))
+def _scaled(w: np.ndarray) -> np.ndarray:
+    """Weights of the gates for exp(-z): tanh(z) = 2 sigmoid(2 z) - 1, so the cell's are doubled (which is
+    exact) and one exponential does for all gates."""
+    units = w.shape[-1] // 4
+    scale = np.full(w.shape[-1], -1.0)
+    scale[2 * units:3 * units] = -2.0
+    return w * scale
+
+
+def _logistic(minus_z: np.ndarray) -> np.ndarray:
+    """1 / (1 + exp(-z)), in place."""
+    with np.errstate(over="ignore"):  # far on the negative side it is 0
+        np.exp(minus_z, out=minus_z)
+    minus_z += 1.0
+    return np.divide(1.0, minus_z, out=minus_z)
+
+
+def _tanh(x: np.ndarray) -> np.ndarray:
+    out = _logistic(-2.0 * x)
+    out *= 2.0
+    out -= 1.0
+    return out
 
 
 def _lstm(x, wx, wh, b):
-    """Outputs (rows, steps, units) and what the way back needs.  Gates: in, forget, cell, out."""
-    n, steps, units = x.shape[0], x.shape[1], wh.shape[0]
-    h, c = np.zeros((n, units)), np.zeros((n, units))
-    out, kept = np.empty((n, steps, units)), []
+    """Outputs (steps, units, rows) and what the way back needs, of ``x`` (steps, channels, rows): a gate's
+    values of all rows lie side by side.  Gates: in, forget, cell, out."""
+    steps, n, units = x.shape[0], x.shape[2], wh.shape[0]
+    z_all = np.matmul(_scaled(wx).T, x)
+    z_all += _scaled(b)[:, None]
+    back = np.ascontiguousarray(_scaled(wh).T)
+    c, out, kept = np.zeros((units, n)), np.empty((steps, units, n)), []
     for t in range(steps):
-        z = x[:, t] @ wx + h @ wh + b
-        i, f, g, o = (_sigmoid(z[:, :units]), _sigmoid(z[:, units:2 * units]), np.tanh(z[:, 2 * units:3 * units]), _sigmoid(z[:, 3 * units:]))
+        z = z_all[t]
+        if t:
+            z += back @ out[t - 1]
+        _logistic(z)
+        i, f, g, o = z[:units], z[units:2 * units], z[2 * units:3 * units], z[3 * units:]
+        g *= 2.0
+        g -= 1.0
         new = f * c + i * g
-        tc = np.tanh(new)
-        kept.append((i, f, g, o, c, tc, h))
-        h, c = o * tc, new
-        out[:, t] = h
+        tc = _tanh(new)
+        kept.append((i, f, g, o, c, tc))
+        c = new
+        np.multiply(o, tc, out=out[t])
     return out, kept
 
 
-def _lstm_back(d_out, x, kept, wx, wh):
-    """Gradients of input and weights from those of all outputs."""
-    n, steps, units = d_out.shape
-    d_x, g_x, g_h, g_b = np.empty_like(x), np.zeros_like(wx), np.zeros_like(wh), np.zeros(wx.shape[1])
-    d_h, d_c = np.zeros((n, units)), np.zeros((n, units))
+def _lstm_back(d_out, x, out, kept, wx, wh, with_input: bool = True):
+    """Gradients of input (if asked for) and weights from those of all outputs."""
+    steps, units, n = d_out.shape
+    z_all = np.empty((steps, 4 * units, n))
+    d_h, d_c = 0.0, 0.0
     for t in range(steps - 1, -1, -1):
-        i, f, g, o, c, tc, h = kept[t]
-        d = d_out[:, t] + d_h
+        i, f, g, o, c, tc = kept[t]
+        d, z = d_out[t] + d_h, z_all[t]
         d_c = d_c + d * o * (1 - tc * tc)
-        z = np.concatenate([d_c * g * i * (1 - i), d_c * c * f * (1 - f), d_c * i * (1 - g * g), d * tc * o * (1 - o)], axis=1)
-        g_x += x[:, t].T @ z
-        g_h += h.T @ z
-        g_b += z.sum(0)
-        d_x[:, t], d_h, d_c = z @ wx.T, z @ wh.T, d_c * f
-    return d_x, g_x, g_h, g_b
+        np.multiply(d_c * g, i * (1 - i), out=z[:units])
+        np.multiply(d_c * c, f * (1 - f), out=z[units:2 * units])
+        np.multiply(d_c * i, 1 - g * g, out=z[2 * units:3 * units])
+        np.multiply(d * tc, o * (1 - o), out=z[3 * units:])
+        if t:
+            d_h, d_c = wh @ z, d_c * f
+    turned = z_all.transpose(0, 2, 1)
+    g_x = np.matmul(x, turned).sum(0)
+    g_h = np.matmul(out[:-1], turned[1:]).sum(0)
+    return np.matmul(wx, z_all) if with_input else None, g_x, g_h, z_all.sum((0, 2))
+
+
+def _turned(x: np.ndarray, a: int) -> np.ndarray:
+    """``CHUNK`` rows from ``a`` on of (rows, steps, channels), as (steps, channels, rows)."""
+    return np.ascontiguousarray(x[a:a + CHUNK].transpose(1, 2, 0))
 
 
 def forward(flat: np.ndarray, x: np.ndarray, s: RecurrentSettings) -> np.ndarray:
     """Normalised predictions, without dropout."""
-    w = unpack(flat, x.shape[2], s)
-    one, _ = _lstm(x, w["x1"], w["h1"], w["b1"])
-    two, _ = _lstm(one, w["x2"], w["h2"], w["b2"])
-    return (np.maximum(two[:, -1] @ w["w3"] + w["b3"], 0.0) @ w["w4"] + w["b4"])[:, 0]
+    w, found = unpack(flat, x.shape[2], s), [np.zeros(0)]
+    for a in range(0, len(x), CHUNK):
+        one, _ = _lstm(_turned(x, a), w["x1"], w["h1"], w["b1"])
+        two, _ = _lstm(one, w["x2"], w["h2"], w["b2"])
+        found.append((np.maximum(two[-1].T @ w["w3"] + w["b3"], 0.0) @ w["w4"] + w["b4"])[:, 0])
+    return np.concatenate(found)
 
 
 def gradient(flat: np.ndarray, x: np.ndarray, y: np.ndarray, s: RecurrentSettings, rng=None) -> tuple[np.ndarray, float]:
-    """(gradient, sum) of the squared errors; with ``rng`` units are dropped out."""
+    """(gradient, sum) of the squared errors; with ``rng`` units are dropped out.  Rows go through in
+    chunks that stay in a core's cache."""
     w = unpack(flat, x.shape[2], s)
-    drop = lambda shape: 1.0 if rng is None else (rng.random(shape) >= s.dropout) / (1.0 - s.dropout)
-    one, kept1 = _lstm(x, w["x1"], w["h1"], w["b1"])
-    m1 = drop((len(x), 1, s.first))
-    fed = one * m1
-    two, kept2 = _lstm(fed, w["x2"], w["h2"], w["b2"])
-    m2 = drop((len(x), s.second))
-    last = two[:, -1] * m2
-    z3 = last @ w["w3"] + w["b3"]
-    a3 = np.maximum(z3, 0.0)
-    err = (a3 @ w["w4"] + w["b4"])[:, 0] - y
-    d = 2.0 * err[:, None]
-    g = {"w4": a3.T @ d, "b4": d.sum(0)}
-    d3 = (d @ w["w4"].T) * (z3 > 0)
-    g["w3"], g["b3"] = last.T @ d3, d3.sum(0)
-    d_two = np.zeros_like(two)
-    d_two[:, -1] = (d3 @ w["w3"].T) * m2
-    d_fed, g["x2"], g["h2"], g["b2"] = _lstm_back(d_two, fed, kept2, w["x2"], w["h2"])
-    _, g["x1"], g["h1"], g["b1"] = _lstm_back(d_fed * m1, x, kept1, w["x1"], w["h1"])
-    return np.concatenate([g[k].ravel() for k in shapes(x.shape[2], s)]), float((err * err).sum())
+    drop = lambda shape: np.ones(shape) if rng is None else (rng.random(shape) >= s.dropout) / (1.0 - s.dropout)
+    all1, all2 = drop((len(x), s.first)).T, drop((len(x), s.second)).T
+    total, loss = {k: np.zeros(v) for k, v in shapes(x.shape[2], s).items()}, 0.0
+    for a in range(0, len(x), CHUNK):
+        rows, m1, m2 = _turned(x, a), np.ascontiguousarray(all1[:, a:a + CHUNK]), np.ascontiguousarray(all2[:, a:a + CHUNK])
+        one, kept1 = _lstm(rows, w["x1"], w["h1"], w["b1"])
+        fed = one * m1
+        two, kept2 = _lstm(fed, w["x2"], w["h2"], w["b2"])
+        last = two[-1] * m2
+        z3 = w["w3"].T @ last + w["b3"][:, None]
+        a3 = np.maximum(z3, 0.0)
+        err = (w["w4"].T @ a3 + w["b4"][:, None])[0] - y[a:a + CHUNK]
+        d = 2.0 * err
+        g = {"w4": (a3 @ d)[:, None], "b4": d.sum(keepdims=True)}
+        d3 = w["w4"] * d * (z3 > 0)
+        g["w3"], g["b3"] = last @ d3.T, d3.sum(1)
+        d_two = np.zeros_like(two)
+        d_two[-1] = (w["w3"] @ d3) * m2
+        d_fed, g["x2"], g["h2"], g["b2"] = _lstm_back(d_two, fed, two, kept2, w["x2"], w["h2"])
+        d_fed *= m1
+        _, g["x1"], g["h1"], g["b1"] = _lstm_back(d_fed, rows, one, kept1, w["x1"], w["h1"], False)
+        for k, v in g.items():
+            total[k] += v
+        loss += float((err * err).sum())
+    return np.concatenate([v.ravel() for v in total.values()]), loss
 
 
 @dataclass

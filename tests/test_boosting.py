@@ -200,3 +200,17 @@ def test_scores_are_kept_between_trees_and_let_go(spark, monkeypatch):
     assert len(added) == len(model.trees) == 6 and all(a is t for a, t in zip(added, model.trees))
     assert packed == [max(spark.sparkContext.defaultParallelism, 8)]  # 1,500 rows: 30 parts, of four times 50 rows 8
     assert spark.sparkContext._jsc.getPersistentRDDs().size() == before
+
+
+def test_chunks_give_the_gradient_of_the_whole(monkeypatch):
+    s = recurrent.RecurrentSettings(first=5, second=4, dense=3)
+    rng = np.random.default_rng(8)
+    flat = recurrent.initial(2, s) + 0.3 * rng.normal(size=len(recurrent.initial(2, s)))
+    x, y = rng.normal(size=(11, 6, 2)), rng.normal(size=11)
+    x[0] *= 1e4  # gates far on either side
+    found = []
+    for rows in (256, 4):
+        monkeypatch.setattr(recurrent, "CHUNK", rows)
+        found.append((*recurrent.gradient(flat, x, y, s, np.random.default_rng(2)), recurrent.forward(flat, x, s)))
+    assert all(np.allclose(a, b, rtol=1e-12, atol=1e-12) and np.isfinite(a).all() for a, b in zip(*found))
+    assert recurrent.forward(flat, x[:0], s).shape == (0,)
