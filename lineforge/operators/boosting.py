@@ -6,9 +6,14 @@ job a level: every task adds up, for its blocks, the gradients and Hessians of t
 feature and bin; the tasks' sums meet per feature and group of nodes, where the best split of each
 node is looked up, with the missing values tried on either side.  The driver gets one candidate per
 feature and node; the sums of up to ``FEW_PARTS`` tasks meet there instead, without an exchange.  Where all rows fit one part, its sums are the totals already:
-the task then goes on with the next level, up to ``STORE`` trees, instead of a job for each.  Both
+the task then goes on with the next level, up to ``STORE`` trees, instead of a job for each.  All
 ways run the same rounds on the same sums and give the same model.
 
+A job for each level costs far more than its sums.  So where the cluster runs all parts at once, they
+are the tasks of a barrier stage, which holds the blocks for up to ``TOGETHER`` trees: the tasks'
+sums meet through files in the shared checkpoint folder, feature by feature, and every task grows the
+same tree from the same candidates (:class:`_Meeting`).
+
 The validation rows' error after each tree comes with the next tree's first level.  Fitting ends
 when it has not fallen for ``patience`` trees, and the model is cut to the best one: there is no
 second fit.  Executors keep the blocks with the scores after the last tree, so a level evaluates the
@@ -19,18 +24,22 @@ lost executor costs.
 from __future__ import annotations
 
 import json
+import os
 import pickle
+import shutil
+import time
+import uuid
 from collections.abc import Callable, Iterable
 from dataclasses import dataclass, field
 
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark import StorageLevel
+from pyspark import BarrierTaskContext, StorageLevel
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..session import materialise
+from ..session import materialise, shared_folder, task_slots
 
 BINS = 64          # of a feature; the last one is for missing values
 MISSING = BINS - 1
@@ -39,6 +48,10 @@ SLICE = 16         # nodes whose histograms travel together
 PART_ROWS = 1 << 18  # rows of a part of the block table: 7 MB of bins for 28 features
 FEW_PARTS = 16     # parts whose sums (at most 0.7 MB each for 22 features) the driver adds up itself
 STORE = 25         # trees after which the blocks' scores are written anew
+TOGETHER = 100     # the same for tasks that grow trees together
+TOGETHER_ROWS = 1 << 22  # rows that such a task holds at most: some 90 bytes each
+JOINED = 1 << 16   # rows of a block that such a task holds
+WAIT = 600.0       # seconds after which a task no longer waits for the others
 
 
 @dataclass
@@ -142,14 +155,24 @@ def binned_leaves(tree: dict, bins: np.ndarray, start: np.ndarray | None = None)
     at once, which takes a tenth of the time of looking every row's own node up."""
     kind = np.uint8 if len(tree["value"]) <= 256 else np.uint32
     node = np.zeros(bins.shape[1], kind) if start is None else start.astype(kind)
-    for k in np.flatnonzero(tree["left"] >= 0):  # children come after their parents
+    reached = np.bincount(node, minlength=len(tree["value"])) > 0  # nodes that rows are in, now or on their way
+    for k in np.flatnonzero(tree["left"] >= 0).tolist():  # children come after their parents
+        if not reached[k]:
+            continue
+        to_left, to_right = int(tree["left"][k]), int(tree["right"][k])
+        reached[[to_left, to_right]] = True
         x = bins[tree["feature"][k]]
-        left = x <= np.uint8(tree["bin"][k])
+        right = x > np.uint8(tree["bin"][k])
         if tree["missing_left"][k]:
-            left |= x == MISSING
-        # all in bytes: to the right child, for rows that go left back to the left one
-        step = left.view(np.uint8) * kind(tree["right"][k] - tree["left"][k])
-        node += (node == k).view(np.uint8) * (kind(tree["right"][k] - k) - step)
+            right &= x != MISSING
+        # all in bits: the rows in this node turn into one child or the other
+        here = node == kind(k)
+        right &= here
+        here ^= right
+        for rows, child in ((here, to_left), (right, to_right)):
+            turned = np.negative(rows.view(np.uint8) if kind is np.uint8 else rows.astype(kind))
+            turned &= kind(k ^ child)
+            node ^= turned
     return node
 
 
@@ -246,11 +269,15 @@ def add_sums(blocks: Iterable[_Block], level: Level, s: BoostSettings):
         if b.node is None:
             b.drawn(level, s.row_share)
         b.node = binned_leaves(level.tree, b.bins, b.node)
-        at = place[b.node[b.rows]] * BINS
+        at, cells, g = place[b.node[b.rows]], b.cells, b.grad
+        inside = np.flatnonzero(at < width)
+        if 4 * len(inside) < 3 * len(at):  # most levels ask for a part of the rows
+            at, cells, g = at[inside], [c[inside] for c in cells], g[inside]
+        at = at * BINS
         for k in range(n_use):
-            cells = at + b.cells[k]
-            grad[:, k] += np.bincount(cells, weights=b.grad, minlength=at_most).reshape(-1, BINS)
-            hess[:, k] += np.bincount(cells, minlength=at_most).reshape(-1, BINS)
+            cell = at + cells[k]
+            grad[:, k] += np.bincount(cell, weights=g, minlength=at_most).reshape(-1, BINS)
+            hess[:, k] += np.bincount(cell, minlength=at_most).reshape(-1, BINS)
     return grad[:width], hess[:width], error
 
 
@@ -443,25 +470,157 @@ def _rounds_here(blocks: DataFrame, rounds: Rounds) -> tuple[DataFrame, Rounds]:
             yield _with_state(_block_batch(r, b.score), None)
         yield _with_state(None, pickle.dumps((rounds.trees, rounds.errors, rounds.ended)))
 
-    def _with_state(batch, state):
-        names = ["bins", "y", "score", "val", "seed"]
-        cols = [batch.column(c) for c in names] if batch is not None else [pa.array([None], pa.binary())] * len(names)
-        return pa.RecordBatch.from_arrays([*cols, pa.array([state], pa.binary())], names=[*names, "state"])
+    done = materialise(blocks.coalesce(1).mapInArrow(run, _STATE), "boost-blocks")
+    return _blocks_and_rounds(done, rounds)
+
+
+_STATE = "bins binary, y binary, score binary, val binary, seed binary, state binary"
+
 
-    done = materialise(blocks.coalesce(1).mapInArrow(run, "bins binary, y binary, score binary, val binary, seed binary, state binary"),
-                       "boost-blocks")
+def _with_state(batch: pa.RecordBatch | None, state: bytes | None) -> pa.RecordBatch:
+    names = ["bins", "y", "score", "val", "seed"]
+    cols = [batch.column(c) for c in names] if batch is not None else [pa.array([None], pa.binary())] * len(names)
+    return pa.RecordBatch.from_arrays([*cols, pa.array([state], pa.binary())], names=[*names, "state"])
+
+
+def _blocks_and_rounds(done: DataFrame, rounds: Rounds) -> tuple[DataFrame, Rounds]:
     trees, errors, ended = pickle.loads(done.where("state is not null").first().state)  # of the model's size
-    return done.where("state is null").drop("state"), Rounds(n, rounds.edges, rounds.settings, trees, errors, ended)
+    return done.where("state is null").drop("state"), Rounds(rounds.n_features, rounds.edges, rounds.settings, trees, errors, ended)
+
+
+class _Meeting:
+    """Where the tasks of a barrier stage add their sums up: a folder that all of them see.
+
+    A level takes two rounds.  Every task leaves the sums of its blocks; the task that a feature falls
+    to adds these up, in the order of the tasks, and leaves the feature's best splits.  Then every task
+    reads all candidates.  Of two siblings only the lighter one is added up: the other's sums are their
+    parent's less these.  A file is complete when it has its name, and goes when all have read it."""
+
+    def __init__(self, folder: str, task: int, tasks: int, blocks: list[_Block], s: BoostSettings):
+        self.folder, self.task, self.tasks, self.blocks, self.s = folder, task, tasks, blocks, s
+        self.levels, self.mine, self.totals = 0, [], {}  # totals: of this task's features, by node
+
+    def _path(self, kind: str, task: int, level: int) -> str:
+        return f"{self.folder}/{kind}-{level}-{task}"
+
+    def _leave(self, kind: str, body: bytes) -> None:
+        path = self._path(kind, self.task, self.levels)
+        with open(path + ".part", "wb") as f:
+            f.write(body)
+        os.rename(path + ".part", path)
+        self.mine.append((kind, path))
+
+    def _read(self, kind: str, task: int, start: int = 0, length: int = -1) -> bytes:
+        path, until = self._path(kind, task, self.levels), time.monotonic() + WAIT
+        while not os.path.exists(path):
+            if time.monotonic() > until:
+                raise TimeoutError(f"task {task} left no {path} for {WAIT} s")
+            time.sleep(0.0005)
+        with open(path, "rb") as f:
+            f.seek(start)
+            return f.read(length)
+
+    def _forget(self, kind: str, keep: str) -> None:
+        for k, path in self.mine:
+            if k == kind and path != keep:
+                os.unlink(path)
+        self.mine = [(k, path) for k, path in self.mine if k != kind or path == keep]
+
+    def sums(self, level: Level):
+        """(candidates, error) of a level, summed over the blocks of all tasks."""
+        tree, use, share = level.tree, level.use, min(self.tasks, len(level.use))
+        pairs = list(zip(level.open_nodes[::2], level.open_nodes[1::2]))  # siblings; the root has none
+        lighter = {n: o for a, b in pairs for n, o in [(a, b) if tree["cover"][a] <= tree["cover"][b] else (b, a)]} or {0: None}
+        counted = list(lighter)
+        grad, hess, error = add_sums(self.blocks, Level(tree, counted, use, level.salt, level.with_error), self.s)
+        owned = [list(range(d, len(use), share)) for d in range(share)]
+        self._leave("sums", b"".join([error.tobytes(), *[np.stack([grad[:, o], hess[:, o]]).tobytes() for o in owned]]))
+        if self.task < share:
+            o = owned[self.task]
+            size = lambda d: 16 * len(counted) * len(owned[d]) * BINS
+            start = sum(size(d) for d in range(self.task))
+            total = sum(np.frombuffer(self._read("sums", d, 16 + start, size(self.task)), np.float64) for d in range(self.tasks))
+            total = total.reshape(2, len(counted), len(o), BINS)
+            before, self.totals = self.totals, {}
+            parent = {int(tree["left"][k]): k for k in np.flatnonzero(tree["left"] >= 0).tolist()}
+            for i, (n, other) in enumerate(lighter.items()):
+                self.totals[n] = total[:, i]
+                if other is not None:
+                    rest = before[parent[min(n, other)]] - total[:, i]
+                    rest[0][rest[1] <= 0] = 0.0  # no rows: what is left there is rounding
+                    self.totals[other] = rest
+            g, h = np.stack([self.totals[n] for n in level.open_nodes], axis=1)
+            found = _candidates(np.tile(np.array(use)[o], len(g)), np.repeat(np.arange(len(g)), len(o)),
+                                g.reshape(-1, BINS), h.reshape(-1, BINS), self.s)
+            if self.task == 0 and level.with_error:
+                error = sum(np.frombuffer(self._read("sums", d, 0, 16), np.float64) for d in range(self.tasks))
+            self._leave("found", pickle.dumps((found, error)))
+        each = [pickle.loads(self._read("found", d)) for d in range(share)]
+        # whoever left candidates of this level has read all of the last one; all have read this level's sums
+        self._forget("sums", "")
+        self._forget("found", self._path("found", self.task, self.levels))
+        self.levels += 1
+        return {c: np.concatenate([f[c] for f, _ in each]) for c in _KINDS}, each[0][1]
+
+
+def _joined(rows: Iterable[dict], n_features: int):
+    """Rows of the block table put together to some ``JOINED`` rows each."""
+    some, n = [], 0
+
+    def one():
+        joined = {c: b"".join(r[c] for r in some) for c in ("y", "score", "val", "seed")}
+        return joined | {"bins": np.concatenate([np.frombuffer(r["bins"], np.uint8).reshape(n_features, -1) for r in some], axis=1).tobytes()}
+
+    for r in rows:
+        some.append(r)
+        n += len(r["val"])
+        if n >= JOINED:
+            yield one()
+            some, n = [], 0
+    if some:
+        yield one()
+
+
+def _rounds_together(blocks: DataFrame, rounds: Rounds, tasks: int, folder: str) -> tuple[DataFrame, Rounds]:
+    """Up to ``TOGETHER`` trees, grown by ``tasks`` tasks of a barrier stage that meet in ``folder``."""
+    n = rounds.n_features
+
+    def run(batches):
+        context = BarrierTaskContext.get()
+        rows = list(_joined(_batch_rows(batches), n))
+        held = [_Block(r, n) for r in rows]
+        # a folder for this run of the stage: another one after a failure starts anew
+        at = f"{folder}/{context.allGather(uuid.uuid4().hex)[0]}"
+        os.makedirs(at, exist_ok=True)
+        meeting = _Meeting(at, context.partitionId(), tasks, held, rounds.settings)
+        for _ in range(TOGETHER):
+            tree = rounds.next_tree(meeting.sums)
+            if tree is None:
+                break
+            for b in held:
+                b.add(tree)
+        for r, b in zip(rows, held):
+            yield _with_state(_block_batch(r, b.score), None)
+        if context.partitionId() == 0:
+            yield _with_state(None, pickle.dumps((rounds.trees, rounds.errors, rounds.ended)))
+
+    done = materialise(blocks.repartition(tasks).mapInArrow(run, _STATE, barrier=True), "boost-blocks")
+    shutil.rmtree(folder, ignore_errors=True)
+    return _blocks_and_rounds(done, rounds)
 
 
 def fit_boosted(rows: DataFrame, features: list[str], label: str, is_validation: Column, keys: list[str],
-                settings: BoostSettings | None = None, part_rows: int = PART_ROWS) -> BoostedTrees:
+                settings: BoostSettings | None = None, part_rows: int = PART_ROWS, together: bool = False) -> BoostedTrees:
     """Fits on the rows that are not validation rows, stops by the mean absolute error of those.
 
     ``keys`` identify a row: the shares of rows that the trees are grown on follow from their hash,
     so they are the same under task retries.  Rows with a null or NaN label are left out; missing
     features are used as such.  Without fit rows the model predicts 0, without validation rows all
-    ``max_trees`` are grown; a tree that finds no split ends the fit."""
+    ``max_trees`` are grown; a tree that finds no split ends the fit.
+
+    ``together``: where there is more than one part, the tasks that hold them run side by side and meet
+    in the shared folder, if the cluster has room for at least two, they hold all rows, and the folder
+    is a path of the file system; otherwise each level is a job."""
     s = settings or BoostSettings()
     y = F.col(label).cast("double")
     data = rows.where(y.isNotNull() & ~F.isnan(y)).select(
@@ -473,15 +632,23 @@ def fit_boosted(rows: DataFrame, features: list[str], label: str, is_validation:
     if size.base is None:
         return model
     edges = bin_edges(data.where(~F.col("_val")), features)
-    parts = -(-size.n // part_rows)
-    if parts > 1:  # where every core has a part, parts grow up to four times as long
-        parts = min(parts, max(rows.sparkSession.sparkContext.defaultParallelism, -(-size.n // (4 * part_rows))))
+    parts, spark = -(-size.n // part_rows), rows.sparkSession
+    tasks = min(task_slots(spark), -(-4 * size.n // part_rows)) if together and parts > 1 and shared_folder(spark) else 0
+    if tasks * TOGETHER_ROWS < size.n:
+        tasks = 0
+    if tasks > 1:
+        data = data.repartition(tasks, "_seed", "_y")
+    elif parts > 1:  # where every core has a part, parts grow up to four times as long
+        parts = min(parts, max(spark.sparkContext.defaultParallelism, -(-size.n // (4 * part_rows))))
         data = data.repartition(parts, "_seed", "_y")
     blocks, rounds, held = pack_blocks(data, features, edges, model.base), Rounds(len(features), edges, s), []
     while not rounds.ended:
         if parts == 1:
             blocks, rounds = _rounds_here(blocks, rounds)
             continue
+        if tasks > 1:
+            blocks, rounds = _rounds_together(blocks, rounds, tasks, f"{shared_folder(spark)}/boost-meeting-{uuid.uuid4().hex[:12]}")
+            continue
         tree = rounds.next_tree(lambda level: _level_job(blocks, len(features), level, s, parts))
         for old in held[:-1]:  # the trees' levels have read the last one, so what it was made from can go
             old.unpersist()

@@ -50,7 +50,7 @@ def fit_with_tail(train: DataFrame, features: list[str], label: str, keys: list[
     ensure_checkpoint_dir(train.sparkSession)
     y = F.col(label).cast("double")
     rows = positional_tail(train.where(y.isNotNull() & ~F.isnan(y)), val_share, keys, "_is_val")
-    return fit_boosted(rows, features, label, F.col("_is_val"), keys, settings)
+    return fit_boosted(rows, features, label, F.col("_is_val"), keys, settings, together=True)
 
 
 def predict_floor(model, df: DataFrame, features: list[str], out: str = "prediction",

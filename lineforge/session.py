@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import os
+import re
 import tempfile
 import uuid
 
@@ -61,6 +62,33 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{base.rstrip('/')}/{name}-{uuid.uuid4().hex[:12]}"
 
 
+def shared_folder(spark: SparkSession) -> str | None:
+    """The shared checkpoint folder as a path that Python can open; none if it is in another store."""
+    base = ensure_checkpoint_dir(spark)
+    if "://" in base and not base.startswith("file://"):
+        return None
+    if base.startswith("file:"):
+        base = "/" + base[len("file:"):].lstrip("/")
+    return base.rstrip("/") if base.startswith("/") else None
+
+
+def task_slots(spark: SparkSession) -> int:
+    """How many tasks the executors run at once, as far as the settings tell; 0 if their number may change."""
+    sc, conf = spark.sparkContext, spark.sparkContext.getConf()
+    if conf.get("spark.dynamicAllocation.enabled", "false").lower() == "true":
+        return 0
+    local = re.fullmatch(r"local(?:\[(\d+|\*)(?:, *\d+)?\])?", sc.master)
+    if local:
+        cores = sc._jvm.java.lang.Runtime.getRuntime().availableProcessors() if local[1] == "*" else int(local[1] or 1)
+    else:
+        executors = max(sc._jsc.sc().getExecutorMemoryStatus().size() - 1, 0)  # the driver is among them
+        if conf.get("spark.executor.cores", None):
+            cores = executors * int(conf.get("spark.executor.cores"))
+        else:
+            cores = executors if conf.get("spark.default.parallelism", None) else min(sc.defaultParallelism, 1024)
+    return cores // int(conf.get("spark.task.cpus", "1"))
+
+
 def clear_scratch(spark: SparkSession) -> None:
     """Delete what this application wrote under the checkpoint folder (call it at the session's end:
     frames that read from there are gone with it).  The folder is the application's own, made by

@@ -1,6 +1,7 @@
 """Boosting, its explanations and the recurrent model against brute force."""
 import itertools
 import math
+import os
 
 import numpy as np
 import pytest
@@ -238,3 +239,49 @@ def test_chunks_give_the_gradient_of_the_whole(monkeypatch):
         found.append((*recurrent.gradient(flat, x, y, s, np.random.default_rng(2)), recurrent.forward(flat, x, s)))
     assert all(np.allclose(a, b, rtol=1e-12, atol=1e-12) and np.isfinite(a).all() for a, b in zip(*found))
     assert recurrent.forward(flat, x[:0], s).shape == (0,)
+
+
+def test_tasks_together_give_the_model_of_one(spark, monkeypatch):
+    df, made, jobs = frame(spark), [], []
+    real = B._rounds_together
+    monkeypatch.setattr(B, "_rounds_together", lambda *a: made.append(a[2:]) or real(*a))
+    monkeypatch.setattr(B, "_level_job", lambda *a: jobs.append(a))
+    monkeypatch.setattr(B, "TOGETHER", 4)  # six trees: the scores are handed on once
+    monkeypatch.setattr(B, "JOINED", 100)
+    monkeypatch.setattr(B, "BLOCK", 70)
+    s = B.BoostSettings(max_trees=6, max_depth=5, learning_rate=0.3, column_share=0.75)
+    fit = lambda rows: B.fit_boosted(df, FEATS, "y", F.xxhash64("current_account_nbr") % 5 == 0, ["current_account_nbr"], s, rows, together=True)
+    one, many = fit(1 << 18), fit(400)
+    assert [tasks for tasks, _ in made] == [B.task_slots(spark)] * 2 and not jobs  # no job for a level
+    assert not any(os.path.exists(folder) for _, folder in made)
+    assert len(one.trees) == len(many.trees) == 6 and np.allclose(one.errors, many.errors)
+    for a, b in zip(one.trees, many.trees):
+        for k in ("feature", "bin", "left", "missing_left"):
+            assert (a[k] == b[k]).all()
+        assert np.allclose(a["value"], b["value"]) and (a["cover"] == b["cover"]).all()
+
+
+def test_tasks_meet_only_where_they_can(spark, monkeypatch):
+    monkeypatch.setattr(B, "_rounds_together", lambda *a: pytest.fail("the tasks cannot meet"))
+    fit = lambda: B.fit_boosted(frame(spark, 600), FEATS, "y", F.lit(False), ["current_account_nbr"],
+                                B.BoostSettings(max_trees=1, max_depth=2), 100, together=True)
+    for name, value in (("shared_folder", lambda _: None), ("task_slots", lambda _: 1)):
+        with monkeypatch.context() as m:
+            m.setattr(B, name, value)
+            assert len(fit().trees) == 1
+    monkeypatch.setattr(B, "TOGETHER_ROWS", 10)
+    assert len(fit().trees) == 1
+
+
+def test_only_rows_on_their_way_are_routed():
+    rng = np.random.default_rng(12)
+    bins = rng.integers(0, B.BINS, (3, 500)).astype(np.uint8)
+    tree = {k: np.repeat(v, 7) for k, v in B.empty_tree(0.0, 0.0).items()}
+    tree["feature"][:3], tree["bin"][:3] = [0, 1, 2], [30, 10, 50]
+    tree["left"][:3], tree["right"][:3], tree["missing_left"][:3] = [1, 3, 5], [2, 4, 6], [True, False, True]
+    whole = B.binned_leaves(tree, bins)
+    first = {k: v.copy() for k, v in tree.items()}
+    first["left"][1:] = first["right"][1:] = -1
+    assert (B.binned_leaves(tree, bins, B.binned_leaves(first, bins)) == whole).all()
+    model = B.leaves(tree, lambda f, r: bins[f, r], lambda v, n: v <= tree["bin"][n], lambda v: v == B.MISSING, 500)
+    assert (whole == model).all() and set(whole) == {3, 4, 5, 6}
