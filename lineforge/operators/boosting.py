@@ -50,6 +50,7 @@ FEW_PARTS = 16     # parts whose sums (at most 0.7 MB each for 22 features) the
 STORE = 25         # trees after which the blocks' scores are written anew
 TOGETHER = 100     # the same for tasks that grow trees together
 TOGETHER_ROWS = 1 << 22  # rows that such a task holds at most: some 90 bytes each
+TOGETHER_LEAST = 1 << 14  # rows that such a task is worth; there are at least four, or one task does it all
 JOINED = 1 << 16   # rows of a block that such a task holds
 WAIT = 600.0       # seconds after which a task no longer waits for the others
 
@@ -618,9 +619,9 @@ def fit_boosted(rows: DataFrame, features: list[str], label: str, is_validation:
     features are used as such.  Without fit rows the model predicts 0, without validation rows all
     ``max_trees`` are grown; a tree that finds no split ends the fit.
 
-    ``together``: where there is more than one part, the tasks that hold them run side by side and meet
-    in the shared folder, if the cluster has room for at least two, they hold all rows, and the folder
-    is a path of the file system; otherwise each level is a job."""
+    ``together``: where rows are worth several tasks, these run side by side and meet in the shared
+    folder, if the cluster has room for at least two, they hold all rows, and the folder is a path of
+    the file system; otherwise each level of more than one part is a job."""
     s = settings or BoostSettings()
     y = F.col(label).cast("double")
     data = rows.where(y.isNotNull() & ~F.isnan(y)).select(
@@ -633,20 +634,22 @@ def fit_boosted(rows: DataFrame, features: list[str], label: str, is_validation:
         return model
     edges = bin_edges(data.where(~F.col("_val")), features)
     parts, spark = -(-size.n // part_rows), rows.sparkSession
-    tasks = min(task_slots(spark), -(-4 * size.n // part_rows)) if together and parts > 1 and shared_folder(spark) else 0
-    if tasks * TOGETHER_ROWS < size.n:
+    tasks = 0
+    if together and size.n > min(part_rows, 4 * TOGETHER_LEAST) and shared_folder(spark):
+        tasks = min(task_slots(spark), -(-size.n // min(part_rows, TOGETHER_LEAST)))
+    if tasks < 2 or tasks * TOGETHER_ROWS < size.n:
         tasks = 0
-    if tasks > 1:
+    if tasks:
         data = data.repartition(tasks, "_seed", "_y")
     elif parts > 1:  # where every core has a part, parts grow up to four times as long
         parts = min(parts, max(spark.sparkContext.defaultParallelism, -(-size.n // (4 * part_rows))))
         data = data.repartition(parts, "_seed", "_y")
     blocks, rounds, held = pack_blocks(data, features, edges, model.base), Rounds(len(features), edges, s), []
     while not rounds.ended:
-        if parts == 1:
+        if parts == 1 and not tasks:
             blocks, rounds = _rounds_here(blocks, rounds)
             continue
-        if tasks > 1:
+        if tasks:
             blocks, rounds = _rounds_together(blocks, rounds, tasks, f"{shared_folder(spark)}/boost-meeting-{uuid.uuid4().hex[:12]}")
             continue
         tree = rounds.next_tree(lambda level: _level_job(blocks, len(features), level, s, parts))

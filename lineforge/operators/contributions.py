@@ -2,8 +2,9 @@
 
 What a leaf adds to a feature's contribution depends only on which of the conditions on the leaf's
 path a row meets, one bit for each feature on the path.  So every leaf gets a small table, worked out
-for all leaves with equally many features at once; a row only looks its bits up.  The table is of
-the model's size, which is broadcast; rows are explained in a ``mapInPandas`` pass, batch by batch.
+for all leaves with equally many features at once; the tables of up to four leaves side by side are
+added up to one, and a row only looks its bits up.  The tables are of the model's size, which is
+broadcast; rows are explained in a ``mapInPandas`` pass, batch by batch.
 Per row: ``base_value + sum(contributions) == raw prediction``.
 """
 
@@ -104,6 +105,68 @@ def shapley_tables(shares: np.ndarray) -> np.ndarray:
     return out
 
 
+GROUP_NODES = 3  # inner nodes of a group of leaves: up to four leaves share a look-up
+
+
+def leaf_groups(tree: dict) -> list[int]:
+    """Nodes whose subtrees have up to ``GROUP_NODES`` inner nodes, and together all leaves."""
+    inner = np.zeros(len(tree["left"]), np.int64)  # of each node's subtree
+
+    out, order, stack = [], [], [0]
+    while stack:
+        node = stack.pop()
+        order.append(node)
+        if tree["left"][node] >= 0:
+            stack += [int(tree["left"][node]), int(tree["right"][node])]
+    for node in reversed(order):
+        if tree["left"][node] >= 0:
+            inner[node] = 1 + inner[tree["left"][node]] + inner[tree["right"][node]]
+    stack = [0]
+    while stack:
+        node = stack.pop()
+        if inner[node] <= GROUP_NODES:
+            out.append(node)
+        else:
+            stack += [int(tree["left"][node]), int(tree["right"][node])]
+    return out
+
+
+def group_table(tree: dict, root: int, leaves: dict) -> tuple[list, list[int], np.ndarray]:
+    """(what a row's bits stand for, features, table of features x patterns of bits) of the leaves
+    under ``root``; ``leaves``: the path and table of each.  A bit is a list of conditions (node, goes
+    left) that a row meets all of: those on the way to ``root`` feature by feature, then a bit for each
+    inner node of the group."""
+    below, stack = [], [root]
+    while stack:
+        node = stack.pop()
+        below.append(node)
+        if tree["left"][node] >= 0:
+            stack += [int(tree["left"][node]), int(tree["right"][node])]
+    inner = sorted(n for n in below if tree["left"][n] >= 0)
+    some = [leaves[n] for n in below if n in leaves]
+    above: dict[int, list] = {}
+    for f, (_, conditions) in some[0][0].items() if some else ():
+        if outer := [c for c in conditions if c[0] not in inner]:
+            above[f] = outer
+    bits = [*above.values(), *[[(n, True)] for n in inner]]
+    patterns = np.arange(1 << len(bits))
+    met = [(patterns >> k & 1).astype(bool) for k in range(len(bits))]
+    features = sorted({f for path, _ in some for f in path})
+    out = np.zeros((len(features), len(patterns)))
+    for path, table in some:
+        code = np.zeros(len(patterns), np.int64)
+        for k, (f, (_, conditions)) in enumerate(path.items()):
+            ok = met[list(above).index(f)].copy() if f in above else np.ones(len(patterns), bool)
+            for node, left in conditions:
+                if node in inner:
+                    side = met[len(above) + inner.index(node)]
+                    ok &= side if left else ~side
+            code |= ok.astype(np.int64) << k
+        for k, f in enumerate(path):
+            out[features.index(f)] += table[code, k]
+    return bits, features, out
+
+
 class Explainer:
     """The ensemble's leaves with their tables."""
 
@@ -114,7 +177,7 @@ class Explainer:
         for k, some in enumerate(paths):
             for leaf, path in some:
                 by_size.setdefault(len(path), []).append((k, leaf, path))
-        self.leaves: list[list] = [[] for _ in trees]  # of each tree: (features, conditions, table)
+        leaves: list[dict] = [{} for _ in trees]  # of each tree: leaf -> (path, table)
         for m, some in by_size.items():
             if m == 0:
                 continue
@@ -122,29 +185,41 @@ class Explainer:
                 part = some[a:a + 512]
                 tables = shapley_tables(np.array([[s for s, _ in path.values()] for _, _, path in part]))
                 for (k, leaf, path), table in zip(part, tables):
-                    self.leaves[k].append((list(path), [c for _, c in path.values()], table * (trees[k]["value"][leaf] * weights[k])))
+                    leaves[k][leaf] = (path, table * (trees[k]["value"][leaf] * weights[k]))
+        self.groups = []  # of each tree: (bits, features, table)
+        for t, some in zip(trees, leaves):
+            self.groups.append([g for g in (group_table(t, root, some) for root in leaf_groups(t)) if g[1]])
+            some.clear()
 
     def contributions(self, x: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """(rows x features) contributions and the raw prediction without the constant."""
-        phi, pred = np.zeros((self.n_features, len(x))), np.zeros(len(x))
+        phi, pred, one = np.zeros((self.n_features, len(x))), np.zeros(len(x)), np.empty(len(x))
+        x = np.ascontiguousarray(x.T)
         missing = np.isnan(x)
-        for t, w, some in zip(self.trees, self.weights, self.leaves):
-            side = {int(k): np.where(missing[:, t["feature"][k]], t["missing_left"][k], x[:, t["feature"][k]] <= t["threshold"][k])
-                    for k in np.flatnonzero(t["left"] >= 0)}
-            node = np.zeros(len(x), np.int64)
-            for k in sorted(side):  # children come after their parents
-                at = node == k
-                node[at] = np.where(side[k][at], t["left"][k], t["right"][k])
+        for t, w, groups in zip(self.trees, self.weights, self.groups):
+            side, other = {}, {}
+            node = np.zeros(len(pred), np.uint16 if len(t["value"]) <= 1 << 16 else np.uint32)
+            for k in np.flatnonzero(t["left"] >= 0).tolist():  # children come after their parents
+                f = t["feature"][k]
+                s = x[f] <= t["threshold"][k]
+                if t["missing_left"][k]:
+                    s |= missing[f]
+                side[k], other[k] = s, ~s
+                here = node == k
+                for rows, child in ((here & s, int(t["left"][k])), (here & other[k], int(t["right"][k]))):
+                    node ^= np.negative(rows.astype(node.dtype)) & node.dtype.type(k ^ child)
             pred += w * t["value"][node]
-            for features, conditions, table in some:
-                code = np.zeros(len(x), np.int64)
-                for bit, each in enumerate(conditions):
-                    ok = np.ones(len(x), bool)
-                    for k, left in each:
-                        ok &= side[k] if left else ~side[k]
-                    code |= ok.astype(np.int64) << bit
-                for j, f in enumerate(features):
-                    phi[f] += table[code, j]
+            for bits, features, table in groups:
+                code = np.zeros(len(pred), np.uint8 if len(bits) <= 8 else np.uint32)
+                for bit, conditions in enumerate(bits):
+                    node_k, left = conditions[0]
+                    ok = side[node_k] if left else other[node_k]
+                    for k, goes_left in conditions[1:]:
+                        ok = ok & (side[k] if goes_left else other[k])
+                    code |= (ok.view(np.uint8) if code.itemsize == 1 else ok.astype(np.uint32)) << code.dtype.type(bit)
+                code = code.astype(np.intp)
+                for f, values in zip(features, table):
+                    phi[f] += values.take(code, out=one, mode="clip")
         return phi.T, pred
 
 

@@ -252,7 +252,7 @@ def test_tasks_together_give_the_model_of_one(spark, monkeypatch):
     s = B.BoostSettings(max_trees=6, max_depth=5, learning_rate=0.3, column_share=0.75)
     fit = lambda rows: B.fit_boosted(df, FEATS, "y", F.xxhash64("current_account_nbr") % 5 == 0, ["current_account_nbr"], s, rows, together=True)
     one, many = fit(1 << 18), fit(400)
-    assert [tasks for tasks, _ in made] == [B.task_slots(spark)] * 2 and not jobs  # no job for a level
+    assert [tasks for tasks, _ in made] == [min(B.task_slots(spark), 4)] * 2 and not jobs  # no job for a level
     assert not any(os.path.exists(folder) for _, folder in made)
     assert len(one.trees) == len(many.trees) == 6 and np.allclose(one.errors, many.errors)
     for a, b in zip(one.trees, many.trees):
@@ -285,3 +285,26 @@ def test_only_rows_on_their_way_are_routed():
     assert (B.binned_leaves(tree, bins, B.binned_leaves(first, bins)) == whole).all()
     model = B.leaves(tree, lambda f, r: bins[f, r], lambda v, n: v <= tree["bin"][n], lambda v: v == B.MISSING, 500)
     assert (whole == model).all() and set(whole) == {3, 4, 5, 6}
+
+
+def test_leaves_side_by_side_share_a_look_up():
+    rng = np.random.default_rng(15)
+    x = rng.normal(size=(3000, 4))
+    x[rng.random(x.shape) < 0.1] = np.nan
+    y = np.nan_to_num(x[:, 0]) * 3 + np.isnan(x[:, 1]) * np.nan_to_num(x[:, 2]) + rng.normal(size=3000)
+    edges = [np.unique(np.quantile(c[~np.isnan(c)], np.arange(1, 63) / 63)) for c in x.T]
+    bins = np.array([np.where(np.isnan(c), B.MISSING, np.searchsorted(e, c)) for e, c in zip(edges, x.T)]).astype(np.uint8)
+    row = {"bins": bins.tobytes(), "y": y.tobytes(), "score": np.zeros(3000).tobytes(), "val": np.zeros(3000, np.uint8).tobytes(),
+           "seed": rng.integers(0, 2 ** 62, 3000).tobytes()}
+    for depth in (1, 2, 6, 9):
+        s = B.BoostSettings(max_depth=depth, min_weight=20.0 if depth < 9 else 3.0, row_share=1.0, column_share=1.0)
+        tree = B.Rounds(4, edges, s).next_tree(lambda level: B._level_here([B._Block(row, 4)], level, s))
+        roots, n_leaves = C.leaf_groups(tree), int((tree["left"] < 0).sum())
+        explainer = C.Explainer([tree], [2.0], 4)
+        # a look-up for each group: far fewer than leaves
+        assert len(explainer.groups[0]) == len(roots) and (depth < 6 or 2 * len(roots) < n_leaves)
+        phi, pred = explainer.contributions(x[:40])
+        assert (pred == 2.0 * B.BoostedTrees(FEATS, 0.0, [tree]).raw(x[:40])).all()
+        assert np.allclose(phi, [2.0 * _exact(tree, r, 4) for r in x[:40]], atol=1e-9)
+    alone = C.Explainer([B.empty_tree(3.0, 5.0)], [1.0], 4).contributions(x[:2])
+    assert (alone[0] == 0).all() and (alone[1] == 3.0).all()
