@@ -231,3 +231,29 @@ def test_refined_holt_only_lowers_the_error(spark):
     assert set(grid) == set(fine)
     assert all(r.sse <= grid[a] * (1 + 1e-9) + 1e-6 and 0 < r.alpha < 1 and 0 < r.beta < 1 for a, r in fine.items())
     assert sum(r.sse < grid[a] * 0.999 for a, r in fine.items()) > len(fine) / 2
+
+
+def test_large_inputs_of_long_fits_use_every_core(spark, monkeypatch):
+    from lineforge.operators import models
+    from lineforge.session import task_slots
+    df = spark.createDataFrame([(f"k{i:04d}" if i % 50 else None, float(i)) for i in range(900)], "current_account_nbr string, x double")
+    monkeypatch.setattr(models, "dealt_into", lambda df, parts, *keys: dealt.append(parts) or df.repartition(parts, *keys))
+    for rows, least in ((900, None), (500, 2), (100, 9)):
+        dealt = []
+        monkeypatch.setattr(models, "TASK_ROWS", rows)
+        kept = models._kept_dealt(df, "kept", task_slots(spark))
+        assert dealt == ([max(least, task_slots(spark))] if least else [])
+        assert sorted(map(repr, kept.collect())) == sorted(map(repr, df.collect()))
+
+
+def test_forest_keeps_the_rows_nodes(spark, monkeypatch):
+    from lineforge.operators import models
+    asked, real = [], models.RandomForestClassifier
+    monkeypatch.setattr(models, "RandomForestClassifier", lambda **k: asked.append(k) or real(**k))
+    df = spark.createDataFrame([(f"k{i:03d}", float(i % 17), float(i % 5), i % 3) for i in range(300)],
+                               "current_account_nbr string, x double, z double, segment_label int")
+    models.fit_segment_classifier(df, ["x", "z"], num_trees=5, max_depth=6)
+    assert asked[0]["cacheNodeIds"] and asked[0]["checkpointInterval"] == 10
+    rows = models._assembler(["x", "z"]).transform(df.withColumn("class_weight", F.lit(1.0))).coalesce(1)
+    kept, walked = (real(**asked[0] | {"cacheNodeIds": c}).fit(rows).toDebugString.split("\n")[1:] for c in (True, False))
+    assert kept == walked and len(kept) > 20  # the same trees
